@@ -53,7 +53,13 @@ def with_schema(
     if on_missing == "mark":
         return joined.withColumn("schema_found", F.col(value).isNotNull())
     unknown = F.raise_error(F.concat(F.lit(f"no schema for {key} "), F.coalesce(F.col(key).cast("string"), F.lit("null"))))
-    return joined.withColumn(value, F.coalesce(value, unknown))
+    # On the key as well: a caller that drops the schema text must not lose the check with it.
+    return joined.withColumns(
+        {
+            key: F.when(F.col(value).isNotNull(), F.col(key)).otherwise(unknown.cast(joined.schema[key].dataType)),
+            value: F.coalesce(value, unknown),
+        }
+    )
 
 
 def as_map(df: DataFrame, key: str, value: str, out: str = "entries", max_entries: int = MAP_ENTRIES) -> DataFrame:

@@ -17,9 +17,12 @@ def number_in_groups(df: DataFrame, group: str, order_by: str, out: str = "n", s
     A group may hold most of the table, so it is never sorted in one piece: it is cut into
     ranges of ``span`` consecutive values, ranges are numbered independently, and each is
     moved up by the row counts of the ranges before it. Only those counts, one row per
-    range, are brought together per group.
+    range, are brought together per group. A null in either column fails the job.
     """
-    ranged = df.withColumn("__range", F.expr(f"`{order_by}` div {span}"))
+    given = {
+        name: F.coalesce(name, F.raise_error(F.lit(f"a row to number has no {name}"))) for name in (group, order_by)
+    }
+    ranged = df.withColumns(given).withColumn("__range", F.expr(f"`{order_by}` div {span}"))
     before = Window.partitionBy(group).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
     starts = (
         ranged.groupBy(group, "__range")
@@ -37,8 +40,7 @@ def number_in_groups(df: DataFrame, group: str, order_by: str, out: str = "n", s
 def to_messages(df: DataFrame, id_col: str, bucket: str, batch_size: int = BATCH_SIZE, span: int = 100_000) -> DataFrame:
     """Messages (bucket, batch_no, message_id, body), at most ``batch_size`` to a batch.
 
-    ``bucket`` is a column without nulls. The message id lets a receiver discard what a
-    retried sender sends again.
+    The message id lets a receiver discard what a retried sender sends again.
     """
     numbered = number_in_groups(df.select(bucket, id_col), bucket, id_col, "__n", span)
     return numbered.select(

@@ -22,7 +22,7 @@ from millrace.plans.staging import (
     topic_log,
     value_with_nulls,
 )
-from millrace.session import scratch_dir
+from millrace.session import scratch_dir, written
 from millrace.sinks.files import UNTIL_CAUGHT_UP, in_exact_shards, write_files
 from millrace.sinks.log import append_log
 from millrace.sources import files, generate, log, start
@@ -129,7 +129,7 @@ def start_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("event_type").alias("topic"), keys.bucket("user_id", 2).alias("partition"), "event_id", "ts"
     )
     before = events.where(F.col("ts") < F.lit(MID_MONTH.replace(tzinfo=None)).cast("timestamp_ntz"))
-    ends = start.last_offsets(before, ["topic", "partition"], "event_id")
+    ends = written(start.last_offsets(before, ["topic", "partition"], "event_id"), "ends")
     return start.after(events, ends, ["topic", "partition"], "event_id").select("event_id")
 
 
@@ -189,7 +189,7 @@ def distinct_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def schema_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ids in use mapped to their schemas as one map, listed entry by entry."""
-    ids = distinct_keys(spark, sf_dir)
+    ids = written(distinct_keys(spark, sf_dir), "schema-ids")
     known = F.when(F.col("schema_id").isin(0, 1), F.concat(F.lit("schema-"), F.col("schema_id").cast("string")))
     named = ids.select("schema_id", F.coalesce(known, F.raise_error(F.lit("unknown schema id"))).alias("schema_name"))
     entries = lookup.as_map(named, "schema_id", "schema_name")

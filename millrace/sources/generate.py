@@ -36,10 +36,9 @@ def run_to_end(query: StreamingQuery, n: int, timeout: float = 600.0) -> None:
             if query.exception() is not None:
                 raise query.exception()
             progress = query.lastProgress
-            if progress and progress["sources"][0]["endOffset"]:
-                end = progress["sources"][0]["endOffset"]
-                end = json.loads(end) if isinstance(end, str) else end
-                if end["offset"] >= n:
+            if progress:
+                end = json.loads(progress.json)["sources"][0]["endOffset"]
+                if end and end["offset"] >= n:
                     return
             time.sleep(0.1)
         raise TimeoutError(f"fewer than {n} ids in {timeout} seconds")

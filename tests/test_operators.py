@@ -1,0 +1,225 @@
+import re
+from datetime import datetime, timezone
+
+import pytest
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+
+from millrace.operators import audit, combine, filters, lookup, metrics, outbox, windows
+from millrace.sinks import queue
+
+REGISTRY = [(0, "even"), (1, "odd")]
+
+
+def registry(spark, rows=REGISTRY):
+    return spark.createDataFrame(rows, "schema_id int, schema string")
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+# Filters
+
+
+def test_drop_empty_values(spark, rows):
+    df = spark.createDataFrame([(1, "a"), (2, ""), (3, None)], "id int, value string")
+    assert rows(filters.drop_empty(df)) == [(1, "a")]
+
+
+# Windows
+
+
+def utc(*parts):
+    return datetime(*parts, tzinfo=timezone.utc)
+
+
+def test_windows_include_their_start_and_exclude_their_end(spark):
+    at = [utc(2024, 1, 1, 0, 0, 9, 999999), utc(2024, 1, 1, 0, 0, 10), utc(1969, 12, 31, 23, 59, 59)]
+    df = spark.createDataFrame([(t,) for t in at], "t timestamp")
+    starts = windows.with_window_label(df, "10 seconds", "t").collect()
+    assert [r.window_start for r in starts] == ["2024-01-01T00-00-00", "2024-01-01T00-00-10", "1969-12-31T23-59-50"]
+
+
+def test_record_without_time_gets_processing_time(spark):
+    df = spark.createDataFrame([(None,)], "t timestamp")
+    by_null, by_none = windows.with_window(df, "1 day", "t").first(), windows.with_window(df, "1 day").first()
+    assert by_null.window_start == by_none.window_start is not None
+
+
+def test_counts_per_window(spark, rows):
+    df = spark.createDataFrame([("a", utc(2024, 1, 1, 0, 0, s)) for s in (0, 4, 5, 9)], "k string, t timestamp")
+    assert [r.n for r in windows.counts_per_window(df, "5 seconds", "t", ["k"]).collect()] == [2, 2]
+
+
+# Lookup
+
+
+def test_lookup_broadcasts_a_small_registry(spark, rows):
+    df = spark.range(4).withColumn("schema_id", (F.col("id") % 2).cast("int"))
+    found = lookup.with_schema(df, registry(spark))
+    assert rows(found, "id", "schema") == [(0, "even"), (1, "odd"), (2, "even"), (3, "odd")]
+    assert "BroadcastHashJoin" in plan(found)
+
+
+def test_lookup_does_not_broadcast_beyond_the_bound(spark, rows, monkeypatch):
+    monkeypatch.setattr(lookup, "BROADCAST_ROWS", 1)
+    df = spark.range(4).withColumn("schema_id", (F.col("id") % 2).cast("int"))
+    found = lookup.with_schema(df, registry(spark))
+    assert "ResolvedHint" not in found._jdf.queryExecution().analyzed().toString()
+    assert len(rows(found)) == 4
+
+
+@pytest.mark.parametrize("missing", [2, None])
+def test_unknown_schema_id(spark, rows, missing):
+    df = spark.createDataFrame([(0,), (missing,)], "schema_id int")
+    with pytest.raises(PySparkException, match="no schema for schema_id"):
+        lookup.with_schema(df, registry(spark)).collect()
+    marked = lookup.with_schema(df, registry(spark), on_missing="mark")
+    assert rows(marked, "schema_id", "schema_found") == sorted([(0, True), (missing, False)], key=repr)
+
+
+def test_registry_with_a_repeated_id(spark):
+    with pytest.raises(ValueError, match="more than once"):
+        lookup.with_schema(spark.range(1).select(F.lit(0).alias("schema_id")), registry(spark, REGISTRY + [(0, "x")]))
+
+
+def test_map_of_pairs(spark):
+    assert lookup.as_map(registry(spark), "schema_id", "schema").first().entries == {0: "even", 1: "odd"}
+    with pytest.raises(ValueError, match="more than once"):
+        lookup.as_map(registry(spark, REGISTRY + [(0, "x")]), "schema_id", "schema")
+    with pytest.raises(ValueError, match="too many"):
+        lookup.as_map(registry(spark), "schema_id", "schema", max_entries=1)
+
+
+# Combining
+
+
+def test_combine_per_key(spark, rows):
+    df = spark.range(10).select((F.col("id") % 2).alias("k"), F.col("id").alias("v"))
+    assert rows(combine.combine_per_key(df, "k", "v", F.max)) == [(0, 8), (1, 9)]
+    assert rows(combine.combine_per_key_with(df, "k", "v", lambda a, b: a ^ b)) == [(0, 0 ^ 2 ^ 4 ^ 6 ^ 8), (1, 1 ^ 3 ^ 5 ^ 7 ^ 9)]
+    assert rows(combine.combine_per_key_with(df.withColumn("v", F.lit(0)), "k", "v", lambda a, b: 0)) == [(0, 0), (1, 0)]
+    assert rows(combine.distinct_keys(df, "k")) == [(0,), (1,)]
+
+
+# Audits
+
+
+def ids(spark, values, ddl="id int"):
+    return spark.createDataFrame([v if isinstance(v, tuple) else (v,) for v in values], ddl)
+
+
+def test_exactly_once(spark):
+    got = audit.exactly_once(ids(spark, [1, 2, 2, 2, 9]), ids(spark, [1, 2, 3, 4])).first()
+    assert got.asDict() == {"total": 5, "distinct_ids": 3, "duplicates": 2, "missing": 2, "unexpected": 1}
+
+
+def test_exactly_once_of_nothing(spark):
+    empty = ids(spark, [])
+    assert tuple(audit.exactly_once(empty, empty).first()) == (0, 0, 0, 0, 0)
+    assert tuple(audit.exactly_once(empty, ids(spark, [1])).first()) == (0, 0, 0, 1, 0)
+
+
+def test_exactly_once_per_shard(spark, rows):
+    landed = ids(spark, [(1, "a"), (2, "b"), (2, "b")], "id int, shard string")
+    expected = ids(spark, [(1, "a"), (2, "a"), (2, "b")], "id int, shard string")
+    assert rows(audit.exactly_once(landed, expected, by=["shard"])) == [("a", 1, 1, 0, 1, 0), ("b", 2, 1, 1, 0, 0)]
+
+
+def test_exactly_once_shuffles_partial_counts_once(spark):
+    text = plan(audit.exactly_once(ids(spark, [1]), ids(spark, [1])))
+    assert text.count("Exchange hashpartitioning") == 1 and "partial_sum" in text and "Join" not in text
+
+
+def test_counts(spark, rows):
+    df = ids(spark, [(1, "a"), (1, "a"), (2, "b")], "id int, shard_id string")
+    assert tuple(audit.count_and_distinct(df, "id").first()) == (3, 2)
+    assert audit.distinct_row_count(df).first().n == 2
+    assert rows(audit.rows_per(df, "shard_id")) == [("a", 2), ("b", 1)]
+
+
+def test_multiset_diff(spark, rows):
+    left = ids(spark, [(1, "a"), (1, "a"), (2, None), (3, "c")], "id int, v string")
+    right = ids(spark, [(1, "a"), (2, None), (4, "d"), (4, "d")], "id int, v string")
+    assert rows(audit.multiset_diff(left, right)) == [("extra", 4, "d", 2), ("missing", 1, "a", 1), ("missing", 3, "c", 1)]
+    audit.assert_same_rows(left, left.orderBy(F.desc("id")).select("v", "id"))
+    with pytest.raises(AssertionError):
+        audit.assert_same_rows(left, right)
+
+
+# Metrics
+
+
+def test_metrics_per_partition(spark, rows):
+    records = [("a", 0, None, b"v"), ("a", 0, b"k", None), ("b", 1, b"k", b"v")]
+    log = spark.createDataFrame(
+        [(t, p, k and bytearray(k), v and bytearray(v)) for t, p, k, v in records],
+        "topic string, partition int, key binary, value binary",
+    )
+    assert rows(metrics.per_partition(log)) == [("a", 0, 2, 1, 1), ("b", 1, 1, 0, 0)]
+
+
+# Outbox
+
+
+def numbers_by_hand(pairs):
+    seen, out = {}, []
+    for group, value in sorted(pairs):
+        out.append((group, value, seen.get(group, 0)))
+        seen[group] = seen.get(group, 0) + 1
+    return sorted(out)
+
+
+@pytest.mark.parametrize("span", [1, 7, 1000])
+def test_numbers_in_skewed_groups(spark, span):
+    # One group holds nine rows in ten; values are sparse, and some are negative.
+    pairs = [(0 if i % 10 else 1, i * 3 - 400) for i in range(600)]
+    df = spark.createDataFrame(pairs, "g int, v long")
+    got = outbox.number_in_groups(df, "g", "v", "n", span)
+    assert sorted(tuple(r) for r in got.collect()) == numbers_by_hand(pairs)
+
+
+def test_numbering_never_sorts_a_whole_group(spark):
+    text = plan(outbox.number_in_groups(spark.range(10).withColumn("g", F.col("id") % 2), "g", "id"))
+    numbering = [line for line in text.splitlines() if "row_number()" in line]
+    assert numbering and all(re.search(r"row_number\(\) windowspecdefinition\(g#\w+, __range#", line) for line in numbering)
+
+
+def test_messages(spark, rows):
+    df = spark.range(25).withColumn("bucket", F.lit(0))
+    messages = outbox.to_messages(df, "id", "bucket", span=4)
+    sizes = rows(messages.groupBy("batch_no").count())
+    assert sizes == [(0, 10), (1, 10), (2, 5)]
+    assert rows(messages, "message_id", "body") == sorted((str(i), str(i)) for i in range(25))
+    with pytest.raises(PySparkException, match="has no bucket"):
+        outbox.to_messages(spark.range(1).withColumn("bucket", F.lit(None).cast("int")), "id", "bucket").collect()
+
+
+@pytest.mark.parametrize("size", [1, 10])
+def test_sender_takes_every_message_in_small_batches(spark, tmp_path, size):
+    folder = str(tmp_path)
+
+    def connect():
+        import json
+        import os
+        import uuid
+
+        def send_list(batch):
+            with open(os.path.join(folder, uuid.uuid4().hex), "w") as out:
+                json.dump([r.body for r in batch], out)
+
+        return send_list
+
+    import json
+
+    messages = outbox.to_messages(spark.range(95).withColumn("bucket", F.col("id") % 3), "id", "bucket")
+    queue.send(messages, connect, size)
+    sent = [json.loads(f.read_text()) for f in tmp_path.iterdir()]
+    assert max(map(len, sent)) == size
+    assert sorted(int(b) for batch in sent for b in batch) == list(range(95))
+
+
+def test_sender_batch_limit(spark):
+    with pytest.raises(ValueError):
+        queue.send(spark.range(1), lambda: print, 11)
