@@ -8,6 +8,9 @@ from pyspark.sql import types as T
 
 
 def read_parquet(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
+    """Parquet files, every column nullable: files are not bound by what a record type promises."""
+    if isinstance(schema, T.StructType):
+        schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in schema])
     reader = spark.read.schema(schema) if schema is not None else spark.read
     return reader.parquet(path)
 

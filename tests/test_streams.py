@@ -1,0 +1,229 @@
+"""Jobs as streams: admission, metrics, start positions and recovery, each ending in an audit."""
+
+import random
+import subprocess
+import sys
+from datetime import datetime, timedelta, timezone
+from pathlib import Path
+
+import pytest
+from pyspark.errors import StreamingQueryException
+from pyspark.sql import functions as F
+
+from millrace import schemas
+from millrace.functions import keys, text
+from millrace.operators import audit, envelope, metrics
+from millrace.sinks.files import UNTIL_CAUGHT_UP, write_files
+from millrace.sinks.log import append_log
+from millrace.sources import files, generate, log, start
+from millrace.streaming import jobs
+
+ROOT = Path(__file__).resolve().parent.parent
+
+
+def shard_records(ids, n_shards=2):
+    return envelope.to_shards(
+        envelope.log_events(ids),
+        "stream-01",
+        sequence_number=F.format_string("%020d", "id"),
+        shard_id=keys.shard_name(keys.bucket("id", n_shards)),
+    )
+
+
+def append(spark, path, first, last, n_shards=2, n_files=1):
+    append_log(shard_records(spark.range(first, last, 1, n_files), n_shards), path)
+
+
+def land(spark, work, records=None, **options):
+    records = log.read_shards(spark, f"{work}/log", max_files_per_trigger=1) if records is None else records
+    query = jobs.land_shards(records, f"{work}/out", f"{work}/ck", trigger=UNTIL_CAUGHT_UP, **options)
+    query.awaitTermination()
+    return query
+
+
+def audited(spark, work, n, by=()):
+    landed = files.read_parquet(spark, f"{work}/out", schemas.CONSUMED_EVENT)
+    return audit.exactly_once(landed, generate.sequence(spark, n), by=by).first().asDict()
+
+
+CLEAN = {"duplicates": 0, "missing": 0, "unexpected": 0}
+
+
+def clean(n):
+    return {"total": n, "distinct_ids": n} | CLEAN
+
+
+def test_one_file_to_a_batch(spark, tmp_path):
+    work = str(tmp_path)
+    append(spark, f"{work}/log", 0, 400, n_files=4)
+    query = land(spark, work)
+    assert [p["numInputRows"] for p in query.recentProgress if p["numInputRows"]] == [100] * 4
+    assert audited(spark, work, 400) == clean(400)
+
+
+def test_any_split_into_batches_gives_the_batch_result(spark, tmp_path):
+    rng = random.Random(3)
+    cuts = [0, *sorted(rng.sample(range(1, 300), 5)), 300]
+    for first, last in zip(cuts, cuts[1:]):
+        append(spark, f"{tmp_path}/log", first, last)
+    land(spark, str(tmp_path))
+    jobs.land_shards(log.read_shards(spark, f"{tmp_path}/log", streaming=False), f"{tmp_path}/batch", window=None)
+    landed = [files.read_parquet(spark, f"{tmp_path}/{d}", schemas.CONSUMED_EVENT) for d in ("out", "batch")]
+    audit.assert_same_rows(*(df.select("id", "shard_id") for df in landed))
+
+
+def test_restart_repeats_nothing(spark, tmp_path):
+    work = str(tmp_path)
+    append(spark, f"{work}/log", 0, 100)
+    land(spark, work)
+    land(spark, work)
+    append(spark, f"{work}/log", 100, 250)
+    land(spark, work)
+    assert audited(spark, work, 250) == clean(250)
+
+
+def test_crash_and_resume(spark, tmp_path):
+    work = str(tmp_path)
+    append(spark, f"{work}/log", 0, 400, n_files=4)
+    records = log.read_shards(spark, f"{work}/log", max_files_per_trigger=1)
+    fault = F.raise_error(F.lit("injected fault")).cast("binary")
+    struck = F.when(F.col("sequence_number").cast("bigint") == 250, fault).otherwise(F.col("data"))
+    with pytest.raises(StreamingQueryException):
+        land(spark, work, records.withColumn("data", struck))
+    assert 0 < audited(spark, work, 400)["total"] < 400
+    land(spark, work, records)
+    assert audited(spark, work, 400) == clean(400)
+
+
+def test_new_shards_half_way(spark, tmp_path, rows):
+    work = str(tmp_path)
+    append(spark, f"{work}/log", 0, 100, n_shards=2)
+    land(spark, work)
+    append(spark, f"{work}/log", 100, 200, n_shards=4)
+    land(spark, work)
+    landed = files.read_parquet(spark, f"{work}/out", schemas.CONSUMED_EVENT)
+    assert rows(audit.rows_per(landed, "shard_id")) == [
+        ("shard-000", 75),
+        ("shard-001", 75),
+        ("shard-002", 25),
+        ("shard-003", 25),
+    ]
+    assert audited(spark, work, 200) == clean(200)
+
+
+RUN = """
+import sys
+sys.path.insert(0, sys.argv[1])
+from millrace.session import local_session
+from millrace.sinks.files import UNTIL_CAUGHT_UP
+from millrace.sources import log
+from millrace.streaming import jobs
+spark = local_session(int(sys.argv[3]))
+work = sys.argv[2]
+records = log.read_shards(spark, work + "/log", max_files_per_trigger=2)
+jobs.land_shards(records, work + "/out", work + "/ck", together=True, trigger=UNTIL_CAUGHT_UP).awaitTermination()
+spark.stop()
+"""
+
+
+def test_restart_with_fewer_cores(spark, tmp_path):
+    work = str(tmp_path)
+    for cores, first in ((3, 0), (2, 1000)):
+        append(spark, f"{work}/log", first, first + 1000, n_files=3)
+        subprocess.run([sys.executable, "-c", RUN, str(ROOT), work, str(cores)], check=True, timeout=300)
+    assert audited(spark, work, 2000) == clean(2000)
+
+
+def test_broken_payload_stops_the_job_or_is_kept_as_null(spark, tmp_path):
+    work = str(tmp_path)
+    bad = shard_records(spark.range(10)).withColumn(
+        "data", F.when(F.col("sequence_number").cast("bigint") == 3, F.lit(bytearray(b"\x80"))).otherwise(F.col("data"))
+    )
+    append_log(bad, f"{work}/log")
+    with pytest.raises(StreamingQueryException):
+        land(spark, work)
+    land(spark, work, mode="PERMISSIVE")
+    landed = files.read_parquet(spark, f"{work}/out", schemas.CONSUMED_EVENT)
+    assert landed.count() == 10 and landed.where("id is null").count() == 1
+
+
+# Start positions
+
+
+def timed_log(spark, first, last):
+    at = F.timestamp_seconds(F.lit(1700000000) + F.col("id"))
+    return envelope.to_log(
+        spark.range(first, last), F.lit("raw"), text.id_json("id"), F.col("id"),
+        partition=F.col("id") % 3, timestamp=at,
+    )
+
+
+def started(spark, tmp_path, position):
+    path = f"{tmp_path}/log"
+    records = start.apply_start(
+        log.read_log(spark, path), log.read_log(spark, path, streaming=False), position, f"{tmp_path}/start"
+    )
+    records = records.select("partition", "offset")
+    write_files(records, f"{tmp_path}/out", checkpoint=f"{tmp_path}/ck", trigger=UNTIL_CAUGHT_UP).awaitTermination()
+    landed = spark.read.schema("partition int, offset long").parquet(f"{tmp_path}/out")
+    return sorted(r.offset for r in landed.collect())
+
+
+def test_latest_starts_after_what_exists_and_stays_there(spark, tmp_path):
+    append_log(timed_log(spark, 0, 20).where("partition < 2"), f"{tmp_path}/log")
+    assert started(spark, tmp_path, start.StartPosition(start.LATEST)) == []
+    # Offsets at or below a partition's end are old; partition 2 is new and read from its start.
+    append_log(timed_log(spark, 15, 25), f"{tmp_path}/log")
+    expected = sorted([17, 20, 23] + [i for i in range(15, 25) if i % 3 < 2 and i > (18, 19)[i % 3]])
+    assert started(spark, tmp_path, start.StartPosition(start.LATEST)) == expected
+    assert started(spark, tmp_path, start.StartPosition(start.TRIM_HORIZON)) == expected
+
+
+def test_trim_horizon_reads_everything(spark, tmp_path):
+    append_log(timed_log(spark, 0, 20), f"{tmp_path}/log")
+    assert started(spark, tmp_path, start.StartPosition(start.TRIM_HORIZON)) == list(range(20))
+
+
+def test_at_timestamp_includes_the_instant_and_reaches_the_scan(spark, tmp_path):
+    append_log(timed_log(spark, 0, 20), f"{tmp_path}/log")
+    when = datetime(2023, 11, 14, 22, 13, 20, tzinfo=timezone.utc) + timedelta(seconds=12)
+    position = start.StartPosition(start.AT_TIMESTAMP, when)
+    assert started(spark, tmp_path, position) == list(range(12, 20))
+    batch = log.read_log(spark, f"{tmp_path}/log", streaming=False)
+    plan = start.apply_start(batch, batch, position, f"{tmp_path}/s2")._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(timestamp" in plan
+
+
+# Topics
+
+
+def test_topics_stream_reports_and_drops_empty_values(spark, tmp_path, rows):
+    topic = F.when(F.col("id") % 2 == 0, "raw").otherwise("raw2")
+    value = F.when(F.col("id") % 10 != 0, text.id_json("id"))
+    records = envelope.to_log(spark.range(0, 100, 1, 1), topic, value, F.col("id"))
+    append_log(records, f"{tmp_path}/log", max_records_per_file=50)
+    stream = metrics.tap(log.read_log(spark, f"{tmp_path}/log", "raw,raw2", max_files_per_trigger=1), ["raw", "raw2"])
+    query = jobs.land_topics(stream, f"{tmp_path}/out", f"{tmp_path}/ck", trigger=UNTIL_CAUGHT_UP)
+    query.awaitTermination()
+    seen = [p["observedMetrics"] for p in query.recentProgress if p["numInputRows"]]
+    assert [tuple(m["tap"]) for m in seen] == [(50, 50, 5, 25, 25)] * 2
+    assert [tuple(m["land_topics"]) for m in seen] == [(50, 5)] * 2
+    landed = files.read_text_lines(spark, f"{tmp_path}/out", schemas.TOPIC_LINE)
+    assert rows(landed.groupBy("topic").count()) == [("raw", 40), ("raw2", 50)]
+    assert landed.where("value = ''").count() == 0
+
+
+def test_producer_to_files_and_back(spark, tmp_path):
+    """A paced producer fills a log that the topic job lands: nothing lost, nothing twice."""
+    n = 60
+    ids = generate.paced_sequence(spark, n, per_second=30)
+    records = envelope.to_log(ids, F.lit("raw"), text.id_json("id"), F.col("id"), key=keys.long_key(F.col("id") % 11))
+    producer = append_log(records, f"{tmp_path}/log", checkpoint=f"{tmp_path}/pck", trigger={"processingTime": "1 second"})
+    generate.run_to_end(producer, n, timeout=120)
+    consumer = jobs.land_topics(
+        log.read_log(spark, f"{tmp_path}/log", "raw"), f"{tmp_path}/out", f"{tmp_path}/ck", trigger=UNTIL_CAUGHT_UP
+    )
+    consumer.awaitTermination()
+    lines = files.read_text_lines(spark, f"{tmp_path}/out", schemas.TOPIC_LINE)
+    landed = lines.select(text.from_json_text("value", "id bigint").alias("j")).select("j.id")
+    assert audit.exactly_once(landed, generate.sequence(spark, n)).first().asDict() == clean(n)
