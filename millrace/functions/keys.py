@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from millrace.functions.text import zero_padded
+
 
 def bucket(value: Column | str, n: int) -> Column:
     """Remainder with the sign of the dividend, so -3 in two buckets is -1."""
@@ -43,4 +45,4 @@ def shard_index(key: Column | str, n_shards: int) -> Column:
 
 
 def shard_name(index: Column) -> Column:
-    return F.format_string("shard-%03d", index)
+    return F.concat(F.lit("shard-"), zero_padded(index, 3))

@@ -24,14 +24,27 @@ def value_text(value: Column | str) -> Column:
     return F.coalesce(utf8(value), F.lit(NO_VALUE))
 
 
+def zero_padded(number: Column | str, width: int) -> Column:
+    """A number as ``%0<width>d`` prints it: longer numbers keep their digits, a sign counts as one.
+
+    Padding is much cheaper than formatting, which is left for the numbers padding gets wrong.
+    """
+    number = F.col(number) if isinstance(number, str) else number
+    formatted = F.format_string(f"%0{width}d", number)
+    padded = F.lpad(number.cast("string"), width, "0")
+    # No bigint has more than 19 digits.
+    unpaddable = (number < 0) | (number >= 10**width) if width < 19 else number < 0
+    return F.when(unpaddable, formatted).otherwise(padded)
+
+
 def user_name(user_id: Column | str) -> Column:
-    """``user-name-`` and the id padded to nine digits; longer ids keep all their digits."""
-    return F.format_string("user-name-%09d", user_id)
+    """``user-name-`` and the id padded to nine digits."""
+    return F.concat(F.lit("user-name-"), zero_padded(user_id, 9))
 
 
 def id_json(record_id: Column | str) -> Column:
     """``{"id": 7}``, with the space that the consumers of these messages expect."""
-    return F.format_string('{"id": %d}', record_id)
+    return F.concat(F.lit('{"id": '), message_body(record_id), F.lit("}"))
 
 
 def message_body(record_id: Column | str) -> Column:

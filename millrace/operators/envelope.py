@@ -41,7 +41,7 @@ def to_log(
 
 def log_events(ids: DataFrame, id_col: str = "id", out: str = "data") -> DataFrame:
     """Each id as the binary body of a log event, other columns kept."""
-    return ids.withColumn(out, codec.encode_long(id_col))
+    return codec.encode_long(ids, id_col, out)
 
 
 def to_shards(

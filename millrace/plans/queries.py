@@ -94,7 +94,7 @@ def producer_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 def encoded_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Short payloads and ten-byte payloads, there and back."""
     wide = F.when(F.col("event_id") % 2 == 0, F.col("event_id")).otherwise(-F.col("event_id") - F.lit(1 << 62))
-    payloads = table(spark, sf_dir, "events").select("event_id", codec.encode_long(wide).alias("data"))
+    payloads = codec.encode_long(table(spark, sf_dir, "events").select("event_id", wide.alias("wide")), "wide")
     return codec.decode_long(payloads, "data", "decoded").select("event_id", F.hex("data").alias("payload"), "decoded")
 
 

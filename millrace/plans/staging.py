@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.functions import keys
+from millrace.functions.text import zero_padded
 from millrace.functions.times import instant
 from millrace.operators import envelope
 from millrace.sinks.log import append_log
@@ -56,7 +57,7 @@ def shard_log(events: DataFrame, n_shards: int = 2) -> DataFrame:
         envelope.log_events(events, "event_id"),
         stream_name="events",
         partition_key=F.col("user_id").cast("string"),
-        sequence_number=F.format_string("%020d", "event_id"),
+        sequence_number=zero_padded("event_id", 20),
         shard_id=keys.shard_name(keys.bucket("user_id", n_shards)),
         arrival=instant("ts"),
     )

@@ -37,7 +37,7 @@ def varint_hex(value: int) -> str:
 
 def encoded(spark, values):
     df = spark.createDataFrame([(v,) for v in values], "id long")
-    return df.select("id", codec.encode_long("id").alias("data"))
+    return codec.encode_long(df, "id")
 
 
 def decoded(spark, payloads, mode="PERMISSIVE"):

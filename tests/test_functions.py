@@ -27,6 +27,13 @@ def test_ids_beyond_nine_digits_are_not_cut(spark):
     assert column(spark, [12345678901], "long", text.user_name("c")) == ["user-name-12345678901"]
 
 
+def test_zero_padding_is_that_of_a_format(spark):
+    values = [0, 7, 999, 1000, -1, -99, -100, 2**63 - 1, -(2**63), None]
+    expected = ["%03d" % v if v is not None else None for v in values]
+    assert column(spark, values, "long", text.zero_padded("c", 3)) == expected
+    assert column(spark, values[:-1], "long", text.zero_padded("c", 20)) == ["%020d" % v for v in values[:-1]]
+
+
 def test_bad_utf8_is_replaced_and_null_gets_a_default(spark):
     values = [b"ok", b"\xffA", b"\xe2\x82", b"a\xf0\x9f\x98", "café \U0001f600".encode(), b"", None]
     expected = [v.decode("utf-8", "replace") if v is not None else None for v in values]
