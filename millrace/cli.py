@@ -120,8 +120,7 @@ def _shard_records(spark: SparkSession, a: argparse.Namespace) -> DataFrame:
         # A connector's own options say where it starts.
         return log.read_shards(spark, connector=a.connector, options=_pairs(a.option))
     records = log.read_shards(spark, a.input, max_files_per_trigger=a.max_files_per_trigger)
-    sequence = F.col("sequence_number").cast("bigint")
-    existing = log.read_shards(spark, a.input, streaming=False).withColumn("sequence_number", sequence)
+    existing = log.read_shards(spark, a.input, streaming=False)
     return start.apply_start(
         records,
         existing,

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime, timezone
 
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
@@ -28,7 +27,7 @@ from millrace.sinks.log import append_log
 from millrace.sources import files, generate, log, start
 from millrace.streaming import jobs
 
-MID_MONTH = datetime(2024, 1, 15, tzinfo=timezone.utc)
+MID_MONTH = "timestamp_ntz'2024-01-15 00:00:00'"
 REGISTRY = [(0, "schema-0"), (1, "schema-1")]
 REGISTRY_SCHEMA = "schema_id int, schema string"
 
@@ -120,7 +119,7 @@ def shard_writer(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def start_at_timestamp(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events")
-    return events.where(F.col("ts") >= F.lit(MID_MONTH.replace(tzinfo=None)).cast("timestamp_ntz")).select("event_id")
+    return events.where(F.col("ts") >= F.expr(MID_MONTH)).select("event_id")
 
 
 @query
@@ -128,7 +127,7 @@ def start_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events").select(
         F.col("event_type").alias("topic"), keys.bucket("user_id", 2).alias("partition"), "event_id", "ts"
     )
-    before = events.where(F.col("ts") < F.lit(MID_MONTH.replace(tzinfo=None)).cast("timestamp_ntz"))
+    before = events.where(F.col("ts") < F.expr(MID_MONTH))
     ends = written(start.last_offsets(before, ["topic", "partition"], "event_id"), "ends")
     return start.after(events, ends, ["topic", "partition"], "event_id").select("event_id")
 
@@ -403,15 +402,14 @@ def stream_start_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events")
     rows = events.count()
     work = scratch_dir(spark, "start-latest")
-    cut = F.lit(MID_MONTH.replace(tzinfo=None)).cast("timestamp_ntz")
+    cut = F.expr(MID_MONTH)
     path, keyed = f"{work}/log", ("shard_id",)
     stage(shard_log(events.where(F.col("ts") < cut)), path, rows)
 
     def run(position: start.StartPosition) -> None:
-        existing = log.read_shards(spark, path, streaming=False)
         records = start.apply_start(
             _shard_stream(spark, work),
-            existing.withColumn("sequence_number", F.col("sequence_number").cast("bigint")),
+            log.read_shards(spark, path, streaming=False),
             position,
             f"{work}/start",
             keys=keyed,

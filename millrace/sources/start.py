@@ -10,7 +10,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -23,6 +23,9 @@ TRIM_HORIZON = "TRIM_HORIZON"
 AT_TIMESTAMP = "AT_TIMESTAMP"
 MODES = (LATEST, TRIM_HORIZON, AT_TIMESTAMP)
 
+# Fixed value: at least as many digits as the longest sequence number (they are below 2 ** 186).
+SEQUENCE_DIGITS = 64
+
 
 @dataclass(frozen=True)
 class StartPosition:
@@ -51,17 +54,31 @@ class StartPosition:
         return {"startingOffsets": "latest" if self.mode == LATEST else "earliest"}
 
 
+def _is_text(log: DataFrame, offset: str) -> bool:
+    return isinstance(log.schema[offset].dataType, T.StringType)
+
+
+def _position(log: DataFrame, offset: str) -> Column:
+    """An offset in a form that sorts by its value.
+
+    Sequence numbers of shards are text, of more digits than any number type holds: those
+    are compared at one length.
+    """
+    return F.lpad(offset, SEQUENCE_DIGITS, "0") if _is_text(log, offset) else F.col(offset)
+
+
 def last_offsets(log: DataFrame, keys: list[str], offset: str = "offset") -> DataFrame:
     """The last offset of each log partition: one small row per partition."""
-    return log.groupBy(*keys).agg(F.max(offset).alias("last_offset"))
+    return log.groupBy(*keys).agg(F.max(_position(log, offset)).alias("last_offset"))
 
 
 def after(log: DataFrame, ends: DataFrame, keys: list[str], offset: str = "offset") -> DataFrame:
     """Records strictly after the given ends; partitions without one are read from their start."""
     ends = F.broadcast(ends) if small_enough(ends) else ends
+    before_all = F.lit("") if _is_text(log, offset) else F.lit(-1)
     return (
         log.join(ends, keys, "left")
-        .where(F.col(offset) > F.coalesce("last_offset", F.lit(-1)))
+        .where(_position(log, offset) > F.coalesce("last_offset", before_all))
         .select(*log.columns)
     )
 
@@ -87,7 +104,7 @@ def apply_start(
         return log
     if mode == AT_TIMESTAMP:
         return log.where(F.col(timestamp) >= F.timestamp_micros(F.lit(start_micros)))
-    fields = [existing.schema[k] for k in keys] + [T.StructField("last_offset", T.LongType())]
+    fields = [existing.schema[k] for k in keys] + [T.StructField("last_offset", existing.schema[offset].dataType)]
     ends = spark.read.schema(T.StructType(fields)).parquet(f"{state_path}/ends")
     return after(log, ends, list(keys), offset)
 

@@ -194,6 +194,16 @@ def test_at_timestamp_includes_the_instant_and_reaches_the_scan(spark, tmp_path)
     assert "GreaterThanOrEqual(timestamp" in plan
 
 
+def test_sequence_numbers_compare_by_value(spark, rows):
+    digits = "49590338271490256608559692538361571095921575989136588898"
+    records = spark.createDataFrame(
+        [("a", "9"), ("a", "10"), ("a", digits), ("a", digits + "0"), ("b", "7")], "shard_id string, seq string"
+    )
+    ends = start.last_offsets(records.where(F.length("seq") < 3), ["shard_id"], "seq")
+    later = start.after(records.union(spark.createDataFrame([("c", "0"), ("b", "6")], records.schema)), ends, ["shard_id"], "seq")
+    assert rows(later) == sorted([("a", digits), ("a", digits + "0"), ("c", "0")])
+
+
 # Topics
 
 
