@@ -107,6 +107,7 @@ from events group by event_id % 2""",
     "stream_by_schema": f"{_SCHEMA_IDS} from events",
     "stream_admission": _CLEAN_AUDIT,
     "stream_start_latest": f"select e.event_id as id {_AFTER_LATEST}",
+    "stream_start_at_timestamp": "select event_id as id from events where ts >= timestamp '2024-01-15 00:00:00'",
     "stream_reshard": """with s as (
   select event_id, 'shard-' || lpad(cast(user_id %
     case when event_id < (select count(*) // 2 from events) then 2 else 4 end as varchar), 3, '0') as shard_id

@@ -425,6 +425,21 @@ def stream_start_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _landed(spark, work).select("id")
 
 
+@query
+def stream_start_at_timestamp(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records that arrived at an instant or later."""
+    _, work = _stage_shards(spark, sf_dir, "start-at")
+    records = start.apply_start(
+        _shard_stream(spark, work),
+        log.read_shards(spark, f"{work}/log", streaming=False),
+        start.StartPosition.parse(start.AT_TIMESTAMP, "2024-01-15T00:00:00.00Z"),
+        f"{work}/start",
+        timestamp="approximate_arrival_timestamp",
+    )
+    _land(records, work, window=None)
+    return _landed(spark, work).select("id")
+
+
 @query
 def stream_reshard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two shards become four half-way; audited shard by shard."""
