@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.functions import text
@@ -11,41 +11,89 @@ from millrace.functions import text
 BATCH_SIZE = 10
 
 
-def number_in_groups(df: DataFrame, group: str, order_by: str, out: str = "n", span: int = 100_000) -> DataFrame:
-    """Number each group's rows 0, 1, 2, ... by an integer column that is unique in the group.
+# Ids in one range, and copies of one id in one block: what a single task numbers in one go.
+SPAN = 100_000
+BLOCK = 100_000
 
-    A group may hold most of the table, so it is never sorted in one piece: it is cut into
-    ranges of ``span`` consecutive values, ranges are numbered independently, and each is
-    moved up by the row counts of the ranges before it. Only those counts, one row per
-    range, are brought together per group. A null in either column fails the job.
+
+def _expanded(first: str, copies: str, out: str) -> Column:
+    return F.explode(F.expr(f"sequence({first}, {first} + {copies} - 1)")).alias(out)
+
+
+def number_in_groups(
+    df: DataFrame,
+    group: str,
+    order_by: str,
+    out: str = "n",
+    span: int = SPAN,
+    block: int = BLOCK,
+    unique: bool = False,
+) -> DataFrame:
+    """(group, order_by, n): each group's rows numbered 0, 1, 2, ... by an integer column.
+
+    A group may hold most of the table, and so may copies of one value, so neither is ever
+    brought together. Copies are counted before the shuffle. Groups are cut into ranges of
+    ``span`` consecutive values, which are numbered independently and then moved up by the
+    rows in the ranges before them; only those sums, one row per range, are brought together
+    per group. Copies are written out again in blocks, spread over tasks where they fill
+    more than one. A null in either column fails the job.
+
+    ``unique`` says that no value occurs twice in its group, as offsets do not, and saves
+    the counting of copies. The numbers are right either way; only the work differs.
     """
-    given = {
-        name: F.coalesce(name, F.raise_error(F.lit(f"a row to number has no {name}"))) for name in (group, order_by)
-    }
-    ranged = df.withColumns(given).withColumn("__range", F.expr(f"`{order_by}` div {span}"))
-    before = Window.partitionBy(group).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    given = [
+        F.coalesce(name, F.raise_error(F.lit(f"a row to number has no {name}"))).alias(name)
+        for name in (group, order_by)
+    ]
+    # Never null, so that no filter makes the plan's uses of these counts differ: they share one shuffle.
+    ranged = df.select(*given).withColumn("__range", F.coalesce(F.expr(f"`{order_by}` div {span}"), F.lit(0)))
+    if unique:
+        counted = ranged.withColumn("__copies", F.lit(1))
+    else:
+        counted = ranged.groupBy(group, "__range", order_by).agg(F.count("*").alias("__copies"))
+
+    def rows_before(count: str, window: Window) -> Column:
+        return F.coalesce(F.sum(count).over(window.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+
     starts = (
-        ranged.groupBy(group, "__range")
-        .agg(F.count("*").alias("__rows"))
-        .select(group, "__range", F.coalesce(F.sum("__rows").over(before), F.lit(0)).alias("__start"))
+        counted.groupBy(group, "__range")
+        .agg(F.sum("__copies").alias("__rows"))
+        .select(group, "__range", rows_before("__rows", Window.partitionBy(group).orderBy("__range")).alias("__start"))
     )
-    within = Window.partitionBy(group, "__range").orderBy(order_by)
-    return (
-        ranged.withColumn("__at", F.row_number().over(within) - 1)
+    placed = (
+        counted.withColumn("__at", rows_before("__copies", Window.partitionBy(group, "__range").orderBy(order_by)))
         .join(starts, [group, "__range"])
-        .select(*df.columns, (F.col("__start") + F.col("__at")).alias(out))
+        .select(group, order_by, "__copies", (F.col("__start") + F.col("__at")).alias("__first"))
+    )
+    if unique:
+        return placed.select(group, order_by, F.col("__first").alias(out))
+    few = placed.where(F.col("__copies") <= block).select(group, order_by, _expanded("__first", "__copies", out))
+    blocks = (
+        placed.where(F.col("__copies") > block)
+        .withColumn("__block", F.explode(F.expr(f"sequence(0L, (__copies - 1) div {block})")))
+        .repartition(group, order_by, "__block")
+        .withColumns(
+            {
+                "__first": F.col("__first") + F.col("__block") * block,
+                "__copies": F.least(F.lit(block), F.col("__copies") - F.col("__block") * block),
+            }
+        )
     )
+    return few.unionByName(blocks.select(group, order_by, _expanded("__first", "__copies", out)))
 
 
-def to_messages(df: DataFrame, id_col: str, bucket: str, batch_size: int = BATCH_SIZE, span: int = 100_000) -> DataFrame:
+def to_messages(
+    df: DataFrame, id_col: str, bucket: str, batch_size: int = BATCH_SIZE, span: int = SPAN, unique: bool = False
+) -> DataFrame:
     """Messages (bucket, batch_no, message_id, body), at most ``batch_size`` to a batch.
 
-    The message id lets a receiver discard what a retried sender sends again.
+    The message id, which names the bucket and the place in it, lets a receiver discard what
+    a retried sender sends again. ``unique`` says that ids occur once in their bucket.
     """
-    numbered = number_in_groups(df.select(bucket, id_col), bucket, id_col, "__n", span)
+    numbered = number_in_groups(df, bucket, id_col, "__n", span, unique=unique)
     return numbered.select(
         F.col(bucket).alias("bucket"),
         F.expr(f"__n div {batch_size}").alias("batch_no"),
-        F.col(id_col).cast("string").alias("message_id"),
+        F.concat_ws("-", F.col(bucket).cast("string"), F.col("__n").cast("string")).alias("message_id"),
         text.message_body(id_col).alias("body"),
     )

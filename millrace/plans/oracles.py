@@ -90,6 +90,9 @@ from events group by event_type, user_id % 2""",
     "outbox_batches": """select user_id % 2 as bucket,
   cast((row_number() over (partition by user_id % 2 order by event_id) - 1) // 10 as bigint) as batch_no,
   cast(event_id as varchar) as body from events""",
+    "outbox_copies": """select event_type as bucket, n // 10 as batch_no, event_type || '-' || n as message_id,
+  cast(user_id as varchar) as body
+from (select event_type, user_id, row_number() over (partition by event_type order by user_id) - 1 as n from events)""",
     "keyed_lines": "select cast(event_id % 11 as varchar) as key, props as value from events",
     "json_lines": "select event_id as id from events",
     "rows_per_day": "select strftime(ts, '%Y-%m-%d') as day, count(*) as n from events group by all",

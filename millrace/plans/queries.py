@@ -246,7 +246,14 @@ def topic_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def outbox_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     ids = table(spark, sf_dir, "events").select("event_id", keys.bucket("user_id", 2).alias("bucket"))
-    return outbox.to_messages(ids, "event_id", "bucket").select("bucket", "batch_no", "body")
+    return outbox.to_messages(ids, "event_id", "bucket", unique=True).select("bucket", "batch_no", "body")
+
+
+@query
+def outbox_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bodies that occur many times, in a bucket for each event type."""
+    messages = outbox.to_messages(table(spark, sf_dir, "events"), "user_id", "event_type")
+    return messages.select("bucket", "batch_no", "message_id", "body")
 
 
 # Sinks: written to a new folder and read back

@@ -176,14 +176,32 @@ def test_numbers_in_skewed_groups(spark, span):
     # One group holds nine rows in ten; values are sparse, and some are negative.
     pairs = [(0 if i % 10 else 1, i * 3 - 400) for i in range(600)]
     df = spark.createDataFrame(pairs, "g int, v long")
-    got = outbox.number_in_groups(df, "g", "v", "n", span)
+    for unique in (False, True):
+        got = outbox.number_in_groups(df, "g", "v", "n", span, unique=unique)
+        assert sorted(tuple(r) for r in got.collect()) == numbers_by_hand(pairs)
+
+
+def test_unique_given_for_values_that_are_not(spark):
+    pairs = [(i % 2, i % 40) for i in range(400)]
+    got = outbox.number_in_groups(spark.createDataFrame(pairs, "g int, v long"), "g", "v", "n", 10, unique=True)
+    assert sorted(tuple(r) for r in got.collect()) == numbers_by_hand(pairs)
+
+
+@pytest.mark.parametrize("block", [1, 7, 100, 1000])
+def test_numbers_of_copies(spark, block):
+    # A third of all rows are copies of one value.
+    pairs = [(i % 2, 5 if i % 3 == 0 else i % 40) for i in range(900)]
+    got = outbox.number_in_groups(spark.createDataFrame(pairs, "g int, v long"), "g", "v", "n", 10, block)
     assert sorted(tuple(r) for r in got.collect()) == numbers_by_hand(pairs)
 
 
 def test_numbering_never_sorts_a_whole_group(spark):
     text = plan(outbox.number_in_groups(spark.range(10).withColumn("g", F.col("id") % 2), "g", "id"))
-    numbering = [line for line in text.splitlines() if "row_number()" in line]
-    assert numbering and all(re.search(r"row_number\(\) windowspecdefinition\(g#\w+, __range#", line) for line in numbering)
+    windows_in_plan = [line for line in text.splitlines() if "Window [" in line]
+    over_rows = [line for line in windows_in_plan if "sum(__copies#" in line]
+    over_ranges = [line for line in windows_in_plan if "sum(__rows#" in line]
+    assert over_rows and len(over_rows) + len(over_ranges) == len(windows_in_plan)
+    assert all(re.search(r"windowspecdefinition\(g#\w+, __range#\w+, id#", line) for line in over_rows)
 
 
 def test_messages(spark, rows):
@@ -191,7 +209,7 @@ def test_messages(spark, rows):
     messages = outbox.to_messages(df, "id", "bucket", span=4)
     sizes = rows(messages.groupBy("batch_no").count())
     assert sizes == [(0, 10), (1, 10), (2, 5)]
-    assert rows(messages, "message_id", "body") == sorted((str(i), str(i)) for i in range(25))
+    assert rows(messages, "message_id", "body") == sorted((f"0-{i}", str(i)) for i in range(25))
     with pytest.raises(PySparkException, match="has no bucket"):
         outbox.to_messages(spark.range(1).withColumn("bucket", F.lit(None).cast("int")), "id", "bucket").collect()
 
