@@ -210,7 +210,8 @@ def test_messages(spark, rows):
     sizes = rows(messages.groupBy("batch_no").count())
     assert sizes == [(0, 10), (1, 10), (2, 5)]
     assert rows(messages, "message_id", "body") == sorted((f"0-{i}", str(i)) for i in range(25))
-    with pytest.raises(PySparkException, match="has no bucket"):
+    # Depending on the stage that fails, the error arrives wrapped or not.
+    with pytest.raises(Exception, match="has no bucket"):
         outbox.to_messages(spark.range(1).withColumn("bucket", F.lit(None).cast("int")), "id", "bucket").collect()
 
 
