@@ -111,7 +111,7 @@ def _topic_records(spark: SparkSession, a: argparse.Namespace) -> DataFrame:
         return log.read_kafka(spark, options)
     records = log.read_log(spark, a.input, a.topics, max_files_per_trigger=a.max_files_per_trigger)
     existing = log.read_log(spark, a.input, a.topics, streaming=False)
-    return start.apply_start(records, existing, position, f"{a.checkpoint}-start")
+    return start.apply_start(records, existing, position, f"{a.checkpoint}/start")
 
 
 def _shard_records(spark: SparkSession, a: argparse.Namespace) -> DataFrame:
@@ -125,7 +125,7 @@ def _shard_records(spark: SparkSession, a: argparse.Namespace) -> DataFrame:
         records,
         existing,
         position,
-        f"{a.checkpoint}-start",
+        f"{a.checkpoint}/start",
         keys=("shard_id",),
         offset="sequence_number",
         timestamp="approximate_arrival_timestamp",

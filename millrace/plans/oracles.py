@@ -107,6 +107,7 @@ from events""",
 from events group by event_id % 2""",
     "stream_shard_events": _SHARD_EVENTS,
     "stream_topics": "select event_type as topic, props as value from events where event_id % 97 <> 0",
+    "stream_tap": "select event_type as topic, count(*) as n from events group by event_type",
     "stream_by_schema": f"{_SCHEMA_IDS} from events",
     "stream_admission": _CLEAN_AUDIT,
     "stream_start_latest": f"select e.event_id as id {_AFTER_LATEST}",

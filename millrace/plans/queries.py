@@ -28,6 +28,7 @@ from millrace.sources import files, generate, log, start
 from millrace.streaming import jobs
 
 MID_MONTH = "timestamp_ntz'2024-01-15 00:00:00'"
+TOPICS = "click,error,purchase,signup,view"
 REGISTRY = [(0, "schema-0"), (1, "schema-1")]
 REGISTRY_SCHEMA = "schema_id int, schema string"
 
@@ -367,14 +368,31 @@ def stream_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events")
     work = scratch_dir(spark, "topics")
     source = stage(topic_log(events), f"{work}/log", events.count(), by_topic=True)
-    topics = "click,error,purchase,signup,view"
-    records = log.read_log(spark, source, topics, max_files_per_trigger=files_per_batch(spark, source))
+    records = log.read_log(spark, source, TOPICS, max_files_per_trigger=files_per_batch(spark, source))
     jobs.land_topics(
         records, f"{work}/out", f"{work}/checkpoint", "1 day", "timestamp", trigger=UNTIL_CAUGHT_UP
     ).awaitTermination()
     return files.read_text_lines(spark, f"{work}/out", schemas.TOPIC_LINE).select("topic", "value")
 
 
+@query
+def stream_tap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Record counts per topic as the running stream reported them, summed over its batches."""
+    events = table(spark, sf_dir, "events")
+    work = scratch_dir(spark, "tap")
+    source = stage(topic_log(events), f"{work}/log", events.count())
+    topics = log.topic_list(TOPICS)
+    records = log.read_log(spark, source, TOPICS, max_files_per_trigger=files_per_batch(spark, source))
+    tapped = metrics.tap(records, topics)
+    running = jobs.land_topics(
+        tapped, f"{work}/out", f"{work}/checkpoint", "30 days", "timestamp", trigger=UNTIL_CAUGHT_UP
+    )
+    running.awaitTermination()
+    reports = [p["observedMetrics"]["tap"].asDict() for p in running.recentProgress if p["numInputRows"]]
+    counts = [(topic, sum(r[f"n_{topic}"] for r in reports)) for topic in topics]
+    return spark.createDataFrame(counts, "topic string, n bigint")
+
+
 @query
 def stream_by_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Windows, a side table and dynamic destinations in one streaming job."""

@@ -95,8 +95,8 @@ def apply_start(
     """Restrict a (streaming) log to its start position.
 
     ``existing`` is the log as a batch frame. The position is resolved once and written under
-    ``state_path``, beside the checkpoint; when that holds a position already, the given one
-    is ignored.
+    ``state_path``, a folder in or beside the checkpoint; when that holds a position already,
+    the given one is ignored.
     """
     spark = log.sparkSession
     mode, start_micros = _resolve_once(spark, existing, start, state_path, list(keys), offset)
