@@ -9,6 +9,7 @@ from millrace.operators import envelope
 from millrace.sinks.log import append_log, kafka_write_options
 from millrace.sources import files, generate, jdbc, log
 from millrace.sources.start import AT_TIMESTAMP, LATEST, TRIM_HORIZON, StartPosition
+from millrace.streaming import jobs
 
 # Keyed lines, odd ids under key 1 and even ids under key 2.
 KEYED_LINES = [
@@ -39,6 +40,21 @@ def test_paced_sequence_ends_with_its_last_id(spark, tmp_path):
     assert not query.isActive
 
 
+def test_keyed_json_lines_by_day(spark, tmp_path, rows):
+    """Fifteen lines, odd ids under key 1 and even under key 2, loaded as records and landed by day."""
+    later = {1, *range(2, 16, 2)}
+    lines = [
+        '%d:{"day": "2023-04-%s", "id": %d}' % (1 if i % 2 else 2, "10" if i in later else "09", i) for i in range(1, 16)
+    ]
+    (tmp_path / "lines").mkdir()
+    (tmp_path / "lines" / "a.txt").write_text("\n".join(lines) + "\n")
+    records = files.keyed_lines(files.read_text_lines(spark, str(tmp_path / "lines")))
+    jobs.land_days(records, str(tmp_path / "out"))
+    landed = files.read_parquet(spark, str(tmp_path / "out"), schemas.DAY_EVENT)
+    assert rows(landed.groupBy("day").count()) == [("2023-04-09", 7), ("2023-04-10", 8)]
+    assert rows(landed.where("key = '1'"), "id") == sorted(((i,) for i in range(1, 16, 2)), key=repr)
+
+
 def test_keyed_lines(spark, tmp_path, rows):
     (tmp_path / "lines.txt").write_text("\n".join([*KEYED_LINES, "no delimiter", ":empty key", "k:"]) + "\n")
     records = files.keyed_lines(files.read_text_lines(spark, str(tmp_path)))

@@ -111,6 +111,37 @@ def test_new_shards_half_way(spark, tmp_path, rows):
     assert audited(spark, work, 200) == clean(200)
 
 
+TOPIC_RUN = """
+import sys
+sys.path.insert(0, sys.argv[1])
+from millrace.session import local_session
+from millrace.sinks.files import UNTIL_CAUGHT_UP
+from millrace.sources import log
+from millrace.streaming import jobs
+spark = local_session(int(sys.argv[3]))
+work = sys.argv[2]
+records = log.read_log(spark, work + "/log", "raw,raw2", max_files_per_trigger=2)
+jobs.land_topics(records, work + "/out", work + "/ck", trigger=UNTIL_CAUGHT_UP).awaitTermination()
+spark.stop()
+"""
+
+
+def test_twenty_thousand_records_over_a_restart_with_fewer_cores(spark, tmp_path):
+    """Three cores, then two: all records land, each once, in the folder of their topic."""
+    work, n = str(tmp_path), 20_000
+    for cores, first in ((3, 0), (2, n // 2)):
+        produced = envelope.produced_records(spark.range(first, first + n // 2, 1, 3), "raw").withColumn(
+            "offset", text.from_json_text("value", "id bigint")["id"]
+        )
+        append_log(
+            envelope.to_log(produced, F.col("topic"), F.col("value"), F.col("offset"), key=F.col("key")), f"{work}/log"
+        )
+        subprocess.run([sys.executable, "-c", TOPIC_RUN, str(ROOT), work, str(cores)], check=True, timeout=300)
+    landed = files.read_json_lines(spark, f"{work}/out", "id bigint, topic string, window_start string")
+    assert landed.where("topic = 'raw'").count() == n
+    assert audit.exactly_once(landed, generate.sequence(spark, n)).first().asDict() == clean(n)
+
+
 RUN = """
 import sys
 sys.path.insert(0, sys.argv[1])
