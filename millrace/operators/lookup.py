@@ -38,7 +38,10 @@ def with_schema(
 
     A registry within the broadcast bounds is broadcast, so elements are not shuffled and a
     frequent id costs nothing. Beyond them the join is left to Spark, which shuffles and
-    splits skewed ids at run time. A registry that lists an id twice is an error.
+    splits skewed ids at run time. A registry that lists an id twice is an error. It is read
+    once to be measured and again by the join, in a stream by every micro-batch: one that is
+    costly to compute should be a written table.
+
     An id the registry lacks fails the job, or with ``on_missing="mark"`` keeps the element
     with a false ``schema_found``.
     """

@@ -3,6 +3,9 @@
 Each takes a batch or a streaming frame and works the same on both. None aggregates over a
 window: windows only decide which files a record lands in. The jobs therefore keep no state
 between micro-batches and may be restarted with any number of cores or shuffle partitions.
+
+``save_mode`` is for batch frames: landing on a path that exists is refused unless it says
+``append``. Streams always append, and need a checkpoint.
 """
 
 from __future__ import annotations
@@ -28,6 +31,7 @@ def land_shards(
     mode: str = "FAILFAST",
     together: bool = False,
     trigger: Mapping | None = None,
+    save_mode: str = "errorifexists",
 ) -> StreamingQuery | None:
     """Decode shard records into Snappy Parquet, one folder per window.
 
@@ -44,7 +48,7 @@ def land_shards(
     if together and folders:
         events = by_destination(events, folders)
     return write_files(
-        events, path, "parquet", folders, checkpoint, trigger, options={"compression": "snappy"}
+        events, path, "parquet", folders, checkpoint, trigger, save_mode, options={"compression": "snappy"}
     )
 
 
@@ -57,6 +61,7 @@ def land_topics(
     together: bool = True,
     observe_as: str | None = "land_topics",
     trigger: Mapping | None = None,
+    save_mode: str = "errorifexists",
 ) -> StreamingQuery | None:
     """Record values as text lines, one folder per topic and window; empty values are left out.
 
@@ -68,7 +73,7 @@ def land_topics(
     lines = lines.select(text.utf8("value").alias("value"), "topic", "window_start")
     if together:
         lines = by_destination(lines, ["topic", "window_start"])
-    return write_files(lines, path, "text", ["topic", "window_start"], checkpoint, trigger)
+    return write_files(lines, path, "text", ["topic", "window_start"], checkpoint, trigger, save_mode)
 
 
 def land_days(
@@ -77,6 +82,7 @@ def land_days(
     checkpoint: str | None = None,
     together: bool = False,
     trigger: Mapping | None = None,
+    save_mode: str = "errorifexists",
 ) -> StreamingQuery | None:
     """JSON values as Parquet, one folder per day.
 
@@ -86,7 +92,7 @@ def land_days(
     events = envelope.day_events(log)
     if together:
         events = by_destination(events, ["day"])
-    return write_files(events, path, "parquet", ["day"], checkpoint, trigger)
+    return write_files(events, path, "parquet", ["day"], checkpoint, trigger, save_mode)
 
 
 def land_by_schema(
@@ -101,6 +107,7 @@ def land_by_schema(
     time: str | None = None,
     checkpoint: str | None = None,
     trigger: Mapping | None = None,
+    save_mode: str = "errorifexists",
 ) -> StreamingQuery | None:
     """Records of the schema that each element's id points to, one folder per schema id.
 
@@ -111,7 +118,7 @@ def land_by_schema(
     if window:
         rows, folders = windows.with_window_label(rows, window, time), [*folders, "window_start"]
     rows = by_destination(rows.select("my_int", *folders), folders, num_shards, ["my_int"])
-    return write_files(rows, path, fmt, folders, checkpoint, trigger)
+    return write_files(rows, path, fmt, folders, checkpoint, trigger, save_mode)
 
 
 def schema_records(

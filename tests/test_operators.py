@@ -70,6 +70,30 @@ def test_lookup_does_not_broadcast_beyond_the_bound(spark, rows, monkeypatch):
     assert len(rows(found)) == 4
 
 
+def test_frequent_id_is_split_when_the_registry_is_too_large_to_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(lookup, "BROADCAST_ROWS", 1)
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100k",
+        "spark.sql.shuffle.partitions": "50",
+    }
+    before = {name: spark.conf.get(name, None) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        ids = spark.range(1000).select(F.col("id").cast("int").alias("schema_id"), F.lit("s").alias("schema"))
+        hot = F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 1000).cast("int")
+        elements = spark.range(300_000).repartition(8).withColumn("schema_id", hot)
+        found = lookup.with_schema(elements, ids)
+        assert len(found.collect()) == 300_000
+        assert "isSkew=true" in plan(found) or "skew=true" in plan(found)
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
 @pytest.mark.parametrize("missing", [2, None])
 def test_unknown_schema_id(spark, rows, missing):
     df = spark.createDataFrame([(0,), (missing,)], "schema_id int")

@@ -134,10 +134,14 @@ def test_run_id_and_window_name_the_folder(spark, tmp_path):
     assert re.fullmatch(r"run_id=abcde/window_start=\d{4}-\d\d-\d\dT\d\d-\d\d-00", folder)
 
 
-def test_landing_twice_on_one_path_is_refused(spark, tmp_path):
-    jobs.land_shards(shard_records(spark), str(tmp_path / "out"), window=None)
+def test_landing_twice_on_one_path_is_refused_unless_appending(spark, tmp_path):
+    path = str(tmp_path / "out")
+    jobs.land_shards(shard_records(spark), path, run_id="a")
     with pytest.raises(PySparkException):
-        jobs.land_shards(shard_records(spark), str(tmp_path / "out"), window=None)
+        jobs.land_shards(shard_records(spark), path, run_id="b")
+    jobs.land_shards(shard_records(spark), path, run_id="b", save_mode="append")
+    assert {folder.split("/")[0] for folder in part_files(path)} == {"run_id=a", "run_id=b"}
+    assert files.read_parquet(spark, path, schemas.CONSUMED_EVENT).count() == 6
 
 
 def test_stream_needs_a_checkpoint(spark, tmp_path):
