@@ -343,8 +343,8 @@ def _shard_stream(spark: SparkSession, work: str) -> DataFrame:
 
 
 def _land(records: DataFrame, work: str, **options) -> None:
-    """Catch up with a shard log; whole days as windows keep the number of folders small."""
-    options = {"window": "1 day", "time": "approximate_arrival_timestamp"} | options
+    """Catch up with a shard log; long windows keep the number of folders small."""
+    options = {"window": "10 days", "time": "approximate_arrival_timestamp"} | options
     jobs.land_shards(
         records, f"{work}/out", f"{work}/checkpoint", trigger=UNTIL_CAUGHT_UP, **options
     ).awaitTermination()
@@ -370,7 +370,7 @@ def stream_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
     source = stage(topic_log(events), f"{work}/log", events.count(), by_topic=True)
     records = log.read_log(spark, source, TOPICS, max_files_per_trigger=files_per_batch(spark, source))
     jobs.land_topics(
-        records, f"{work}/out", f"{work}/checkpoint", "1 day", "timestamp", trigger=UNTIL_CAUGHT_UP
+        records, f"{work}/out", f"{work}/checkpoint", "10 days", "timestamp", trigger=UNTIL_CAUGHT_UP
     ).awaitTermination()
     return files.read_text_lines(spark, f"{work}/out", schemas.TOPIC_LINE).select("topic", "value")
 
