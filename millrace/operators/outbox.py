@@ -10,9 +10,10 @@ from millrace.functions import text
 # Fixed value: the most messages that a queue service takes in one batch.
 BATCH_SIZE = 10
 
-
-# Ids in one range, and copies of one id in one block: what a single task numbers in one go.
+# Ids in one range; copies of an id that are written out where they were counted; and copies
+# in one block of an id that has more.
 SPAN = 100_000
+FEW = 1_000
 BLOCK = 100_000
 
 
@@ -20,12 +21,19 @@ def _expanded(first: str, copies: str, out: str) -> Column:
     return F.explode(F.expr(f"sequence({first}, {first} + {copies} - 1)")).alias(out)
 
 
+def _suitable_span(df: DataFrame, order_by: str) -> int:
+    """A span that holds about ``SPAN`` rows when values lie evenly, however far apart."""
+    low, high, n = df.agg(F.min(order_by), F.max(order_by), F.count(order_by)).first()
+    return min(max(SPAN, (high - low + 1) * SPAN // n), 2**62) if n else SPAN
+
+
 def number_in_groups(
     df: DataFrame,
     group: str,
     order_by: str,
     out: str = "n",
-    span: int = SPAN,
+    span: int | None = None,
+    few: int = FEW,
     block: int = BLOCK,
     unique: bool = False,
 ) -> DataFrame:
@@ -35,8 +43,9 @@ def number_in_groups(
     brought together. Copies are counted before the shuffle. Groups are cut into ranges of
     ``span`` consecutive values, which are numbered independently and then moved up by the
     rows in the ranges before them; only those sums, one row per range, are brought together
-    per group. Copies are written out again in blocks, spread over tasks where they fill
-    more than one. A null in either column fails the job.
+    per group. By default the span suits how densely values lie, which takes a pass to find.
+    Values with more than a ``few`` copies are written out again in blocks, which are spread
+    over tasks. A null in either column fails the job.
 
     ``unique`` says that no value occurs twice in its group, as offsets do not, and saves
     the counting of copies. The numbers are right either way; only the work differs.
@@ -45,8 +54,9 @@ def number_in_groups(
         F.coalesce(name, F.raise_error(F.lit(f"a row to number has no {name}"))).alias(name)
         for name in (group, order_by)
     ]
+    span = span or _suitable_span(df, order_by)
     # Never null, so that no filter makes the plan's uses of these counts differ: they share one shuffle.
-    ranged = df.select(*given).withColumn("__range", F.coalesce(F.expr(f"`{order_by}` div {span}"), F.lit(0)))
+    ranged = df.select(*given).withColumn("__range", F.coalesce(F.expr(f"`{order_by}` div {span}L"), F.lit(0)))
     if unique:
         counted = ranged.withColumn("__copies", F.lit(1))
     else:
@@ -67,9 +77,9 @@ def number_in_groups(
     )
     if unique:
         return placed.select(group, order_by, F.col("__first").alias(out))
-    few = placed.where(F.col("__copies") <= block).select(group, order_by, _expanded("__first", "__copies", out))
+    in_place = placed.where(F.col("__copies") <= few)
     blocks = (
-        placed.where(F.col("__copies") > block)
+        placed.where(F.col("__copies") > few)
         .withColumn("__block", F.explode(F.expr(f"sequence(0L, (__copies - 1) div {block})")))
         .repartition(group, order_by, "__block")
         .withColumns(
@@ -79,11 +89,17 @@ def number_in_groups(
             }
         )
     )
-    return few.unionByName(blocks.select(group, order_by, _expanded("__first", "__copies", out)))
+    written_out = (group, order_by, _expanded("__first", "__copies", out))
+    return in_place.select(*written_out).unionByName(blocks.select(*written_out))
 
 
 def to_messages(
-    df: DataFrame, id_col: str, bucket: str, batch_size: int = BATCH_SIZE, span: int = SPAN, unique: bool = False
+    df: DataFrame,
+    id_col: str,
+    bucket: str,
+    batch_size: int = BATCH_SIZE,
+    span: int | None = None,
+    unique: bool = False,
 ) -> DataFrame:
     """Messages (bucket, batch_no, message_id, body), at most ``batch_size`` to a batch.
 

@@ -3,31 +3,26 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
-from itertools import islice
+from itertools import groupby
 
 from pyspark.sql import DataFrame, Row
 
-from millrace.operators.outbox import BATCH_SIZE
 
+def send(messages: DataFrame, connect: Callable[[], Callable[[list[Row]], None]], batched: bool = True) -> None:
+    """Send every message of an outbox: batch by batch as they are numbered, or singly.
 
-def send(messages: DataFrame, connect: Callable[[], Callable[[list[Row]], None]], batch_size: int = BATCH_SIZE) -> None:
-    """Send every message, at most ``batch_size`` in one call; 1 sends them singly.
-
-    ``connect`` runs once per partition and returns the function that sends a list. Rows go
-    out in the order they are read, a partition at a time, and none are held beyond the
-    batch being filled. A retried task sends its messages again, with the same message ids.
+    ``connect`` runs once per partition and returns the function that sends a list. No more
+    than one batch is held at a time. A retried task sends its messages again, in the same
+    batches and with the same message ids.
     """
-    if not 1 <= batch_size <= BATCH_SIZE:
-        raise ValueError(f"batch_size must be from 1 to {BATCH_SIZE}")
+    if batched:
+        messages = messages.repartition("bucket", "batch_no").sortWithinPartitions("bucket", "batch_no", "message_id")
 
     def send_partition(rows: Iterable[Row]) -> None:
-        rows = iter(rows)
-        batch = list(islice(rows, batch_size))
-        if not batch:
-            return
-        send_list = connect()
-        while batch:
-            send_list(batch)
-            batch = list(islice(rows, batch_size))
+        batches = groupby(rows, lambda row: (row.bucket, row.batch_no)) if batched else ((None, [row]) for row in rows)
+        send_list = None
+        for _, batch in batches:
+            send_list = send_list or connect()
+            send_list(list(batch))
 
     messages.foreachPartition(send_partition)

@@ -205,17 +205,28 @@ def test_numbers_in_skewed_groups(spark, span):
         assert sorted(tuple(r) for r in got.collect()) == numbers_by_hand(pairs)
 
 
+def test_span_follows_the_spread_of_values(spark):
+    dense, sparse = spark.range(1000), spark.range(1000).select((F.col("id") * 10**9 - 10**11).alias("id"))
+    assert outbox._suitable_span(dense, "id") == outbox.SPAN
+    assert 0.9 * 10**9 < outbox._suitable_span(sparse, "id") / outbox.SPAN < 1.1 * 10**9
+    extremes = spark.createDataFrame([(0, -(2**63)), (0, 2**63 - 1), (0, 0)], "g int, id long")
+    assert outbox._suitable_span(extremes, "id") == 2**62
+    numbered = outbox.number_in_groups(extremes, "g", "id")
+    assert [r.n for r in numbered.orderBy("id").collect()] == [0, 1, 2]
+    assert outbox.number_in_groups(extremes.limit(0), "g", "id").count() == 0
+
+
 def test_unique_given_for_values_that_are_not(spark):
     pairs = [(i % 2, i % 40) for i in range(400)]
     got = outbox.number_in_groups(spark.createDataFrame(pairs, "g int, v long"), "g", "v", "n", 10, unique=True)
     assert sorted(tuple(r) for r in got.collect()) == numbers_by_hand(pairs)
 
 
-@pytest.mark.parametrize("block", [1, 7, 100, 1000])
-def test_numbers_of_copies(spark, block):
+@pytest.mark.parametrize("few, block", [(1, 1), (7, 7), (1, 100), (100, 7), (1000, 1000)])
+def test_numbers_of_copies(spark, few, block):
     # A third of all rows are copies of one value.
     pairs = [(i % 2, 5 if i % 3 == 0 else i % 40) for i in range(900)]
-    got = outbox.number_in_groups(spark.createDataFrame(pairs, "g int, v long"), "g", "v", "n", 10, block)
+    got = outbox.number_in_groups(spark.createDataFrame(pairs, "g int, v long"), "g", "v", "n", 10, few, block)
     assert sorted(tuple(r) for r in got.collect()) == numbers_by_hand(pairs)
 
 
@@ -239,8 +250,8 @@ def test_messages(spark, rows):
         outbox.to_messages(spark.range(1).withColumn("bucket", F.lit(None).cast("int")), "id", "bucket").collect()
 
 
-@pytest.mark.parametrize("size", [1, 10])
-def test_sender_takes_every_message_in_small_batches(spark, tmp_path, size):
+@pytest.mark.parametrize("batched", [True, False])
+def test_sender_takes_every_message_in_its_batch(spark, tmp_path, batched):
     folder = str(tmp_path)
 
     def connect():
@@ -250,19 +261,16 @@ def test_sender_takes_every_message_in_small_batches(spark, tmp_path, size):
 
         def send_list(batch):
             with open(os.path.join(folder, uuid.uuid4().hex), "w") as out:
-                json.dump([r.body for r in batch], out)
+                json.dump([(r.bucket, r.batch_no, r.body) for r in batch], out)
 
         return send_list
 
     import json
 
     messages = outbox.to_messages(spark.range(95).withColumn("bucket", F.col("id") % 3), "id", "bucket")
-    queue.send(messages, connect, size)
+    queue.send(messages, connect, batched)
     sent = [json.loads(f.read_text()) for f in tmp_path.iterdir()]
-    assert max(map(len, sent)) == size
-    assert sorted(int(b) for batch in sent for b in batch) == list(range(95))
-
-
-def test_sender_batch_limit(spark):
-    with pytest.raises(ValueError):
-        queue.send(spark.range(1), lambda: print, 11)
+    assert sorted(int(body) for batch in sent for _, _, body in batch) == list(range(95))
+    # Buckets of 32, 32 and 31 messages.
+    assert sorted(map(len, sent)) == ([1, 2, 2] + [10] * 9 if batched else [1] * 95)
+    assert all(len({(bucket, batch_no) for bucket, batch_no, _ in batch}) == 1 for batch in sent)
