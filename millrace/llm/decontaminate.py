@@ -2,40 +2,48 @@
 
 from __future__ import annotations
 
-import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.common import table
 from millrace.session import written
 
-WORD = re.compile(r"[^\W_]+")
 ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63], np.uint64)
+BASE = np.uint64(0x9E3779B97F4A7C15)
+UNBASE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
+LETTER = np.array([c >= 128 or chr(c).isalnum() for c in range(256)])
 FOUND = "item_ids array<long>, similarity double"
 
 
-class Hashes(dict):
-    """64-bit hashes of words; begins anew beyond ``most`` words."""
+class Hashes:
+    """64-bit hashes of the words of a text, all at once: a polynomial of each word's bytes, from prefix sums.
 
-    def __init__(self, most: int = 500_000):
-        super().__init__()
-        self.most = most
+    Words are runs of letters and digits in lower case; every byte of a character beyond ASCII counts as a letter.
+    """
 
-    def __missing__(self, word: str) -> int:
-        if len(self) >= self.most:
-            self.clear()
-        self[word] = h = xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass"))
-        return h
+    def __init__(self) -> None:
+        self.powers, self.inverse = np.ones(1, np.uint64), np.ones(1, np.uint64)
 
     def of(self, text: str | None) -> np.ndarray:
-        words = WORD.findall((text or "").lower())
-        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
+        raw = np.frombuffer((text or "").lower().encode("utf-8", "surrogatepass"), np.uint8)
+        n = len(raw)
+        if n >= len(self.powers):
+            self.powers = np.cumprod(np.full(2 * n + 1, BASE, np.uint64)) * UNBASE
+            self.inverse = np.cumprod(np.full(2 * n + 1, UNBASE, np.uint64)) * BASE
+        inside = np.zeros(n + 2, bool)
+        inside[1:-1] = LETTER[raw]
+        edges = np.flatnonzero(inside[1:] != inside[:-1])
+        starts, ends = edges[::2], edges[1::2]
+        sums = np.zeros(n + 1, np.uint64)
+        np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * self.powers[:n], out=sums[1:])
+        h = (sums[ends] - sums[starts]) * self.inverse[starts]
+        h = (h ^ (h >> np.uint64(31))) * ODD[0]
+        return h ^ (h >> np.uint64(30))
 
 
 def shingles(words: np.ndarray, width: int) -> np.ndarray:
@@ -110,7 +118,7 @@ class Items:
         for k, known in self.known.items():
             h = shingles(words, k)
             at = np.flatnonzero(self.maybe[k][(h & np.uint64((1 << 20) - 1)).astype(np.int64)])
-            at = at[np.isin(h[at], known)] if len(at) else at
+            at = at[known[np.minimum(np.searchsorted(known, h[at]), len(known) - 1)] == h[at]]
             by_size: dict[int, list[int]] = defaultdict(list)
             for p in at.tolist():
                 for size in self.having[k][int(h[p])]:

@@ -20,10 +20,10 @@ PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 class WordIds(dict):
     """Little-endian unsigned 32-bit ids of the parts of a text between spaces; the tokenizer never joins over a space.
 
-    Holds at most ``most`` parts, then begins anew.
+    Parts not met before are encoded in one call for a batch of texts. Beyond ``most`` parts it begins anew.
     """
 
-    def __init__(self, path: str, most: int = 300_000):
+    def __init__(self, path: str, most: int = 1_000_000):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -32,16 +32,32 @@ class WordIds(dict):
         super().__init__()
         self.tokenizer, self.most = Tokenizer.from_file(path), most
 
-    def __missing__(self, part: str) -> bytes:
-        ids = np.array(self.tokenizer.encode(part, add_special_tokens=False).ids, "<u4").tobytes()
-        if len(self) >= self.most:
-            self.clear()
-        if len(part) <= 64:
-            self[part] = ids
-        return ids
-
-    def of(self, text: str | None) -> bytes:
-        return b"".join(map(self.__getitem__, (text or "").replace("\n", " ").split(" ")))
+    def _learn(self, parts: list[str]) -> None:
+        for at in range(0, len(parts), 20_000):
+            some = parts[at : at + 20_000]
+            found = self.tokenizer.encode(some, is_pretokenized=True, add_special_tokens=False)
+            ids = np.array(found.ids, "<u4").tobytes()
+            of = np.array([len(some) if w is None else w for w in found.word_ids], np.int64)
+            ends = np.searchsorted(of, np.arange(len(some)), "right").tolist()
+            begin = 0
+            for part, end in zip(some, ends, strict=True):
+                self[part] = ids[4 * begin : 4 * end]
+                begin = end
+
+    def of(self, texts: list[str | None]) -> Iterator[bytes]:
+        """The ids of each text, some million characters at a time."""
+        at = 0
+        while at < len(texts):
+            some, held = [], 0
+            while at < len(texts) and (not some or held < 4_000_000):
+                some.append((texts[at] or "").replace("\n", " ").split(" "))
+                held += len(texts[at] or "")
+                at += 1
+            if len(self) > self.most:
+                self.clear()
+            self._learn(list({p for parts in some for p in parts if p not in self}))
+            for parts in some:
+                yield b"".join(map(self.__getitem__, parts))
 
 
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
@@ -57,8 +73,8 @@ def pieces(docs: DataFrame, capacity: int, tokenizer: str) -> DataFrame:
         ids = WordIds(tokenizer)
         for batch in batches:
             out = []
-            for doc_id, text in zip(batch["doc_id"], batch["text"], strict=True):
-                whole = ids.of(text) + b"\0\0\0\0"
+            for doc_id, of_text in zip(batch["doc_id"], ids.of(batch["text"].tolist()), strict=True):
+                whole = of_text + b"\0\0\0\0"
                 for k, at in enumerate(range(0, len(whole), 4 * capacity)):
                     part = whole[at : at + 4 * capacity]
                     out.append((None if pd.isna(doc_id) else int(doc_id), k, at // 4, len(part) // 4, zlib.crc32(part)))

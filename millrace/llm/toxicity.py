@@ -30,11 +30,16 @@ def words_of(text: str | None) -> list[str]:
     return WORD.findall((text or "").lower())
 
 
-def grams_of(word: str) -> list[int]:
-    import zlib
-
-    w = f"<{word[:40]}>"
-    return [zlib.crc32(w[k : k + 3].encode("utf-8", "surrogatepass")) % GRAMS for k in range(max(1, len(w) - 2))]
+def grams_of(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Codes of three neighbouring bytes of ``<word>``, for all words in a row, and where each word's codes begin."""
+    raw = [f"<{w[:40]}>".encode("utf-8", "surrogatepass") for w in words]
+    b = np.frombuffer(b"".join(raw), np.uint8).astype(np.int64)
+    codes = (b[:-2] * 961 + b[1:-1] * 31 + b[2:] + (b[:-2] * b[2:]) * 7) % GRAMS
+    ends = np.cumsum([len(x) for x in raw])
+    starts = ends - [len(x) for x in raw]
+    inside = np.ones(len(codes), bool)
+    inside[np.concatenate([ends[:-1] - 2, ends[:-1] - 1])] = False
+    return codes[inside], starts - 2 * np.arange(len(words))
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:
@@ -57,8 +62,11 @@ class Net:
         self.moments = {k: (np.zeros_like(x), np.zeros_like(x)) for k, x in self.p.items()}
         self.steps, self.calibration = 0, np.array([1.0, 0.0, 0.0])
 
-    def vector(self, word: str) -> np.ndarray:
-        return self.p["words"][self.vocabulary.get(word, 0)] + self.p["grams"][grams_of(word)].mean(axis=0)
+    def vectors(self, words: list[str]) -> np.ndarray:
+        codes, starts = grams_of(words)
+        sums = np.add.reduceat(self.p["grams"][codes], starts, axis=0)
+        counts = np.diff(np.append(starts, len(codes)))[:, None]
+        return self.p["words"][[self.vocabulary.get(w, 0) for w in words]] + sums / counts
 
     def unit(self, x: np.ndarray, mask: np.ndarray, way: str, keep: list | None = None) -> np.ndarray:
         """States of one direction; ``x`` holds the projected inputs by step."""
@@ -138,23 +146,24 @@ class Scorer:
         self.table = np.zeros((1024, 6 * self.net.hidden), np.float32)
         self.used = 1
 
-    def _row(self, word: str) -> int:
-        row = self.rows.get(word)
-        if row is None:
-            row, p = self.used, self.net.p
-            if row == len(self.table):
+    def _learn(self, words: list[str]) -> None:
+        p = self.net.p
+        for at in range(0, len(words), 20_000):
+            some = words[at : at + 20_000]
+            x = self.net.vectors(some)
+            while self.used + len(some) > len(self.table):
                 self.table = np.concatenate([self.table, np.zeros_like(self.table)])
-            x = self.net.vector(word)
-            self.table[row] = np.concatenate([x @ p["Wf"] + p["cf"], x @ p["Wb"] + p["cb"]])
-            self.rows[word], self.used = row, row + 1
-        return row
+            self.table[self.used : self.used + len(some)] = np.concatenate([x @ p["Wf"] + p["cf"], x @ p["Wb"] + p["cb"]], axis=1)
+            self.rows.update(zip(some, range(self.used, self.used + len(some)), strict=True))
+            self.used += len(some)
 
     def window_logits(self, texts: list[list[str]]) -> list[np.ndarray]:
         """For each text, given as words, the logits of all its windows."""
         spans = [(k, s, e) for k, words in enumerate(texts) for s, e in windows(len(words))]
         if self.used > self.most:
             self._begin()
-        rows = [np.fromiter(map(self._row, words), np.int64, len(words)) for words in texts]
+        self._learn(list({w for words in texts for w in words if w not in self.rows}))
+        rows = [np.fromiter(map(self.rows.__getitem__, words), np.int64, len(words)) for words in texts]
         flat, ends = np.zeros(len(spans)), np.zeros(len(texts) + 1, np.int64)
         H3 = 3 * self.net.hidden
         order = sorted(range(len(spans)), key=lambda k: spans[k][2] - spans[k][1])
@@ -218,7 +227,7 @@ def train(texts: list[str], labels: list[int], negatives_per_positive: float = 1
         for col, (k, s, e) in enumerate(chosen):
             for t, w in enumerate(words[k][s:e]):
                 if w not in grams:
-                    grams[w] = grams_of(w)
+                    grams[w] = grams_of([w])[0].tolist()
                 code = grams[w][:10]
                 ids[t, col], mask[t, col] = net.vocabulary.get(w, 0), 1
                 codes[t, col, : len(code)], share[t, col, : len(code)] = code, 1 / len(code)
