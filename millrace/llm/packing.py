@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections import Counter, defaultdict
 from collections.abc import Iterator
@@ -14,6 +15,9 @@ from pyspark.sql import functions as F
 from millrace.llm.common import ranked, table
 from millrace.session import written
 
+#: Parts whose splitting needs no Unicode tables; no quote (contractions) and no bracket (special tokens).
+PLAIN = re.compile(r"[!-&(-;=-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]*")
+SPLIT = re.compile(r"[a-z\u00df-\u00f6\u00f8-\u00ff]+|[0-9]|[^a-z0-9\u00df-\u00f6\u00f8-\u00ff]+")
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -28,11 +32,35 @@ class WordIds(dict):
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
 
         super().__init__()
         self.tokenizer, self.most = Tokenizer.from_file(path), most
+        self.runs: dict[str, bytes] = {}
+        level = ByteLevel(add_prefix_space=False, use_regex=False)
+        self.as_bytes = {c: level.pre_tokenize_str(chr(c))[0][0] for c in range(0xDF, 0x100) if c != 0xF7}
+
+    def _plain(self, part: str) -> bytes:
+        """Ids of a part of ASCII and accented Latin letters, which the tokenizer splits as ``SPLIT`` does."""
+        out = []
+        for run in SPLIT.findall(part.lower()):
+            ids = self.runs.get(run)
+            if ids is None:
+                tokens = self.tokenizer.model.tokenize(run.translate(self.as_bytes))
+                ids = self.runs[run] = np.array([t.id for t in tokens], "<u4").tobytes()
+            out.append(ids)
+        return b"".join(out)
 
     def _learn(self, parts: list[str]) -> None:
+        if len(self.runs) > self.most:
+            self.runs.clear()
+        odd = []
+        for part in parts:
+            if PLAIN.fullmatch(part):
+                self[part] = self._plain(part)
+            else:
+                odd.append(part)
+        parts = odd
         for at in range(0, len(parts), 20_000):
             some = parts[at : at + 20_000]
             found = self.tokenizer.encode(some, is_pretokenized=True, add_special_tokens=False)
@@ -98,7 +126,7 @@ def _configuration(sizes: list[int], left: list[int], first: int, capacity: int)
     return reached[max(reached)]
 
 
-def plan(counts: dict[int, int], capacity: int, groups: int = 32, small: int = 192) -> list[tuple[int, int, int, int, int, int]]:
+def plan(counts: dict[int, int], capacity: int, groups: int = 256, small: int = 192) -> list[tuple[int, int, int, int, int, int]]:
     """Places for ``counts[length]`` pieces, as runs ``(length, rank, pieces, sequence, per sequence, offset)``.
 
     The work depends on the number of different lengths (``capacity`` at most), not on that of pieces. Lengths
