@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import Any
 
 import numpy as np
 import pandas as pd
@@ -86,7 +87,7 @@ def near_vectors(vectors: DataFrame, least: float = 0.95, probes: int = 4, per_c
     at = at.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
     at = at.withColumn("b1", F.least("own", "other")).withColumn("b2", F.greatest("own", "other"))
 
-    def compare(key, group: pd.DataFrame) -> pd.DataFrame:
+    def compare(key: tuple[Any, ...], group: pd.DataFrame) -> pd.DataFrame:
         cell, b1, b2 = key
         x = unit(np.stack(group["embedding"].to_numpy()))
         near, rep, n, own = group["near"].tolist(), group["rep"].to_numpy(), group["n"].to_numpy(), group["own"].to_numpy()

@@ -106,7 +106,7 @@ def with_main_text(pages: DataFrame, sample: int = 400, name: str = "text") -> D
     @F.pandas_udf("string")
     def extract(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for some in batches:
-            yield pd.Series([main_text(h, weights) for h in some])
+            yield pd.Series([main_text(h, weights) for h in some], dtype=object)
 
     return pages.withColumn(name, extract(F.col("html")))
 

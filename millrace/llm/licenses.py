@@ -93,7 +93,7 @@ def with_licenses(docs: DataFrame, templates: dict[str, str] | None = None, leas
         for batch in batches:
             for text in batch["text"]:
                 total.update(w for w in WORD.findall(lower_ascii(text)) if w in wanted)
-        yield pd.DataFrame(list(total.items()), columns=["word", "n"])
+        yield pd.DataFrame({"word": pd.Series(list(total.keys()), dtype=object), "n": pd.Series(list(total.values()), dtype="int64")})
 
     counts = {r["word"]: r["n"] for r in docs.select("text").mapInPandas(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")).collect()}
     ordered = Templates(templates, counts, least)
@@ -102,7 +102,7 @@ def with_licenses(docs: DataFrame, templates: dict[str, str] | None = None, leas
     def find(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for texts in batches:
             out = pd.DataFrame([scan(t, ordered) for t in texts], columns=[c.split()[0] for c in FOUND.split(", ")])
-            yield out.astype({"first_word": "Int64", "last_word": "Int64"})
+            yield out.astype({"first_word": "Int64", "last_word": "Int64", "base_labels": object, "labels": object})
 
     return docs.withColumn(name, find(F.col("text")))
 

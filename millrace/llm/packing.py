@@ -88,6 +88,16 @@ class WordIds(dict):
                 yield b"".join(map(self.__getitem__, parts))
 
 
+_KEPT: dict[str, WordIds] = {}
+
+
+def word_ids(path: str) -> WordIds:
+    """One table for all tasks of a worker process."""
+    if path not in _KEPT:
+        _KEPT[path] = WordIds(path)
+    return _KEPT[path]
+
+
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     import public_tokenizers
 
@@ -98,7 +108,7 @@ def pieces(docs: DataFrame, capacity: int, tokenizer: str) -> DataFrame:
     """One row for each run of at most ``capacity`` ids of a document, the closing id 0 included."""
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        ids = WordIds(tokenizer)
+        ids = word_ids(tokenizer)
         for batch in batches:
             out = []
             for doc_id, of_text in zip(batch["doc_id"], ids.of(batch["text"].tolist()), strict=True):
@@ -113,20 +123,26 @@ def pieces(docs: DataFrame, capacity: int, tokenizer: str) -> DataFrame:
 
 
 def _configuration(sizes: list[int], left: list[int], first: int, capacity: int) -> Counter:
-    """The fullest sequence that holds group ``first`` and further groups: a subset sum, each group within its rest."""
+    """The fullest sequence that holds group ``first`` and further groups, each within its rest: a subset sum by bits."""
     room = capacity - sizes[first]
-    reached: dict[int, Counter] = {0: Counter({first: 1})}
+    reached, mask = [1], (1 << room + 1) - 1
     for g in range(first, len(sizes)):
-        for total in sorted(reached):
-            for _ in range(left[g] - reached[total][g]):
-                if total + sizes[g] > room or total + sizes[g] in reached:
-                    break
-                reached[total + sizes[g]] = reached[total] + Counter({g: 1})
-                total += sizes[g]
-    return reached[max(reached)]
-
-
-def plan(counts: dict[int, int], capacity: int, groups: int = 256, small: int = 192) -> list[tuple[int, int, int, int, int, int]]:
+        new = step = reached[-1]
+        for _ in range(min(left[g] - (g == first), room // sizes[g])):
+            step = (step << sizes[g]) & mask
+            new |= step
+        reached.append(new)
+        if new >> room:
+            break
+    total, chosen = reached[-1].bit_length() - 1, Counter({first: 1})
+    for k in range(len(reached) - 1, 0, -1):
+        while not reached[k - 1] >> total & 1:
+            total -= sizes[first + k - 1]
+            chosen[first + k - 1] += 1
+    return chosen
+
+
+def plan(counts: dict[int, int], capacity: int, groups: int = 1024, small: int = 192) -> list[tuple[int, int, int, int, int, int]]:
     """Places for ``counts[length]`` pieces, as runs ``(length, rank, pieces, sequence, per sequence, offset)``.
 
     The work depends on the number of different lengths (``capacity`` at most), not on that of pieces. Lengths

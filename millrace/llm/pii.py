@@ -114,7 +114,7 @@ def with_spans(docs: DataFrame, name: str = "spans") -> DataFrame:
     @F.pandas_udf(f"array<{SPAN}>")
     def find(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in batches:
-            yield pd.Series([occurrences(t) for t in texts])
+            yield pd.Series([occurrences(t) for t in texts], dtype=object)
 
     rows = written(docs.withColumn("_row", F.monotonically_increasing_id()).withColumn("_at", find(F.col("text"))), "spans")
     at = rows.where(F.size("_at") > 0).select("_row", F.explode("_at").alias("_o")).select("_row", "_o.*")
@@ -144,7 +144,7 @@ def redacted(docs: DataFrame) -> DataFrame:
                         parts.append("")
                     at = max(at, end)
                 out.append("".join(parts) + text[at:] if text is not None and at else text)
-            yield pd.Series(out)
+            yield pd.Series(out, dtype=object)
 
     return with_spans(docs, "_found").withColumn("text", replace(F.col("text"), F.col("_found"))).drop("_found")
 
