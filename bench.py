@@ -17,9 +17,9 @@ import pyspark
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from __spark_entry__ import queries
 from millrace.functions import keys
 from millrace.operators import audit, envelope
+from millrace.plans.queries import QUERIES
 from millrace.session import local_session
 from millrace.sources import generate
 
@@ -51,10 +51,10 @@ def timed_run(run: Callable[[SparkSession, str], DataFrame], spark: SparkSession
     return time.perf_counter() - begun, result
 
 
-def median_seconds(run, spark: SparkSession, sf_dir: str, runs: int, limit: float) -> tuple[float, DataFrame]:
+def median_seconds(run, spark: SparkSession, sf_dir: str, runs: int) -> tuple[float, DataFrame]:
     _, result = timed_run(run, spark, sf_dir)
     taken = []
-    while len(taken) < runs and (not taken or sum(taken) < limit):
+    while len(taken) < runs:
         took, result = timed_run(run, spark, sf_dir)
         taken.append(took)
     return statistics.median(taken), result
@@ -64,13 +64,12 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", os.cpu_count() or 8))
     runs = int(os.environ.get("BENCH_RUNS", "3"))
-    limit = float(os.environ.get("BENCH_SECONDS", "5"))
     spark = local_session(cpus)
     spark.sparkContext.setLogLevel("OFF")
     events = spark.read.parquet(f"{sf_dir}/events.parquet").count()
     timed, rows, audits = {}, {}, {}
-    for name, run in (queries() | {"large_codec": large_codec, "large_audit": large_audit}).items():
-        median, result = median_seconds(run, spark, sf_dir, runs, limit)
+    for name, run in (QUERIES | {"large_codec": large_codec, "large_audit": large_audit}).items():
+        median, result = median_seconds(run, spark, sf_dir, runs)
         timed[name] = round(median, 4)
         if name.startswith("stream_") and set(AUDIT_COLUMNS) <= set(result.columns):
             sums = result.agg(*(F.sum(c).alias(c) for c in AUDIT_COLUMNS)).first()

@@ -49,7 +49,8 @@ def to_shards(
     stream_name: str,
     data: str = "data",
     partition_key: Column | None = None,
-    sequence_number: Column | None = None,
+    *,
+    sequence_number: Column,
     shard_id: Column | None = None,
     n_shards: int = 1,
     arrival: Column | None = None,
@@ -57,14 +58,15 @@ def to_shards(
     """The shard envelope around payloads.
 
     By default the partition key is random and decides the shard. The key is evaluated once,
-    so the shard always belongs to the key that is written beside it.
+    so the shard always belongs to the key that is written beside it. A start position tells
+    records apart by their sequence numbers, so there is no default for them.
     """
     key = keys.partition_key() if partition_key is None else partition_key
     keyed = df.withColumn("__key", key)
     shard = keys.shard_name(keys.shard_index("__key", n_shards)) if shard_id is None else shard_id
     return keyed.select(
         F.col(data).alias("data"),
-        (F.lit("0") if sequence_number is None else sequence_number).cast("string").alias("sequence_number"),
+        sequence_number.cast("string").alias("sequence_number"),
         F.lit(0).cast("bigint").alias("sub_sequence_number"),
         F.col("__key").cast("string").alias("partition_key"),
         (F.current_timestamp() if arrival is None else arrival).alias("approximate_arrival_timestamp"),
@@ -88,8 +90,5 @@ def consumed_events(records: DataFrame, mode: str = "FAILFAST", keep: tuple[str,
 
 def day_events(log: DataFrame) -> DataFrame:
     """(key, day, id) from topic records whose values are JSON."""
-    return (
-        log.selectExpr("cast(key as string) as key", "cast(value as string) as value")
-        .select("key", text.from_json_text("value", DAY_PAYLOAD).alias("j"))
-        .selectExpr("key", "j.day", "j.id")
-    )
+    payload = text.from_json_text(F.col("value").cast("string"), DAY_PAYLOAD)
+    return log.select(F.col("key").cast("string").alias("key"), payload["day"].alias("day"), payload["id"].alias("id"))

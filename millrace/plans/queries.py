@@ -109,7 +109,8 @@ def shard_writer(spark: SparkSession, sf_dir: str) -> DataFrame:
     payloads = envelope.log_events(event_ids(table(spark, sf_dir, "events")))
     key = keys.partition_key("hash", "id")
     path = scratch_dir(spark, "shard-writer")
-    append_log(envelope.to_shards(payloads, "events", partition_key=key, n_shards=4), path)
+    number = F.col("id").cast("string")
+    append_log(envelope.to_shards(payloads, "events", partition_key=key, sequence_number=number, n_shards=4), path)
     landed = log.read_shards(spark, path, streaming=False)
     return envelope.consumed_events(landed, keep=("partition_key",))
 

@@ -23,9 +23,6 @@ TRIM_HORIZON = "TRIM_HORIZON"
 AT_TIMESTAMP = "AT_TIMESTAMP"
 MODES = (LATEST, TRIM_HORIZON, AT_TIMESTAMP)
 
-# Fixed value: at least as many digits as the longest sequence number (they are below 2 ** 186).
-SEQUENCE_DIGITS = 64
-
 
 @dataclass(frozen=True)
 class StartPosition:
@@ -61,10 +58,15 @@ def _is_text(log: DataFrame, offset: str) -> bool:
 def _position(log: DataFrame, offset: str) -> Column:
     """An offset in a form that sorts by its value.
 
-    Sequence numbers of shards are text, of more digits than any number type holds: those
-    are compared at one length.
+    Sequence numbers of shards are text, of more digits than any number type holds: without
+    leading zeros, the longer is the larger, and digits decide between equal lengths. A record
+    without an offset has no place in its partition and fails the read.
     """
-    return F.lpad(offset, SEQUENCE_DIGITS, "0") if _is_text(log, offset) else F.col(offset)
+    known = F.coalesce(F.col(offset), F.raise_error(F.lit(f"a record without {offset}")).cast(log.schema[offset].dataType))
+    if not _is_text(log, offset):
+        return known
+    digits = F.ltrim(known, F.lit("0"))
+    return F.struct(F.length(digits).alias("digits"), digits.alias("value"))
 
 
 def last_offsets(log: DataFrame, keys: list[str], offset: str = "offset") -> DataFrame:
@@ -75,10 +77,9 @@ def last_offsets(log: DataFrame, keys: list[str], offset: str = "offset") -> Dat
 def after(log: DataFrame, ends: DataFrame, keys: list[str], offset: str = "offset") -> DataFrame:
     """Records strictly after the given ends; partitions without one are read from their start."""
     ends = F.broadcast(ends) if small_enough(ends) else ends
-    before_all = F.lit("") if _is_text(log, offset) else F.lit(-1)
     return (
         log.join(ends, keys, "left")
-        .where(_position(log, offset) > F.coalesce("last_offset", before_all))
+        .where((_position(log, offset) > F.col("last_offset")) | F.col("last_offset").isNull())
         .select(*log.columns)
     )
 
@@ -104,8 +105,7 @@ def apply_start(
         return log
     if mode == AT_TIMESTAMP:
         return log.where(F.col(timestamp) >= F.timestamp_micros(F.lit(start_micros)))
-    fields = [existing.schema[k] for k in keys] + [T.StructField("last_offset", existing.schema[offset].dataType)]
-    ends = spark.read.schema(T.StructType(fields)).parquet(f"{state_path}/ends")
+    ends = spark.read.schema(last_offsets(existing, list(keys), offset).schema).parquet(f"{state_path}/ends")
     return after(log, ends, list(keys), offset)
 
 

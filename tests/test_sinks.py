@@ -115,7 +115,7 @@ def test_day_job_has_no_shuffle_and_no_python(spark):
 
 
 def shard_records(spark, n=3):
-    return envelope.to_shards(envelope.log_events(generate.sequence(spark, n)), "stream-01", shard_id=F.lit("shard-000"))
+    return envelope.to_shards(envelope.log_events(generate.sequence(spark, n)), "stream-01", sequence_number=F.col("id").cast("string"), shard_id=F.lit("shard-000"))
 
 
 def test_shards_land_as_snappy_parquet(spark, tmp_path, rows):

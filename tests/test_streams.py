@@ -235,6 +235,17 @@ def test_sequence_numbers_compare_by_value(spark, rows):
     assert rows(later) == sorted([("a", digits), ("a", digits + "0"), ("c", "0")])
 
 
+def test_sequence_numbers_of_any_length(spark, rows):
+    """Numbers of more digits than any fixed width still compare by value; a missing one is an error."""
+    end = "7" * 70
+    records = spark.createDataFrame([("a", end), ("a", end[:-1] + "8"), ("a", "1" + end), ("a", "000" + end)], "shard_id string, seq string")
+    ends = start.last_offsets(records.where(F.col("seq") == end), ["shard_id"], "seq")
+    assert rows(start.after(records, ends, ["shard_id"], "seq")) == sorted([("a", end[:-1] + "8"), ("a", "1" + end)])
+    missing = spark.createDataFrame([("a", None)], records.schema)
+    with pytest.raises(Exception, match="a record without seq"):
+        start.after(missing, ends, ["shard_id"], "seq").collect()
+
+
 # Topics
 
 
