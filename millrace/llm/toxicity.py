@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import re
+import uuid
 from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm.common import table
@@ -276,13 +277,35 @@ def learned(docs: DataFrame, labels: DataFrame, most: int = 900) -> Net:
     return train([r["text"] for r in found], [r["_toxic"] for r in found], max(1.0, sizes[0] / max(1, sizes[1])))
 
 
+class Shared:
+    """A broadcast net with a name by which worker processes know it."""
+
+    def __init__(self, net: Net, spark: SparkSession):
+        self.id, self.sent = uuid.uuid4().hex, spark.sparkContext.broadcast(net)
+
+    @property
+    def value(self) -> Net:
+        return self.sent.value
+
+
+_KEPT: dict[str, Scorer] = {}
+
+
+def scorer_of(shared: Shared) -> Scorer:
+    """A worker keeps the inputs of its words from task to task, for one net at a time."""
+    if shared.id not in _KEPT:
+        _KEPT.clear()
+        _KEPT[shared.id] = Scorer(shared.value)
+    return _KEPT[shared.id]
+
+
 def with_toxicity(docs: DataFrame, net: Net, name: str = "score") -> DataFrame:
     """All rows and columns and the toxicity of the whole text, 0 to 1. Null text is empty and scored as such."""
-    shared = docs.sparkSession.sparkContext.broadcast(net)
+    shared = Shared(net, docs.sparkSession)
 
     @F.pandas_udf("double")
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        scorer = Scorer(shared.value)
+        scorer = scorer_of(shared)
         for texts in batches:
             yield pd.Series(scorer.scores(texts.tolist()))
 

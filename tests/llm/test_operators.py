@@ -1,0 +1,233 @@
+"""Corpus operators against brute force, on small tables with nulls, empty texts, ties and clashing names."""
+
+import math
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from millrace.llm import decontaminate, embeddings, extract, licenses, neardup, packing, pii, scoring, sharding, toxicity
+from millrace.llm.common import components
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, rank long, score double, fp string, n long"
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    draw = np.random.default_rng(1)
+    words = [f"w{k}" for k in range(400)]
+    texts = [" ".join(draw.choice(words, 5 + k % 60)) for k in range(120)]
+    texts += [texts[3]] * 40 + [None, "", "   ", "\n", "one", " ".join(draw.choice(words, 9000))]
+    rows = [(k, t, None, "hot" if k % 3 else None, None, 1, 0.5, "x", 2) for k, t in enumerate(texts)]
+    rows += [rows[5], rows[5], (None, "null id here", *rows[0][2:])]
+    return spark.createDataFrame(rows, SCHEMA).repartition(3)
+
+
+@pytest.fixture(scope="module")
+def empty(docs):
+    return docs.where("false")
+
+
+def test_sharding(docs, empty):
+    rows = sharding.interleaved_shards(docs, 4).collect()
+    assert len(rows) == docs.count() and sharding.interleaved_shards(empty, 4).count() == 0
+    counts = Counter(r.shard for r in rows)
+    assert set(counts) == {0, 1, 2, 3} and max(counts.values()) - min(counts.values()) <= 1
+    for shard, n in counts.items():
+        assert sorted(r.slot for r in rows if r.shard == shard) == list(range(n))
+    texts = {r.doc_id: r.text or "" for r in docs.collect()}
+    assert all(r.size == len(texts[r.doc_id].encode()) + 1 and r.text_crc32 == zlib.crc32(texts[r.doc_id].encode()) for r in rows)
+
+
+def test_packing(docs, empty):
+    rows = packing.packed(docs, 64).collect()
+    assert packing.packed(empty, 64).count() == 0
+    held = {}
+    for r in rows:
+        held.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for places in held.values():
+        end = 0
+        for offset, length in sorted(places):
+            assert offset == end
+            end += length
+        assert end <= 64
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(packing.tokenizer_path())
+    expected = Counter()
+    for d in docs.collect():
+        ids = np.array(t.encode(d.text or "", add_special_tokens=False).ids + [0], "<u4").tobytes()
+        for k, at in enumerate(range(0, len(ids), 256)):
+            part = ids[at : at + 256]
+            expected[d.doc_id, k, at // 4, len(part) // 4, zlib.crc32(part)] += 1
+    assert Counter((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in rows) == expected
+    assert len(held) <= 1.1 * -(-sum(r.length for r in rows) // 64) + 1
+
+
+@pytest.mark.parametrize("text", ["it's a TEST <|endoftext|> x", "İstanbul ΑΣ ß ẞ ﬁ", "á b\xa0c　d\x1ce", "don't_stop ½ 12a ²", "ÀÉ÷×ÿ x'S"])
+def test_word_ids(text):
+    ids = packing.WordIds(packing.tokenizer_path())
+    whole = ids.tokenizer.encode(text, add_special_tokens=False).ids
+    assert np.frombuffer(next(ids.of([text])), "<u4").tolist() == whole
+
+
+def closure(n, links):
+    label = list(range(n))
+    for _ in range(n):
+        for a, b in links:
+            label[a] = label[b] = min(label[a], label[b])
+    return label
+
+
+def test_components(spark):
+    chain = [(k, k + 1) for k in range(60)] + [(100, 100), (200, 150), (150, 170)]
+    got = {r.id: r.component for r in components(spark.createDataFrame(chain, "a long, b long")).collect()}
+    assert all(got[k] == 0 for k in range(61)) and got[200] == got[170] == 150
+
+
+def test_links_with_large_cells(spark):
+    """More points in a cell than are paired: the links of the closure are still those of brute force."""
+    draw, base = np.random.default_rng(2), 0x0123456789ABCDEF
+    points = {base ^ (1 << int(a)) ^ (1 << int(b)) for a, b in draw.integers(0, 64, (150, 2))}
+    points |= {int(x) for x in draw.integers(0, 2**63, 60)}
+    points |= {p ^ 3 for p in list(points)[:30]}
+    points = sorted(points)
+    links = [(i, j) for i in range(len(points)) for j in range(i) if (points[i] ^ points[j]).bit_count() <= 2]
+    signed = [neardup._signed(p) for p in points]
+    got = components(neardup.fingerprint_links(spark.createDataFrame([(s,) for s in signed], "fp long"))).collect()
+    heads = {r.id: r.component for r in got}
+    label = closure(len(points), links)
+    groups = lambda names: {frozenset(k for k in range(len(points)) if names[k] == n) for n in names}
+    assert groups([heads.get(s, s) for s in signed]) == groups(label)
+
+
+def test_near_duplicates(docs, empty):
+    rows = neardup.near_duplicates(docs).collect()
+    assert len(rows) == docs.count() and neardup.near_duplicates(empty).count() == 0
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    prints = {k: neardup.fingerprint(t) for k, t in texts.items()}
+    assert all(r.fingerprint == f"{prints[r.doc_id]:016x}" for r in rows)
+    for r in rows:
+        linked = [k for k, p in prints.items() if k is not None and (p ^ prints[r.doc_id]).bit_count() <= 2]
+        assert r.doc_id is None or r.component_id <= min(linked)
+    kept = neardup.one_of_each(docs)
+    assert kept.columns == docs.columns and kept.count() == len({r.component_id for r in rows})
+    assert neardup.one_of_each(empty).count() == 0
+
+
+def test_decontamination(spark, docs, empty):
+    base = [r.text for r in docs.where("doc_id in (20, 50)").collect()]
+    item = " ".join(base[0].split()[2:24]) if len(base[0].split()) > 24 else base[0]
+    bench = spark.createDataFrame([(1, item), (1, item), (2, None), (3, ""), (4, "un seen words stand here today")], "item_id long, text string")
+    near = item.upper().replace(" ", "\n", 3).replace(item.split()[-1].upper(), "changed")
+    more = docs.unionByName(spark.createDataFrame([(900, "before " * 9 + near + " after", *[None] * 7)], SCHEMA))
+    for block in (1, 100):
+        got = {r.doc_id: r for r in decontaminate.with_passages(more, bench, block=block).collect()}
+        assert got[900].found.item_ids == [1] and got[900].found.similarity >= 0.8
+        hits = {k for k, r in got.items() if r.found.item_ids}
+        assert hits == {r.doc_id for r in docs.collect() if item in (r.text or "")} | {900}
+    assert decontaminate.with_passages(docs, bench.where("false")).where("size(found.item_ids) > 0").count() == 0
+    assert decontaminate.with_passages(empty, bench).count() == 0
+
+
+def test_base_spans():
+    text = "a.b@c.de 1.2.3.4 no 256.1.1.1 card 4111 1111 1111 1111 call +1 (555) 123-4567 not 4111111111111112"
+    got = {(k, text[s:e]) for k, s, e in pii.base_spans(text)}
+    assert got == {("email", "a.b@c.de"), ("ip", "1.2.3.4"), ("phone", "+1 (555) 123-4567")} | {("card", "4111 1111 1111 1111")}
+
+
+def test_pii_finds_unseen(spark, docs, empty):
+    rows = [(k, f"please write to user{k}@mail.example.org for help", *[None] * 7) for k in range(12)]
+    rows += [(50, "please write to agent-7731-x for help", *[None] * 7), (51, "other words near agent9 stand", *[None] * 7)]
+    many = spark.createDataFrame(rows, SCHEMA).unionByName(docs)
+    got = {r.doc_id: [(s.kind, s.start, s.end) for s in r.spans] for r in pii.with_spans(many).collect()}
+    assert got[50] == [("id", 16, 28)] and got[51] == [] and got[3] and got[120] == []
+    texts = {r.doc_id: r.text for r in pii.redacted(many).collect()}
+    assert texts[50] == "please write to [ID] for help" and texts[160] is None
+    assert pii.with_spans(empty).count() == 0
+
+
+def test_embeddings(spark):
+    draw = np.random.default_rng(3)
+    base = draw.normal(size=(60, 8))
+    near = np.concatenate([base + draw.normal(0, 0.1, base.shape) for _ in range(4)] + [np.tile(base[:1], (30, 1))])
+    rows = [(k, v.tolist(), 0) for k, v in enumerate(near)]
+    odd = [None, [], [0.0] * 8, [float("nan")] * 8, [None] * 8, [1.0, 2.0]]
+    rows += [(1000 + k, v, None) for k, v in enumerate(odd)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    got = {r.vec_id: r for r in embeddings.near_vectors(frame, per_cell=40, block=16).collect()}
+    x = near / np.linalg.norm(near, axis=1, keepdims=True)
+    link = x @ x.T >= 0.95
+    expected = link.sum(axis=1) - 1
+    found = np.array([got[k].n_links for k in range(len(near))])
+    assert len(got) == len(rows) and (found <= expected).all() and found.sum() >= 0.9 * expected.sum()
+    assert all(got[1000 + k].n_links == 0 and got[1000 + k].kept for k in range(len(odd)))
+    assert embeddings.near_vectors(frame.where("false")).count() == 0
+
+
+def test_extraction(spark):
+    page = (
+        "<html><head><title>T</title><script>var a='<p>x</p>';</script></head><body><nav><a>menu</a></nav><article><h1>A &amp; B</h1>"
+        "<p>first  <b>words</b>\n here<br>and there<div class='ad'>buy</div><p>second block</article><div class=comments>no</div><footer>f</footer>"
+    )
+    frame = spark.createDataFrame([(1, "u", page, "t"), (2, "u", None, "t"), (3, None, "", None), (4, "u", "plain text", "t")], "page_id long, url string, html string, text string")
+    got = {r.page_id: r.text for r in extract.with_main_text(frame).collect()}
+    assert got == {1: "A & B\nfirst words here and there\nsecond block", 2: "", 3: "", 4: "plain text"}
+    assert extract.with_main_text(frame.where("false")).count() == 0
+
+
+def test_licenses(spark, empty):
+    texts = ["Released under the MIT License.", "x\nAll rights reserved. ALL RIGHTS\nreserved", "released under a license", None, ""]
+    frame = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "doc_id long, text string")
+    got = {r.doc_id: r.license for r in licenses.with_licenses(frame).collect()}
+    assert got[0].labels == "mit" and got[0].base_labels == "" and got[0].n_words == 5
+    assert (got[1].n_base, got[1].first_word, got[1].last_word, got[1].base_labels) == (2, 1, 4, "reserved")
+    assert got[2].labels == got[3].labels == "" and got[4].first_word is None
+    assert licenses.with_licenses(empty).count() == 0
+
+
+def test_scoring(docs, empty):
+    rows = scoring.scored(docs).collect()
+    assert len(rows) == docs.count() and scoring.scored(empty).count() == 0
+    low = lambda t: re.sub("[A-Z]", lambda m: m[0].lower(), t or "")
+    tokens = [(r.doc_id, [*re.findall(r"[^\x20\x09-\x0D]+", low(r.text)), None]) for r in docs.collect()]
+    held = lambda k: k is not None and zlib.crc32(str(k).encode()) % 5 == 1
+    counts = Counter(w for k, t in tokens if not held(k) for w in t)
+    n, v = sum(counts.values()), len(counts)
+    expected = {k: (len(t), sum(counts[w] > 0 for w in t), sum(math.log10((counts[w] + 0.5) / (n + 0.5 * (v + 1))) for w in t)) for k, t in tokens}
+    for r in rows:
+        assert (r.n_tokens, r.n_known) == expected[r.doc_id][:2] and r.train_tokens == n and r.held_out == held(r.doc_id)
+        assert r.base_score == pytest.approx(expected[r.doc_id][2]) and r.score < 0
+
+
+def test_windows_score_each_place_once():
+    for n in (1, 31, 32, 33, 56, 57, 200):
+        places = [p for s, first in scoring.windows(n) for p in range(first, min(n, s + scoring.CONTEXT))]
+        assert places == list(range(n))
+        assert {p for s, e in toxicity.windows(n) for p in range(s, e)} == set(range(n))
+
+
+def test_toxicity(spark, empty):
+    draw = np.random.default_rng(4)
+    words = [f"w{k}" for k in range(200)]
+    texts, labels = [], []
+    for k in range(500):
+        text = list(draw.choice(words, 40 + k % 50))
+        if k % 4 == 0:
+            for at in range(5, len(text), 12):
+                text[at] = "vile"
+        texts.append(" ".join(text))
+        labels.append(int(k % 4 == 0))
+    frame = spark.createDataFrame([(k, t, 9) for k, t in enumerate([*texts, None, "", "w1 " * 9000])], "doc_id long, text string, score int")
+    marks = spark.createDataFrame([*enumerate(labels), (0, 1), (None, 1)], "doc_id long, toxic int")
+    net = toxicity.learned(frame, marks)
+    got = {r.doc_id: r["_score"] for r in toxicity.with_toxicity(frame, net, "_score").collect()}
+    held = [k for k in range(500) if zlib.crc32(str(k).encode()) % 3 == 1]
+    right = sum((got[k] >= 0.7) == bool(labels[k]) for k in held)
+    assert right >= 0.95 * len(held) and all(0 <= s <= 1 for s in got.values()) and len(got) == 503
+    alone = toxicity.learned(frame, marks.where("false"))
+    assert toxicity.with_toxicity(frame, alone, "_score").where(F.col("_score") >= 0.7).count() == 0
+    assert toxicity.with_toxicity(empty.drop("score"), net).count() == 0
