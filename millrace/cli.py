@@ -39,7 +39,7 @@ def parser() -> argparse.ArgumentParser:
         p.add_argument("--checkpoint", required=True, help="progress of the stream; keep it to resume")
         p.add_argument("--input", help="file log to read")
         p.add_argument("--start-mode", default=start.LATEST, choices=start.MODES, help="ignored when resuming")
-        p.add_argument("--start-ts", help="like 2007-12-03T10:15:30.00Z, with AT_TIMESTAMP only")
+        p.add_argument("--start-ts", help="like 2024-02-01T06:00:00.00Z, with AT_TIMESTAMP only")
         p.add_argument("--until-caught-up", action="store_true", help="stop once everything present has landed")
         p.add_argument("--max-files-per-trigger", type=int)
         if window:
@@ -118,6 +118,8 @@ def _shard_records(spark: SparkSession, a: argparse.Namespace) -> DataFrame:
     position = start.StartPosition.parse(a.start_mode, a.start_ts)
     if a.connector:
         # A connector's own options say where it starts.
+        if position != start.StartPosition.parse():
+            raise SystemExit("with --connector, give the start position among its options (--option)")
         return log.read_shards(spark, connector=a.connector, options=_pairs(a.option))
     records = log.read_shards(spark, a.input, max_files_per_trigger=a.max_files_per_trigger)
     existing = log.read_shards(spark, a.input, streaming=False)
@@ -164,7 +166,7 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -
     if a.job.startswith("land-"):
         trigger = UNTIL_CAUGHT_UP if a.until_caught_up else None
         if a.job == "land-topics":
-            query = jobs.land_topics(_topic_records(spark, a), a.output, a.checkpoint, a.window, trigger=trigger)
+            query = jobs.land_topics(_topic_records(spark, a), a.output, a.checkpoint, a.window, fmt="text", trigger=trigger)
         elif a.job == "land-days":
             query = jobs.land_days(_topic_records(spark, a), a.output, a.checkpoint, trigger=trigger)
         else:

@@ -38,10 +38,17 @@ def partition_key(kind: str = "uuid", seed_from: Column | str | None = None, see
 
 
 def shard_index(key: Column | str, n_shards: int) -> Column:
-    """The shard whose share of the MD5 key space holds the key; shares are equal and in order."""
+    """The shard whose share of the 128-bit MD5 key space holds the key; shares are equal and in order.
+
+    The digest times ``n_shards``, without its lowest 128 bits: multiplied 32 bits at a time, lowest first.
+    """
     key = F.col(key) if isinstance(key, str) else key
-    position = F.conv(F.substring(F.md5(key.cast("binary")), 1, 8), 16, 10).cast("bigint")
-    return F.shiftright(position * n_shards, 32).cast("int")
+    digest = F.md5(key.cast("binary"))
+    index = F.lit(0).cast("bigint")
+    for at in (25, 17, 9, 1):
+        word = F.conv(F.substring(digest, at, 8), 16, 10).cast("bigint")
+        index = F.shiftright(word * n_shards + index, 32)
+    return index.cast("int")
 
 
 def shard_name(index: Column) -> Column:

@@ -90,5 +90,6 @@ def consumed_events(records: DataFrame, mode: str = "FAILFAST", keep: tuple[str,
 
 def day_events(log: DataFrame) -> DataFrame:
     """(key, day, id) from topic records whose values are JSON."""
-    payload = text.from_json_text(F.col("value").cast("string"), DAY_PAYLOAD)
-    return log.select(F.col("key").cast("string").alias("key"), payload["day"].alias("day"), payload["id"].alias("id"))
+    payload = text.from_json_text(text.utf8("value"), DAY_PAYLOAD)
+    fields = {name: payload.getField(name) for name in ("day", "id")}
+    return log.select(text.utf8("key").alias("key"), *(field.alias(name) for name, field in fields.items()))

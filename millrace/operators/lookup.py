@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 BROADCAST_ROWS = 1_000_000
 BROADCAST_BYTES = 64 * 1024 * 1024
-MAP_ENTRIES = 100_000
 
 MISSING = ("fail", "mark")
 
@@ -65,15 +64,14 @@ def with_schema(
     )
 
 
-def as_map(df: DataFrame, key: str, value: str, out: str = "entries", max_entries: int = MAP_ENTRIES) -> DataFrame:
-    """One row holding all pairs as a map, for display; lookups use :func:`with_schema`.
+def map_entries(df: DataFrame, key: str, value: str) -> DataFrame:
+    """The entries of a map, one row each, spread by key; lookups use :func:`with_schema`.
 
-    A key that occurs twice is an error. So is a frame too large for one row: its size is
-    checked before anything is brought together.
+    A key that is null or occurs twice fails the job that reads the entries. Copies of a key
+    are counted before the shuffle.
     """
-    measured = _measured(df.select(key, value), F.count_distinct(key).alias("keys"))
-    if measured["n"] > max_entries or measured["bytes"] > BROADCAST_BYTES:
-        raise ValueError(f"{measured['n']} pairs are too many for one map; join on {key} instead")
-    if measured["n"] != measured["keys"]:
-        raise ValueError(f"{key} is null or occurs more than once")
-    return df.agg(F.map_from_entries(F.collect_list(F.struct(key, value))).alias(out))
+    entries = df.groupBy(key).agg(F.count("*").alias("__n"), F.any_value(value).alias(value))
+    wrong = F.col(key).isNull() | (F.col("__n") > 1)
+    said = F.raise_error(F.concat(F.lit(f"{key} is null or occurs more than once: "), F.coalesce(F.col(key).cast("string"), F.lit("null"))))
+    # On both columns: a caller that drops one must not lose the check with it.
+    return entries.select(*(F.when(wrong, said.cast(df.schema[c].dataType)).otherwise(F.col(c)).alias(c) for c in (key, value)))

@@ -20,7 +20,7 @@ _AFTER_LATEST = """from events e left join (
 on e.event_type = m.event_type and e.user_id % 2 = m.p
 where e.event_id > coalesce(m.mx, -1)"""
 
-_SCHEMA_IDS = "select cast(event_id as integer) as my_int, cast(event_id % 2 as integer) as p_schema_id"
+_SCHEMA_IDS = "select event_id as my_int, cast(event_id % 2 as integer) as p_schema_id"
 
 
 def _window(size: str) -> str:
@@ -62,7 +62,11 @@ from k""",
     "schema_lookup": f"{_SCHEMA_IDS}, 'schema-' || (event_id % 2) as schema_name from events",
     "schema_rejects": """select event_id, event_id % 3 < 2 as schema_found,
   case when event_id % 3 < 2 then 'schema-' || (event_id % 3) end as schema_name from events""",
-    "combine_per_key": "select event_id % 2 as schema_id, min(0) as v from events group by event_id % 2",
+    "combine_per_key": """select event_id % 2 as schema_id, min(user_id) as least, cast(sum(user_id) as bigint) as total,
+  bit_xor(user_id) as mixed from events group by event_id % 2""",
+    "combine_per_key_with": """select event_type,
+  list_reduce(list(cast(event_id % 997 + 1 as bigint)), lambda a, b: a * b % 1000003) as v
+from events group by event_type""",
     "distinct_keys": "select distinct event_id % 2 as schema_id from events",
     "schema_map": "select distinct event_id % 2 as schema_id, 'schema-' || (event_id % 2) as schema_name from events",
     "count_and_distinct": "select count(*) as total, count(distinct event_id) as distinct_ids from events",
@@ -99,9 +103,9 @@ from (select event_type, user_id, row_number() over (partition by event_type ord
     "days_batch": """select case when event_id % 97 <> 0 then strftime(ts, '%Y-%m-%d') end as day, count(*) as n
 from events group by all""",
     "topic_window_files": """select event_type as topic,
-  strftime(time_bucket(interval '1 day', ts), '%Y-%m-%dT%H-%M-%S') as window_start, count(*) as n
+  strftime(time_bucket(interval '10 seconds', ts), '%Y-%m-%dT%H-%M-%S') as window_start, count(*) as n
 from events group by all""",
-    "schema_id_files": """select cast(event_id as integer) as my_int, cast(event_id % 2 as varchar) as p_schema_id
+    "schema_id_files": """select event_id as my_int, cast(event_id % 2 as varchar) as p_schema_id
 from events""",
     "exact_shard_files": """select event_id % 2 as dest, count(*) as n, cast(3 as bigint) as files
 from events group by event_id % 2""",

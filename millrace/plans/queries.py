@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from millrace import schemas
 from millrace.functions import codec, keys, text
+from millrace.functions.times import instant
 from millrace.operators import audit, combine, envelope, filters, lookup, metrics, outbox, windows
 from millrace.plans.staging import (
     day_log,
@@ -120,8 +121,10 @@ def shard_writer(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def start_at_timestamp(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = table(spark, sf_dir, "events")
-    return events.where(F.col("ts") >= F.expr(MID_MONTH)).select("event_id")
+    events = table(spark, sf_dir, "events").select("event_id", instant("ts").alias("at"))
+    position = start.StartPosition.parse(start.AT_TIMESTAMP, "2024-01-15T00:00:00.00Z")
+    state = scratch_dir(spark, "start-at")
+    return start.apply_start(events, events, position, state, timestamp="at").select("event_id")
 
 
 @query
@@ -175,10 +178,17 @@ def schema_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def combine_per_key(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pairs = table(spark, sf_dir, "events").select(
-        keys.bucket("event_id", 2).alias("schema_id"), F.lit(0).alias("v")
-    )
-    return combine.combine_per_key(pairs, "schema_id", "v", F.min)
+    """Users of each schema id, combined three ways in one pass over their partial aggregates."""
+    pairs = table(spark, sf_dir, "events").select(keys.bucket("event_id", 2).alias("schema_id"), "user_id")
+    ways = lambda v: F.struct(F.min(v).alias("least"), F.sum(v).alias("total"), F.bit_xor(v).alias("mixed"))
+    return combine.combine_per_key(pairs, "schema_id", "user_id", ways, "v").select("schema_id", "v.*")
+
+
+@query
+def combine_per_key_with(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A product modulo a prime, which no aggregate of Spark computes."""
+    pairs = table(spark, sf_dir, "events").select("event_type", (F.col("event_id") % 997 + 1).alias("v"))
+    return combine.combine_per_key_with(pairs, "event_type", "v", lambda a, b: a * b % 1_000_003)
 
 
 @query
@@ -189,12 +199,11 @@ def distinct_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def schema_map(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The ids in use mapped to their schemas as one map, listed entry by entry."""
+    """The ids in use mapped to their schemas, entry by entry."""
     ids = written(distinct_keys(spark, sf_dir), "schema-ids")
     known = F.when(F.col("schema_id").isin(0, 1), F.concat(F.lit("schema-"), F.col("schema_id").cast("string")))
     named = ids.select("schema_id", F.coalesce(known, F.raise_error(F.lit("unknown schema id"))).alias("schema_name"))
-    entries = lookup.as_map(named, "schema_id", "schema_name")
-    return entries.select(F.explode("entries").alias("schema_id", "schema_name"))
+    return lookup.map_entries(named, "schema_id", "schema_name")
 
 
 # Audits
@@ -304,8 +313,8 @@ def days_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
 def topic_window_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_dir(spark, "topic-windows")
     records = topic_log(table(spark, sf_dir, "events"), F.col("props"))
-    jobs.land_topics(records, path, window="1 day", time="timestamp")
-    return audit.rows_per(files.read_text_lines(spark, path, schemas.TOPIC_LINE), "topic", "window_start")
+    jobs.land_topics(records, path, window="10 seconds", time="timestamp")
+    return audit.rows_per(files.read_json_lines(spark, path, schemas.TOPIC_LINE), "topic", "window_start")
 
 
 @query
@@ -344,8 +353,8 @@ def _shard_stream(spark: SparkSession, work: str) -> DataFrame:
 
 
 def _land(records: DataFrame, work: str, **options) -> None:
-    """Catch up with a shard log; long windows keep the number of folders small."""
-    options = {"window": "10 days", "time": "approximate_arrival_timestamp"} | options
+    """Catch up with a shard log in windows of sixty seconds of arrival time."""
+    options = {"window": "60 seconds", "time": "approximate_arrival_timestamp", "together": True} | options
     jobs.land_shards(
         records, f"{work}/out", f"{work}/checkpoint", trigger=UNTIL_CAUGHT_UP, **options
     ).awaitTermination()
@@ -359,7 +368,7 @@ def _landed(spark: SparkSession, work: str) -> DataFrame:
 def stream_shard_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sixty-second windows of processing time, as the job runs by default."""
     _, work = _stage_shards(spark, sf_dir, "shard-events")
-    _land(_shard_stream(spark, work), work, window="60 seconds", time=None)
+    _land(_shard_stream(spark, work), work, time=None)
     return _landed(spark, work)
 
 
@@ -371,27 +380,20 @@ def stream_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
     source = stage(topic_log(events), f"{work}/log", events.count(), by_topic=True)
     records = log.read_log(spark, source, TOPICS, max_files_per_trigger=files_per_batch(spark, source))
     jobs.land_topics(
-        records, f"{work}/out", f"{work}/checkpoint", "10 days", "timestamp", trigger=UNTIL_CAUGHT_UP
+        records, f"{work}/out", f"{work}/checkpoint", "10 seconds", "timestamp", trigger=UNTIL_CAUGHT_UP
     ).awaitTermination()
-    return files.read_text_lines(spark, f"{work}/out", schemas.TOPIC_LINE).select("topic", "value")
+    return files.read_json_lines(spark, f"{work}/out", schemas.TOPIC_LINE).select("topic", "value")
 
 
 @query
 def stream_tap(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Record counts per topic as the running stream reported them, summed over its batches."""
+    """Record counts per topic as each micro-batch stored them, summed over the batches."""
     events = table(spark, sf_dir, "events")
     work = scratch_dir(spark, "tap")
     source = stage(topic_log(events), f"{work}/log", events.count())
-    topics = log.topic_list(TOPICS)
     records = log.read_log(spark, source, TOPICS, max_files_per_trigger=files_per_batch(spark, source))
-    tapped = metrics.tap(records, topics)
-    running = jobs.land_topics(
-        tapped, f"{work}/out", f"{work}/checkpoint", "30 days", "timestamp", trigger=UNTIL_CAUGHT_UP
-    )
-    running.awaitTermination()
-    reports = [p["observedMetrics"]["tap"].asDict() for p in running.recentProgress if p["numInputRows"]]
-    counts = [(topic, sum(r[f"n_{topic}"] for r in reports)) for topic in topics]
-    return spark.createDataFrame(counts, "topic string, n bigint")
+    metrics.record(records, f"{work}/metrics", f"{work}/checkpoint", UNTIL_CAUGHT_UP).awaitTermination()
+    return metrics.recorded(spark, f"{work}/metrics").groupBy("topic").agg(F.sum("n").alias("n"))
 
 
 @query
@@ -406,7 +408,7 @@ def stream_by_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
         registry,
         f"{work}/out",
         "id",
-        window="5 days",
+        window="60 seconds",
         time=time,
         checkpoint=f"{work}/checkpoint",
         trigger=UNTIL_CAUGHT_UP,
@@ -418,7 +420,7 @@ def stream_by_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_admission(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A bounded number of files per micro-batch, audited."""
     events, work = _stage_shards(spark, sf_dir, "admission")
-    _land(_shard_stream(spark, work), work, window=None)
+    _land(_shard_stream(spark, work), work)
     return audit.exactly_once(_landed(spark, work), event_ids(events))
 
 
@@ -462,7 +464,7 @@ def stream_start_at_timestamp(spark: SparkSession, sf_dir: str) -> DataFrame:
         f"{work}/start",
         timestamp="approximate_arrival_timestamp",
     )
-    _land(records, work, window=None)
+    _land(records, work)
     return _landed(spark, work).select("id")
 
 

@@ -61,5 +61,5 @@ TOPIC_LINE = T.StructType(
 )
 
 SCHEMA_ID_ROW = T.StructType(
-    [T.StructField("my_int", T.IntegerType()), T.StructField("p_schema_id", T.IntegerType())]
+    [T.StructField("my_int", T.LongType()), T.StructField("p_schema_id", T.IntegerType())]
 )

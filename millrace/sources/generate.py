@@ -28,9 +28,12 @@ def paced_sequence(spark: SparkSession, n: int, per_second: int, partitions: int
     return reader.load().where(F.col("value") < n).select(F.col("value").alias("id"), "timestamp")
 
 
-def run_to_end(query: StreamingQuery, n: int, timeout: float = 600.0) -> None:
-    """Stop a query over :func:`paced_sequence` after the batch that holds id n - 1 is committed."""
-    deadline = time.monotonic() + timeout
+def run_to_end(query: StreamingQuery, n: int, timeout: float | None = None) -> None:
+    """Stop a query over :func:`paced_sequence` after the batch that holds id n - 1 is committed.
+
+    Waits as long as the query runs, unless a ``timeout`` in seconds is given.
+    """
+    deadline = time.monotonic() + (float("inf") if timeout is None else timeout)
     try:
         while time.monotonic() < deadline:
             if query.exception() is not None:

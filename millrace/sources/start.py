@@ -37,7 +37,7 @@ class StartPosition:
 
     @classmethod
     def parse(cls, mode: str = LATEST, start_ts: str | None = None) -> StartPosition:
-        """From configuration text; the timestamp looks like ``2007-12-03T10:15:30.00Z``."""
+        """From configuration text; the timestamp looks like ``2024-02-01T06:00:00.00Z``."""
         if start_ts is None:
             return cls(mode)
         when = datetime.fromisoformat(start_ts)

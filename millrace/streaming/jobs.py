@@ -20,6 +20,22 @@ from millrace.functions import keys, text
 from millrace.operators import envelope, filters, lookup, windows
 from millrace.sinks.files import by_destination, write_files
 
+# Characters of a window's label that name its folder.
+FOLDERS = {"day": len("2024-01-31"), "hour": len("2024-01-31T23")}
+
+
+def _in_folders(rows: DataFrame, window: str, time: str | None, folder: str) -> tuple[DataFrame, str]:
+    """``window_start`` for each row, and the column of days or hours that names its folder."""
+    if folder not in FOLDERS:
+        raise ValueError(f"folder must be one of {tuple(FOLDERS)}, not {folder!r}")
+    rows = windows.with_window_label(rows, window, time)
+    return rows.withColumn(f"window_{folder}", F.substring("window_start", 1, FOLDERS[folder])), f"window_{folder}"
+
+
+def _in_order(rows: DataFrame, folders: list[str]) -> DataFrame:
+    """Files of a batch landing are sorted by window, so that a reader skips row groups; a stream keeps its order."""
+    return rows if rows.isStreaming else rows.sortWithinPartitions(*folders, "window_start")
+
 
 def land_shards(
     records: DataFrame,
@@ -30,23 +46,28 @@ def land_shards(
     run_id: str | None = None,
     mode: str = "FAILFAST",
     together: bool = False,
+    folder: str = "day",
     trigger: Mapping | None = None,
     save_mode: str = "errorifexists",
 ) -> StreamingQuery | None:
-    """Decode shard records into Snappy Parquet, one folder per window.
+    """Decode shard records into Snappy Parquet with their window, one folder per day or hour of windows.
 
-    ``window=None`` writes without windows. With ``together`` a window's rows are brought
-    together first: fewer files for one shuffle.
+    The window is the column ``window_start``: however short windows are, files number days
+    or hours times writers. ``window=None`` writes without windows. With ``together`` a
+    folder's rows are brought together first: fewer files for one shuffle.
     """
     events = envelope.consumed_events(records, mode, keep=(time,) if time else ())
     folders = []
     if run_id:
         events, folders = events.withColumn("run_id", F.lit(run_id)), ["run_id"]
     if window:
-        events, folders = windows.with_window_label(events, window, time), [*folders, "window_start"]
-    events = events.select("id", "shard_id", *folders)
+        events, name = _in_folders(events, window, time, folder)
+        folders = [*folders, name]
+    events = events.select("id", "shard_id", *(["window_start"] if window else []), *folders)
     if together and folders:
         events = by_destination(events, folders)
+    if window:
+        events = _in_order(events, folders)
     return write_files(
         events, path, "parquet", folders, checkpoint, trigger, save_mode, options={"compression": "snappy"}
     )
@@ -60,20 +81,30 @@ def land_topics(
     time: str | None = None,
     together: bool = True,
     observe_as: str | None = "land_topics",
+    fmt: str = "json",
+    folder: str = "day",
     trigger: Mapping | None = None,
     save_mode: str = "errorifexists",
 ) -> StreamingQuery | None:
-    """Record values as text lines, one folder per topic and window; empty values are left out.
+    """Record values with their window, one folder per topic and day or hour; empty values are left out.
 
-    Topics by windows make many folders, so rows of a folder are brought together by default.
+    Each record is one line of JSON, ``value`` and ``window_start``, whatever line breaks the
+    value holds; ``fmt="parquet"`` holds the same columns. ``fmt="text"`` writes bare values,
+    one folder per topic and window: a value with line breaks is read back as several
+    lines, and short windows over many topics make many small files. Rows of a folder are
+    brought together by default.
     """
     observe_as = observe_as if log.isStreaming else None
     lines = filters.drop_empty(log, "value", observe_as)
-    lines = windows.with_window_label(lines, window, time)
-    lines = lines.select(text.utf8("value").alias("value"), "topic", "window_start")
+    lines, name = _in_folders(lines, window, time, folder)
+    folders = ["topic", "window_start" if fmt == "text" else name]
+    lines = lines.select(text.utf8("value").alias("value"), "topic", "window_start", name)
     if together:
-        lines = by_destination(lines, ["topic", "window_start"])
-    return write_files(lines, path, "text", ["topic", "window_start"], checkpoint, trigger, save_mode)
+        lines = by_destination(lines, folders)
+    lines = _in_order(lines, folders)
+    if fmt == "text":
+        lines = lines.drop(name)
+    return write_files(lines, path, fmt, folders, checkpoint, trigger, save_mode)
 
 
 def land_days(
@@ -105,28 +136,33 @@ def land_by_schema(
     fmt: str = "parquet",
     window: str | None = None,
     time: str | None = None,
+    folder: str = "day",
     checkpoint: str | None = None,
     trigger: Mapping | None = None,
     save_mode: str = "errorifexists",
 ) -> StreamingQuery | None:
     """Records of the schema that each element's id points to, one folder per schema id.
 
-    Works with and without windows. An element whose schema is unknown fails the job.
+    With a window, ``window_start`` is a column and folders are days or hours below the id. An element whose schema is unknown fails the job.
     """
     rows = schema_records(elements, registry, element, n_schemas, keep=(time,) if time else ())
     folders = ["p_schema_id"]
     if window:
-        rows, folders = windows.with_window_label(rows, window, time), [*folders, "window_start"]
-    rows = by_destination(rows.select("my_int", *folders), folders, num_shards, ["my_int"])
+        rows, name = _in_folders(rows, window, time, folder)
+        folders = [*folders, name]
+    rows = rows.select("my_int", *(["window_start"] if window else []), *folders)
+    rows = by_destination(rows, folders, num_shards, ["my_int"])
+    if window:
+        rows = _in_order(rows, folders)
     return write_files(rows, path, fmt, folders, checkpoint, trigger, save_mode)
 
 
 def schema_records(
     elements: DataFrame, registry: DataFrame, element: str = "element", n_schemas: int = 2, keep: tuple[str, ...] = ()
 ) -> DataFrame:
-    """(my_int, p_schema_id, schema) of each element, its schema looked up by id."""
+    """(my_int, p_schema_id, schema) of each element, its schema looked up by id; elements keep their type."""
     keyed = elements.withColumn("schema_id", keys.bucket(element, n_schemas).cast("int"))
     found = lookup.with_schema(keyed, registry)
     return found.select(
-        F.col(element).cast("int").alias("my_int"), F.col("schema_id").alias("p_schema_id"), "schema", *keep
+        F.col(element).alias("my_int"), F.col("schema_id").alias("p_schema_id"), "schema", *keep
     )

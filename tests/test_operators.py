@@ -109,11 +109,14 @@ def test_registry_with_a_repeated_id(spark):
 
 
 def test_map_of_pairs(spark):
-    assert lookup.as_map(registry(spark), "schema_id", "schema").first().entries == {0: "even", 1: "odd"}
-    with pytest.raises(ValueError, match="more than once"):
-        lookup.as_map(registry(spark, REGISTRY + [(0, "x")]), "schema_id", "schema")
-    with pytest.raises(ValueError, match="too many"):
-        lookup.as_map(registry(spark), "schema_id", "schema", max_entries=1)
+    assert dict(lookup.map_entries(registry(spark), "schema_id", "schema").collect()) == {0: "even", 1: "odd"}
+    for wrong in ((0, "x"), (None, "x")):
+        entries = lookup.map_entries(registry(spark, [*REGISTRY, wrong]), "schema_id", "schema")
+        for columns in (["schema_id"], ["schema"]):
+            with pytest.raises(PySparkException, match="null or occurs more than once"):
+                entries.select(*columns).collect()
+    plan = lookup.map_entries(registry(spark), "schema_id", "schema")._jdf.queryExecution().executedPlan().toString()
+    assert "SinglePartition" not in plan
 
 
 # Combining
@@ -122,8 +125,14 @@ def test_map_of_pairs(spark):
 def test_combine_per_key(spark, rows):
     df = spark.range(10).select((F.col("id") % 2).alias("k"), F.col("id").alias("v"))
     assert rows(combine.combine_per_key(df, "k", "v", F.max)) == [(0, 8), (1, 9)]
-    assert rows(combine.combine_per_key_with(df, "k", "v", lambda a, b: a ^ b)) == [(0, 0 ^ 2 ^ 4 ^ 6 ^ 8), (1, 1 ^ 3 ^ 5 ^ 7 ^ 9)]
-    assert rows(combine.combine_per_key_with(df.withColumn("v", F.lit(0)), "k", "v", lambda a, b: 0)) == [(0, 0), (1, 0)]
+    for width in (2, 3, 10_000):
+        mixed = combine.combine_per_key_with(df, "k", "v", lambda a, b: a.bitwiseXOR(b), width)
+        assert rows(mixed) == [(0, 0 ^ 2 ^ 4 ^ 6 ^ 8), (1, 1 ^ 3 ^ 5 ^ 7 ^ 9)]
+    holes = spark.createDataFrame([("a", None), ("a", 6), ("a", 7), ("b", None), (None, 5)], "k string, v int")
+    product = combine.combine_per_key_with(holes, "k", "v", lambda a, b: a * b)
+    assert rows(product) == sorted([("a", 42), ("b", None), (None, 5)], key=repr)
+    assert product.schema["v"].dataType == holes.schema["v"].dataType
+    assert combine.combine_per_key_with(holes.limit(0), "k", "v", lambda a, b: a * b).count() == 0
     assert rows(combine.distinct_keys(df, "k")) == [(0,), (1,)]
 
 

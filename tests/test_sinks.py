@@ -24,17 +24,17 @@ def part_files(path):
 
 
 def registry(spark):
-    schema = '{"type": "record", "name": "Row", "fields": [{"name": "my_int", "type": "int"}]}'
-    return spark.createDataFrame([(0, schema), (1, schema)], "schema_id int, schema string")
+    of = '{"type": "record", "name": "%s", "fields": [{"name": "my_int", "type": "%s"}]}'
+    return spark.createDataFrame([(0, of % ("Even", "long")), (1, of % ("Odd", "int"))], "schema_id int, schema string")
 
 
-@pytest.mark.parametrize("window", [None, "5 seconds"])
+@pytest.mark.parametrize("window", [None, "2 minutes"])
 def test_one_file_per_schema_id_with_and_without_windows(spark, tmp_path, rows, window):
-    path = str(tmp_path / "main")
-    elements = spark.createDataFrame([(i,) for i in range(1, 6)], "element int").repartition(4)
+    path = str(tmp_path / "landed")
+    elements = spark.createDataFrame([(60,), (17,), (2**31 + 4,), (90_001,)], "element long").repartition(3)
     jobs.land_by_schema(elements, registry(spark), path, window=window)
     landed = files.read_parquet(spark, path, schemas.SCHEMA_ID_ROW)
-    assert rows(landed, "my_int", "p_schema_id") == [(1, 1), (2, 0), (3, 1), (4, 0), (5, 1)]
+    assert rows(landed, "my_int", "p_schema_id") == [(17, 1), (2**31 + 4, 0), (60, 0), (90_001, 1)]
     found = part_files(path)
     assert len(found) == 2 and all(len(parts) == 1 for parts in found.values())
     assert {folder.split("/")[0] for folder in found} == {"p_schema_id=0", "p_schema_id=1"}
@@ -91,11 +91,37 @@ def test_topics_land_as_lines_in_their_own_folders(spark, tmp_path):
     found = part_files(path)
     assert set(f.split("/")[0] for f in found) == {"topic=raw", "topic=raw2"}
     # 40 seconds from 1700000000, which is on a window edge.
-    assert {f.split("window_start=")[1] for f in found} == {f"2023-11-14T22-13-{s}" for s in (20, 30, 40, 50)}
+    assert set(found) == {f"topic={t}/window_day=2023-11-14" for t in ("raw", "raw2")}
+    starts = files.read_json_lines(spark, path, schemas.TOPIC_LINE).select("window_start").distinct().collect()
+    assert {r.window_start for r in starts} == {f"2023-11-14T22-13-{s}" for s in (20, 30, 40, 50)}
     assert not any(":" in name for folder, names in found.items() for name in [folder, *names])
-    only_raw = spark.read.schema("id bigint").json(f"{path}/topic=raw")
+    only_raw = spark.read.schema("value string").json(f"{path}/topic=raw")
+    only_raw = only_raw.selectExpr("cast(get_json_object(value, '$.id') as bigint) as id")
     assert sorted(r.id for r in only_raw.collect()) == [i for i in range(0, 40, 2) if i % 10 != 8]
     assert all(open(os.path.join(path, d, f)).read().strip() for d, names in found.items() for f in names)
+    text_path = str(tmp_path / "text")
+    jobs.land_topics(topic_log(spark), text_path, time="timestamp", fmt="text")
+    assert {f.split("window_start=")[1] for f in part_files(text_path)} == {f"2023-11-14T22-13-{s}" for s in (20, 30, 40, 50)}
+
+
+def test_line_breaks_stay_within_a_record(spark, tmp_path):
+    values = ["one", "two\nlines", "\r\n", 'a "quoted"\n\nend\n']
+    records = spark.createDataFrame(list(enumerate(values)), "id long, v string")
+    jobs.land_topics(envelope.to_log(records, F.lit("raw"), F.col("v"), F.col("id")), str(tmp_path / "out"))
+    landed = files.read_json_lines(spark, str(tmp_path / "out"), schemas.TOPIC_LINE)
+    assert sorted(r.value for r in landed.collect()) == sorted(values)
+
+
+def test_short_windows_make_no_more_folders_than_days(spark, tmp_path):
+    at = F.timestamp_seconds(F.lit(1700000000) + F.col("id") * 60)
+    log_ = envelope.to_log(spark.range(3000), F.lit("raw"), F.col("id").cast("string"), F.col("id"), timestamp=at)
+    jobs.land_topics(log_, str(tmp_path / "days"), "10 seconds", "timestamp")
+    jobs.land_topics(log_, str(tmp_path / "hours"), "10 seconds", "timestamp", folder="hour")
+    assert len(part_files(tmp_path / "days")) == 3 and len(part_files(tmp_path / "hours")) == 51
+    landed = files.read_json_lines(spark, str(tmp_path / "hours"), schemas.TOPIC_LINE)
+    assert landed.select("window_start").distinct().count() == 3000
+    with pytest.raises(ValueError, match="folder"):
+        jobs.land_topics(log_, str(tmp_path / "no"), "10 seconds", "timestamp", folder="week")
 
 
 def test_days(spark, tmp_path, rows):
@@ -131,7 +157,7 @@ def test_run_id_and_window_name_the_folder(spark, tmp_path):
     path = str(tmp_path / "out")
     jobs.land_shards(shard_records(spark), path, run_id="abcde", together=True)
     (folder,) = part_files(path)
-    assert re.fullmatch(r"run_id=abcde/window_start=\d{4}-\d\d-\d\dT\d\d-\d\d-00", folder)
+    assert re.fullmatch(r"run_id=abcde/window_day=\d{4}-\d\d-\d\d", folder)
 
 
 def test_landing_twice_on_one_path_is_refused_unless_appending(spark, tmp_path):

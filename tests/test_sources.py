@@ -11,12 +11,7 @@ from millrace.sources import files, generate, jdbc, log
 from millrace.sources.start import AT_TIMESTAMP, LATEST, TRIM_HORIZON, StartPosition
 from millrace.streaming import jobs
 
-# Keyed lines, odd ids under key 1 and even ids under key 2.
-KEYED_LINES = [
-    '2:{"day": "2023-04-10", "id": 2}',
-    '1:{"day": "2023-04-10", "id": 1}',
-    '1:{"day": "2023-04-09", "id": 3}',
-]
+KEYED_LINES = ["north:left at dawn", "south:ratio 3:4", "north:", "east: spaced "]
 
 
 def test_sequence(spark):
@@ -41,18 +36,17 @@ def test_paced_sequence_ends_with_its_last_id(spark, tmp_path):
 
 
 def test_keyed_json_lines_by_day(spark, tmp_path, rows):
-    """Fifteen lines, odd ids under key 1 and even under key 2, loaded as records and landed by day."""
-    later = {1, *range(2, 16, 2)}
-    lines = [
-        '%d:{"day": "2023-04-%s", "id": %d}' % (1 if i % 2 else 2, "10" if i in later else "09", i) for i in range(1, 16)
-    ]
+    """Two files of lines, one value without a day and one that is no JSON, loaded as records and landed by day."""
     (tmp_path / "lines").mkdir()
-    (tmp_path / "lines" / "a.txt").write_text("\n".join(lines) + "\n")
+    leap = ['pump:{"id": %d, "day": "2020-02-29"}' % n for n in (700, 40, 5)]
+    rest = ['valve:{"day": "2021-12-31", "id": 81, "unit": "bar"}', 'valve:{"id": 6}', "pump:not json"]
+    (tmp_path / "lines" / "first.txt").write_text("\n".join(leap) + "\n")
+    (tmp_path / "lines" / "second.txt").write_text("\n".join(rest) + "\n")
     records = files.keyed_lines(files.read_text_lines(spark, str(tmp_path / "lines")))
     jobs.land_days(records, str(tmp_path / "out"))
     landed = files.read_parquet(spark, str(tmp_path / "out"), schemas.DAY_EVENT)
-    assert rows(landed.groupBy("day").count()) == [("2023-04-09", 7), ("2023-04-10", 8)]
-    assert rows(landed.where("key = '1'"), "id") == sorted(((i,) for i in range(1, 16, 2)), key=repr)
+    assert rows(landed.groupBy("day").count()) == sorted([("2020-02-29", 3), ("2021-12-31", 1), (None, 2)], key=repr)
+    assert rows(landed.where("key = 'valve'"), "id") == sorted([(81,), (6,)], key=repr)
 
 
 def test_keyed_lines(spark, tmp_path, rows):
@@ -107,7 +101,7 @@ def test_log_streams_a_bounded_number_of_files_at_a_time(spark, tmp_path):
 
 
 def test_kafka_options():
-    start = StartPosition.parse(AT_TIMESTAMP, "2007-12-03T10:15:30.00Z")
+    start = StartPosition.parse(AT_TIMESTAMP, "2024-02-01T06:00:00.00Z")
     got = log.kafka_options(
         "b:9092",
         "raw, raw2",
@@ -119,7 +113,7 @@ def test_kafka_options():
     assert got == {
         "kafka.bootstrap.servers": "b:9092",
         "subscribe": "raw,raw2",
-        "startingTimestamp": "1196676930000",
+        "startingTimestamp": "1706767200000",
         "startingOffsetsByTimestampStrategy": "latest",
         "kafka.group.id": "g",
         "kafka.security.protocol": "SSL",
@@ -139,9 +133,9 @@ def test_kafka_options():
 
 def test_start_position_text():
     assert StartPosition.parse() == StartPosition(LATEST)
-    when = StartPosition.parse(AT_TIMESTAMP, "2007-12-03T10:15:30.00Z").start_ts
-    assert when == datetime(2007, 12, 3, 10, 15, 30, tzinfo=timezone.utc)
-    for bad in (("EARLIEST", None), (AT_TIMESTAMP, None), (LATEST, "2007-12-03T10:15:30Z")):
+    when = StartPosition.parse(AT_TIMESTAMP, "2024-02-01T06:00:00.00Z").start_ts
+    assert when == datetime(2024, 2, 1, 6, 0, 0, tzinfo=timezone.utc)
+    for bad in (("EARLIEST", None), (AT_TIMESTAMP, None), (LATEST, "2024-02-01T06:00:00Z")):
         with pytest.raises(ValueError):
             StartPosition.parse(*bad)
 

@@ -121,7 +121,7 @@ from millrace.streaming import jobs
 spark = local_session(int(sys.argv[3]))
 work = sys.argv[2]
 records = log.read_log(spark, work + "/log", "raw,raw2", max_files_per_trigger=2)
-jobs.land_topics(records, work + "/out", work + "/ck", trigger=UNTIL_CAUGHT_UP).awaitTermination()
+jobs.land_topics(records, work + "/out", work + "/ck", fmt="text", trigger=UNTIL_CAUGHT_UP).awaitTermination()
 spark.stop()
 """
 
@@ -260,11 +260,25 @@ def test_topics_stream_reports_and_drops_empty_values(spark, tmp_path, rows):
     seen = [p["observedMetrics"] for p in query.recentProgress if p["numInputRows"]]
     assert [tuple(m["tap"]) for m in seen] == [(50, 50, 5, 25, 25)] * 2
     assert [tuple(m["land_topics"]) for m in seen] == [(50, 5)] * 2
-    landed = files.read_text_lines(spark, f"{tmp_path}/out", schemas.TOPIC_LINE)
+    landed = files.read_json_lines(spark, f"{tmp_path}/out", schemas.TOPIC_LINE)
     assert rows(landed.groupBy("topic").count()) == [("raw", 40), ("raw2", 50)]
     assert landed.where("value = ''").count() == 0
 
 
+def test_recorded_metrics_are_exact_however_little_the_stream_remembers(spark, tmp_path, rows):
+    value = F.when(F.col("id") % 10 != 0, text.id_json("id"))
+    append_log(envelope.to_log(spark.range(0, 70, 1, 1), F.lit("raw"), value, F.col("id")), f"{tmp_path}/log", max_records_per_file=10)
+    kept = spark.conf.get("spark.sql.streaming.numRecentProgressUpdates")
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "2")
+    try:
+        for _ in range(2):  # the second run finds nothing new and repeats nothing
+            stream = log.read_log(spark, f"{tmp_path}/log", "raw", max_files_per_trigger=1)
+            metrics.record(stream, f"{tmp_path}/metrics", f"{tmp_path}/ck", UNTIL_CAUGHT_UP).awaitTermination()
+    finally:
+        spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", kept)
+    assert rows(metrics.recorded(spark, f"{tmp_path}/metrics")) == [("raw", 0, 70, 70, 7)]
+
+
 def test_producer_to_files_and_back(spark, tmp_path):
     """A paced producer fills a log that the topic job lands: nothing lost, nothing twice."""
     n = 60
@@ -276,6 +290,6 @@ def test_producer_to_files_and_back(spark, tmp_path):
         log.read_log(spark, f"{tmp_path}/log", "raw"), f"{tmp_path}/out", f"{tmp_path}/ck", trigger=UNTIL_CAUGHT_UP
     )
     consumer.awaitTermination()
-    lines = files.read_text_lines(spark, f"{tmp_path}/out", schemas.TOPIC_LINE)
+    lines = files.read_json_lines(spark, f"{tmp_path}/out", schemas.TOPIC_LINE)
     landed = lines.select(text.from_json_text("value", "id bigint").alias("j")).select("j.id")
     assert audit.exactly_once(landed, generate.sequence(spark, n)).first().asDict() == clean(n)
