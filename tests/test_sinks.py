@@ -115,13 +115,13 @@ def test_line_breaks_stay_within_a_record(spark, tmp_path):
 def test_short_windows_make_no_more_folders_than_days(spark, tmp_path):
     at = F.timestamp_seconds(F.lit(1700000000) + F.col("id") * 60)
     log_ = envelope.to_log(spark.range(3000), F.lit("raw"), F.col("id").cast("string"), F.col("id"), timestamp=at)
-    jobs.land_topics(log_, str(tmp_path / "days"), "10 seconds", "timestamp")
-    jobs.land_topics(log_, str(tmp_path / "hours"), "10 seconds", "timestamp", folder="hour")
-    assert len(part_files(tmp_path / "days")) == 3 and len(part_files(tmp_path / "hours")) == 51
+    jobs.land_topics(log_, str(tmp_path / "days"), window="10 seconds", time="timestamp")
+    jobs.land_topics(log_, str(tmp_path / "hours"), window="10 seconds", time="timestamp", folder="hour")
+    assert len(part_files(tmp_path / "days")) == 4 and len(part_files(tmp_path / "hours")) == 51
     landed = files.read_json_lines(spark, str(tmp_path / "hours"), schemas.TOPIC_LINE)
     assert landed.select("window_start").distinct().count() == 3000
     with pytest.raises(ValueError, match="folder"):
-        jobs.land_topics(log_, str(tmp_path / "no"), "10 seconds", "timestamp", folder="week")
+        jobs.land_topics(log_, str(tmp_path / "no"), window="10 seconds", time="timestamp", folder="week")
 
 
 def test_days(spark, tmp_path, rows):
