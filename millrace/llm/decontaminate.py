@@ -24,9 +24,11 @@ class Hashes:
     """64-bit hashes of the words of a text, all at once: a polynomial of each word's bytes, from prefix sums.
 
     Words are runs of letters and digits in lower case; every byte of a character beyond ASCII counts as a letter.
+    ``letter`` says of each byte whether it belongs to a word.
     """
 
-    def __init__(self) -> None:
+    def __init__(self, letter: np.ndarray = LETTER) -> None:
+        self.letter = letter
         self.powers, self.inverse = np.ones(1, np.uint64), np.ones(1, np.uint64)
 
     def of(self, text: str | None) -> np.ndarray:
@@ -36,7 +38,7 @@ class Hashes:
             self.powers = np.cumprod(np.full(2 * n + 1, BASE, np.uint64)) * UNBASE
             self.inverse = np.cumprod(np.full(2 * n + 1, UNBASE, np.uint64)) * BASE
         inside = np.zeros(n + 2, bool)
-        inside[1:-1] = LETTER[raw]
+        inside[1:-1] = self.letter[raw]
         edges = np.flatnonzero(inside[1:] != inside[:-1])
         starts, ends = edges[::2], edges[1::2]
         sums = np.zeros(n + 1, np.uint64)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 from itertools import combinations
@@ -13,12 +14,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.common import components, lower_ascii, table
+from millrace.llm.decontaminate import Hashes, shingles
 from millrace.session import written
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOW = 0x5555555555555555
 #: Cells with more members are linked through the values one bit away instead of pair by pair; no link is lost.
 FEW = 24
+#: Bits of a hash by which shingles are counted, for their order only.
+BUCKETS = 18
 
 
 def fingerprint(text: str | None, width: int = 3) -> int:
@@ -110,16 +114,114 @@ def op4_simhash(spark, sf_dir):
 
 
 
+class Shingles:
+    """The sorted different hashes of all runs of ``width`` words; a shorter text is one shingle, an empty one too."""
 
-def one_of_each(docs: DataFrame, width: int = 3) -> DataFrame:
+    def __init__(self, width: int = 5):
+        self.width, self.hashes = width, Hashes(np.array([c != 32 and not 9 <= c <= 13 for c in range(256)]))
+
+    def of(self, text: str | None) -> np.ndarray:
+        words = self.hashes.of(text)
+        return np.unique(shingles(words, min(self.width, len(words))))
+
+
+def jaccard(a: np.ndarray, b: np.ndarray) -> float:
+    both = len(np.intersect1d(a, b, assume_unique=True))
+    return both / (len(a) + len(b) - both)
+
+
+def _bucket(h: np.ndarray) -> np.ndarray:
+    return (h >> np.uint64(64 - BUCKETS)).astype(np.int64)
+
+
+def shingle_order(docs: DataFrame, width: int = 5) -> np.ndarray:
+    """How often the shingles of each bucket of hashes occur; it orders shingles alike for all texts, seldom ones first."""
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        of, total = Shingles(width).of, np.zeros(1 << BUCKETS, np.int64)
+        for batch in batches:
+            for text in batch["text"]:
+                np.add.at(total, _bucket(of(text)), 1)
+        at = np.flatnonzero(total)
+        yield pd.DataFrame({"bucket": at, "n": total[at]})
+
+    out = np.zeros(1 << BUCKETS, np.int64)
+    for r in docs.select("text").mapInPandas(count, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toLocalIterator():
+        out[r["bucket"]] = r["n"]
+    return out
+
+
+def with_prefixes(rows: DataFrame, least: float, width: int = 5) -> DataFrame:
+    """``_row``, ``key`` (equal for equal sets of shingles), ``size`` and ``prefix``.
+
+    Two sets of similarity ``least`` or more share one shingle of their prefixes at least, whatever the common order.
+    """
+    shared = rows.sparkSession.sparkContext.broadcast(shingle_order(rows, width))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        of, often = Shingles(width).of, shared.value
+        for batch in batches:
+            out = []
+            for row, text in zip(batch["_row"], batch["text"], strict=True):
+                h = of(text)
+                first = h[np.lexsort((h, often[_bucket(h)]))[: len(h) - math.ceil(least * len(h) - 1e-9) + 1]]
+                out.append((row, xxhash.xxh128_digest(h.tobytes()), len(h), first.view(np.int64)))
+            yield pd.DataFrame(out, columns=["_row", "key", "size", "prefix"])
+
+    return rows.select("_row", "text").mapInPandas(run, "_row long, key binary, size long, prefix array<long>")
+
+
+def similar(pairs: DataFrame, rows: DataFrame, least: float, width: int = 5) -> DataFrame:
+    """The pairs of rows ``(a, b)`` whose texts have similarity ``least`` or more: exact, over all their shingles."""
+    needed = written(pairs.select(F.col("a").alias("_row")).unionByName(pairs.select(F.col("b").alias("_row"))).distinct(), "needed")
+    texts = written(rows.select("_row", "text").join(needed, "_row", "left_semi"), "texts")
+    both = pairs.join(texts.toDF("a", "ta"), "a").join(texts.toDF("b", "tb"), "b")
+
+    @F.pandas_udf("boolean")
+    def close(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        of = Shingles(width).of
+        for left, right in batches:
+            yield pd.Series([jaccard(of(x), of(y)) >= least for x, y in zip(left, right, strict=True)], dtype=bool)
+
+    return both.where(close("ta", "tb")).select("a", "b")
+
+
+def similar_links(prints: DataFrame, rows: DataFrame, least: float = 0.8, width: int = 5) -> DataFrame:
+    """Links ``(a, b)`` whose closure joins exactly the rows of similarity ``least`` or more, from one row of each ``key``.
+
+    Rows with a shingle of their prefixes in common form a cell. First all are compared with the smallest of their
+    cell, so that a large group of near copies is joined by as many pairs as it has members. Then only rows of a cell
+    that are not joined yet are compared with each other.
+    """
+    entries = written(prints.select(F.col("_row").alias("r"), "size", F.explode("prefix").alias("cell")), "entries")
+    leaders = entries.groupBy("cell").agg(F.min(F.struct("r", "size")).alias("leader"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    cells = written(entries.join(leaders, "cell"), "cells")
+    alike = lambda x, y: F.least(x, y) >= F.greatest(x, y) * least - 1e-9
+    stars = cells.where(F.col("r") != F.col("leader.r")).where(alike(F.col("size"), F.col("leader.size")))
+    first = written(similar(written(stars.select(F.col("leader.r").alias("a"), F.col("r").alias("b")).distinct(), "stars"), rows, least, width), "star_links")
+    heads = components(first).withColumnsRenamed({"id": "r"})
+    members = written(cells.drop("leader").join(heads, "r", "left").withColumn("head", F.coalesce("component", "r")).drop("component"), "members")
+    mixed = members.groupBy("cell").agg(F.min("head").alias("x"), F.max("head").alias("y")).where("x < y").select("cell")
+    members = written(members.join(mixed, "cell").select("cell", "r", "size", "head"), "mixed")
+    left, right = members.toDF("cell", "a", "sa", "ha"), members.toDF("cell", "b", "sb", "hb")
+    pairs = left.join(right, "cell").where("a < b and ha <> hb").where(alike(F.col("sa"), F.col("sb"))).select("a", "b").distinct()
+    pairs = written(pairs.join(cells.select(F.col("leader.r").alias("a"), F.col("r").alias("b")).distinct(), ["a", "b"], "left_anti"), "pairs")
+    return first.unionByName(similar(pairs, rows, least, width))
+
+
+def one_of_each(docs: DataFrame, least: float = 0.8, width: int = 5) -> DataFrame:
     """The rows of which one stays for each group of near duplicates: the smallest doc_id, null first.
 
-    Rows are numbered as they are written, so that repeated rows and ids stay apart; all columns are kept.
+    Texts are near duplicates if the similarity (Jaccard) of their ``width``-word shingles is ``least`` or more; groups
+    are closed over these links. No link is lost. Rows are numbered as they are written, so that repeated rows and ids
+    stay apart; all columns are kept.
     """
     rows = written(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
-    prints = written(with_fingerprint(rows.select(F.col("_row").alias("doc_id"), "text"), width).withColumnRenamed("doc_id", "_row"), "fingerprints")
-    heads = components(fingerprint_links(prints.select("fp").distinct())).withColumnsRenamed({"id": "fp", "component": "head"})
+    prints = written(with_prefixes(rows, least, width), "prefixes")
     first = F.struct(F.col("doc_id"), F.col("_row"))
-    ids = rows.select("_row", "doc_id").join(prints, "_row").groupBy("fp").agg(F.min(first).alias("first"))
-    kept = ids.join(heads, "fp", "left").groupBy(F.coalesce("head", "fp").alias("head")).agg(F.min("first").alias("first"))
+    ids = rows.select("_row", "doc_id").join(prints.select("_row", "key"), "_row").groupBy("key").agg(F.min(first).alias("first"), F.min("_row").alias("rep"))
+    ids = written(ids, "firsts")
+    alone = written(prints.join(ids.select(F.col("rep").alias("_row")), "_row", "left_semi"), "different")
+    heads = components(similar_links(alone, rows, least, width)).withColumnsRenamed({"id": "rep", "component": "head"})
+    kept = ids.join(heads, "rep", "left").groupBy(F.coalesce("head", "rep").alias("head")).agg(F.min("first").alias("first"))
     return rows.join(kept.select(F.col("first._row").alias("_row")), "_row", "left_semi").drop("_row")

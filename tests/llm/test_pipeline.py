@@ -1,5 +1,7 @@
 """The pipeline on the smallest tables: each stage's decisions take effect and clean documents stay."""
 
+import numpy as np
+
 import corpus_pipeline
 from millrace.llm import neardup
 from millrace.llm.common import table
@@ -22,3 +24,26 @@ def test_stages(spark):
     assert packed.select("doc_id").distinct().count() == docs.select("doc_id").distinct().count()
     full = packed.groupBy("sequence_id").sum("length").toDF("s", "n")
     assert full.where("n > 2048").count() == 0
+
+
+def test_near_copies_of_0_8(spark):
+    """One stays of each group by brute-force similarity of five-word shingles, planted copies from about 0.75 to 0.98 among them."""
+    draw = np.random.default_rng(6)
+    words = [f"w{k}" for k in range(3000)]
+    texts = [" ".join(draw.choice(words, int(n))) for n in draw.integers(100, 600, 40)]
+    for base in range(30):
+        for share in (0.005, 0.01, 0.02, 0.03):
+            w = texts[base].split()
+            for at in draw.permutation(len(w))[: max(1, int(share * len(w)))]:
+                w[at] = "new"
+            texts.append(" ".join(w))
+    texts += [texts[0]] * 30 + ["common words stand in all of these texts " + " ".join(draw.choice(words, 30)) for _ in range(40)]
+    sets = [{tuple(t.split()[k : k + 5]) for k in range(len(t.split()) - 4)} for t in texts]
+    label = list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            if len(sets[i] & sets[j]) / len(sets[i] | sets[j]) >= 0.8:
+                label = [min(label[i], label[j]) if x in (label[i], label[j]) else x for x in label]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    got = {r.doc_id for r in corpus_pipeline.drop_near_copies(spark, frame, SF).collect()}
+    assert got == set(label) and 80 < len(got) < len(texts) - 100
