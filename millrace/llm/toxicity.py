@@ -17,6 +17,8 @@ from millrace.llm.common import table
 WORD = re.compile(r"[^\W_]+")
 WINDOW, STEP = 32, 24
 GRAMS = 4096
+#: Longer runs of letters are words in pieces of this length, the next beginning ``LAP`` characters before the last ends.
+PIECE, LAP = 40, 10
 
 
 def windows(n: int) -> list[tuple[int, int]]:
@@ -28,12 +30,15 @@ def windows(n: int) -> list[tuple[int, int]]:
 
 
 def words_of(text: str | None) -> list[str]:
-    return WORD.findall((text or "").lower())
+    words = WORD.findall((text or "").lower())
+    if max(map(len, words), default=0) <= PIECE:
+        return words
+    return [w[s : s + PIECE] for w in words for s in range(0, max(1, len(w) - LAP), PIECE - LAP)]
 
 
 def grams_of(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Codes of three neighbouring bytes of ``<word>``, for all words in a row, and where each word's codes begin."""
-    raw = [f"<{w[:40]}>".encode("utf-8", "surrogatepass") for w in words]
+    raw = [f"<{w}>".encode("utf-8", "surrogatepass") for w in words]
     b = np.frombuffer(b"".join(raw), np.uint8).astype(np.int64)
     codes = (b[:-2] * 961 + b[1:-1] * 31 + b[2:] + (b[:-2] * b[2:]) * 7) % GRAMS
     ends = np.cumsum([len(x) for x in raw])
@@ -94,10 +99,12 @@ class Net:
         states = np.concatenate([self.unit(xf, mask, "f"), self.unit(xb, mask, "b")], axis=2)
         return self.pooled(states, mask)[1] @ self.p["w"] + self.p["b"][0]
 
-    def learn(self, ids: np.ndarray, grams: np.ndarray, share: np.ndarray, mask: np.ndarray, y: np.ndarray, rate: float) -> None:
-        """One Adam step. ids: words by step; grams, share: their character codes and weights."""
+    def learn(self, ids: np.ndarray, places: np.ndarray, grams: np.ndarray, counts: np.ndarray, mask: np.ndarray, y: np.ndarray, rate: float) -> None:
+        """One Adam step. ids: words by step; places: the real ones in a row; grams, counts: all their character codes, and how many each has."""
         p, H, g = self.p, self.hidden, {}
-        x = p["words"][ids] + np.einsum("tnk,tnkd->tnd", share, p["grams"][grams])
+        x = p["words"][ids]
+        means = np.add.reduceat(p["grams"][grams], np.cumsum(counts) - counts, axis=0) / counts[:, None]
+        x.reshape(-1, x.shape[2])[places] += means.astype(np.float32)
         kept: dict[str, list] = {"f": [], "b": []}
         states = np.concatenate([self.unit(x @ p[f"W{k}"] + p[f"c{k}"], mask, k, kept[k]) for k in "fb"], axis=2)
         a, c = self.pooled(states, mask)
@@ -125,7 +132,7 @@ class Net:
             dx += dall @ p[f"W{k}"].T
         g["words"], g["grams"] = np.zeros_like(p["words"]), np.zeros_like(p["grams"])
         np.add.at(g["words"], ids, dx)
-        np.add.at(g["grams"], grams, share[..., None] * dx[:, :, None, :])
+        np.add.at(g["grams"], grams, np.repeat(dx.reshape(-1, dx.shape[2])[places] / counts[:, None].astype(np.float32), counts, axis=0))
         self.steps += 1
         for k, grad in g.items():
             m, v = self.moments[k]
@@ -224,16 +231,17 @@ def train(texts: list[str], labels: list[int], negatives_per_positive: float = 1
     def inputs(chosen: list[tuple[int, int, int]]):
         n = len(chosen)
         ids, mask = np.zeros((WINDOW, n), np.int64), np.zeros((WINDOW, n), np.float32)
-        codes, share = np.zeros((WINDOW, n, 10), np.int64), np.zeros((WINDOW, n, 10), np.float32)
+        places, codes, counts = [], [], []
         for col, (k, s, e) in enumerate(chosen):
             for t, w in enumerate(words[k][s:e]):
                 if w not in grams:
                     grams[w] = grams_of([w])[0].tolist()
-                code = grams[w][:10]
                 ids[t, col], mask[t, col] = net.vocabulary.get(w, 0), 1
-                codes[t, col, : len(code)], share[t, col, : len(code)] = code, 1 / len(code)
+                places.append(t * n + col)
+                codes += grams[w]
+                counts.append(len(grams[w]))
         ids[draw.random(ids.shape) < 0.1] = 0
-        return ids, codes, share, mask, y[[k for k, _, _ in chosen]]
+        return ids, np.array(places), np.array(codes), np.array(counts), mask, y[[k for k, _, _ in chosen]]
 
     mine = [k for k in range(len(words)) if not aside[k] and words[k]]
     for epoch in range(epochs):

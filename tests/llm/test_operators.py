@@ -231,3 +231,20 @@ def test_toxicity(spark, empty):
     alone = toxicity.learned(frame, marks.where("false"))
     assert toxicity.with_toxicity(frame, alone, "_score").where(F.col("_score") >= 0.7).count() == 0
     assert toxicity.with_toxicity(empty.drop("score"), net).count() == 0
+
+
+def test_toxicity_reads_all_characters():
+    """Trigrams beyond the tenth are learned, and those beyond character 40 are scored, in pieces that leave none out."""
+    for n in (1, 40, 41, 70, 71, 500):
+        word = "".join(chr(0x4E00 + k) for k in range(n))
+        pieces = toxicity.words_of(word)
+        assert {word[k : k + 3] for k in range(n)} == {g for p in pieces for k in range(len(p)) if len(g := p[k : k + 3]) == min(3, n)} | {word[-2:], word[-1:]}
+        assert all(len(p) <= 40 for p in pieces)
+    draw = np.random.default_rng(8)
+    letters = list("abdefghijklmnoprstu")
+    stem = lambda: "unterhaltungs" + "".join(draw.choice(letters, 8))
+    texts = [" ".join(stem() + ("wqxy" if k % 2 and q % 3 == 0 else "") for q in range(25)) for k in range(300)]
+    net = toxicity.train(texts[:200], [k % 2 for k in range(200)])
+    got = toxicity.Scorer(net).scores(texts[200:])
+    assert sum((s >= 0.5) == k % 2 for k, s in enumerate(got)) >= 95
+    assert np.ptp(toxicity.Scorer(net).scores(["a" * 45 + "wqxy" * 5, "a" * 45 + "bcde" * 5])) > 0
