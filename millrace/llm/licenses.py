@@ -1,4 +1,4 @@
-"""License scans: exact containment join of text blocks with templates, beside fixed phrases."""
+"""License scans: exact containment join of word windows with templates, beside fixed phrases."""
 
 from __future__ import annotations
 
@@ -16,7 +16,7 @@ from millrace.llm.common import lower_ascii, table
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 # The base phrases and their labels.
 PHRASES = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
-#: Notices by label; a block that holds enough of a notice's words has its label.
+#: Notices by label; a window that holds enough of a notice's words has its label.
 TEMPLATES = {
     "apache-2.0": "licensed under the apache license version 2 0",
     "bsd": "redistribution and use in source and binary forms with or without modification are permitted",
@@ -29,38 +29,48 @@ FOUND = "n_words long, n_base long, first_word long, last_word long, base_labels
 
 
 class Templates:
-    """Templates as sets of words in order of frequency, rarest first."""
+    """Templates as sets of words in order of frequency, rarest first.
+
+    A template's window has its length over ``least``: as many words may stand between as may be missing.
+    """
 
     def __init__(self, templates: dict[str, str], counts: dict[str, int], least: float):
-        self.all = []
+        self.all: list[tuple[str, frozenset[str], int, int]] = []
+        self.first: dict[str, list[int]] = {}
         for label, text in sorted(templates.items()):
-            words = sorted(set(WORD.findall(lower_ascii(text))), key=lambda w: (counts.get(w, 0), w))
+            said = WORD.findall(lower_ascii(text))
+            words = sorted(set(said), key=lambda w: (counts.get(w, 0), w))
             if words:
                 need = math.ceil(least * len(words) - 1e-9)
-                self.all.append((label, words, need))
-        self.first: dict[str, list[int]] = {}
-        for k, (_, words, need) in enumerate(self.all):
-            for w in words[: len(words) - need + 1]:  # a block without any of these holds too few of the rest
-                self.first.setdefault(w, []).append(k)
-
-    def found(self, block: set[str]) -> Iterator[tuple[str, float]]:
-        for k in {k for w in block & self.first.keys() for k in self.first[w]}:
-            label, words, need = self.all[k]
-            if len(block) < need:
+                self.all.append((label, frozenset(words), need, math.ceil(len(said) / least - 1e-9)))
+                for w in words[: len(words) - need + 1]:  # a window without any of these holds too few of the rest
+                    self.first.setdefault(w, []).append(len(self.all) - 1)
+
+    def found(self, words: list[str]) -> Iterator[tuple[str, float]]:
+        """Labels with the largest share of their words in a window, if that is enough."""
+        have = set(words)
+        for k in {k for w in have & self.first.keys() for k in self.first[w]}:
+            label, wanted, need, span = self.all[k]
+            if len(wanted & have) < need:
                 continue
-            held = 0
-            for at, w in enumerate(words):
-                held += w in block
-                if held + len(words) - at - 1 < need:
-                    break
-            else:
-                yield label, held / len(words)
+            hits = [at for at, w in enumerate(words) if w in wanted]
+            held: Counter = Counter()
+            most, low = 0, 0
+            for at in hits:
+                held[words[at]] += 1
+                while hits[low] <= at - span:
+                    held[words[hits[low]]] -= 1
+                    if not held[words[hits[low]]]:
+                        del held[words[hits[low]]]
+                    low += 1
+                most = max(most, len(held))
+            if most >= need:
+                yield label, most / len(wanted)
 
 
 def scan(text: str | None, templates: Templates) -> tuple:
     low = lower_ascii(text)
-    lines = [WORD.findall(line) for line in low.split("\n")]
-    words = [w for line in lines for w in line]
+    words = WORD.findall(low)
     starts, base, labels, score = [], set(), set(), 0.0
     for phrase, label in PHRASES.items():
         want = phrase.split()
@@ -71,19 +81,18 @@ def scan(text: str | None, templates: Templates) -> tuple:
                 base.add(label)
                 score = 1.0
     if any(w in low for w in templates.first):
-        for line in lines:
-            for label, share in templates.found(set(line)):
-                labels.add(label)
-                score = max(score, share)
+        for label, share in templates.found(words):
+            labels.add(label)
+            score = max(score, share)
     return len(words), len(starts), min(starts, default=None), max(starts, default=None), ",".join(sorted(base)), ",".join(sorted(base | labels)), score
 
 
 def with_licenses(docs: DataFrame, templates: dict[str, str] | None = None, least: float = 0.8, name: str = "license") -> DataFrame:
     """All rows and columns and ``name``: words, places of the fixed phrases, labels, and the largest containment.
 
-    Text blocks are lines. Words are ordered by their counts over all documents, rarest first; blocks pass the prefix,
-    length and positional filters of a template, and the share of its words that they hold is exact. Null and empty
-    texts have no words and empty labels.
+    Windows slide over the words of the whole text, whatever its line breaks. Words are ordered by their counts over all
+    documents, rarest first; a text passes the prefix and count filters of a template, and the largest share of its
+    words that a window holds is exact. Null and empty texts have no words and empty labels.
     """
     templates = templates or TEMPLATES
     wanted = {w for t in templates.values() for w in WORD.findall(lower_ascii(t))}

@@ -248,3 +248,15 @@ def test_toxicity_reads_all_characters():
     got = toxicity.Scorer(net).scores(texts[200:])
     assert sum((s >= 0.5) == k % 2 for k, s in enumerate(got)) >= 95
     assert np.ptp(toxicity.Scorer(net).scores(["a" * 45 + "wqxy" * 5, "a" * 45 + "bcde" * 5])) > 0
+
+
+def test_licenses_over_lines(spark):
+    texts = [
+        "Redistribution and use in source and binary forms, with or without\n * modification, are permitted provided",
+        "This Source Code Form is subject to the terms of the Mozilla Public\nLicense, v. 2.0. If a copy",
+        "released " + "words stand " * 20 + "under " + "and others " * 20 + "the " + "here " * 30 + "license",
+        "Released\nunder the terms of\nthe MIT\nlicense",
+    ]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: (r.license.labels, r.license.score) for r in licenses.with_licenses(frame).collect()}
+    assert got == {0: ("bsd", 1.0), 1: ("mpl-2.0", 1.0), 2: ("", 0.0), 3: ("mit", 0.8)}
