@@ -115,7 +115,10 @@ class Items:
         return [(fps >> np.uint64(a)) & np.uint64((1 << int(b - a)) - 1) for a, b in zip(self.cuts, self.cuts[1:], strict=False)]
 
     def found(self, words: np.ndarray, least: float) -> dict[int, float]:
-        """Items whose similarity to some window of as many words is ``least`` or more, with the largest similarity."""
+        """Items whose similarity to some window of as many words is ``least`` or more, with the largest similarity.
+
+        A text shorter than an item is one window.
+        """
         out: dict[int, float] = {}
         for k, known in self.known.items():
             h = shingles(words, k)
@@ -132,6 +135,10 @@ class Items:
     def _windows(self, h: np.ndarray, size: int, n: int, hits: np.ndarray, least: float, out: dict[int, float]) -> None:
         # A window without any shingle of an item has similarity 0, and one with too few cannot reach the bound.
         if len(h) < n:
+            if len(hits) >= int(np.ceil(least * n * 0.999)):
+                for r in self.at[size]:
+                    if (s := similarity(h, self.rows[r][2])) >= least:
+                        out[self.rows[r][0]] = max(s, out.get(self.rows[r][0], 0))
             return
         mark = np.zeros(len(h) + 1, np.int32)
         mark[hits + 1] = 1

@@ -260,3 +260,13 @@ def test_licenses_over_lines(spark):
     frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     got = {r.doc_id: (r.license.labels, r.license.score) for r in licenses.with_licenses(frame).collect()}
     assert got == {0: ("bsd", 1.0), 1: ("mpl-2.0", 1.0), 2: ("", 0.0), 3: ("mit", 0.8)}
+
+
+def test_decontamination_of_shortened_items(spark):
+    words = [f"q{k}" for k in range(39)]
+    texts = [" ".join(words[:-1]), " ".join(words[2:]), " ".join(words[4:-3]), " ".join(words[5:-5]), " ".join(words)]
+    bench = spark.createDataFrame([(7, " ".join(words))], "item_id long, text string")
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: (r.found.item_ids, r.found.similarity) for r in decontaminate.with_passages(frame, bench).collect()}
+    expected = [34 / 35, 33 / 35, 28 / 35, 0, 1]
+    assert got == {k: ([7] if x else [], pytest.approx(x)) for k, x in enumerate(expected)}
