@@ -25,24 +25,54 @@ SAID = {
 }
 INLINE = {"a", "abbr", "b", "bdi", "bdo", "big", "br", "cite", "code", "del", "em", "font", "i", "img", "ins", "kbd", "label", "mark", "q", "s", "small", "span", "strong", "sub", "sup", "time", "tt", "u", "var", "wbr"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
+#: Words that name lists of further articles below the page's own.
+LISTED = {"comment", "comments", "disqus", "related"}
 NAMED = re.compile(r"""\b(?:class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
 
 
-def parts(page: str | None) -> Iterator[tuple[str, str, bool, bool]]:
-    """Tags ``("<p", "", ...)`` and texts ``("", text, ...)`` in page order: kind, text, whether dropped, whether in an article."""
+def enclosing(page: str) -> set[int]:
+    """Where the tags begin that open an element with an article or main element inside."""
+    found, stack = set(), []
+    for m in TAG.finditer(page):
+        name = m[2].lower()
+        if name in VOID or name in INLINE or name == "p":
+            continue
+        if not m[1]:
+            if name in ("article", "main"):
+                found.update(at for at, _ in stack)
+            stack.append((m.start(), name))
+        elif any(x[1] == name for x in stack):
+            while stack.pop()[1] != name:
+                pass
+    return found
+
+
+def parts(page: str | None, by_class: bool = True) -> Iterator[tuple[str, str, bool, bool]]:
+    """Tags ``("<p", "", ...)`` and texts ``("", text, ...)`` in page order: kind, text, whether dropped, whether in an article.
+
+    An element that holds an article or main element is not dropped, unless it lists further articles, nor is a header
+    inside one. Without ``by_class`` only names of elements count.
+    """
     page = RAW.sub(lambda m: " " if m[0].startswith("<!") else "<wbr>", page or "")
+    around = enclosing(page)
     stack: list[tuple[str, bool]] = []
-    at, dropped, inside = 0, 0, 0
+    at, dropped, inside, seen = 0, 0, 0, False
     for m in TAG.finditer(page):
         if m.start() > at:
             yield "", page[at : m.start()], dropped > 0, inside > 0
         at, name = m.end(), m[2].lower()
         if name not in VOID and name not in INLINE and name != "p":
             if not m[1]:
-                named = {w for v in NAMED.findall(m[3]) for w in re.findall(r"[a-z]+", v.lower())}
-                out = name in DROPPED or name == "header" and not inside or name not in ("body", "html", "article", "main") and bool(named & SAID)
+                named = {w for v in NAMED.findall(m[3]) for w in re.findall(r"[a-z]+", v.lower())} if by_class else set()
+                if name in ("body", "html", "article", "main") or name == "header" and inside:
+                    out = False
+                elif m.start() in around:
+                    out = seen and bool(named & LISTED)
+                else:
+                    out = name in DROPPED or name == "header" or bool(named & SAID)
                 stack.append((name, out))
                 dropped, inside = dropped + out, inside + (name in ("article", "main"))
+                seen = seen or name == "article"
             elif any(x[0] == name for x in stack):
                 while True:
                     top, out = stack.pop()
@@ -69,8 +99,14 @@ def learned_weights(pages: list[str], least: float = 0.1, most: float = 4.0) ->
 
 
 def main_text(page: str | None, weights: dict[str, float]) -> str:
-    """The blocks of the best contiguous region, one a line; words of dropped elements neither score nor stay."""
-    items = list(parts(page))
+    """The blocks of the best contiguous region, one a line; words of dropped elements neither score nor stay.
+
+    If classes leave no text, the page is read without them.
+    """
+    return _best(list(parts(page)), weights) or _best(list(parts(page, by_class=False)), weights)
+
+
+def _best(items: list[tuple[str, str, bool, bool]], weights: dict[str, float]) -> str:
     best, span, total, begin = 0.0, (0, 0), 0.0, 0
     for k, (kind, text, dropped, _) in enumerate(items):
         if kind:

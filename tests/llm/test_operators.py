@@ -270,3 +270,15 @@ def test_decontamination_of_shortened_items(spark):
     got = {r.doc_id: (r.found.item_ids, r.found.similarity) for r in decontaminate.with_passages(frame, bench).collect()}
     expected = [34 / 35, 33 / 35, 28 / 35, 0, 1]
     assert got == {k: ([7] if x else [], pytest.approx(x)) for k, x in enumerate(expected)}
+
+
+@pytest.mark.parametrize(("page", "expected"), [
+    ("<body><div class='content-sidebar-wrap'><main><p>the whole text of this page</main><div class=sidebar>not this one</div></div>", "the whole text of this page"),
+    ("<body><div class='site has-sidebar'><nav>a b c</nav><article><p>the whole text of this page</article></div>", "the whole text of this page"),
+    ("<body><div class='site has-sidebar'><p>the whole text of this page</div><footer>f</footer>", "the whole text of this page"),
+    ("<body><header>site</header><article><header class='entry-header'><h1>its title of seven words in all</h1></header><p>the whole text of this page</article>", "its title of seven words in all\nthe whole text of this page"),
+    ("<body><form><main><p>the whole text of this page</main></form>", "the whole text of this page"),
+    ("<body><article><p>the whole text of this page</article><div class=comments><article><p>an opinion of a reader on this</article></div>", "the whole text of this page"),
+])
+def test_extraction_of_wrapped_articles(page, expected):
+    assert extract.main_text(page, {"": 1.0}) == expected
