@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
 import pandas as pd
@@ -18,8 +19,12 @@ IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
 CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 KINDS = ("email", "ip", "card", "phone", "id")
-#: What an unseen identifier can look like: it holds a digit or an at sign.
-TOKEN = re.compile(r"(?<![^\s\"'(<\[])(?=[^\s@0-9]{0,64}[@0-9])[A-Za-z0-9][A-Za-z0-9._:@/+-]{3,126}[A-Za-z0-9](?![A-Za-z0-9_])")
+#: What an unseen identifier can look like: it holds a digit or an at sign. Runs end at white space and punctuation.
+TOKEN = re.compile(r"(?<![\w.:@/+-])(?:[^\W0-9]|[.:/+-])*+[0-9@][\w.:@/+-]*+")
+EDGE = "._:@/+-"
+IDENTIFIER = re.compile(r"[0-9@]")
+#: Shorter values are no evidence for a context, and are marked only where they stand in a trusted one.
+SHORT = 5
 NEAR = re.compile(r"[^\W\d_]+")
 SPAN = "struct<kind:string,start:int,end:int,value:string,contexts:array<string>>"
 
@@ -52,18 +57,27 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     return out
 
 
-def contexts(text: str, start: int, end: int) -> list[str]:
-    """Lexical patterns around a span: two words before, two after, and one on either side."""
-    left = [w.lower() for w in NEAR.findall(text[max(0, start - 60) : start])[-2:]]
-    right = [w.lower() for w in NEAR.findall(text[end : end + 60])[:2]]
-    found = []
-    if len(left) == 2:
-        found.append("L " + " ".join(left))
-    if len(right) == 2:
-        found.append("R " + " ".join(right))
-    if left and right:
-        found.append(f"M {left[-1]} {right[0]}")
-    return found
+class Words:
+    """The places of the words of a text, and the lexical patterns around its spans."""
+
+    def __init__(self, text: str):
+        self.text = text
+        self.places = [m.span() for m in NEAR.finditer(text)]
+        self.starts, self.ends = [s for s, _ in self.places], [e for _, e in self.places]
+
+    def contexts(self, start: int, end: int) -> list[str]:
+        """Two words before, two after, and one on either side; only whole words count, however far away."""
+        last, first = bisect_right(self.ends, start), bisect_left(self.starts, end)
+        left = [self.text[s:e].lower() for s, e in self.places[max(0, last - 2) : last]]
+        right = [self.text[s:e].lower() for s, e in self.places[first : first + 2]]
+        found = []
+        if len(left) == 2:
+            found.append("L " + " ".join(left))
+        if len(right) == 2:
+            found.append("R " + " ".join(right))
+        if left and right:
+            found.append(f"M {left[-1]} {right[0]}")
+        return found
 
 
 def occurrences(text: str | None) -> list[dict]:
@@ -73,34 +87,46 @@ def occurrences(text: str | None) -> list[dict]:
     taken = sorted((s, e) for _, s, e in base)
     at = 0
     for m in TOKEN.finditer(text):
-        while at < len(taken) and taken[at][1] <= m.start():
+        value = m[0].lstrip(EDGE)
+        start = m.end() - len(value)
+        end = start + len(value.rstrip(EDGE))
+        if not IDENTIFIER.search(value):
+            continue
+        while at < len(taken) and taken[at][1] <= start:
             at += 1
-        if at == len(taken) or taken[at][0] >= m.end():
-            spans.append(("", m.start(), m.end()))
-    return [{"kind": k, "start": s, "end": e, "value": text[s:e].lower(), "contexts": contexts(text, s, e)} for k, s, e in spans]
+        if at == len(taken) or taken[at][0] >= end:
+            spans.append(("", start, end))
+    words = Words(text) if spans else None
+    return [{"kind": k, "start": s, "end": e, "value": text[s:e].lower(), "contexts": words.contexts(s, e)} for k, s, e in spans]
 
 
-def scored_instances(edges: DataFrame, rounds: int = 3, least: float = 0.8, support: int = 3) -> DataFrame:
-    """Values that trusted patterns hold, ``(value, score)``, from ``(value, pattern, seed)`` with seed 0 or 1.
+def trusted_patterns(edges: DataFrame, least: float = 0.8, support: int = 3) -> tuple[DataFrame, DataFrame]:
+    """``(value)`` that trusted patterns hold and ``(pattern)`` that are trusted, from ``(value, pattern, seed)`` with seed 0 or 1.
 
     Each round, a pattern's confidence is the score of its values over their number plus one, if ``support`` trusted
     values stand in it; a value's score is the largest confidence of its patterns, and 1 for seeds. Values with
-    scores of ``least`` or more are trusted in the next round.
+    scores of ``least`` or more are trusted in the next round. Scores never fall; rounds go on until they settle.
     """
     edges = written(edges.groupBy("value", "pattern").agg(F.max("seed").alias("seed")), "edges")
     seeds = edges.groupBy("value").agg(F.max("seed").cast("double").alias("score"))
-    scores = seeds
-    for _ in range(rounds):
+    scores, last = seeds, None
+    while True:
         trust = F.when(F.col("score") >= least, F.col("score")).otherwise(0.0)
         patterns = (
             edges.join(scores, "value").groupBy("pattern")
             .agg((F.sum(trust) / (F.count(F.lit(1)) + 1)).alias("confidence"), F.count(F.when(F.col("score") >= least, 1)).alias("trusted"))
             .where((F.col("trusted") >= support) & (F.col("confidence") >= least))
         )
+        patterns = written(patterns, "patterns")
         found = edges.join(patterns, "pattern").groupBy("value").agg(F.max("confidence").alias("found"))
         scores = seeds.join(found, "value", "left").select("value", F.greatest("score", F.coalesce("found", F.lit(0.0))).alias("score"))
         scores = written(scores, "scores")
-    return scores.where(F.col("score") >= least).join(seeds.where("score = 0").select("value"), "value", "left_semi")
+        state = scores.where(F.col("score") >= least).agg(F.count(F.lit(1)), F.sum(F.col("score").cast("decimal(38,9)"))).first()
+        if tuple(state) == last:
+            break
+        last = tuple(state)
+    values = scores.where(F.col("score") >= least).join(seeds.where("score = 0").select("value"), "value", "left_semi").select("value")
+    return values, patterns.select("pattern")
 
 
 def with_spans(docs: DataFrame, name: str = "spans") -> DataFrame:
@@ -118,10 +144,13 @@ def with_spans(docs: DataFrame, name: str = "spans") -> DataFrame:
 
     rows = written(docs.withColumn("_row", F.monotonically_increasing_id()).withColumn("_at", find(F.col("text"))), "spans")
     at = rows.where(F.size("_at") > 0).select("_row", F.explode("_at").alias("_o")).select("_row", "_o.*")
+    short = (F.col("kind") == "") & (F.col("end") - F.col("start") < SHORT)
     at = at.withColumn("value", F.xxhash64("value"))
-    pairs = at.select("value", F.explode("contexts").alias("pattern"), (F.col("kind") != "").cast("int").alias("seed"))
-    accepted = scored_instances(pairs).select("value")
-    new = at.where("kind = ''").join(accepted, "value", "left_semi").select("_row", F.struct("start", "end").alias("_s"))
+    pairs = at.where(~short).select("value", F.explode("contexts").alias("pattern"), (F.col("kind") != "").cast("int").alias("seed"))
+    accepted, patterns = trusted_patterns(pairs)
+    new = at.where("kind = ''").where(~short).join(accepted, "value", "left_semi").select("_row", F.struct("start", "end").alias("_s"))
+    there = at.where(short).select("_row", "start", "end", F.explode("contexts").alias("pattern")).join(patterns, "pattern", "left_semi")
+    new = new.unionByName(there.select("_row", F.struct("start", "end").alias("_s")).distinct())
     new = new.groupBy("_row").agg(F.array_sort(F.collect_list("_s")).alias("_new"))
     base = F.transform(F.filter("_at", lambda o: o["kind"] != ""), lambda o: F.struct(o["kind"].alias("kind"), o["start"].alias("start"), o["end"].alias("end")))
     more = F.transform(F.coalesce("_new", F.array().cast("array<struct<start:int,end:int>>")), lambda o: F.struct(F.lit("id").alias("kind"), o["start"].alias("start"), o["end"].alias("end")))

@@ -282,3 +282,19 @@ def test_decontamination_of_shortened_items(spark):
 ])
 def test_extraction_of_wrapped_articles(page, expected):
     assert extract.main_text(page, {"": 1.0}) == expected
+
+
+def test_pii_takes_all_identifiers_with_digits(spark):
+    """Whatever stands before them, of any length, and as many contexts away from a seed as it takes."""
+    texts = [f"please write to user{k}@mail.example.org for help" for k in range(60)]
+    odd = ["id=AB1234", "#A1234", "@user77", "A7", "x" * 300 + "9", "A1,", "été12345"]
+    texts += [f"please write to {w} for help" for w in odd]
+    hops = "alpha beta gamma delta epsilon zeta eta theta".split()
+    for k, (x, y) in enumerate(zip(hops, hops[1:], strict=False)):
+        # The seeds alone do not make a context trusted, they do together with the values of the context before.
+        texts += [f"{w} {w} hop{k}x{v} {w} {w}" for w in (x, y) for v in range(10)]
+    texts += [f"{w} {w} user{k}@mail.example.org {w} {w}" for w in hops for k in range(46)]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: [r.text[s.start : s.end] for s in r.spans if s.kind == "id"] for r in pii.with_spans(frame).collect()}
+    assert [got[60 + k] for k in range(len(odd))] == [["AB1234"], ["A1234"], ["user77"], ["A7"], [odd[4]], ["A1"], [odd[6]]]
+    assert [sum(len(got[67 + 20 * k + v]) for v in range(20)) for k in range(7)] == [20] * 7
