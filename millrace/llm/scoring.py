@@ -1,11 +1,12 @@
-"""Language-model scores: causal self-attention over subword ids, trained in numpy."""
+"""Language-model scores: causal self-attention over subword ids, trained by numpy on all rows in Spark, mixed with id bigrams."""
 
 from __future__ import annotations
 
+import copy
 import math
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -21,6 +22,8 @@ VOCABULARY = 49_408
 CONTEXT, STEP = 32, 24
 #: Words counted most often, scored in the map; the others are joined.
 FREQUENT = 50_000
+#: Id pairs counted most often, likewise; and how many places the counts of single ids weigh among those of pairs.
+PAIRS, PRIOR = 200_000, 20.0
 
 
 def windows(n: int) -> list[tuple[int, int]]:
@@ -62,11 +65,33 @@ class Model:
         return x, q, k, v, a, s, h, out
 
     def train(self, texts: list[np.ndarray], steps: int = 300, batch: int = 64, rate: float = 0.01, seed: int = 4) -> None:
+        """``steps`` steps on windows drawn at random: a start for ``train_on``."""
         texts = [t for t in texts if len(t)]
         draw, spans = np.random.default_rng(seed), [(k, s) for k, t in enumerate(texts) for s, _ in windows(len(t))]
+        chosen = ([(texts[k], s) for k, s in (spans[i] for i in draw.integers(0, len(spans), batch))] for _ in range(steps if spans else 0))
+        self.descend(chosen, rate)
+
+    def train_on(self, batches: Iterator[list[np.ndarray]], batch: int = 256, rate: float = 0.003, seed: int = 4) -> int:
+        """One pass over all windows of all texts; how many there were."""
+        draw, seen = np.random.default_rng(seed), 0
+
+        def chosen():
+            nonlocal seen
+            for texts in batches:
+                spans = [(t, s) for t in texts for s, _ in windows(len(t)) if len(t)]
+                seen += len(spans)
+                order = draw.permutation(len(spans))
+                for at in range(0, len(spans), batch):
+                    yield [spans[i] for i in order[at : at + batch]]
+
+        self.descend(chosen(), rate)
+        return seen
+
+    def descend(self, batches: Iterable[list[tuple[np.ndarray, int]]], rate: float) -> None:
+        """A step of Adam for each batch of windows."""
         m, w = ({k: np.zeros_like(x) for k, x in self.p.items()} for _ in range(2))
-        for step in range(1, steps + 1 if spans else 0):
-            ids, nxt, mask = self.inputs([(texts[k], s) for k, s in (spans[i] for i in draw.integers(0, len(spans), batch))])
+        for step, chosen in enumerate(batches, 1):
+            ids, nxt, mask = self.inputs(chosen)
             p, g = self.p, {}
             x, q, k, v, a, s, h, out = self.forward(ids)
             d = np.exp(out)
@@ -114,11 +139,37 @@ class Model:
         return total
 
 
+def trained_on_all(model: Model, training: DataFrame) -> None:
+    """Each partition fits the model to all its rows; parameters are averaged by their numbers of windows."""
+    shared = training.sparkSession.sparkContext.broadcast(model)
+
+    def fit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        own = copy.copy(shared.value)
+        own.p = {k: x.copy() for k, x in own.p.items()}
+        seen = own.train_on([np.asarray(x, np.int64) for x in b["ids"]] for b in batches)
+        if seen:
+            yield pd.DataFrame({"name": list(own.p), "value": [own.p[k].tobytes() for k in own.p], "seen": seen})
+
+    sums, total = {k: np.zeros(x.shape) for k, x in model.p.items()}, Counter()
+    for r in training.select("ids").mapInPandas(fit, "name string, value binary, seen long").toLocalIterator():
+        sums[r["name"]] += r["seen"] * np.frombuffer(r["value"], np.float32).reshape(sums[r["name"]].shape)
+        total[r["name"]] += r["seen"]
+    model.p = {k: (sums[k] / total[k]).astype(np.float32) if total[k] else x for k, x in model.p.items()}
+
+
+def pair_codes(ids: np.ndarray) -> np.ndarray:
+    """Each id after the one before it, 0 at the start, as one number."""
+    ids = np.asarray(ids, np.int64)
+    return np.concatenate([[0], ids[:-1]])[: len(ids)] * VOCABULARY + ids
+
+
 def scored(docs: DataFrame, tokenizer: str | None = None, sample: int = 400) -> DataFrame:
     """Scores of all whole texts; rows with crc32(doc_id) mod 5 = 1 are held out of everything that is learned.
 
-    Counts of words and of subword ids cover all training rows. The attention layer is fitted on at most ``sample``
-    training rows, by order of a hash. ``base_score`` sums smoothed word frequencies: the most frequent words are
+    Counts of words, of subword ids and of pairs of ids cover all training rows. The attention layer starts from a fit to
+    at most ``sample`` training rows, by order of a hash, and is then fitted to all of them. ``score`` is the probability of
+    a text's ids under an even mixture of the layer and the pair counts (over ``PRIOR`` places of single ids).
+    The most frequent pairs are looked up in the map, all others joined. ``base_score`` sums smoothed word frequencies: the most frequent words are
     looked up in the map, all others joined. Null text is empty: its only token is the end. Rows are numbered as they
     are written, so repeated rows stay apart; a null doc_id is not held out. Without training rows all counts are 0.
     """
@@ -167,13 +218,35 @@ def scored(docs: DataFrame, tokenizer: str | None = None, sample: int = 400) ->
     model = Model(id_counts)
     some = training.select("ids", F.xxhash64(F.lit(9), "doc_id").alias("_h"), "_row").orderBy("_h", "_row").limit(sample).collect()
     model.train([np.array(r["ids"], np.int64) for r in some])
-    shared = spark.sparkContext.broadcast((model, known))
+    trained_on_all(model, training)
+
+    def count_pairs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            codes, n = np.unique(np.concatenate([pair_codes(x) for x in batch["ids"]]), return_counts=True)
+            yield pd.DataFrame({"pair": codes, "n": n})
+
+    pairs = written(training.select("ids").mapInPandas(count_pairs, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")), "pairs")
+    often = {r["pair"]: r["n"] for r in pairs.orderBy(F.desc("n"), "pair").limit(PAIRS).collect()}
+    often_codes = np.array(sorted(often), np.int64)
+    often_counts = np.array([often[c] for c in often_codes.tolist()], np.float64)
+    begins = np.zeros(VOCABULARY)
+    for r in pairs.groupBy(F.expr(f"pair div {VOCABULARY}").alias("id")).agg(F.sum("n").alias("n")).collect():
+        begins[r["id"]] = r["n"]
+    single = PRIOR * (id_counts + 0.5) / (id_counts + 0.5).sum()
+    shared = spark.sparkContext.broadcast((model, known, often_codes, often_counts, begins, single))
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        model, known = shared.value
+        model, known, often_codes, often_counts, begins, single = shared.value
         for batch in batches:
             out = []
-            for row, doc_id, text, held_out in zip(batch["_row"], batch["doc_id"], batch["text"], batch["held_out"], strict=True):
+            for row, doc_id, text, held_out, ids in zip(batch["_row"], batch["doc_id"], batch["text"], batch["held_out"], batch["ids"], strict=True):
+                codes, times = np.unique(pair_codes(ids), return_counts=True)
+                at = np.searchsorted(often_codes, codes)
+                hit = np.zeros(len(codes), bool)
+                hit[at < len(often_codes)] = often_codes[at[at < len(often_codes)]] == codes[at < len(often_codes)]
+                prior = single[codes % VOCABULARY]
+                paired = -(times * np.log10(begins[codes // VOCABULARY] + PRIOR)).sum() + (times[hit] * np.log10(often_counts[at[hit]] + prior[hit])).sum()
+                seldom = [{"pair": c, "k": k} for c, k in zip(codes[~hit].tolist(), times[~hit].tolist(), strict=True)]
                 found = Counter(WORD.findall(lower_ascii(text)))
                 total, have, rare = math.log10(ends + 0.5), int(ends > 0), []
                 for w, k in found.items():
@@ -181,19 +254,26 @@ def scored(docs: DataFrame, tokenizer: str | None = None, sample: int = 400) ->
                         total, have = total + k * math.log10(known[w] + 0.5), have + k
                     else:
                         rare.append({"word": w, "k": k})
-                out.append((row, None if pd.isna(doc_id) else int(doc_id), held_out, sum(found.values()) + 1, have, total, rare))
-            frame = pd.DataFrame(out, columns=["_row", "doc_id", "held_out", "n_tokens", "have", "total", "rare"]).astype({"doc_id": "Int64"})
+                out.append((row, None if pd.isna(doc_id) else int(doc_id), held_out, sum(found.values()) + 1, have, total, rare, paired, seldom))
+            frame = pd.DataFrame(out, columns=["_row", "doc_id", "held_out", "n_tokens", "have", "total", "rare", "paired", "seldom"]).astype({"doc_id": "Int64"})
             frame["score"] = model.scores([np.asarray(x, np.int64) for x in batch["ids"]])
             yield frame
 
-    shape = "_row long, doc_id long, held_out boolean, n_tokens long, have long, total double, rare array<struct<word:string,k:long>>, score double"
+    shape = "_row long, doc_id long, held_out boolean, n_tokens long, have long, total double, rare array<struct<word:string,k:long>>, paired double, seldom array<struct<pair:long,k:long>>, score double"
     part = written(rows.select("_row", "doc_id", "text", "held_out", "ids").mapInPandas(score, shape), "scored")
     rare = part.select("_row", F.explode("rare").alias("r")).select("_row", "r.*").join(counts, "word", "left")
     rare = rare.groupBy("_row").agg(
         F.sum(F.col("k") * F.log10(F.coalesce("n", F.lit(0)) + 0.5)).alias("more"),
         F.sum(F.when(F.col("n").isNotNull(), F.col("k")).otherwise(0)).alias("also"),
     )
-    done = part.drop("rare").join(rare, "_row", "left")
+    singles = spark.createDataFrame([(k, float(x)) for k, x in enumerate(single.tolist())], "id long, prior double")
+    seldom = part.select("_row", F.explode("seldom").alias("p")).select("_row", "p.*").join(pairs, "pair", "left")
+    seldom = seldom.withColumn("id", F.col("pair") % VOCABULARY).join(F.broadcast(singles), "id")
+    seldom = seldom.groupBy("_row").agg(F.sum(F.col("k") * F.log10(F.coalesce("n", F.lit(0)) + F.col("prior"))).alias("joined"))
+    done = part.drop("rare", "seldom").join(rare, "_row", "left").join(seldom, "_row", "left")
+    done = done.withColumn("paired", F.col("paired") + F.coalesce("joined", F.lit(0.0)))
+    high, low = F.greatest("score", "paired"), F.least("score", "paired")
+    done = done.withColumn("score", high + F.log10((1 + F.pow(F.lit(10.0), low - high)) / 2))
     return done.select(
         "doc_id", "held_out", "n_tokens", (F.col("have") + F.coalesce("also", F.lit(0))).alias("n_known"), F.lit(n).cast("long").alias("train_tokens"),
         (F.col("total") + F.coalesce("more", F.lit(0.0)) - F.col("n_tokens") * rest).alias("base_score"), "score",

@@ -298,3 +298,37 @@ def test_pii_takes_all_identifiers_with_digits(spark):
     got = {r.doc_id: [r.text[s.start : s.end] for s in r.spans if s.kind == "id"] for r in pii.with_spans(frame).collect()}
     assert [got[60 + k] for k in range(len(odd))] == [["AB1234"], ["A1234"], ["user77"], ["A7"], [odd[4]], ["A1"], [odd[6]]]
     assert [sum(len(got[67 + 20 * k + v]) for v in range(20)) for k in range(7)] == [20] * 7
+
+
+def test_scoring_counts_pairs_of_all_rows(spark, monkeypatch):
+    """Pairs of ids over all training rows, frequent or joined, stand in the score; the layer is fitted to every window."""
+    monkeypatch.setattr(scoring, "PAIRS", 30)
+    draw = np.random.default_rng(9)
+    words = "the of and to in is that for on with as by at from it an be this which or are was but not have had his her they one you were all we can has there been if more when will would who so no out up into".split()
+    after = dict(zip(words, draw.permutation(words), strict=True))
+    texts = []
+    for k in range(700):
+        text = [str(draw.choice(words))]
+        while len(text) < 5 + k % 40:
+            text.append(str(after[text[-1]] if draw.random() < 0.9 else draw.choice(words)))
+        texts.append(" ".join(text))
+    frame = spark.createDataFrame([*enumerate(texts), (5000, None)], "doc_id long, text string").repartition(3)
+    rows = scoring.scored(frame, sample=20).collect()
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(packing.tokenizer_path())
+    ids = {k: [*t.encode(x or "", add_special_tokens=False).ids, 0] for k, x in [*enumerate(texts), (5000, None)]}
+    held = {k: zlib.crc32(str(k).encode()) % 5 == 1 for k in ids}
+    pairs = Counter(p for k, x in ids.items() if not held[k] for p in zip([0, *x], x, strict=False))
+    singles = Counter(i for k, x in ids.items() if not held[k] for i in x)
+    begins, total = Counter(), sum(singles.values()) + 0.5 * scoring.VOCABULARY
+    for (a, _), n in pairs.items():
+        begins[a] += n
+    for r in rows:
+        x = ids[r.doc_id]
+        paired = sum(math.log10((pairs[a, b] + 20 * (singles[b] + 0.5) / total) / (begins[a] + 20)) for a, b in zip([0, *x], x, strict=False))
+        assert r.score >= paired - math.log10(2) - 1e-6
+    new = [r for r in rows if r.held_out]
+    assert len(rows) == 701 and sum(r.score for r in new) > 0.6 * sum(r.base_score for r in new)
+    model = scoring.Model(np.ones(scoring.VOCABULARY))
+    assert model.train_on(iter([[np.arange(5), np.arange(100)], [np.arange(33)]])) == 7
