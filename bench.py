@@ -27,20 +27,21 @@ LARGE = 10_000_000
 AUDIT_COLUMNS = ["total", "distinct_ids", "duplicates", "missing", "unexpected"]
 
 
-def large_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+def large_codec(spark: SparkSession, sf_dir: str, rows: int = LARGE) -> DataFrame:
     """Ids encoded, wrapped, decoded and counted per shard."""
     records = envelope.to_shards(
-        envelope.log_events(generate.sequence(spark, LARGE)),
+        envelope.log_events(generate.sequence(spark, rows)),
         "generated",
         partition_key=F.lit("k"),
+        sequence_number=F.col("id"),
         shard_id=keys.shard_name(F.col("id") % 16),
     )
     events = envelope.consumed_events(records)
     return events.groupBy("shard_id").agg(F.count("*").alias("n"), F.max("id").alias("last_id"))
 
 
-def large_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ids = generate.sequence(spark, LARGE)
+def large_audit(spark: SparkSession, sf_dir: str, rows: int = LARGE) -> DataFrame:
+    ids = generate.sequence(spark, rows)
     return audit.exactly_once(ids, ids)
 
 

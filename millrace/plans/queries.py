@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from millrace import schemas
 from millrace.functions import codec, keys, text
-from millrace.functions.times import instant
 from millrace.operators import audit, combine, envelope, filters, lookup, metrics, outbox, windows
 from millrace.plans.staging import (
     day_log,
@@ -121,10 +120,10 @@ def shard_writer(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def start_at_timestamp(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = table(spark, sf_dir, "events").select("event_id", instant("ts").alias("at"))
+    events = table(spark, sf_dir, "events").select("event_id", "ts")
     position = start.StartPosition.parse(start.AT_TIMESTAMP, "2024-01-15T00:00:00.00Z")
     state = scratch_dir(spark, "start-at")
-    return start.apply_start(events, events, position, state, timestamp="at").select("event_id")
+    return start.apply_start(events, events, position, state, timestamp="ts").select("event_id")
 
 
 @query

@@ -8,7 +8,7 @@ when the consumer first starts. A restarted consumer keeps the start it first re
 from __future__ import annotations
 
 from dataclasses import dataclass
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -51,6 +51,17 @@ class StartPosition:
         return {"startingOffsets": "latest" if self.mode == LATEST else "earliest"}
 
 
+def _literal(micros: int, kind: T.DataType) -> Column:
+    """An instant in the type of the column it is compared with, so that the scan takes the comparison.
+
+    A zoneless column holds UTC wall-clock times.
+    """
+    if not isinstance(kind, T.TimestampNTZType):
+        return F.timestamp_micros(F.lit(micros))
+    wall_clock = datetime(1970, 1, 1) + timedelta(microseconds=micros)
+    return F.expr(f"timestamp_ntz'{wall_clock.isoformat(' ')}'")
+
+
 def _is_text(log: DataFrame, offset: str) -> bool:
     return isinstance(log.schema[offset].dataType, T.StringType)
 
@@ -104,7 +115,7 @@ def apply_start(
     if mode == TRIM_HORIZON:
         return log
     if mode == AT_TIMESTAMP:
-        return log.where(F.col(timestamp) >= F.timestamp_micros(F.lit(start_micros)))
+        return log.where(F.col(timestamp) >= _literal(start_micros, log.schema[timestamp].dataType))
     ends = spark.read.schema(last_offsets(existing, list(keys), offset).schema).parquet(f"{state_path}/ends")
     return after(log, ends, list(keys), offset)
 
