@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterable
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -41,12 +43,42 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """The frame as a table in scratch space: computed once, and safe from lost executors."""
+# Folders that `written` has stored and nothing has deleted yet, by application.
+_stored: dict[str, list[str]] = {}
+_folders: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
+
+
+def written(df: DataFrame, name: str, done: Iterable[DataFrame] = ()) -> DataFrame:
+    """The frame as a table in scratch space: computed once, and safe from lost executors.
+
+    ``done`` names tables that this one was made from and that nothing else will read: they are deleted.
+    """
     spark = df.sparkSession
     path = scratch_dir(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    stored = spark.read.schema(df.schema).parquet(path)
+    _stored.setdefault(spark.sparkContext.applicationId, []).append(path)
+    _folders[stored] = path
+    for frame in done:
+        _delete(spark, _folders.get(frame))
+    return stored
+
+
+def delete_written(spark: SparkSession) -> None:
+    """Delete all tables that :func:`written` has stored in this application.
+
+    For callers that have stored the results themselves: a frame that still reads one of the tables is broken by it.
+    """
+    for path in list(_stored.get(spark.sparkContext.applicationId, [])):
+        _delete(spark, path)
+
+
+def _delete(spark: SparkSession, path: str | None) -> None:
+    stored = _stored.get(spark.sparkContext.applicationId, [])
+    if path in stored:
+        hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop_path, True)
+        stored.remove(path)
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:

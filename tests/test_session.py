@@ -1,6 +1,6 @@
 import pytest
 
-from millrace.session import path_exists, scratch_dir, written
+from millrace.session import delete_written, path_exists, scratch_dir, written
 
 
 class FakeConf:
@@ -41,3 +41,13 @@ def test_written_table_equals_its_frame(spark):
     assert sorted(r.id for r in table.collect()) == [0, 1, 2, 3, 4]
     path = table.inputFiles()[0]
     assert path_exists(spark, path) and not path_exists(spark, path + ".none")
+
+
+def test_tables_are_deleted_when_done(spark):
+    folder = lambda table: table.inputFiles()[0].rpartition("/")[0]
+    first, kept = written(spark.range(5), "first"), written(spark.range(3), "kept")
+    paths = [folder(t) for t in (first, kept)]
+    second = written(first.where("id > 2"), "second", done=[first, spark.range(1)])
+    assert second.count() == 2 and not path_exists(spark, paths[0]) and path_exists(spark, paths[1])
+    delete_written(spark)
+    assert not path_exists(spark, paths[1])
