@@ -23,6 +23,17 @@ where e.event_id > coalesce(m.mx, -1)"""
 _SCHEMA_IDS = "select event_id as my_int, cast(event_id % 2 as integer) as p_schema_id"
 
 
+_RECORDS = """select cast(event_id % 2 as integer) as p_schema_id, event_id as my_int,
+  case when event_id % 2 = 0 then 'struct<my_int:bigint,at:timestamp,who:struct<user_id:bigint>>'
+    else 'struct<my_int:int,kind:string,origin:string,note:string>' end as layout,
+  case when event_id % 2 = 0 then epoch_us(ts) end as at_micros,
+  case when event_id % 2 = 0 then user_id end as user_id,
+  case when event_id % 2 = 1 then event_type end as kind,
+  case when event_id % 2 = 1 then 'events' end as origin,
+  cast(null as varchar) as note
+from events"""
+
+
 def _window(size: str) -> str:
     return f"""select time_bucket(interval '{size}', ts) as window_start, event_type, count(*) as n
 from events group by all"""
@@ -107,12 +118,14 @@ from events group by all""",
 from events group by all""",
     "schema_id_files": """select event_id as my_int, cast(event_id % 2 as varchar) as p_schema_id
 from events""",
+    "schema_records": _RECORDS,
     "exact_shard_files": """select event_id % 2 as dest, count(*) as n, cast(3 as bigint) as files
 from events group by event_id % 2""",
     "stream_shard_events": _SHARD_EVENTS,
     "stream_topics": "select event_type as topic, props as value from events where event_id % 97 <> 0",
     "stream_tap": "select event_type as topic, count(*) as n from events group by event_type",
     "stream_by_schema": f"{_SCHEMA_IDS} from events",
+    "stream_schema_records": _RECORDS,
     "stream_admission": _CLEAN_AUDIT,
     "stream_start_latest": f"select e.event_id as id {_AFTER_LATEST}",
     "stream_start_at_timestamp": "select event_id as id from events where ts >= timestamp '2024-01-15 00:00:00'",

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from millrace import schemas
 from millrace.functions import codec, keys, text
+from millrace.functions.times import instant
 from millrace.operators import audit, combine, envelope, filters, lookup, metrics, outbox, windows
 from millrace.plans.staging import (
     day_log,
@@ -26,12 +27,26 @@ from millrace.sinks.files import UNTIL_CAUGHT_UP, in_exact_shards, write_files
 from millrace.sinks.log import append_log
 from millrace.sources import files, generate, log, start
 from millrace.streaming import jobs
+from millrace.streaming import records as shaped_records
 
 MID_MONTH = "timestamp_ntz'2024-01-15 00:00:00'"
 TOPICS = "click,error,purchase,signup,view"
 REGISTRY = [(0, "schema-0"), (1, "schema-1")]
 REGISTRY_SCHEMA = "schema_id int, schema string"
 
+# Two records with little in common: a nested one with a time, and one with an enumeration, a default and an empty field.
+EVEN_RECORD = """{"type": "record", "name": "Even", "namespace": "example", "fields": [
+  {"name": "my_int", "type": "long"},
+  {"name": "at", "type": {"type": "long", "logicalType": "timestamp-micros"}},
+  {"name": "who", "type": {"type": "record", "name": "Who", "fields": [{"name": "user_id", "type": "long"}]}}]}"""
+ODD_RECORD = """{"type": "record", "name": "Odd", "namespace": "example", "fields": [
+  {"name": "my_int", "type": "int"},
+  {"name": "kind", "aliases": ["event_type"],
+   "type": {"type": "enum", "name": "Kind", "symbols": ["click", "error", "purchase", "signup", "view"]}},
+  {"name": "origin", "type": "string", "default": "events"},
+  {"name": "note", "type": ["null", "string"], "default": null}]}"""
+RECORDS = [(0, EVEN_RECORD), (1, ODD_RECORD)]
+
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
@@ -325,6 +340,38 @@ def schema_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return landed.select("my_int", F.col("p_schema_id").cast("string").alias("p_schema_id"))
 
 
+def _schema_elements(events: DataFrame) -> DataFrame:
+    """Elements with everything that either record takes, and the id of theirs."""
+    return events.select(
+        keys.bucket("event_id", 2).cast("int").alias("schema_id"),
+        "event_id",
+        instant("ts").alias("at"),
+        F.struct("user_id").alias("who"),
+        "event_type",
+    )
+
+
+def _record_layouts(spark: SparkSession, path: str) -> DataFrame:
+    """All records landed below a path, each with the columns that the files of its schema id really have."""
+    found = []
+    for schema_id, text in RECORDS:
+        layout = spark.read.parquet(f"{path}/p_schema_id={schema_id}").drop(shaped_records.BATCH).schema.simpleString()
+        of = shaped_records.read_records(spark, path, schema_id, text, "parquet")
+        also = [F.unix_micros("at").alias("at_micros"), F.col("who.user_id")] if schema_id == 0 else ["kind", "origin", "note"]
+        found.append(of.select(F.lit(schema_id).alias("p_schema_id"), F.lit(layout).alias("layout"), F.col("my_int").cast("bigint"), *also))
+    return found[0].unionByName(found[1], allowMissingColumns=True)
+
+
+@query
+def schema_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each event in the record of its schema id: two schemas, two layouts."""
+    path = scratch_dir(spark, "schema-records")
+    registry = spark.createDataFrame(RECORDS, REGISTRY_SCHEMA)
+    elements = _schema_elements(table(spark, sf_dir, "events"))
+    shaped_records.land_records(elements, registry, path, sources={"my_int": "event_id"}, fmt="parquet")
+    return _record_layouts(spark, path)
+
+
 @query
 def exact_shard_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three files for each of two destinations: rows and files found per destination."""
@@ -415,6 +462,30 @@ def stream_by_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.read_parquet(spark, f"{work}/out", schemas.SCHEMA_ID_ROW).select("my_int", "p_schema_id")
 
 
+@query
+def stream_schema_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The registry gets its second schema while the stream is down, and the first batch that needs it looks it up."""
+    events = table(spark, sf_dir, "events")
+    rows = events.count()
+    work = scratch_dir(spark, "stream-records")
+    elements = _schema_elements(events)
+    for entry in RECORDS:
+        spark.createDataFrame([entry], REGISTRY_SCHEMA).coalesce(1).write.mode("append").parquet(f"{work}/registry")
+        part = elements.where(F.col("schema_id") == entry[0])
+        part.write.option("maxRecordsPerFile", max(1, rows // 4)).mode("append").parquet(f"{work}/elements")
+        arriving = spark.readStream.schema(elements.schema).option("maxFilesPerTrigger", 1).parquet(f"{work}/elements")
+        shaped_records.land_records(
+            arriving,
+            lambda s: s.read.schema(REGISTRY_SCHEMA).parquet(f"{work}/registry"),
+            f"{work}/out",
+            sources={"my_int": "event_id"},
+            fmt="parquet",
+            checkpoint=f"{work}/checkpoint",
+            trigger=UNTIL_CAUGHT_UP,
+        ).awaitTermination()
+    return _record_layouts(spark, f"{work}/out")
+
+
 @query
 def stream_admission(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A bounded number of files per micro-batch, audited."""
