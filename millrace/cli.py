@@ -110,8 +110,7 @@ def _topic_records(spark: SparkSession, a: argparse.Namespace) -> DataFrame:
         )
         return log.read_kafka(spark, options)
     records = log.read_log(spark, a.input, a.topics, max_files_per_trigger=a.max_files_per_trigger)
-    existing = log.read_log(spark, a.input, a.topics, streaming=False)
-    return start.apply_start(records, existing, position, f"{a.checkpoint}/start")
+    return start.apply_start(records, None, position, f"{a.checkpoint}/start", path=a.input)
 
 
 def _shard_records(spark: SparkSession, a: argparse.Namespace) -> DataFrame:
@@ -122,15 +121,15 @@ def _shard_records(spark: SparkSession, a: argparse.Namespace) -> DataFrame:
             raise SystemExit("with --connector, give the start position among its options (--option)")
         return log.read_shards(spark, connector=a.connector, options=_pairs(a.option))
     records = log.read_shards(spark, a.input, max_files_per_trigger=a.max_files_per_trigger)
-    existing = log.read_shards(spark, a.input, streaming=False)
     return start.apply_start(
         records,
-        existing,
+        None,
         position,
         f"{a.checkpoint}/start",
         keys=("shard_id",),
         offset="sequence_number",
         timestamp="approximate_arrival_timestamp",
+        path=a.input,
     )
 
 

@@ -10,9 +10,10 @@ from millrace.functions import text
 # Fixed value: the most messages that a queue service takes in one batch.
 BATCH_SIZE = 10
 
-# Ids in one range; copies of an id that are written out where they were counted; and copies
-# in one block of an id that has more.
-SPAN = 100_000
+# Rows in one range, and ranges at most; copies of an id that are written out where they were
+# counted; and copies in one block of an id that has more.
+ROWS = 100_000
+RANGES = 4_096
 FEW = 1_000
 BLOCK = 100_000
 
@@ -21,10 +22,29 @@ def _expanded(first: str, copies: str, out: str) -> Column:
     return F.explode(F.expr(f"sequence({first}, {first} + {copies} - 1)")).alias(out)
 
 
-def _suitable_span(df: DataFrame, order_by: str) -> int:
-    """A span that holds about ``SPAN`` rows when values lie evenly, however far apart."""
-    low, high, n = df.agg(F.min(order_by), F.max(order_by), F.count(order_by)).first()
-    return min(max(SPAN, (high - low + 1) * SPAN // n), 2**62) if n else SPAN
+def splitters(df: DataFrame, order_by: str, rows: int = ROWS) -> list[int]:
+    """Values that cut a column into ranges of about ``rows`` rows each, from a sketch of its quantiles.
+
+    Ranges follow the rows and not the distance between values: ids that lie close together are cut as finely as others.
+    There are never fewer ranges than Spark has tasks after a shuffle, nor more than :data:`RANGES`, each then longer.
+    """
+    n = df.agg(F.count(order_by)).first()[0]
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranges = min(RANGES, max(-(-n // rows), min(8 * tasks, n)))
+    if ranges < 2:
+        return []
+    shares = F.array(*(F.lit(k / ranges) for k in range(1, ranges)))
+    return sorted(set(df.agg(F.percentile_approx(order_by, shares, F.lit(20 * ranges))).first()[0]))
+
+
+def _range_of(value: Column, cuts: list[int]) -> Column:
+    """How many of the sorted cuts are no larger than the value, by halving."""
+    if not cuts:
+        return F.lit(0)
+    of = F.array(*map(F.lit, cuts))
+    steps = F.array(*(F.lit(1 << k) for k in range(len(cuts).bit_length() - 1, -1, -1)))
+    # Beyond the end there is no cut, which is null and not below the value.
+    return F.aggregate(steps, F.lit(0), lambda at, step: F.when(F.get(of, at + step - 1) <= value, at + step).otherwise(at))
 
 
 def number_in_groups(
@@ -32,7 +52,7 @@ def number_in_groups(
     group: str,
     order_by: str,
     out: str = "n",
-    span: int | None = None,
+    rows: int = ROWS,
     few: int = FEW,
     block: int = BLOCK,
     unique: bool = False,
@@ -41,10 +61,9 @@ def number_in_groups(
 
     A group may hold most of the table, and so may copies of one value, so neither is ever
     brought together. Copies are counted before the shuffle. Groups are cut into ranges of
-    ``span`` consecutive values, which are numbered independently and then moved up by the
-    rows in the ranges before them; only those sums, one row per range, are brought together
-    per group. By default the span suits how densely values lie, which takes a pass to find.
-    Values with more than a ``few`` copies are written out again in blocks, which are spread
+    about ``rows`` rows (see :func:`splitters`, two passes over the column), which are numbered
+    independently and then moved up by the rows in the ranges before them; only those sums, one
+    row per range, are brought together per group. Values with more than a ``few`` copies are written out again in blocks, which are spread
     over tasks. A null in either column fails the job.
 
     ``unique`` says that no value occurs twice in its group, as offsets do not, and saves
@@ -54,9 +73,9 @@ def number_in_groups(
         F.coalesce(name, F.raise_error(F.lit(f"a row to number has no {name}"))).alias(name)
         for name in (group, order_by)
     ]
-    span = span or _suitable_span(df, order_by)
     # Never null, so that no filter makes the plan's uses of these counts differ: they share one shuffle.
-    ranged = df.select(*given).withColumn("__range", F.coalesce(F.expr(f"`{order_by}` div {span}L"), F.lit(0)))
+    cuts = splitters(df, order_by, rows)
+    ranged = df.select(*given).withColumn("__range", F.coalesce(_range_of(F.col(order_by), cuts), F.lit(0)))
     if unique:
         counted = ranged.withColumn("__copies", F.lit(1))
     else:
@@ -98,7 +117,7 @@ def to_messages(
     id_col: str,
     bucket: str,
     batch_size: int = BATCH_SIZE,
-    span: int | None = None,
+    rows: int = ROWS,
     unique: bool = False,
 ) -> DataFrame:
     """Messages (bucket, batch_no, message_id, body), at most ``batch_size`` to a batch.
@@ -106,7 +125,7 @@ def to_messages(
     The message id, which names the bucket and the place in it, lets a receiver discard what
     a retried sender sends again. ``unique`` says that ids occur once in their bucket.
     """
-    numbered = number_in_groups(df, bucket, id_col, "__n", span, unique=unique)
+    numbered = number_in_groups(df, bucket, id_col, "__n", rows, unique=unique)
     return numbered.select(
         F.col(bucket).alias("bucket"),
         F.expr(f"__n div {batch_size}").alias("batch_no"),

@@ -67,6 +67,14 @@ select id, partition_key,
 from k""",
     "start_at_timestamp": "select event_id from events where ts >= timestamp '2024-01-15 00:00:00'",
     "start_latest": f"select e.event_id {_AFTER_LATEST}",
+    "log_manifest": """select 'shard-' || lpad(cast(user_id % 2 as varchar), 3, '0') as shard_id, count(*) as n,
+  max(event_id) as last_id, epoch_us(min(ts)) as first_micros, epoch_us(max(ts)) as last_micros
+from events group by user_id % 2""",
+    "start_latest_files": """select e.event_id as id, 'shard-' || lpad(cast(e.user_id % 2 as varchar), 3, '0') as shard_id
+from events e left join (
+  select user_id % 2 as p, max(event_id) as mx from events where ts < timestamp '2024-01-15 00:00:00' group by user_id % 2) m
+on e.user_id % 2 = m.p
+where e.ts >= timestamp '2024-01-15 00:00:00' and e.event_id > coalesce(m.mx, -1)""",
     "window_5s": _window("5 seconds"),
     "window_10s": _window("10 seconds"),
     "window_60s": _window("60 seconds"),
@@ -121,6 +129,15 @@ from events""",
     "schema_records": _RECORDS,
     "exact_shard_files": """select event_id % 2 as dest, count(*) as n, cast(3 as bigint) as files
 from events group by event_id % 2""",
+    "shared_shard_files": """with d as (
+  select case when event_id % 3 = 0 then 'hot' when event_id % 50 = 1 then event_type else 'rest' end as dest from events),
+n as (select dest, count(*) as n, cast(count(*) * 12 as double) / (select count(*) from d) as share from d group by dest),
+busy as (
+  select dest, floor(share) as whole, row_number() over (order by share - floor(share) desc, n desc) as turn,
+    sum(share) over () - sum(floor(share)) over () as spare
+  from n where share > 1)
+select dest, n, cast(coalesce(whole + case when turn <= round(spare) then 1 else 0 end, 1) as bigint) as files
+from n left join busy using (dest)""",
     "stream_shard_events": _SHARD_EVENTS,
     "stream_topics": "select event_type as topic, props as value from events where event_id % 97 <> 0",
     "stream_tap": "select event_type as topic, count(*) as n from events group by event_type",

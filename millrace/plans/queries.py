@@ -13,6 +13,7 @@ from millrace.functions import codec, keys, text
 from millrace.functions.times import instant
 from millrace.operators import audit, combine, envelope, filters, lookup, metrics, outbox, windows
 from millrace.plans.staging import (
+    SHARD_POSITION,
     day_log,
     event_ids,
     files_per_batch,
@@ -23,9 +24,9 @@ from millrace.plans.staging import (
     value_with_nulls,
 )
 from millrace.session import scratch_dir, written
-from millrace.sinks.files import UNTIL_CAUGHT_UP, in_exact_shards, write_files
+from millrace.sinks.files import UNTIL_CAUGHT_UP, in_exact_shards, in_shares, write_files
 from millrace.sinks.log import append_log
-from millrace.sources import files, generate, log, start
+from millrace.sources import files, generate, log, manifest, start
 from millrace.streaming import jobs
 from millrace.streaming import records as shaped_records
 
@@ -151,6 +152,41 @@ def start_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return start.after(events, ends, ["topic", "partition"], "event_id").select("event_id")
 
 
+@query
+def log_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the manifest of a log that was appended to twice says of each shard, without a look at the log."""
+    events = table(spark, sf_dir, "events")
+    path = scratch_dir(spark, "manifest")
+    for part in (events.where(F.col("ts") < F.expr(MID_MONTH)), events.where(F.col("ts") >= F.expr(MID_MONTH))):
+        stage(shard_log(part), path, events.count(), manifest_of=SHARD_POSITION)
+    held = manifest.up_to_date(spark, path, schemas.SHARD_ENVELOPE, *[[SHARD_POSITION[0]], *SHARD_POSITION[1:]])
+    return held.groupBy("shard_id").agg(
+        F.sum("n").alias("n"),
+        F.max("last_offset.value").cast("bigint").alias("last_id"),
+        F.unix_micros(F.min("first_time")).alias("first_micros"),
+        F.unix_micros(F.max("last_time")).alias("last_micros"),
+    )
+
+
+@query
+def start_latest_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records that arrive after the first start; files that were there before it are not opened again."""
+    events = table(spark, sf_dir, "events")
+    rows = events.count()
+    work = scratch_dir(spark, "start-files")
+    path, (shard, number, arrival) = f"{work}/log", SHARD_POSITION
+    latest = start.StartPosition(start.LATEST)
+
+    def read() -> DataFrame:
+        found = log.read_shards(spark, path, streaming=False)
+        return start.apply_start(found, None, latest, f"{work}/start", (shard,), number, arrival, path)
+
+    stage(shard_log(events.where(F.col("ts") < F.expr(MID_MONTH))), path, rows, manifest_of=SHARD_POSITION)
+    read()
+    stage(shard_log(events.where(F.col("ts") >= F.expr(MID_MONTH))), path, rows, manifest_of=SHARD_POSITION)
+    return envelope.consumed_events(read())
+
+
 # Windows
 
 
@@ -383,6 +419,18 @@ def exact_shard_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return per_file.groupBy("dest").agg(F.sum("n").alias("n"), F.count("*").alias("files"))
 
 
+@query
+def shared_shard_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A third of the rows have one destination, the others go by their type: rows and files found per destination."""
+    path = scratch_dir(spark, "shared-shards")
+    dest = F.when(F.col("event_id") % 3 == 0, "hot").when(F.col("event_id") % 50 == 1, F.col("event_type")).otherwise(F.lit("rest"))
+    rows = table(spark, sf_dir, "events").select("event_id", dest.alias("dest"))
+    write_files(in_shares(rows, "dest", 12, shard_key=["event_id"]), path, partition_by=["dest"])
+    landed = files.read_parquet(spark, path, "event_id bigint, dest string").withColumn("file", F.input_file_name())
+    per_file = landed.groupBy("dest", "file").agg(F.count("*").alias("n"))
+    return per_file.groupBy("dest").agg(F.sum("n").alias("n"), F.count("*").alias("files"))
+
+
 # Streams over several micro-batches
 
 
@@ -507,12 +555,13 @@ def stream_start_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     def run(position: start.StartPosition) -> None:
         records = start.apply_start(
             _shard_stream(spark, work),
-            log.read_shards(spark, path, streaming=False),
+            None,
             position,
             f"{work}/start",
             keys=keyed,
             offset="sequence_number",
             timestamp="approximate_arrival_timestamp",
+            path=path,
         )
         _land(records, work)
 
@@ -529,10 +578,13 @@ def stream_start_at_timestamp(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, work = _stage_shards(spark, sf_dir, "start-at")
     records = start.apply_start(
         _shard_stream(spark, work),
-        log.read_shards(spark, f"{work}/log", streaming=False),
+        None,
         start.StartPosition.parse(start.AT_TIMESTAMP, "2024-01-15T00:00:00.00Z"),
         f"{work}/start",
+        keys=("shard_id",),
+        offset="sequence_number",
         timestamp="approximate_arrival_timestamp",
+        path=f"{work}/log",
     )
     _land(records, work)
     return _landed(spark, work).select("id")

@@ -7,6 +7,7 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,6 +20,9 @@ from millrace.sinks.log import append_log
 
 BATCHES = 4
 
+# What tells the records of a shard log apart: shard, sequence number and arrival.
+SHARD_POSITION = ("shard_id", "sequence_number", "approximate_arrival_timestamp")
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -63,9 +67,9 @@ def shard_log(events: DataFrame, n_shards: int = 2) -> DataFrame:
     )
 
 
-def stage(records: DataFrame, path: str, rows: int, by_topic: bool = False) -> str:
+def stage(records: DataFrame, path: str, rows: int, by_topic: bool = False, manifest_of: Sequence[str] = ()) -> str:
     """Write a log in enough files for several micro-batches, however small the table is."""
-    append_log(records, path, by_topic, max_records_per_file=max(1, math.ceil(rows / BATCHES)))
+    append_log(records, path, by_topic, max_records_per_file=max(1, math.ceil(rows / BATCHES)), manifest_of=manifest_of)
     return path
 
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -50,6 +50,51 @@ def in_exact_shards(
     return df.repartitionById(num_shards * (len(values) + 1), (index * num_shards + spread).cast("int"))
 
 
+def shares(sizes: Mapping[object, int], total: int, writers: int) -> dict[object, int]:
+    """Writers in proportion to sizes, by largest remainder: of ``writers`` for ``total``, those that the sizes come to.
+
+    Equal remainders are served in the order given. Each size gets one writer at least.
+    """
+    exact = {key: size * writers / total for key, size in sizes.items()}
+    given = {key: int(share) for key, share in exact.items()}
+    left = round(sum(exact.values())) - sum(given.values())
+    for key in sorted(exact, key=lambda k: given[k] - exact[k])[:left]:
+        given[key] += 1
+    return {key: max(1, n) for key, n in given.items()}
+
+
+def in_shares(
+    df: DataFrame,
+    destination: str,
+    writers: int,
+    num_shards: int = 1,
+    shard_key: Sequence[str] = (),
+    size: Column | None = None,
+) -> DataFrame:
+    """Writers for each destination: busy ones in proportion to their size, ``num_shards`` for any other.
+
+    A pass over the data sums ``size`` (by default, rows) by destination. A destination with more than one part
+    in ``writers`` of the whole is busy and gets its share of them, so that no task writes much more than such a part, whatever
+    the skew; there are fewer busy destinations than writers, and these alone reach the driver. Other destinations are spread
+    over ``writers`` tasks, each in ``num_shards`` files. Rows of a destination are dealt by a hash of ``shard_key``, so the
+    number of files is exact wherever there are rows for all of them. A null destination is one like any other. Batch frames only.
+    """
+    if writers < 1 or num_shards < 1:
+        raise ValueError("writers and num_shards must be positive")
+    sums = df.groupBy(destination).agg(F.sum(F.lit(1) if size is None else size).alias("size"))
+    total = sums.agg(F.sum("size")).first()[0] or 0
+    busy = sums.where(F.col("size") * writers > total).orderBy(F.desc("size"), destination).collect()
+    given = shares({r[destination]: r["size"] for r in busy}, total, writers) if busy else {}
+    spread = F.xxhash64(*(shard_key or df.columns))
+    # Tasks from 0 on are for busy destinations, one after another; then come those that the others share.
+    first = sum(given.values())
+    place = F.lit(first) + F.pmod(F.xxhash64(F.lit(1), destination), F.lit(writers)) * num_shards + F.pmod(spread, F.lit(num_shards))
+    for key, n in reversed(given.items()):
+        first -= n
+        place = F.when(F.col(destination).eqNullSafe(F.lit(key)), F.lit(first) + F.pmod(spread, F.lit(n))).otherwise(place)
+    return df.repartitionById(sum(given.values()) + writers * num_shards, place.cast("int"))
+
+
 def write_files(
     df: DataFrame,
     path: str,

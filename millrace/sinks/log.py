@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from millrace.sinks.files import EVERY_MINUTE, write_files
+from millrace.sources import manifest
 
 
 def kafka_write_options(
@@ -46,10 +47,15 @@ def append_log(
     max_records_per_file: int | None = None,
     checkpoint: str | None = None,
     trigger: Mapping | None = None,
+    manifest_of: Sequence[str] = (),
 ) -> StreamingQuery | None:
-    """Append enveloped records to a file log, laid out by topic when readers pick topics."""
+    """Append enveloped records to a file log, laid out by topic when readers pick topics.
+
+    ``manifest_of`` names the key, offset and time columns (the last two last) by which a batch append brings the log's
+    manifest up to date: the new files are read once, and consumers need not.
+    """
     options = {"maxRecordsPerFile": str(max_records_per_file)} if max_records_per_file else {}
-    return write_files(
+    query = write_files(
         records,
         path,
         "parquet",
@@ -59,3 +65,7 @@ def append_log(
         mode="append",
         options=options,
     )
+    if query is None and manifest_of:
+        *keys, offset, timestamp = manifest_of
+        manifest.up_to_date(records.sparkSession, path, records.schema, keys, offset, timestamp)
+    return query

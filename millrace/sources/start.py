@@ -16,6 +16,8 @@ from pyspark.sql import types as T
 
 from millrace.operators.lookup import small_enough
 from millrace.session import path_exists
+from millrace.sources import manifest
+from millrace.sources.manifest import position
 
 # The start modes.
 LATEST = "LATEST"
@@ -62,27 +64,9 @@ def _literal(micros: int, kind: T.DataType) -> Column:
     return F.expr(f"timestamp_ntz'{wall_clock.isoformat(' ')}'")
 
 
-def _is_text(log: DataFrame, offset: str) -> bool:
-    return isinstance(log.schema[offset].dataType, T.StringType)
-
-
-def _position(log: DataFrame, offset: str) -> Column:
-    """An offset in a form that sorts by its value.
-
-    Sequence numbers of shards are text, of more digits than any number type holds: without
-    leading zeros, the longer is the larger, and digits decide between equal lengths. A record
-    without an offset has no place in its partition and fails the read.
-    """
-    known = F.coalesce(F.col(offset), F.raise_error(F.lit(f"a record without {offset}")).cast(log.schema[offset].dataType))
-    if not _is_text(log, offset):
-        return known
-    digits = F.ltrim(known, F.lit("0"))
-    return F.struct(F.length(digits).alias("digits"), digits.alias("value"))
-
-
 def last_offsets(log: DataFrame, keys: list[str], offset: str = "offset") -> DataFrame:
     """The last offset of each log partition: one small row per partition."""
-    return log.groupBy(*keys).agg(F.max(_position(log, offset)).alias("last_offset"))
+    return log.groupBy(*keys).agg(F.max(position(log, offset)).alias("last_offset"))
 
 
 def after(log: DataFrame, ends: DataFrame, keys: list[str], offset: str = "offset") -> DataFrame:
@@ -90,46 +74,68 @@ def after(log: DataFrame, ends: DataFrame, keys: list[str], offset: str = "offse
     ends = F.broadcast(ends) if small_enough(ends) else ends
     return (
         log.join(ends, keys, "left")
-        .where((_position(log, offset) > F.col("last_offset")) | F.col("last_offset").isNull())
+        .where((position(log, offset) > F.col("last_offset")) | F.col("last_offset").isNull())
         .select(*log.columns)
     )
 
 
 def apply_start(
     log: DataFrame,
-    existing: DataFrame,
+    existing: DataFrame | None,
     start: StartPosition,
     state_path: str,
     keys: tuple[str, ...] = ("topic", "partition"),
     offset: str = "offset",
     timestamp: str = "timestamp",
+    path: str | None = None,
 ) -> DataFrame:
     """Restrict a (streaming) log to its start position.
 
     ``existing`` is the log as a batch frame. The position is resolved once and written under
     ``state_path``, a folder in or beside the checkpoint; when that holds a position already,
     the given one is ignored.
+
+    ``path`` names the folder of a file log, whose manifest (see :mod:`millrace.sources.manifest`) then says where
+    the log ends, and which files lie wholly before the start: these are not read at all, neither now nor by the stream.
+    The log must come straight from the files, filtered at most; ``existing`` is not read then.
     """
     spark = log.sparkSession
-    mode, start_micros = _resolve_once(spark, existing, start, state_path, list(keys), offset)
+    mode, start_micros = _resolve_once(spark, existing, log.schema, start, state_path, list(keys), offset, timestamp, path)
     if mode == TRIM_HORIZON:
         return log
+    if path is not None:
+        log = manifest.without(log, spark.read.schema("file string, bytes bigint").parquet(f"{state_path}/passed"))
     if mode == AT_TIMESTAMP:
         return log.where(F.col(timestamp) >= _literal(start_micros, log.schema[timestamp].dataType))
-    ends = spark.read.schema(last_offsets(existing, list(keys), offset).schema).parquet(f"{state_path}/ends")
+    ends = spark.read.schema(last_offsets(log, list(keys), offset).schema).parquet(f"{state_path}/ends")
     return after(log, ends, list(keys), offset)
 
 
 def _resolve_once(
-    spark: SparkSession, existing: DataFrame, start: StartPosition, path: str, keys: list[str], offset: str
+    spark: SparkSession,
+    existing: DataFrame | None,
+    shape: T.StructType,
+    start: StartPosition,
+    state: str,
+    keys: list[str],
+    offset: str,
+    timestamp: str,
+    path: str | None,
 ) -> tuple[str, int | None]:
     schema = "mode string, start_micros bigint"
-    if not path_exists(spark, f"{path}/position/_SUCCESS"):
+    if not path_exists(spark, f"{state}/position/_SUCCESS"):
         # The position is written last: if this is cut short, the next run resolves again.
+        held = None
+        if path is not None and start.mode != TRIM_HORIZON:
+            held = manifest.up_to_date(spark, path, shape, keys, offset, timestamp)
+            # All files of the manifest lie before its ends.
+            passed = held if start.mode == LATEST else manifest.before(held, start.start_ts)
+            passed.select("file", "bytes").distinct().write.mode("overwrite").parquet(f"{state}/passed")
         if start.mode == LATEST:
-            last_offsets(existing, keys, offset).write.mode("overwrite").parquet(f"{path}/ends")
+            ends = last_offsets(existing, keys, offset) if held is None else manifest.ends(held, keys)
+            ends.write.mode("overwrite").parquet(f"{state}/ends")
         micros = round(start.start_ts.timestamp() * 1_000_000) if start.start_ts else None
         row = spark.createDataFrame([(start.mode, micros)], schema)
-        row.write.mode("overwrite").parquet(f"{path}/position")
-    stored = spark.read.schema(schema).parquet(f"{path}/position").first()
+        row.write.mode("overwrite").parquet(f"{state}/position")
+    stored = spark.read.schema(schema).parquet(f"{state}/position").first()
     return stored["mode"], stored["start_micros"]

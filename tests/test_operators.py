@@ -204,27 +204,44 @@ def numbers_by_hand(pairs):
     return sorted(out)
 
 
-@pytest.mark.parametrize("span", [1, 7, 1000])
-def test_numbers_in_skewed_groups(spark, span):
+@pytest.mark.parametrize("cut_at", [1, 7, 1000])
+def test_numbers_in_skewed_groups(spark, cut_at):
     # One group holds nine rows in ten; values are sparse, and some are negative.
     pairs = [(0 if i % 10 else 1, i * 3 - 400) for i in range(600)]
     df = spark.createDataFrame(pairs, "g int, v long")
     for unique in (False, True):
-        got = outbox.number_in_groups(df, "g", "v", "n", span, unique=unique)
+        got = outbox.number_in_groups(df, "g", "v", "n", cut_at, unique=unique)
         assert sorted(tuple(r) for r in got.collect()) == numbers_by_hand(pairs)
 
 
-def test_span_follows_the_spread_of_values(spark):
-    dense, sparse = spark.range(1000), spark.range(1000).select((F.col("id") * 10**9 - 10**11).alias("id"))
-    assert outbox._suitable_span(dense, "id") == outbox.SPAN
-    assert 0.9 * 10**9 < outbox._suitable_span(sparse, "id") / outbox.SPAN < 1.1 * 10**9
+def test_extreme_values_are_numbered(spark):
     extremes = spark.createDataFrame([(0, -(2**63)), (0, 2**63 - 1), (0, 0)], "g int, id long")
-    assert outbox._suitable_span(extremes, "id") == 2**62
-    numbered = outbox.number_in_groups(extremes, "g", "id")
+    numbered = outbox.number_in_groups(extremes, "g", "id", rows=1)
     assert [r.n for r in numbered.orderBy("id").collect()] == [0, 1, 2]
     assert outbox.number_in_groups(extremes.limit(0), "g", "id").count() == 0
 
 
+def clustered(spark, n):
+    """99 in 100 ids lie side by side, the others up to the ends of what a long holds."""
+    far = f"if(id % 200 = 0, 1, -1) * ({2**62}L div (id + 1))"
+    return spark.range(n).select(F.expr(f"if(id % 100 = 0, {far}, id + {10**15}L)").alias("id"))
+
+
+def test_ranges_follow_the_rows(spark):
+    df = clustered(spark, 1_000_000)
+    cuts = outbox.splitters(df, "id", 5_000)
+    assert 150 < len(cuts) < 200 and cuts == sorted(cuts)
+    sizes = sorted(r["count"] for r in df.groupBy(outbox._range_of(F.col("id"), cuts).alias("range")).count().collect())
+    assert len(sizes) == len(cuts) + 1 and sizes[-1] < 2 * sizes[len(sizes) // 2]
+
+
+def test_ranges_by_hand(spark):
+    cuts = [-5, 0, 3, 8, 9, 40]
+    got = spark.range(-9, 60).select("id", outbox._range_of(F.col("id"), cuts).alias("at")).collect()
+    assert all(r["at"] == sum(c <= r.id for c in cuts) for r in got)
+    assert spark.range(3).select(outbox._range_of(F.col("id"), []).alias("at")).distinct().collect() == [(0,)]
+
+
 def test_unique_given_for_values_that_are_not(spark):
     pairs = [(i % 2, i % 40) for i in range(400)]
     got = outbox.number_in_groups(spark.createDataFrame(pairs, "g int, v long"), "g", "v", "n", 10, unique=True)
@@ -250,7 +267,7 @@ def test_numbering_never_sorts_a_whole_group(spark):
 
 def test_messages(spark, rows):
     df = spark.range(25).withColumn("bucket", F.lit(0))
-    messages = outbox.to_messages(df, "id", "bucket", span=4)
+    messages = outbox.to_messages(df, "id", "bucket", rows=4)
     sizes = rows(messages.groupBy("batch_no").count())
     assert sizes == [(0, 10), (1, 10), (2, 5)]
     assert rows(messages, "message_id", "body") == sorted((f"0-{i}", str(i)) for i in range(25))

@@ -9,7 +9,7 @@ from millrace.plans.queries import QUERIES
 SF_DIR = "/root/testdata/sf0.001"
 WRITES_FILES = {
     "shard_writer", "keyed_lines", "json_lines", "rows_per_day", "days_batch", "topic_window_files", "schema_id_files",
-    "exact_shard_files", "schema_records",
+    "exact_shard_files", "shared_shard_files", "schema_records", "log_manifest", "start_latest_files",
 }
 IN_MEMORY = sorted(name for name in QUERIES if name not in WRITES_FILES and not name.startswith("stream_"))
 MAP_ONLY = [

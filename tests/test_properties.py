@@ -55,9 +55,9 @@ def test_audit_counts(spark, landed, expected):
 
 @common
 @given(st.lists(st.tuples(st.integers(0, 2), small), min_size=1, max_size=80), st.integers(1, 9), st.integers(1, 9), st.integers(1, 9))
-def test_outbox_numbers(spark, pairs, span, few, block):
+def test_outbox_numbers(spark, pairs, cut_at, few, block):
     df = spark.createDataFrame(pairs, "g int, v int")
-    got = outbox.number_in_groups(df, "g", "v", "n", span, few, block).collect()
+    got = outbox.number_in_groups(df, "g", "v", "n", cut_at, few, block).collect()
     expected = [(g, v, n) for g in range(3) for n, v in enumerate(sorted(v for h, v in pairs if h == g))]
     assert sorted(tuple(r) for r in got) == expected
 

@@ -64,6 +64,34 @@ def test_destination_outside_the_list_is_still_written(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "out")).count() == 90
 
 
+def test_shares_by_largest_remainder():
+    assert sink.shares({"a": 50, "b": 30, "c": 20}, 100, 10) == {"a": 5, "b": 3, "c": 2}
+    assert sink.shares({"a": 55, "b": 26}, 100, 8) == {"a": 4, "b": 2}  # 4.4 and 2.08: six in all
+    assert sink.shares({"a": 47, "b": 47}, 100, 5) == {"a": 3, "b": 2}
+    assert sink.shares({"a": 1}, 1000, 4) == {"a": 1}
+
+
+@pytest.mark.parametrize("num_shards", [1, 3])
+def test_a_third_of_the_rows_gets_a_third_of_the_writers(spark, tmp_path, num_shards):
+    third = F.when(F.col("id") % 3 == 0, F.lit(None)).otherwise((F.col("id") % 1000).cast("string"))
+    df = spark.range(60_000).withColumn("dest", third)
+    sink.write_files(sink.in_shares(df, "dest", 12, num_shards, ["id"]), str(tmp_path / "out"), partition_by=["dest"])
+    found = {k: len(v) for k, v in part_files(tmp_path / "out").items()}
+    assert found.pop("dest=__HIVE_DEFAULT_PARTITION__") == 4
+    assert len(found) == 1000 and set(found.values()) == {num_shards}
+    assert spark.read.parquet(str(tmp_path / "out")).select("id").distinct().count() == 60_000
+
+
+def test_no_task_writes_much_more_than_its_part(spark):
+    dest = F.when(F.col("id") % 10 < 6, "a").when(F.col("id") % 10 < 8, "b").otherwise((F.col("id") % 500).cast("string"))
+    df = sink.in_shares(spark.range(100_000).withColumn("dest", dest), "dest", 20, shard_key=["id"], size=F.lit(7))
+    sizes = [r["count"] for r in df.groupBy(F.spark_partition_id().alias("task")).count().collect()]
+    assert max(sizes) < 1.3 * 100_000 / 20
+    assert sink.in_shares(spark.range(0).withColumn("dest", F.lit("x")), "dest", 4).count() == 0
+    with pytest.raises(ValueError):
+        sink.in_shares(df, "dest", 0)
+
+
 def test_busy_destination_is_split_over_tasks(spark, tmp_path):
     df = spark.range(400_000).repartition(8).withColumn("dest", F.when(F.rand(1) < 0.9, 0).otherwise(F.col("id") % 20))
     size = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
