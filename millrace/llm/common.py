@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -55,17 +53,13 @@ def components(edges: DataFrame) -> DataFrame:
         both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).withColumn("m", F.least("a", "m"))
         stars = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
-        stars = written(stars, "large")
+        stars = written(stars, "large", done=[links])
         least = stars.groupBy("a").agg(F.min("b").alias("m"))
         moved = stars.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        links = written(moved.unionByName(least.withColumnRenamed("m", "b")).where("a <> b").distinct(), "small")
+        links = written(moved.unionByName(least.withColumnRenamed("m", "b")).where("a <> b").distinct(), "small", done=[stars])
         state = links.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if tuple(state) == last:
             break
         last = tuple(state)
     ends = links.select(F.col("b").alias("id"), F.col("b").alias("component")).distinct()
     return links.select(F.col("a").alias("id"), F.col("b").alias("component")).unionByName(ends)
-
-
-def union_all(frames: list[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, frames)

@@ -17,6 +17,8 @@ ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27
 BASE = np.uint64(0x9E3779B97F4A7C15)
 UNBASE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 LETTER = np.array([c >= 128 or chr(c).isalnum() for c in range(256)])
+#: Bytes of a text that are hashed at once, unless a single word is longer.
+SLICE = 1 << 18
 FOUND = "item_ids array<long>, similarity double"
 
 
@@ -32,7 +34,22 @@ class Hashes:
         self.powers, self.inverse = np.ones(1, np.uint64), np.ones(1, np.uint64)
 
     def of(self, text: str | None) -> np.ndarray:
+        """The hashes of all words. A long text is hashed in slices that end between words, so the tables of powers stay small."""
         raw = np.frombuffer((text or "").lower().encode("utf-8", "surrogatepass"), np.uint8)
+        if len(raw) <= SLICE:
+            return self._of(raw)
+        out, at = [], 0
+        while at < len(raw):
+            end = at + SLICE
+            while end < len(raw) and self.letter[raw[end : end + SLICE]].all():
+                end += SLICE
+            if end < len(raw):
+                end += int(np.argmin(self.letter[raw[end : end + SLICE]]))
+            out.append(self._of(raw[at:end]))
+            at = end
+        return np.concatenate(out)
+
+    def _of(self, raw: np.ndarray) -> np.ndarray:
         n = len(raw)
         if n >= len(self.powers):
             self.powers = np.cumprod(np.full(2 * n + 1, BASE, np.uint64)) * UNBASE

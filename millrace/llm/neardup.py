@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import math
 import re
+import zlib
 from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.common import components, lower_ascii, table
@@ -21,8 +22,11 @@ WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOW = 0x5555555555555555
 #: Cells with more members are linked through the values one bit away instead of pair by pair; no link is lost.
 FEW = 24
-#: Bits of a hash by which shingles are counted, for their order only.
-BUCKETS = 18
+#: Bits of a hash by which shingles are counted, for their order only; buckets in one piece of the counts; and pieces
+#: that are added up in one task are first summed in so many.
+BUCKETS, PIECE, SALTS = 22, 1 << 16, 32
+#: Bits of a hash by which a text's shingles are counted, for a bound on what two texts have in common.
+CELLS = 9
 
 
 def fingerprint(text: str | None, width: int = 3) -> int:
@@ -135,26 +139,47 @@ def _bucket(h: np.ndarray) -> np.ndarray:
 
 
 def shingle_order(docs: DataFrame, width: int = 5) -> np.ndarray:
-    """How often the shingles of each bucket of hashes occur; it orders shingles alike for all texts, seldom ones first."""
+    """How often the shingles of each bucket of hashes occur; it orders shingles alike for all texts, seldom ones first.
+
+    Each task counts into one array and hands it on in compressed pieces, which Spark adds up piece by piece; one array of
+    fixed size reaches the driver, whatever the table's.
+    """
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        of, total = Shingles(width).of, np.zeros(1 << BUCKETS, np.int64)
+        of, total = Shingles(width).of, np.zeros(1 << BUCKETS, np.uint32)
         for batch in batches:
             for text in batch["text"]:
                 np.add.at(total, _bucket(of(text)), 1)
-        at = np.flatnonzero(total)
-        yield pd.DataFrame({"bucket": at, "n": total[at]})
+        pieces = total.reshape(-1, PIECE)
+        salt = int(total[::1001].sum()) % SALTS
+        yield pd.DataFrame([(k, salt, zlib.compress(x.tobytes(), 1)) for k, x in enumerate(pieces) if x.any()], columns=["piece", "salt", "counts"])
+
+    def added(group: pd.DataFrame) -> pd.DataFrame:
+        total = np.zeros(PIECE, np.uint64)
+        for x in group["counts"]:
+            total += np.frombuffer(zlib.decompress(x), np.uint32)
+        total = np.minimum(total, (1 << 32) - 1).astype(np.uint32)
+        return pd.DataFrame({"piece": group["piece"][:1], "salt": 0, "counts": [zlib.compress(total.tobytes(), 1)]})
 
-    out = np.zeros(1 << BUCKETS, np.int64)
-    for r in docs.select("text").mapInPandas(count, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toLocalIterator():
-        out[r["bucket"]] = r["n"]
-    return out
+    shape = "piece int, salt int, counts binary"
+    sums = docs.select("text").mapInPandas(count, shape).groupBy("piece", "salt").applyInPandas(added, shape)
+    out = np.zeros((1 << BUCKETS) // PIECE * PIECE, np.uint32).reshape(-1, PIECE)
+    for r in sums.groupBy("piece").applyInPandas(added, shape).collect():
+        out[r["piece"]] = np.frombuffer(zlib.decompress(r["counts"]), np.uint32)
+    return out.ravel()
+
+
+def common_least(sizes: int | np.ndarray, least: float) -> int | np.ndarray:
+    """The fewest shingles that two texts of so many in all have in common at that similarity."""
+    return np.ceil(least / (1 + least) * sizes - 1e-9)
 
 
 def with_prefixes(rows: DataFrame, least: float, width: int = 5) -> DataFrame:
-    """``_row``, ``key`` (equal for equal sets of shingles), ``size`` and ``prefix``.
+    """``_row``, ``key`` (equal for equal sets of shingles), ``size``, ``prefix`` and ``spread``.
 
     Two sets of similarity ``least`` or more share one shingle of their prefixes at least, whatever the common order.
+    ``spread`` counts the shingles by some bits of their hashes (null where a count passes 255): two texts have no more in
+    common than the smaller counts come to.
     """
     shared = rows.sparkSession.sparkContext.broadcast(shingle_order(rows, width))
 
@@ -165,17 +190,39 @@ def with_prefixes(rows: DataFrame, least: float, width: int = 5) -> DataFrame:
             for row, text in zip(batch["_row"], batch["text"], strict=True):
                 h = of(text)
                 first = h[np.lexsort((h, often[_bucket(h)]))[: len(h) - math.ceil(least * len(h) - 1e-9) + 1]]
-                out.append((row, xxhash.xxh128_digest(h.tobytes()), len(h), first.view(np.int64)))
-            yield pd.DataFrame(out, columns=["_row", "key", "size", "prefix"])
+                spread = np.bincount((h & np.uint64((1 << CELLS) - 1)).astype(np.int64), minlength=1 << CELLS)
+                fits = spread.astype(np.uint8).tobytes() if spread.max() < 256 else None
+                out.append((row, xxhash.xxh128_digest(h.tobytes()), len(h), first.view(np.int64), fits))
+            yield pd.DataFrame(out, columns=["_row", "key", "size", "prefix", "spread"])
+
+    return rows.select("_row", "text").mapInPandas(run, "_row long, key binary, size long, prefix array<long>, spread binary")
 
-    return rows.select("_row", "text").mapInPandas(run, "_row long, key binary, size long, prefix array<long>")
 
+def _for_both(pairs: DataFrame, values: DataFrame, *names: str) -> tuple[DataFrame, DataFrame]:
+    """The pairs with the named columns of both rows, ``a_...`` and ``b_...``, and the table of these; only rows in a pair are shuffled."""
+    needed = pairs.select(F.col("a").alias("_row")).unionByName(pairs.select(F.col("b").alias("_row"))).distinct()
+    values = written(values.select("_row", *names).join(needed, "_row", "left_semi"), "values")
+    for side in ("a", "b"):
+        pairs = pairs.join(values.toDF(side, *(f"{side}_{name}" for name in names)), side)
+    return pairs, values
 
-def similar(pairs: DataFrame, rows: DataFrame, least: float, width: int = 5) -> DataFrame:
-    """The pairs of rows ``(a, b)`` whose texts have similarity ``least`` or more: exact, over all their shingles."""
-    needed = written(pairs.select(F.col("a").alias("_row")).unionByName(pairs.select(F.col("b").alias("_row"))).distinct(), "needed")
-    texts = written(rows.select("_row", "text").join(needed, "_row", "left_semi"), "texts")
-    both = pairs.join(texts.toDF("a", "ta"), "a").join(texts.toDF("b", "tb"), "b")
+
+def similar(pairs: DataFrame, prints: DataFrame, rows: DataFrame, least: float, width: int = 5) -> DataFrame:
+    """The pairs of rows ``(a, b)``, a written table, whose texts have similarity ``least`` or more, exact over all their shingles.
+
+    Pairs whose counts of shingles rule it out go first; only the texts of the others meet.
+    """
+
+    @F.pandas_udf("boolean")
+    def possible(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        for a_size, b_size, a, b in batches:
+            out = np.ones(len(a), bool)
+            known = np.flatnonzero((a.notna() & b.notna()).to_numpy())
+            if len(known):
+                x, y = (np.frombuffer(b"".join(v.iloc[known]), np.uint8).reshape(-1, 1 << CELLS) for v in (a, b))
+                most = np.minimum(x, y).sum(axis=1, dtype=np.int64)
+                out[known] = most >= common_least((a_size + b_size).to_numpy()[known], least)
+            yield pd.Series(out)
 
     @F.pandas_udf("boolean")
     def close(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
@@ -183,7 +230,10 @@ def similar(pairs: DataFrame, rows: DataFrame, least: float, width: int = 5) ->
         for left, right in batches:
             yield pd.Series([jaccard(of(x), of(y)) >= least for x, y in zip(left, right, strict=True)], dtype=bool)
 
-    return both.where(close("ta", "tb")).select("a", "b")
+    sized, values = _for_both(pairs, prints, "size", "spread")
+    left = written(sized.where(possible("a_size", "b_size", "a_spread", "b_spread")).select("a", "b"), "possible", done=[values])
+    texts, values = _for_both(left, rows.select("_row", "row.text"), "text")
+    return written(texts.where(close("a_text", "b_text")).select("a", "b"), "links", done=[left, values])
 
 
 def similar_links(prints: DataFrame, rows: DataFrame, least: float = 0.8, width: int = 5) -> DataFrame:
@@ -191,22 +241,30 @@ def similar_links(prints: DataFrame, rows: DataFrame, least: float = 0.8, width:
 
     Rows with a shingle of their prefixes in common form a cell. First all are compared with the smallest of their
     cell, so that a large group of near copies is joined by as many pairs as it has members. Then only rows of a cell
-    that are not joined yet are compared with each other.
+    that are not joined yet are compared with each other. A pair meets in the cell of the first shingle, in the common
+    order, that its rows share: where too few shingles follow it in either row, or sizes differ too much, they are not compared there.
     """
-    entries = written(prints.select(F.col("_row").alias("r"), "size", F.explode("prefix").alias("cell")), "entries")
-    leaders = entries.groupBy("cell").agg(F.min(F.struct("r", "size")).alias("leader"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-    cells = written(entries.join(leaders, "cell"), "cells")
-    alike = lambda x, y: F.least(x, y) >= F.greatest(x, y) * least - 1e-9
-    stars = cells.where(F.col("r") != F.col("leader.r")).where(alike(F.col("size"), F.col("leader.size")))
-    first = written(similar(written(stars.select(F.col("leader.r").alias("a"), F.col("r").alias("b")).distinct(), "stars"), rows, least, width), "star_links")
+    entries = prints.select(F.col("_row").alias("r"), F.col("size").cast("int").alias("size"), F.posexplode("prefix").alias("at", "cell"))
+    leaders = entries.groupBy("cell").agg(F.min(F.struct("r", "size", "at")).alias("leader"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    leaders = written(leaders, "leaders")
+    cells = written(entries.join(leaders, "cell"), "cells", done=[leaders])
+
+    def may_be(x: str, y: str, at_x: str, at_y: str) -> Column:
+        after = F.least(F.col(x) - F.col(at_x), F.col(y) - F.col(at_y))
+        alike = F.least(x, y) >= F.greatest(x, y) * least - 1e-9
+        return alike & (after >= (F.col(x) + F.col(y)) * (least / (1 + least)) - 1e-9)
+
+    stars = cells.where(F.col("r") != F.col("leader.r")).where(may_be("size", "leader.size", "at", "leader.at"))
+    stars = written(stars.select(F.col("leader.r").alias("a"), F.col("r").alias("b")).distinct(), "stars")
+    first = similar(stars, prints, rows, least, width)
     heads = components(first).withColumnsRenamed({"id": "r"})
-    members = written(cells.drop("leader").join(heads, "r", "left").withColumn("head", F.coalesce("component", "r")).drop("component"), "members")
+    members = written(cells.drop("leader").join(heads, "r", "left").withColumn("head", F.coalesce("component", "r")).drop("component"), "members", done=[cells])
     mixed = members.groupBy("cell").agg(F.min("head").alias("x"), F.max("head").alias("y")).where("x < y").select("cell")
-    members = written(members.join(mixed, "cell").select("cell", "r", "size", "head"), "mixed")
-    left, right = members.toDF("cell", "a", "sa", "ha"), members.toDF("cell", "b", "sb", "hb")
-    pairs = left.join(right, "cell").where("a < b and ha <> hb").where(alike(F.col("sa"), F.col("sb"))).select("a", "b").distinct()
-    pairs = written(pairs.join(cells.select(F.col("leader.r").alias("a"), F.col("r").alias("b")).distinct(), ["a", "b"], "left_anti"), "pairs")
-    return first.unionByName(similar(pairs, rows, least, width))
+    members = written(members.join(mixed, "cell").select("cell", "r", "size", "at", "head"), "mixed", done=[members])
+    left, right = members.toDF("cell", "a", "sa", "pa", "ha"), members.toDF("cell", "b", "sb", "pb", "hb")
+    pairs = left.join(right, "cell").where("a < b and ha <> hb").where(may_be("sa", "sb", "pa", "pb")).select("a", "b").distinct()
+    pairs = written(pairs.join(stars, ["a", "b"], "left_anti"), "pairs", done=[members, stars])
+    return first.unionByName(similar(pairs, prints, rows, least, width))
 
 
 def one_of_each(docs: DataFrame, least: float = 0.8, width: int = 5) -> DataFrame:
@@ -216,12 +274,14 @@ def one_of_each(docs: DataFrame, least: float = 0.8, width: int = 5) -> DataFram
     are closed over these links. No link is lost. Rows are numbered as they are written, so that repeated rows and ids
     stay apart; all columns are kept.
     """
-    rows = written(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
-    prints = written(with_prefixes(rows, least, width), "prefixes")
+    own = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")
+    rows = written(docs.select(F.monotonically_increasing_id().alias("_row"), own), "numbered")
+    prints = written(with_prefixes(rows.select("_row", "row.text"), least, width), "prefixes")
     first = F.struct(F.col("doc_id"), F.col("_row"))
-    ids = rows.select("_row", "doc_id").join(prints.select("_row", "key"), "_row").groupBy("key").agg(F.min(first).alias("first"), F.min("_row").alias("rep"))
+    ids = rows.select("_row", "row.doc_id").join(prints.select("_row", "key"), "_row").groupBy("key").agg(F.min(first).alias("first"), F.min("_row").alias("rep"))
     ids = written(ids, "firsts")
-    alone = written(prints.join(ids.select(F.col("rep").alias("_row")), "_row", "left_semi"), "different")
+    alone = written(prints.drop("key").join(ids.select(F.col("rep").alias("_row")), "_row", "left_semi"), "different", done=[prints])
     heads = components(similar_links(alone, rows, least, width)).withColumnsRenamed({"id": "rep", "component": "head"})
     kept = ids.join(heads, "rep", "left").groupBy(F.coalesce("head", "rep").alias("head")).agg(F.min("first").alias("first"))
-    return rows.join(kept.select(F.col("first._row").alias("_row")), "_row", "left_semi").drop("_row")
+    kept = written(kept.select(F.col("first._row").alias("_row")), "kept", done=[alone, ids])
+    return rows.join(kept, "_row", "left_semi").select("row.*")

@@ -17,6 +17,8 @@ from millrace.llm.common import table
 WORD = re.compile(r"[^\W_]+")
 WINDOW, STEP = 32, 24
 GRAMS = 4096
+#: Of a document with label 0, the windows of each epoch; of one with label 1, from the second epoch on.
+CLEAN, TOXIC = 3, 2
 #: Longer runs of letters are words in pieces of this length, the next beginning ``LAP`` characters before the last ends.
 PIECE, LAP = 40, 10
 
@@ -214,8 +216,10 @@ class Scorer:
 def train(texts: list[str], labels: list[int], negatives_per_positive: float = 1.0, epochs: int = 10, seed: int = 5) -> Net:
     """A net for documents of which a label 1 says that some window is toxic.
 
-    A fifth of the rows is set aside to calibrate scores, with negatives weighted to their share. From the second
-    epoch on, a document stands for its two highest windows. Without both labels the net scores all rows alike.
+    A fifth of the rows is set aside to calibrate scores, with negatives weighted to their share. All windows of the
+    others are scored in each epoch from the second on, and those that the net finds most toxic are learned from: the
+    two highest of a toxic document, the three highest of a clean one (in the first epoch, three of either at random).
+    Without both labels the net scores all rows alike.
     """
     draw = np.random.default_rng(seed)
     words, y = [words_of(t) for t in texts], np.array(labels, np.float32)
@@ -249,11 +253,11 @@ def train(texts: list[str], labels: list[int], negatives_per_positive: float = 1
         if epoch:
             for k, got in zip(mine, Scorer(net).window_logits([words[k] for k in mine]), strict=True):
                 spans = windows(len(words[k]))
-                chosen += [(k, *spans[q]) for q in np.argsort(-got)[: 2 if y[k] else 3]]
+                chosen += [(k, *spans[q]) for q in np.argsort(-got)[: TOXIC if y[k] else CLEAN]]
         else:
             for k in mine:
                 spans = windows(len(words[k]))
-                chosen += [(k, *spans[q]) for q in draw.permutation(len(spans))[:3]]
+                chosen += [(k, *spans[q]) for q in draw.permutation(len(spans))[:CLEAN]]
         for part in np.array_split(draw.permutation(len(chosen)), max(1, len(chosen) // 96)):
             net.learn(*inputs([chosen[q] for q in part]), rate=0.01 if epoch < epochs - 3 else 0.003)
     held = [k for k in range(len(words)) if aside[k]]
@@ -272,17 +276,42 @@ def train(texts: list[str], labels: list[int], negatives_per_positive: float = 1
     return net
 
 
-def learned(docs: DataFrame, labels: DataFrame, most: int = 900) -> Net:
-    """A net from at most ``most`` labelled rows of each label, by order of a hash, none with crc32(doc_id) mod 3 = 1."""
-    known = labels.where("toxic in (0, 1)").groupBy("doc_id").agg(F.max("toxic").alias("_toxic"))
-    rows = docs.where("text is not null").where("crc32(cast(cast(doc_id as string) as binary)) % 3 <> 1").select("doc_id", "text").join(known, "doc_id")
-    chosen, sizes = [], []
+def chosen_ids(docs: DataFrame, labels: DataFrame, most: int) -> DataFrame:
+    """``doc_id`` and ``toxic`` of at most ``most`` labelled rows of each label, those of the smallest hashes.
+
+    Only ids and labels are read. Labels below a bound of the hash are looked up among the documents, and the bound is
+    raised until there are enough or no more: a few times ``most`` rows reach the driver, however large the tables.
+    """
+    spark, found = docs.sparkSession, []
+    h = F.xxhash64(F.lit(3), "doc_id")
+    here = docs.where("text is not null and crc32(cast(cast(doc_id as string) as binary)) % 3 <> 1").select("doc_id")
     for label in (0, 1):
-        of = rows.where(F.col("_toxic") == label)
-        sizes.append(known.where(F.col("_toxic") == label).count())
-        chosen.append(of.select("text", "_toxic", F.xxhash64(F.lit(3), "doc_id").alias("_h")).orderBy("_h", "text").limit(most).collect())
+        known = labels.where(F.col("toxic") == label).select("doc_id", "toxic", h.alias("h"))
+        many, share = known.count(), 0.0
+        while share < 1:
+            share = min(1.0, max(2 * share, 4 * most / max(1, many)))
+            low = known if share == 1 else known.where(F.col("h") < int(-(2**63) + share * 2**64))
+            rows = here.join(low, "doc_id").groupBy("doc_id", "h").agg(F.max("toxic").alias("toxic")).orderBy("h", "doc_id").limit(most).collect()
+            if len(rows) == most:
+                break
+        found += [(r["doc_id"], r["toxic"]) for r in rows]
+    return spark.createDataFrame(found, "doc_id long, toxic int")
+
+
+def learned(docs: DataFrame, labels: DataFrame, most: int = 900) -> Net:
+    """A net from at most ``most`` labelled rows of each label, by order of a hash, none with crc32(doc_id) mod 3 = 1.
+
+    A document that both labels are given for is toxic. Ids are chosen first; only the texts of those are read out, of an
+    id that several rows have the smallest.
+    """
+    known = labels.where("toxic in (0, 1)").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    sizes = {r["toxic"]: r["count"] for r in known.groupBy("toxic").count().collect()}
+    ids = F.broadcast(chosen_ids(docs, known, most))
+    texts = docs.where("text is not null").select("doc_id", "text").join(ids, "doc_id").groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
+    rows = texts.select("text", "toxic", F.xxhash64(F.lit(3), "doc_id").alias("h")).collect()
+    chosen = [sorted((r for r in rows if r["toxic"] == label), key=lambda r: (r["h"], r["text"])) for label in (0, 1)]
     found = [r for pair in zip(*(c + [None] * (most - len(c)) for c in chosen), strict=True) for r in pair if r is not None]
-    return train([r["text"] for r in found], [r["_toxic"] for r in found], max(1.0, sizes[0] / max(1, sizes[1])))
+    return train([r["text"] for r in found], [r["toxic"] for r in found], max(1.0, sizes.get(0, 0) / max(1, sizes.get(1, 0))))
 
 
 class Shared:
@@ -308,7 +337,11 @@ def scorer_of(shared: Shared) -> Scorer:
 
 
 def with_toxicity(docs: DataFrame, net: Net, name: str = "score") -> DataFrame:
-    """All rows and columns and the toxicity of the whole text, 0 to 1. Null text is empty and scored as such."""
+    """All rows and columns and the toxicity of the whole text, 0 to 1. Null text is empty and scored as such.
+
+    Every word and character of a text counts, whatever its length; a run of more than ``PIECE`` letters is read as several
+    words that overlap. Repeated rows score alike; an empty table gives no rows; a column already called ``name`` is replaced.
+    """
     shared = Shared(net, docs.sparkSession)
 
     @F.pandas_udf("double")
