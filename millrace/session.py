@@ -64,13 +64,20 @@ def written(df: DataFrame, name: str, done: Iterable[DataFrame] = ()) -> DataFra
     return stored
 
 
-def delete_written(spark: SparkSession) -> None:
-    """Delete all tables that :func:`written` has stored in this application.
+def delete_written(spark: SparkSession, but_for: DataFrame | None = None) -> None:
+    """Delete all tables that :func:`written` has stored in this application, but for those that ``but_for`` reads.
 
-    For callers that have stored the results themselves: a frame that still reads one of the tables is broken by it.
+    For callers that have stored the results themselves: any other frame that still reads one of the tables is broken by it.
     """
+    read = set() if but_for is None else {_bare(f) for f in but_for.inputFiles()}
     for path in list(_stored.get(spark.sparkContext.applicationId, [])):
-        _delete(spark, path)
+        if not any(f.startswith(_bare(path) + "/") for f in read):
+            _delete(spark, path)
+
+
+def _bare(path: str) -> str:
+    """A path without its scheme."""
+    return "/" + path.split(":", 1)[-1].lstrip("/")
 
 
 def _delete(spark: SparkSession, path: str | None) -> None:

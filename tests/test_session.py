@@ -49,5 +49,8 @@ def test_tables_are_deleted_when_done(spark):
     paths = [folder(t) for t in (first, kept)]
     second = written(first.where("id > 2"), "second", done=[first, spark.range(1)])
     assert second.count() == 2 and not path_exists(spark, paths[0]) and path_exists(spark, paths[1])
+    delete_written(spark, but_for=second)
+    assert not path_exists(spark, paths[1]) and second.count() == 2
+    there = folder(second)
     delete_written(spark)
-    assert not path_exists(spark, paths[1])
+    assert not path_exists(spark, there)
