@@ -13,19 +13,28 @@ from pyspark.sql import functions as F
 from millrace.llm.common import table
 from millrace.session import written
 
-# The base patterns.
-EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
-IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+# The base patterns, and words that name a secret. An email is found from its at sign, and an address from the
+# beginning of a run of digits, where any match begins: no part of a text is read more than a few times.
+LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
+DOMAIN = re.compile(r"@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++")
+IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
+LABELS = frozenset("token secret password passwd passphrase pwd apikey credential credentials".split())
 KINDS = ("email", "ip", "card", "phone", "id")
-#: What an unseen identifier can look like: it holds a digit or an at sign. Runs end at white space and punctuation.
+#: What an unseen identifier can look like: it holds a digit or an at sign, or stands in quotes or after an equals sign. Runs
+#: end at white space and punctuation.
+QUOTED = re.compile(r"""(?<=["'`])[^\W\d_][\w./+-]*+(?=["'`])|(?<==)[^\W\d_][\w./+-]*+""")
 TOKEN = re.compile(r"(?<![\w.:@/+-])(?:[^\W0-9]|[.:/+-])*+[0-9@][\w.:@/+-]*+")
 EDGE = "._:@/+-"
 IDENTIFIER = re.compile(r"[0-9@]")
 #: Shorter values are no evidence for a context, and are marked only where they stand in a trusted one.
 SHORT = 5
 NEAR = re.compile(r"[^\W\d_]+")
+#: What stands between a word and a value makes a pattern up to so many characters, white space counted as one.
+BETWEEN = 6
+#: Score of values that a label names: trusted, and below that of a base match.
+LABELLED = 0.9
 SPAN = "struct<kind:string,start:int,end:int,value:string,contexts:array<string>>"
 
 
@@ -39,8 +48,16 @@ def luhn(digits: str) -> bool:
 def base_spans(text: str) -> list[tuple[str, int, int]]:
     """Spans of the fixed patterns, by kind and start; a match that fails its test is dropped and not tried anew."""
     out = []
-    if "@" in text:
-        out += [("email", m.start(), m.end()) for m in EMAIL.finditer(text)]
+    last, at = 0, text.find("@")
+    while at >= 0:
+        start = at
+        while start > last and text[start - 1] in LOCAL:
+            start -= 1
+        found = DOMAIN.match(text, at) if start < at else None
+        if found:
+            out.append(("email", start, found.end()))
+            last = found.end()
+        at = text.find("@", max(at + 1, last))
     if "." in text:
         for m in IP.finditer(text):
             if all(len(p) <= 3 and int(p) <= 255 for p in (x.lstrip("0") or "0" for x in m[0].split("."))):
@@ -66,7 +83,7 @@ class Words:
         self.starts, self.ends = [s for s, _ in self.places], [e for _, e in self.places]
 
     def contexts(self, start: int, end: int) -> list[str]:
-        """Two words before, two after, and one on either side; only whole words count, however far away."""
+        """Two words before, two after, and one on either side, however far away; one word and the punctuation next to the span."""
         last, first = bisect_right(self.ends, start), bisect_left(self.starts, end)
         left = [self.text[s:e].lower() for s, e in self.places[max(0, last - 2) : last]]
         right = [self.text[s:e].lower() for s, e in self.places[first : first + 2]]
@@ -77,39 +94,63 @@ class Words:
             found.append("R " + " ".join(right))
         if left and right:
             found.append(f"M {left[-1]} {right[0]}")
+        if left and (gap := self._between(self.ends[last - 1], start)):
+            found.append(f"l {left[-1]} {gap}")
+        if right and (gap := self._between(end, self.starts[first])):
+            found.append(f"r {gap} {right[0]}")
         return found
 
+    def _between(self, start: int, end: int) -> str | None:
+        """Punctuation between a word and a value, white space as one space; null without any, or with much of it."""
+        marks = " ".join(self.text[start:end].split())
+        return marks if 0 < len(marks) <= BETWEEN else None
+
+    def labelled(self, start: int) -> bool:
+        """Whether the word before names a secret and nothing but an equals sign or a colon, and quotes, follow it."""
+        last = bisect_right(self.ends, start) - 1
+        if last < 0 or self.text[slice(*self.places[last])].lower() not in LABELS:
+            return False
+        marks = "".join(self.text[self.ends[last] : start].split())
+        return len(marks) <= BETWEEN and marks.strip("\"'`") in ("=", ":", ":=")
+
+
+def candidates(text: str) -> Iterator[tuple[int, int]]:
+    """Where values stand that may be identifiers, in order, none within another."""
+    found = [(m.end() - len(v), m.end() - len(v) + len(v.rstrip(EDGE))) for m in TOKEN.finditer(text) if IDENTIFIER.search(v := m[0].lstrip(EDGE))]
+    found += [(m.start(), m.start() + len(m[0].rstrip(EDGE))) for m in QUOTED.finditer(text)]
+    last = 0
+    for start, end in sorted(found):
+        if start >= last and end > start:
+            yield start, end
+            last = end
+
 
 def occurrences(text: str | None) -> list[dict]:
+    """Base spans, and candidates that do not meet one: their kind is ``label`` where a word names them a secret, else empty."""
     text = text or ""
-    base = base_spans(text)
-    spans = [(k, s, e) for k, s, e in base]
-    taken = sorted((s, e) for _, s, e in base)
-    at = 0
-    for m in TOKEN.finditer(text):
-        value = m[0].lstrip(EDGE)
-        start = m.end() - len(value)
-        end = start + len(value.rstrip(EDGE))
-        if not IDENTIFIER.search(value):
-            continue
+    spans, at = base_spans(text), 0
+    taken = sorted((s, e) for _, s, e in spans)
+    words = None
+    for start, end in candidates(text):
         while at < len(taken) and taken[at][1] <= start:
             at += 1
         if at == len(taken) or taken[at][0] >= end:
-            spans.append(("", start, end))
-    words = Words(text) if spans else None
+            words = words or Words(text)
+            spans.append(("label" if words.labelled(start) else "", start, end))
+    words = words or (Words(text) if spans else None)
     return [{"kind": k, "start": s, "end": e, "value": text[s:e].lower(), "contexts": words.contexts(s, e)} for k, s, e in spans]
 
 
 def trusted_patterns(edges: DataFrame, least: float = 0.8, support: int = 3) -> tuple[DataFrame, DataFrame]:
-    """``(value)`` that trusted patterns hold and ``(pattern)`` that are trusted, from ``(value, pattern, seed)`` with seed 0 or 1.
+    """``(value)`` that trusted patterns hold and ``(pattern)`` that are trusted, from ``(value, pattern, seed)`` with seeds from 0 to 1.
 
     Each round, a pattern's confidence is the score of its values over their number plus one, if ``support`` trusted
-    values stand in it; a value's score is the largest confidence of its patterns, and 1 for seeds. Values with
+    values stand in it; a value's score is the largest confidence of its patterns, and its seed at least. Values with
     scores of ``least`` or more are trusted in the next round. Scores never fall; rounds go on until they settle.
     """
     edges = written(edges.groupBy("value", "pattern").agg(F.max("seed").alias("seed")), "edges")
     seeds = edges.groupBy("value").agg(F.max("seed").cast("double").alias("score"))
-    scores, last = seeds, None
+    scores, last, stored = seeds, None, []
     while True:
         trust = F.when(F.col("score") >= least, F.col("score")).otherwise(0.0)
         patterns = (
@@ -120,21 +161,24 @@ def trusted_patterns(edges: DataFrame, least: float = 0.8, support: int = 3) ->
         patterns = written(patterns, "patterns")
         found = edges.join(patterns, "pattern").groupBy("value").agg(F.max("confidence").alias("found"))
         scores = seeds.join(found, "value", "left").select("value", F.greatest("score", F.coalesce("found", F.lit(0.0))).alias("score"))
-        scores = written(scores, "scores")
+        scores = written(scores, "scores", done=stored)
+        stored = [patterns, scores]
         state = scores.where(F.col("score") >= least).agg(F.count(F.lit(1)), F.sum(F.col("score").cast("decimal(38,9)"))).first()
         if tuple(state) == last:
             break
         last = tuple(state)
-    values = scores.where(F.col("score") >= least).join(seeds.where("score = 0").select("value"), "value", "left_semi").select("value")
+    values = scores.where(F.col("score") >= least).join(seeds.where("score < 1").select("value"), "value", "left_semi").select("value")
     return values, patterns.select("pattern")
 
 
 def with_spans(docs: DataFrame, name: str = "spans") -> DataFrame:
     """All rows and columns and ``name``: the spans ``(kind, start, end)`` of personal data, by kind and start.
 
-    The fixed patterns give the seeds; what their contexts find besides has the kind ``id``. Code points count, the
-    end is exclusive. Null text is empty. The input is written once with a number for each row, so that repeated rows
-    and null or repeated doc_ids stay apart.
+    The fixed patterns give the seeds, and so do values that a word of ``LABELS`` names (they are trusted a little less); what
+    stands in the contexts of these has the kind ``id``, the labelled values among it. Code points count, the end is exclusive.
+    Null text is empty; a text of any length and content is read in time proportional to it. The input is written once with a
+    number for each row, so that repeated rows and null or repeated doc_ids stay apart. A column already called ``name`` is
+    replaced; an empty table gives no rows.
     """
 
     @F.pandas_udf(f"array<{SPAN}>")
@@ -142,19 +186,24 @@ def with_spans(docs: DataFrame, name: str = "spans") -> DataFrame:
         for texts in batches:
             yield pd.Series([occurrences(t) for t in texts], dtype=object)
 
-    rows = written(docs.withColumn("_row", F.monotonically_increasing_id()).withColumn("_at", find(F.col("text"))), "spans")
-    at = rows.where(F.size("_at") > 0).select("_row", F.explode("_at").alias("_o")).select("_row", "_o.*")
-    short = (F.col("kind") == "") & (F.col("end") - F.col("start") < SHORT)
+    own = F.struct(*(F.col(f"`{c}`") for c in docs.columns if c != name)).alias("row")
+    rows = written(docs.select(F.monotonically_increasing_id().alias("id"), own, find(F.col("text")).alias("at")), "spans")
+    at = rows.where(F.size("at") > 0).select("id", F.explode("at").alias("o")).select("id", "o.*")
+    kind, seed = F.col("kind"), F.when(F.col("kind") == "", 0.0).when(F.col("kind") == "label", LABELLED).otherwise(1.0)
+    new_kind = kind.isin("", "label")
+    short = new_kind & (F.col("end") - F.col("start") < SHORT)
     at = at.withColumn("value", F.xxhash64("value"))
-    pairs = at.where(~short).select("value", F.explode("contexts").alias("pattern"), (F.col("kind") != "").cast("int").alias("seed"))
+    pairs = at.where(~short).select("value", F.explode("contexts").alias("pattern"), seed.alias("seed"))
     accepted, patterns = trusted_patterns(pairs)
-    new = at.where("kind = ''").where(~short).join(accepted, "value", "left_semi").select("_row", F.struct("start", "end").alias("_s"))
-    there = at.where(short).select("_row", "start", "end", F.explode("contexts").alias("pattern")).join(patterns, "pattern", "left_semi")
-    new = new.unionByName(there.select("_row", F.struct("start", "end").alias("_s")).distinct())
-    new = new.groupBy("_row").agg(F.array_sort(F.collect_list("_s")).alias("_new"))
-    base = F.transform(F.filter("_at", lambda o: o["kind"] != ""), lambda o: F.struct(o["kind"].alias("kind"), o["start"].alias("start"), o["end"].alias("end")))
-    more = F.transform(F.coalesce("_new", F.array().cast("array<struct<start:int,end:int>>")), lambda o: F.struct(F.lit("id").alias("kind"), o["start"].alias("start"), o["end"].alias("end")))
-    return rows.join(new, "_row", "left").withColumn(name, F.concat(base, more)).drop("_row", "_at", "_new")
+    span = F.struct("start", "end").alias("span")
+    new = at.where(new_kind & ~short).join(accepted, "value", "left_semi").select("id", span)
+    there = at.where(short).select("id", "start", "end", F.explode("contexts").alias("pattern")).join(patterns, "pattern", "left_semi")
+    new = new.unionByName(there.select("id", span).distinct())
+    new = new.groupBy("id").agg(F.array_sort(F.collect_list("span")).alias("new"))
+    said = lambda o, kind: F.struct(kind.alias("kind"), o["start"].alias("start"), o["end"].alias("end"))
+    base = F.transform(F.filter("at", lambda o: ~o["kind"].isin("", "label")), lambda o: said(o, o["kind"]))
+    more = F.transform(F.coalesce("new", F.array().cast("array<struct<start:int,end:int>>")), lambda o: said(o, F.lit("id")))
+    return rows.join(new, "id", "left").select("row.*", F.concat(base, more).alias(name))
 
 
 def redacted(docs: DataFrame) -> DataFrame:
@@ -175,7 +224,10 @@ def redacted(docs: DataFrame) -> DataFrame:
                 out.append("".join(parts) + text[at:] if text is not None and at else text)
             yield pd.Series(out, dtype=object)
 
-    return with_spans(docs, "_found").withColumn("text", replace(F.col("text"), F.col("_found"))).drop("_found")
+    name = "found"
+    while name in docs.columns:
+        name += "_"
+    return with_spans(docs, name).withColumn("text", replace(F.col("text"), F.col(name))).select(*(f"`{c}`" for c in docs.columns))
 
 
 def op10_pii(spark, sf_dir):

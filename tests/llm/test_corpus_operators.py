@@ -2,11 +2,14 @@
 
 import math
 import re
+import time
 import zlib
 from collections import Counter
 
 import numpy as np
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from millrace.llm import decontaminate, embeddings, extract, licenses, neardup, packing, pii, scoring, sharding, toxicity
@@ -284,6 +287,41 @@ def test_extraction_of_wrapped_articles(page, expected):
     assert extract.main_text(page, {"": 1.0}) == expected
 
 
+def found_by_patterns(text):
+    """The base spans by the contract's patterns as they stand, tried at every place."""
+    rules = {
+        "email": (r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", lambda t: True),
+        "ip": (r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", lambda t: all(int(p) <= 255 for p in t.split("."))),
+        "card": (r"[0-9]([\x20-]?[0-9])+", lambda t: 16 <= sum(map(str.isdigit, t)) <= 19 and pii.luhn(re.sub("[ -]", "", t))),
+        "phone": (r"\+[0-9][\x20().0-9-]+[0-9]", lambda t: 8 <= sum(map(str.isdigit, t)) <= 15),
+    }
+    return [(kind, m.start(), m.end()) for kind, (rule, fine) in rules.items() for m in re.finditer(rule, text) if fine(m[0])]
+
+
+@given(st.text(st.sampled_from("0123456789aB.@+-% ()é_\n"), max_size=60))
+@settings(max_examples=3000, deadline=None)
+def test_pii_base_spans(text):
+    assert pii.base_spans(text) == found_by_patterns(text)
+
+
+@pytest.mark.parametrize("text", ["a" * 1_000_000 + " @", "1" * 1_000_000 + " .", "1." * 500_000, "a@" * 500_000, "+1" * 500_000, "+" + "1 " * 500_000 + "x", '="a' * 300_000, ". - " * 250_000 + "@1"])
+def test_pii_of_long_texts(text):
+    begun = time.process_time()
+    assert len(pii.base_spans(text)) < 400_000 and sum(1 for _ in pii.candidates(text)) < 600_000
+    assert time.process_time() - begun < 2
+
+
+def test_pii_finds_labelled_secrets_and_what_stands_like_them(spark):
+    """Words that name a secret are seeds; the punctuation around them finds what no label names, letters alone among it."""
+    texts = [f'some words token = "{k:08x}beef{k}" and {k} more' for k in range(30)]
+    texts += ['here token = "onlyletters" stands', 'plain "quoted" word', "the token is 7 long", "token ring 802"]
+    texts += [f"bearer <{k:08x}beef{k}> once" for k in range(30)] + ["bearer <zz9unseen> once"]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: [r.text[s.start : s.end] for s in r.spans if s.kind == "id"] for r in pii.with_spans(frame).collect()}
+    assert all(got[k] == [f"{k:08x}beef{k}"] for k in range(30)) and got[30] == ["onlyletters"]
+    assert got[31] == got[32] == got[33] == [] and got[64] == ["zz9unseen"]
+
+
 def test_pii_takes_all_identifiers_with_digits(spark):
     """Whatever stands before them, of any length, and as many contexts away from a seed as it takes."""
     texts = [f"please write to user{k}@mail.example.org for help" for k in range(60)]
