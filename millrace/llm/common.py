@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from typing import Any
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -12,6 +15,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_KEPT: dict[tuple[str, str], Any] = {}
+
+
+def kept(key: tuple[str, str], make: Callable[[], Any]) -> Any:
+    """What a worker process keeps from task to task: one thing at a time, so that an operator's tables end with it."""
+    if key not in _KEPT:
+        _KEPT.clear()
+        _KEPT[key] = make()
+    return _KEPT[key]
+
+
 def lower_ascii(text: str | None) -> str:
     """A-Z in lower case, every other character as it is; null is empty."""
     return (text or "").translate(_LOWER)

@@ -15,6 +15,8 @@ from millrace.session import written
 
 
 def unit(vectors: np.ndarray) -> np.ndarray:
+    """Vectors of length 1; divided by the largest entry first, so that no square overflows or vanishes."""
+    vectors = vectors / np.abs(vectors).max(axis=1, keepdims=True)
     return vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
 
 

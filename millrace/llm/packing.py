@@ -12,7 +12,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import ranked, table
+from millrace.llm.common import kept, ranked, table
 from millrace.session import written
 
 #: Parts whose splitting needs no Unicode tables; no quote (contractions) and no bracket (special tokens).
@@ -88,14 +88,9 @@ class WordIds(dict):
                 yield b"".join(map(self.__getitem__, parts))
 
 
-_KEPT: dict[str, WordIds] = {}
-
-
 def word_ids(path: str) -> WordIds:
     """One table for all tasks of a worker process."""
-    if path not in _KEPT:
-        _KEPT[path] = WordIds(path)
-    return _KEPT[path]
+    return kept(("words", path), lambda: WordIds(path))
 
 
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:

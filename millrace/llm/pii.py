@@ -33,6 +33,8 @@ SHORT = 5
 NEAR = re.compile(r"[^\W\d_]+")
 #: What stands between a word and a value makes a pattern up to so many characters, white space counted as one.
 BETWEEN = 6
+#: Scores are whole multiples of this, so that they settle in a few rounds. (Fractions would rise by ever smaller parts.)
+STEP = 0.05
 #: Score of values that a label names: trusted, and below that of a base match.
 LABELLED = 0.9
 SPAN = "struct<kind:string,start:int,end:int,value:string,contexts:array<string>>"
@@ -145,29 +147,29 @@ def trusted_patterns(edges: DataFrame, least: float = 0.8, support: int = 3) ->
     """``(value)`` that trusted patterns hold and ``(pattern)`` that are trusted, from ``(value, pattern, seed)`` with seeds from 0 to 1.
 
     Each round, a pattern's confidence is the score of its values over their number plus one, if ``support`` trusted
-    values stand in it; a value's score is the largest confidence of its patterns, and its seed at least. Values with
-    scores of ``least`` or more are trusted in the next round. Scores never fall; rounds go on until they settle.
+    values stand in it, down to a whole ``STEP``; a value's score is the largest confidence of its patterns, and its seed at least. Values
+    with scores of ``least`` or more are trusted in the next round. Scores never fall, and rise by whole steps; rounds go on until none does.
     """
     edges = written(edges.groupBy("value", "pattern").agg(F.max("seed").alias("seed")), "edges")
     seeds = edges.groupBy("value").agg(F.max("seed").cast("double").alias("score"))
     scores, last, stored = seeds, None, []
     while True:
-        trust = F.when(F.col("score") >= least, F.col("score")).otherwise(0.0)
+        trust = F.when(F.col("score") >= least - 1e-9, F.col("score")).otherwise(0.0)
         patterns = (
             edges.join(scores, "value").groupBy("pattern")
-            .agg((F.sum(trust) / (F.count(F.lit(1)) + 1)).alias("confidence"), F.count(F.when(F.col("score") >= least, 1)).alias("trusted"))
-            .where((F.col("trusted") >= support) & (F.col("confidence") >= least))
+            .agg((F.floor(F.sum(trust) / (F.count(F.lit(1)) + 1) / STEP + 1e-9) * STEP).alias("confidence"), F.count(F.when(F.col("score") >= least - 1e-9, 1)).alias("trusted"))
+            .where((F.col("trusted") >= support) & (F.col("confidence") >= least - 1e-9))
         )
         patterns = written(patterns, "patterns")
         found = edges.join(patterns, "pattern").groupBy("value").agg(F.max("confidence").alias("found"))
         scores = seeds.join(found, "value", "left").select("value", F.greatest("score", F.coalesce("found", F.lit(0.0))).alias("score"))
         scores = written(scores, "scores", done=stored)
         stored = [patterns, scores]
-        state = scores.where(F.col("score") >= least).agg(F.count(F.lit(1)), F.sum(F.col("score").cast("decimal(38,9)"))).first()
+        state = scores.where(F.col("score") >= least - 1e-9).agg(F.count(F.lit(1)), F.sum(F.col("score").cast("decimal(38,9)"))).first()
         if tuple(state) == last:
             break
         last = tuple(state)
-    values = scores.where(F.col("score") >= least).join(seeds.where("score < 1").select("value"), "value", "left_semi").select("value")
+    values = scores.where(F.col("score") >= least - 1e-9).join(seeds.where("score < 1").select("value"), "value", "left_semi").select("value")
     return values, patterns.select("pattern")
 
 

@@ -12,7 +12,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm.common import table
+from millrace.llm.common import kept, table
 
 WORD = re.compile(r"[^\W_]+")
 WINDOW, STEP = 32, 24
@@ -325,15 +325,9 @@ class Shared:
         return self.sent.value
 
 
-_KEPT: dict[str, Scorer] = {}
-
-
 def scorer_of(shared: Shared) -> Scorer:
     """A worker keeps the inputs of its words from task to task, for one net at a time."""
-    if shared.id not in _KEPT:
-        _KEPT.clear()
-        _KEPT[shared.id] = Scorer(shared.value)
-    return _KEPT[shared.id]
+    return kept(("net", shared.id), lambda: Scorer(shared.value))
 
 
 def with_toxicity(docs: DataFrame, net: Net, name: str = "score") -> DataFrame:

@@ -322,6 +322,13 @@ def test_pii_finds_labelled_secrets_and_what_stands_like_them(spark):
     assert got[31] == got[32] == got[33] == [] and got[64] == ["zz9unseen"]
 
 
+def test_vectors_of_any_length_link(spark):
+    rows = [[1e200, 0, 0], [1e200, 1e198, 0], [1, 0, 0], [1e-200, 0, 0], [2e-200, 0, 0], [5e-324, 0, 0], [0, 1e-300, 0], [0, 0, 0]]
+    frame = spark.createDataFrame([(k, [float(x) for x in v]) for k, v in enumerate(rows)], "vec_id long, embedding array<double>")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in embeddings.near_vectors(frame).collect()}
+    assert all(got[k] == (5, 0) for k in range(6)) and got[6] == (0, 6) and got[7] == (0, 7)
+
+
 def test_pii_takes_all_identifiers_with_digits(spark):
     """Whatever stands before them, of any length, and as many contexts away from a seed as it takes."""
     texts = [f"please write to user{k}@mail.example.org for help" for k in range(60)]
