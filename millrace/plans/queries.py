@@ -627,7 +627,7 @@ def stream_crash_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def stream_rescale(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Stopped half-way and restarted with fewer tasks, on the same checkpoint."""
+    """Stopped half-way and restarted on the same checkpoint, with fewer tasks to read and to write."""
     events = table(spark, sf_dir, "events")
     rows = events.count()
     work = scratch_dir(spark, "rescale")
@@ -635,5 +635,5 @@ def stream_rescale(spark: SparkSession, sf_dir: str) -> DataFrame:
     first, second = events.where(F.col("event_id") % 2 == 0), events.where(F.col("event_id") % 2 == 1)
     for part, tasks in ((first, max(3, cores * 3 // 4)), (second, max(2, cores // 2))):
         stage(shard_log(part), f"{work}/log", rows)
-        _land(_shard_stream(spark, work).coalesce(tasks), work)
+        _land(_shard_stream(spark, work).coalesce(tasks), work, width=tasks)
     return audit.exactly_once(_landed(spark, work), event_ids(events))

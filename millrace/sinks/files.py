@@ -19,9 +19,16 @@ UNTIL_CAUGHT_UP = {"availableNow": True}
 
 
 def by_destination(
-    df: DataFrame, destination: Sequence[str], num_shards: int = 1, shard_key: Sequence[str] = ()
+    df: DataFrame,
+    destination: Sequence[str],
+    num_shards: int = 1,
+    shard_key: Sequence[str] = (),
+    width: int | None = None,
 ) -> DataFrame:
-    """Bring each destination's rows together in at most ``num_shards`` writers.
+    """Bring each destination's rows together in at most ``num_shards`` writers, over ``width`` tasks.
+
+    Without a width, ``spark.sql.shuffle.partitions`` holds; a stream that restarts on its checkpoint keeps the number that it
+    began with, so a restart at another width has to name it.
 
     This is a rebalance, not a plain repartition: Spark splits a destination that outgrows
     ``spark.sql.adaptive.advisoryPartitionSizeInBytes`` over further tasks, so one that holds
@@ -29,10 +36,11 @@ def by_destination(
     """
     if num_shards < 1:
         raise ValueError("num_shards must be positive")
+    wide = () if width is None else (width,)
     if num_shards == 1:
-        return df.hint("rebalance", *destination)
+        return df.hint("rebalance", *wide, *destination)
     spread = F.pmod(F.xxhash64(*(shard_key or df.columns)), F.lit(num_shards))
-    return df.withColumn("__shard", spread).hint("rebalance", *destination, "__shard").drop("__shard")
+    return df.withColumn("__shard", spread).hint("rebalance", *wide, *destination, "__shard").drop("__shard")
 
 
 def in_exact_shards(

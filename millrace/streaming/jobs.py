@@ -49,12 +49,14 @@ def land_shards(
     folder: str = "day",
     trigger: Mapping | None = None,
     save_mode: str = "errorifexists",
+    width: int | None = None,
 ) -> StreamingQuery | None:
     """Decode shard records into Snappy Parquet with their window, one folder per day or hour of windows.
 
     The window is the column ``window_start``: however short windows are, files number days
     or hours times writers. ``window=None`` writes without windows. With ``together`` a
-    folder's rows are brought together first: fewer files for one shuffle.
+    folder's rows are brought together first: fewer files for one shuffle, over ``width`` tasks, which
+    may be another number each time that the stream is restarted.
     """
     events = envelope.consumed_events(records, mode, keep=(time,) if time else ())
     folders = []
@@ -65,7 +67,7 @@ def land_shards(
         folders = [*folders, name]
     events = events.select("id", "shard_id", *(["window_start"] if window else []), *folders)
     if together and folders:
-        events = by_destination(events, folders)
+        events = by_destination(events, folders, width=width)
     if window:
         events = _in_order(events, folders)
     return write_files(

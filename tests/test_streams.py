@@ -1,6 +1,7 @@
 """Jobs as streams: admission, metrics, start positions and recovery, each ending in an audit."""
 
 import random
+import re
 import subprocess
 import sys
 from datetime import datetime, timedelta, timezone
@@ -111,6 +112,17 @@ def test_new_shards_half_way(spark, tmp_path, rows):
     assert audited(spark, work, 200) == clean(200)
 
 
+def test_restart_at_another_width(spark, tmp_path):
+    """Plans of both runs show their own number of tasks, though the checkpoint keeps the first run's shuffle partitions."""
+    work, plans = str(tmp_path), []
+    for first, width in ((0, 5), (200, 3)):
+        append(spark, f"{work}/log", first, first + 200)
+        query = land(spark, work, together=True, width=width)
+        plans.append(query._jsq.streamingQuery().lastExecution().executedPlan().toString())
+    assert all(re.search(rf"hashpartitioning\(window_day#\d+, {n}\), REBALANCE", plan) for n, plan in zip((5, 3), plans))
+    assert audited(spark, work, 400) == clean(400)
+
+
 TOPIC_RUN = """
 import sys
 sys.path.insert(0, sys.argv[1])
