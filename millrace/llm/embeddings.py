@@ -128,3 +128,20 @@ def near_vectors(vectors: DataFrame, least: float = 0.95, probes: int = 4, per_c
 
 def op6_embeddings(spark, sf_dir):
     return near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+#: The same in SQL, by all pairs.
+SQL = """with recursive v as (select vec_id, cast(embedding as double[]) as e from embeddings),
+fine as (
+  select vec_id, e from v where e is not null and len(e) > 0
+    and len(list_filter(e, lambda c: c is null or not isfinite(c))) = 0 and len(list_filter(e, lambda c: c <> 0)) > 0),
+links as (
+  select x.vec_id as a, y.vec_id as b from fine x join fine y
+  on x.vec_id <> y.vec_id and len(x.e) = len(y.e) and list_cosine_similarity(x.e, y.e) >= 0.95),
+reached as (
+  select vec_id as a, vec_id as b from v
+  union
+  select r.a, l.b from reached r join links l on l.a = r.b)
+select r.a as vec_id, (select count(*) from links l where l.a = r.a) as n_links, min(r.b) as component_id,
+  r.a = min(r.b) as kept
+from reached r group by r.a"""

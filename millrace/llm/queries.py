@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from millrace.llm import linededup, resample
+from millrace.llm import embeddings, linededup, resample
 from millrace.llm.decontaminate import op5_decontamination
 from millrace.llm.embeddings import op6_embeddings
 from millrace.llm.extract import op8_extraction
@@ -25,4 +25,4 @@ QUERIES = {
         op11_whitening, op12_lines, op13_resampling,
     )
 }
-ORACLES: dict[str, str] = {"op12_lines": linededup.SQL, "op13_resampling": resample.SQL}
+ORACLES: dict[str, str] = {"op6_embeddings": embeddings.SQL, "op12_lines": linededup.SQL, "op13_resampling": resample.SQL}
