@@ -133,8 +133,8 @@ def op6_embeddings(spark, sf_dir):
 #: The same in SQL, by all pairs.
 SQL = """with recursive v as (select vec_id, cast(embedding as double[]) as e from embeddings),
 fine as (
-  select vec_id, e from v where e is not null and len(e) > 0
-    and len(list_filter(e, lambda c: c is null or not isfinite(c))) = 0 and len(list_filter(e, lambda c: c <> 0)) > 0),
+  select vec_id, list_transform(v.e, lambda c: coalesce(c, 0.0)) as e from v where v.e is not null and len(v.e) > 0
+    and len(list_filter(v.e, lambda c: c is null or not isfinite(c))) = 0 and len(list_filter(v.e, lambda c: c <> 0)) > 0),
 links as (
   select x.vec_id as a, y.vec_id as b from fine x join fine y
   on x.vec_id <> y.vec_id and len(x.e) = len(y.e) and list_cosine_similarity(x.e, y.e) >= 0.95),
