@@ -1,10 +1,14 @@
-"""Language-model scores: causal self-attention over subword ids, trained by numpy on all rows in Spark, mixed with id bigrams."""
+"""Language-model scores: causal self-attention over subword ids, trained by numpy on all rows in Spark.
+
+The attention layer predicts the class of the next id: it starts from the counts of classes after the id before and learns what the
+ids further back add. Counts of id pairs give the id within its class. So every place has one distribution over all ids, and
+``score`` is the sum of its logarithms.
+"""
 
 from __future__ import annotations
 
 import copy
 import math
-import re
 from collections import Counter
 from collections.abc import Iterable, Iterator
 
@@ -13,17 +17,27 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import lower_ascii, table
+from millrace.llm.common import table
 from millrace.llm.packing import tokenizer_path, word_ids
 from millrace.session import written
 
-WORD = re.compile(r"[^\x20\x09-\x0D]+")
 VOCABULARY = 49_408
 CONTEXT, STEP = 32, 24
-#: Words counted most often, scored in the map; the others are joined.
-FREQUENT = 50_000
-#: Id pairs counted most often, likewise; and how many places the counts of single ids weigh among those of pairs.
-PAIRS, PRIOR = 200_000, 20.0
+CLASSES, WIDTH = 64, 8
+#: Ids with a vector of their own; the less frequent ones share them by remainder.
+OWN = 4_096
+#: Words counted most often are scored in the map, at most so many; the others are joined. Likewise pairs of ids.
+FREQUENT, PAIRS = 50_000, 400_000
+#: How many places the counts of single ids weigh among those of pairs.
+PRIOR = 20.0
+#: Sixteenths of the rows that a round of training ends before, and its rate: partitions meet early and learn most from the mean.
+ROUNDS = ((0, 2, 0.04), (2, 6, 0.03), (6, 16, 0.02))
+LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
+
+
+def words_of(text: str | None) -> list[bytes]:
+    """Words between ASCII white space, A-Z in lower case, as UTF-8; null is empty."""
+    return (text or "").encode("utf-8", "surrogatepass").translate(LOWER).split()
 
 
 def windows(n: int) -> list[tuple[int, int]]:
@@ -31,130 +45,171 @@ def windows(n: int) -> list[tuple[int, int]]:
     return [(0, 0), *((s - CONTEXT + STEP, s) for s in range(CONTEXT, n, STEP))]
 
 
+def class_of_ids(counts: np.ndarray, pairs: tuple[np.ndarray, ...], classes: int = CLASSES, dims: int = 12, seed: int = 3) -> np.ndarray:
+    """Ids with like neighbours on both sides share a class: leading singular vectors of the scaled pair counts, then k-means on the sphere."""
+    before, after, n = pairs
+    of, seen = np.zeros(len(counts), np.int64), np.flatnonzero(counts)
+    if len(seen) < 2:
+        return of
+    scaled = n / np.sqrt((counts[before] + 1) * (counts[after] + 1))
+    sides = [np.random.default_rng(seed).normal(size=(len(counts), dims))] * 2
+    for _ in range(12):
+        for side, mine, other in ((0, before, after), (1, after, before)):
+            sides[side] = np.linalg.qr(np.stack([np.bincount(mine, scaled * x[other], len(counts)) for x in sides[1 - side].T], axis=1))[0]
+    y, weight = np.hstack([x[seen] / (np.linalg.norm(x[seen], axis=1, keepdims=True) + 1e-30) for x in sides]), np.sqrt(counts[seen])
+    centres = y[np.argsort(-weight, kind="stable")[:classes]].copy()
+    for _ in range(15):
+        nearest = np.argmax(y @ centres.T, axis=1)
+        sums = np.stack([np.bincount(nearest, weight * x, len(centres)) for x in y.T], axis=1)
+        norms = np.linalg.norm(sums, axis=1)
+        centres[norms > 0] = sums[norms > 0] / norms[norms > 0, None] * math.sqrt(2)
+    of[seen] = nearest
+    return np.unique(of, return_inverse=True)[1]
+
+
 class Model:
-    """One causal attention layer; it predicts the class of the next id, and counts give the id within its class."""
-
-    def __init__(self, counts: np.ndarray, classes: int = 32, width: int = 12, seed: int = 3):
-        draw = np.random.default_rng(seed)
-        order = np.argsort(-counts, kind="stable")
-        mass = np.cumsum(counts[order] + 0.5)
-        self.of = np.zeros(len(counts), np.int64)
-        self.of[order] = np.minimum((mass - counts[order] - 0.5) * classes // mass[-1], classes - 1).astype(np.int64)
-        of_class = np.bincount(self.of, counts + 0.5, classes)
-        self.within = np.log10((counts + 0.5) / of_class[self.of])
-        self.p = {"ids": draw.normal(0, 0.1, (len(counts), width)), "places": draw.normal(0, 0.1, (CONTEXT, width))}
-        self.p |= {k: draw.normal(0, 0.3, (width, width)) for k in ("q", "k", "v", "x", "o")}
-        self.p |= {"c": draw.normal(0, 0.1, (width, classes)), "b": np.log((of_class + 1e-9) / of_class.sum())}
-        self.p = {k: v.astype(np.float32) for k, v in self.p.items()}
+    """One causal attention layer over the counts ``(before, class, n)`` of classes after an id; all tables are bounded by the vocabulary."""
+
+    def __init__(self, counts: np.ndarray, of: np.ndarray, pairs: tuple[np.ndarray, ...], seed: int = 3):
+        draw, self.of = np.random.default_rng(seed), of
+        of_class = np.bincount(of, counts + 0.5)
+        self.within = PRIOR * (counts + 0.5) / of_class[of]
+        after = np.zeros((len(counts), len(of_class)))
+        np.add.at(after, pairs[:2], pairs[2])
+        self.after = after.astype(np.float32)
+        self.prior = np.log((after + PRIOR * of_class / of_class.sum()) / (after.sum(axis=1, keepdims=True) + PRIOR)).astype(np.float32)
+        self.own = np.arange(len(counts)) % OWN
+        self.own[np.argsort(-counts, kind="stable")[:OWN]] = np.arange(min(OWN, len(counts)))
+        self.p = {"ids": draw.normal(0, 0.3, (OWN, WIDTH)), "places": draw.normal(0, 0.1, (CONTEXT, WIDTH))}
+        self.p |= {k: draw.normal(0, 0.4, (WIDTH, WIDTH)) for k in ("q", "k", "v", "x", "o")}
+        self.p |= {"c": np.zeros((WIDTH, len(of_class)))}
+        self.p = {k: x.astype(np.float32) for k, x in self.p.items()}
         self.cause = np.triu(np.full((CONTEXT, CONTEXT), -1e9, np.float32), 1)
-        self.scale = np.float32(1 / math.sqrt(width))
+        self.scale = np.float32(1 / math.sqrt(WIDTH))
 
     def forward(self, ids: np.ndarray) -> tuple:
-        """Log probabilities of the classes at each place from the ids before it. A padded place follows all real ones."""
+        """Unscaled probabilities of the classes at each place, from the ids before it. A padded place follows all real ones.
+
+        Entries of ``c`` are kept within 5, so that these lie between e**-70 and e**40 and need no shift.
+        """
         p, n = self.p, ids.shape[1]
-        x = p["ids"][ids] + p["places"][:n]
+        x = p["ids"][self.own[ids]] + p["places"][:n]
         q, k, v = x @ p["q"], x @ p["k"], x @ p["v"]
-        a = q @ k.transpose(0, 2, 1) * self.scale + self.cause[:n, :n]
-        a = np.exp(a - a.max(axis=2, keepdims=True))
+        a = q @ k.transpose(0, 2, 1)
+        a *= self.scale
+        a += self.cause[:n, :n]
+        a -= a.max(axis=2, keepdims=True)
+        np.exp(a, out=a)
         a /= a.sum(axis=2, keepdims=True)
         s = a @ v
         h = np.tanh(x @ p["x"] + s @ p["o"])
-        out = h @ p["c"] + p["b"]
-        out -= out.max(axis=2, keepdims=True)
-        out -= np.log(np.exp(out).sum(axis=2, keepdims=True))
+        out = h @ p["c"]
+        out += self.prior[ids]
+        np.exp(out, out=out)
         return x, q, k, v, a, s, h, out
 
-    def train(self, texts: list[np.ndarray], steps: int = 300, batch: int = 64, rate: float = 0.01, seed: int = 4) -> None:
-        """``steps`` steps on windows drawn at random: a start for ``train_on``."""
-        texts = [t for t in texts if len(t)]
-        draw, spans = np.random.default_rng(seed), [(k, s) for k, t in enumerate(texts) for s, _ in windows(len(t))]
-        chosen = ([(texts[k], s) for k, s in (spans[i] for i in draw.integers(0, len(spans), batch))] for _ in range(steps if spans else 0))
-        self.descend(chosen, rate)
-
-    def train_on(self, batches: Iterator[list[np.ndarray]], batch: int = 256, rate: float = 0.003, seed: int = 4) -> int:
-        """One pass over all windows of all texts; how many there were."""
-        draw, seen = np.random.default_rng(seed), 0
-
-        def chosen():
-            nonlocal seen
-            for texts in batches:
-                spans = [(t, s) for t in texts for s, _ in windows(len(t)) if len(t)]
-                seen += len(spans)
-                order = draw.permutation(len(spans))
-                for at in range(0, len(spans), batch):
-                    yield [spans[i] for i in order[at : at + batch]]
-
-        self.descend(chosen(), rate)
+    def train_on(self, batches: Iterable[list[np.ndarray]], rate: float, batch: int = 128, seed: int = 4) -> int:
+        """Adam over windows side by side that hold every place of all texts once; how many windows there were."""
+        m, w = ({k: np.zeros_like(x) for k, x in self.p.items()} for _ in range(2))
+        draw, seen, step = np.random.default_rng(seed), 0, 0
+        for texts in batches:
+            flat, of, begin, length = spans_of(texts, [[(s, s) for s in range(0, len(t), CONTEXT)] for t in texts])[:4]
+            seen += len(begin)
+            order = draw.permutation(len(begin))
+            for at in range(0, len(order), batch):
+                some = order[at : at + batch]
+                step += 1
+                for name, grad in self.gradients(*inputs(flat, of[some], begin[some], length[some])).items():
+                    m[name] += 0.1 * (grad - m[name])
+                    w[name] += 0.01 * (grad * grad - w[name])
+                    self.p[name] -= np.float32(rate / (1 - 0.9**step)) * m[name] / (np.sqrt(w[name] * np.float32(1 / (1 - 0.99**step))) + np.float32(1e-8))
+                np.clip(self.p["c"], -5, 5, out=self.p["c"])
         return seen
 
-    def descend(self, batches: Iterable[list[tuple[np.ndarray, int]]], rate: float) -> None:
-        """A step of Adam for each batch of windows."""
-        m, w = ({k: np.zeros_like(x) for k, x in self.p.items()} for _ in range(2))
-        for step, chosen in enumerate(batches, 1):
-            ids, nxt, mask = self.inputs(chosen)
-            p, g = self.p, {}
-            x, q, k, v, a, s, h, out = self.forward(ids)
-            d = np.exp(out)
-            d[np.arange(len(ids))[:, None], np.arange(ids.shape[1]), self.of[nxt]] -= 1
-            d *= (mask / mask.sum())[:, :, None].astype(np.float32)
-            g["c"], g["b"] = np.einsum("nth,ntc->hc", h, d), d.sum(axis=(0, 1))
-            dz = d @ p["c"].T * (1 - h * h)
-            g["x"], g["o"] = np.einsum("nti,ntj->ij", x, dz), np.einsum("nti,ntj->ij", s, dz)
-            ds, dx = dz @ p["o"].T, dz @ p["x"].T
-            da, dv = ds @ v.transpose(0, 2, 1), a.transpose(0, 2, 1) @ ds
-            da = a * (da - (da * a).sum(axis=2, keepdims=True)) * self.scale
-            for name, y in (("q", da @ k), ("k", da.transpose(0, 2, 1) @ q), ("v", dv)):
-                g[name] = np.einsum("nti,ntj->ij", x, y)
-                dx = dx + y @ p[name].T
-            g["places"], g["ids"] = np.zeros_like(p["places"]), np.zeros_like(p["ids"])
-            g["places"][: ids.shape[1]] = dx.sum(axis=0)
-            np.add.at(g["ids"], ids, dx)
-            for name, grad in g.items():
-                m[name] += 0.1 * (grad - m[name])
-                w[name] += 0.01 * (grad * grad - w[name])
-                p[name] -= (rate * (m[name] / (1 - 0.9**step)) / (np.sqrt(w[name] / (1 - 0.99**step)) + 1e-8)).astype(np.float32)
-
-    @staticmethod
-    def inputs(chosen: list[tuple[np.ndarray, int]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """The id before each place (0 at the start), the id at it, and which places are real."""
-        n = min(CONTEXT, max(len(t) - s for t, s in chosen))
-        ids, nxt, mask = (np.zeros((len(chosen), n), np.int64) for _ in range(3))
-        for row, (t, s) in enumerate(chosen):
-            part = t[s : s + n]
-            nxt[row, : len(part)], mask[row, : len(part)] = part, 1
-            ids[row, : len(part)] = np.concatenate([t[s - 1 : s] if s else [0], part[:-1]])
-        return ids, nxt, mask
-
-    def scores(self, texts: list[np.ndarray], batch: int = 2048) -> np.ndarray:
-        """log10 of the probability of each text's ids; each place counts once."""
+    def gradients(self, ids: np.ndarray, nxt: np.ndarray, mask: np.ndarray) -> dict[str, np.ndarray]:
+        """Of the mean loss over real places."""
+        p, g = self.p, {}
+        x, q, k, v, a, s, h, d = self.forward(ids)
+
+        def flat(y: np.ndarray) -> np.ndarray:
+            return y.reshape(-1, y.shape[2])
+
+        d /= d.sum(axis=2, keepdims=True)
+        flat(d)[np.arange(nxt.size), self.of[nxt].ravel()] -= 1
+        d *= (mask / np.float32(mask.sum()))[:, :, None]
+        g["c"] = flat(h).T @ flat(d)
+        dz = (d @ p["c"].T) * (1 - h * h)
+        g["x"], g["o"] = flat(x).T @ flat(dz), flat(s).T @ flat(dz)
+        ds, dx = dz @ p["o"].T, dz @ p["x"].T
+        da, dv = ds @ v.transpose(0, 2, 1), a.transpose(0, 2, 1) @ ds
+        da -= (da * a).sum(axis=2, keepdims=True)
+        da *= a
+        da *= self.scale
+        for name, y in (("q", da @ k), ("k", da.transpose(0, 2, 1) @ q), ("v", dv)):
+            g[name] = flat(x).T @ flat(y)
+            dx += y @ p[name].T
+        g["places"] = np.zeros_like(p["places"])
+        g["places"][: ids.shape[1]] = dx.sum(axis=0)
+        rows = self.own[ids].ravel()
+        g["ids"] = np.stack([np.bincount(rows, column, len(p["ids"])) for column in flat(dx).T], axis=1).astype(np.float32)
+        return g
+
+    def scores(self, texts: list[np.ndarray], batch: int = 256) -> np.ndarray:
+        """log10 of the probability of each text's classes, by overlapping windows; each place counts once."""
         total = np.zeros(len(texts))
-        spans = sorted(((min(CONTEXT, len(t) - s), k, s, f) for k, t in enumerate(texts) if len(t) for s, f in windows(len(t))))
-        for at in range(0, len(spans), batch):
-            part = spans[at : at + batch]
-            ids, nxt, mask = self.inputs([(texts[k], s) for _, k, s, _ in part])
+        flat, of, begin, length, first, text = spans_of(texts, [windows(len(t)) if len(t) else [] for t in texts])
+        order = np.argsort(length, kind="stable")
+        for at in range(0, len(order), batch):
+            some = order[at : at + batch]
+            ids, nxt, mask = inputs(flat, of[some], begin[some], length[some])
             out = self.forward(ids)[-1]
-            got = np.take_along_axis(out, self.of[nxt][:, :, None], axis=2)[:, :, 0] / math.log(10) + self.within[nxt]
-            fresh = np.arange(ids.shape[1]) >= np.array([f - s for _, _, s, f in part])[:, None]
-            np.add.at(total, [k for _, k, _, _ in part], (got * mask * fresh).sum(axis=1))
+            hit = out.reshape(-1, out.shape[2])[np.arange(nxt.size), self.of[nxt].ravel()].reshape(nxt.shape)
+            got = np.log10(hit / out.sum(axis=2))
+            fresh = mask * (np.arange(ids.shape[1]) >= first[some][:, None])
+            total += np.bincount(text[some], (got * fresh).sum(axis=1, dtype=np.float64), len(texts))
         return total
 
 
-def trained_on_all(model: Model, training: DataFrame) -> None:
-    """Each partition fits the model to all its rows; parameters are averaged by their numbers of windows."""
-    shared = training.sparkSession.sparkContext.broadcast(model)
+def spans_of(texts: list[np.ndarray], spans: list[list[tuple[int, int]]]) -> tuple[np.ndarray, ...]:
+    """All texts end to end, and for each window: its text's start there, begin, length, first place that counts, and text."""
+    sizes = np.array([len(t) for t in texts], np.int64)
+    starts = np.cumsum(sizes) - sizes
+    flat = np.concatenate([np.zeros(0, np.int64), *texts]).astype(np.int64)
+    text = np.repeat(np.arange(len(texts)), [len(s) for s in spans])
+    begin, first = np.array([b for s in spans for b in s], np.int64).reshape(-1, 2).T
+    return flat, starts[text], begin, np.minimum(CONTEXT, sizes[text] - begin), first - begin, text
 
-    def fit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        own = copy.copy(shared.value)
-        own.p = {k: x.copy() for k, x in own.p.items()}
-        seen = own.train_on([np.asarray(x, np.int64) for x in b["ids"]] for b in batches)
-        if seen:
-            yield pd.DataFrame({"name": list(own.p), "value": [own.p[k].tobytes() for k in own.p], "seen": seen})
 
-    sums, total = {k: np.zeros(x.shape) for k, x in model.p.items()}, Counter()
-    for r in training.select("ids").mapInPandas(fit, "name string, value binary, seen long").toLocalIterator():
-        sums[r["name"]] += r["seen"] * np.frombuffer(r["value"], np.float32).reshape(sums[r["name"]].shape)
-        total[r["name"]] += r["seen"]
-    model.p = {k: (sums[k] / total[k]).astype(np.float32) if total[k] else x for k, x in model.p.items()}
+def inputs(flat: np.ndarray, of: np.ndarray, begin: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The id before each place (0 at the start of a text), the id at it, and which places are real."""
+    place = np.arange(length.max())
+    at = (of + begin)[:, None] + np.minimum(place, length[:, None] - 1)
+    ids = flat[np.maximum(at - 1, 0)]
+    ids[begin == 0, 0] = 0
+    return ids, flat[at], (place < length[:, None]).astype(np.float32)
+
+
+def trained_on_all(model: Model, training: DataFrame) -> None:
+    """Rounds of training that cover every row once: partitions fit at the same time, and Spark sums parameters by windows."""
+    names = list(model.p)
+    for begin, end, rate in ROUNDS:
+        shared = training.sparkSession.sparkContext.broadcast(model)
+
+        def fit(batches: Iterator[pd.DataFrame], shared=shared, rate=rate) -> Iterator[pd.DataFrame]:
+            own = copy.copy(shared.value)
+            own.p = {k: x.copy() for k, x in own.p.items()}
+            seen = own.train_on(([np.asarray(x, np.int64) for x in b["ids"]] for b in batches), rate)
+            if seen:
+                values = np.concatenate([own.p[k].ravel() for k in names]).astype(np.float64)
+                yield pd.DataFrame({"k": np.arange(len(values), dtype=np.int32), "value": values * seen, "seen": seen})
+
+        part = training.where(F.pmod(F.xxhash64("_row"), F.lit(16)).between(begin, end - 1)).select("ids")
+        sums = part.mapInPandas(fit, "k int, value double, seen long").groupBy("k").agg((F.sum("value") / F.sum("seen")).alias("value"))
+        got = sums.toPandas().sort_values("k")["value"].to_numpy()
+        shared.unpersist()
+        if len(got):
+            ends = np.cumsum([model.p[k].size for k in names])[:-1]
+            model.p = {k: v.reshape(model.p[k].shape).astype(np.float32) for k, v in zip(names, np.split(got, ends), strict=True)}
 
 
 def pair_codes(ids: np.ndarray) -> np.ndarray:
@@ -163,15 +218,27 @@ def pair_codes(ids: np.ndarray) -> np.ndarray:
     return np.concatenate([[0], ids[:-1]])[: len(ids)] * VOCABULARY + ids
 
 
-def scored(docs: DataFrame, tokenizer: str | None = None, sample: int = 400) -> DataFrame:
+def most_frequent(counted: DataFrame, most: int) -> DataFrame:
+    """Rows with the largest ``n``, at most ``most`` of them: the bound is counted by steps of an eighth of a power of two."""
+    step = F.floor(F.log2("n") * 8)
+    left, least = most, None
+    for r in counted.groupBy(step.alias("step")).agg(F.count(F.lit(1)).alias("rows")).orderBy(F.desc("step")).collect():
+        if r["rows"] > left:
+            break
+        left, least = left - r["rows"], r["step"]
+    return counted.where("false" if least is None else step >= least)
+
+
+def scored(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
     """Scores of all whole texts; rows with crc32(doc_id) mod 5 = 1 are held out of everything that is learned.
 
-    Counts of words, of subword ids and of pairs of ids cover all training rows. The attention layer starts from a fit to
-    at most ``sample`` training rows, by order of a hash, and is then fitted to all of them. ``score`` is the probability of
-    a text's ids under an even mixture of the layer and the pair counts (over ``PRIOR`` places of single ids).
-    The most frequent pairs are looked up in the map, all others joined. ``base_score`` sums smoothed word frequencies: the most frequent words are
-    looked up in the map, all others joined. Null text is empty: its only token is the end. Rows are numbered as they
-    are written, so repeated rows stay apart; a null doc_id is not held out. Without training rows all counts are 0.
+    Counts of words, of subword ids and of pairs of ids cover all training rows, and the attention layer is fitted to every
+    place of all of them. ``score`` is the log10 probability of a text's ids: at each place that of the id's class, from the attention layer,
+    times that of the id among its class after the id before it, from the pair counts. The most frequent pairs are looked up in
+    the map, all others joined. ``attention_gain`` is what the layer adds over the class counts alone (part of ``score``).
+    ``base_score`` sums smoothed word frequencies, looked up or joined likewise. Null and empty texts have the end as their only token.
+    Rows are numbered as they are written, so repeated rows stay apart and columns of any name do no harm; a null doc_id is not held
+    out. Long texts are read whole, window by window. Without training rows all counts are 0; an empty table gives an empty one.
     """
     spark, path = docs.sparkSession, tokenizer or tokenizer_path()
 
@@ -190,93 +257,87 @@ def scored(docs: DataFrame, tokenizer: str | None = None, sample: int = 400) ->
         total: Counter = Counter()
         for batch in batches:
             for text in batch["text"]:
-                total.update(WORD.findall(lower_ascii(text)))
+                total.update(words_of(text))
                 if len(total) > 500_000:
                     yield pd.DataFrame({"word": pd.Series(list(total.keys()), dtype=object), "n": pd.Series(list(total.values()), dtype="int64")})
                     total = Counter()
         yield pd.DataFrame({"word": pd.Series(list(total.keys()), dtype=object), "n": pd.Series(list(total.values()), dtype="int64")})
 
-    counts = training.select("text").mapInPandas(count_words, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    counts = training.select("text").mapInPandas(count_words, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
     counts = written(counts, "word_counts")
     words, kinds = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     ends = training.count()
     n, v = words + ends, kinds + (ends > 0)
-    known = {r["word"]: r["n"] for r in counts.orderBy(F.desc("n"), "word").limit(FREQUENT).collect()}
+    known = {bytes(r["word"]): r["n"] for r in most_frequent(counts, FREQUENT).collect()}
     rest = math.log10(n + 0.5 * (v + 1))
 
-    def count_ids(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total = np.zeros(VOCABULARY, np.int64)
-        for batch in batches:
-            total += np.bincount(np.concatenate(batch["ids"].to_numpy()), minlength=VOCABULARY)
-        at = np.flatnonzero(total)
-        yield pd.DataFrame({"id": at, "n": total[at]})
-
-    by_id = training.select("ids").mapInPandas(count_ids, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).collect()
-    id_counts = np.zeros(VOCABULARY)
-    for r in by_id:
-        id_counts[r["id"]] = r["n"]
-    model = Model(id_counts)
-    some = training.select("ids", F.xxhash64(F.lit(9), "doc_id").alias("_h"), "_row").orderBy("_h", "_row").limit(sample).collect()
-    model.train([np.array(r["ids"], np.int64) for r in some])
-    trained_on_all(model, training)
-
     def count_pairs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             codes, n = np.unique(np.concatenate([pair_codes(x) for x in batch["ids"]]), return_counts=True)
             yield pd.DataFrame({"pair": codes, "n": n})
 
     pairs = written(training.select("ids").mapInPandas(count_pairs, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")), "pairs")
-    often = {r["pair"]: r["n"] for r in pairs.orderBy(F.desc("n"), "pair").limit(PAIRS).collect()}
-    often_codes = np.array(sorted(often), np.int64)
-    often_counts = np.array([often[c] for c in often_codes.tolist()], np.float64)
-    begins = np.zeros(VOCABULARY)
-    for r in pairs.groupBy(F.expr(f"pair div {VOCABULARY}").alias("id")).agg(F.sum("n").alias("n")).collect():
-        begins[r["id"]] = r["n"]
-    single = PRIOR * (id_counts + 0.5) / (id_counts + 0.5).sum()
-    shared = spark.sparkContext.broadcast((model, known, often_codes, often_counts, begins, single))
+    id_counts = np.zeros(VOCABULARY)
+    for r in pairs.groupBy(F.expr(f"pair % {VOCABULARY}").alias("id")).agg(F.sum("n").alias("n")).collect():
+        id_counts[r["id"]] = r["n"]
+    often = most_frequent(pairs, PAIRS).toPandas().sort_values("pair")
+    often_codes, often_counts = often["pair"].to_numpy(np.int64), often["n"].to_numpy(np.float64)
+    # Pairs beyond the most frequent ones count in the classes of the ids that they end with: a row for each id and class.
+    by_class = class_of_ids(id_counts, (often_codes // VOCABULARY, often_codes % VOCABULARY, often_counts))
+    of_id = spark.createDataFrame([(k, c) for k, c in enumerate(by_class.tolist())], "id int, class int")
+    after = pairs.select(F.expr(f"pair div {VOCABULARY}").cast("int").alias("before"), F.expr(f"pair % {VOCABULARY}").cast("int").alias("id"), "n")
+    after = after.join(F.broadcast(of_id), "id").groupBy("before", "class").agg(F.sum("n").alias("n")).toPandas()
+    model = Model(id_counts, by_class, (after["before"].to_numpy(np.int64), after["class"].to_numpy(np.int64), after["n"].to_numpy(np.float64)))
+    trained_on_all(model, training)
+    shared = spark.sparkContext.broadcast((model, known, often_codes, often_counts))
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        model, known, often_codes, often_counts, begins, single = shared.value
+        model, known, often_codes, often_counts = shared.value
+        logs = {w: math.log10(c + 0.5) for w, c in known.items()}
         for batch in batches:
             out = []
             for row, doc_id, text, held_out, ids in zip(batch["_row"], batch["doc_id"], batch["text"], batch["held_out"], batch["ids"], strict=True):
                 codes, times = np.unique(pair_codes(ids), return_counts=True)
-                at = np.searchsorted(often_codes, codes)
-                hit = np.zeros(len(codes), bool)
-                hit[at < len(often_codes)] = often_codes[at[at < len(often_codes)]] == codes[at < len(often_codes)]
-                prior = single[codes % VOCABULARY]
-                paired = -(times * np.log10(begins[codes // VOCABULARY] + PRIOR)).sum() + (times[hit] * np.log10(often_counts[at[hit]] + prior[hit])).sum()
+                before, after = np.divmod(codes, VOCABULARY)
+                at = np.minimum(np.searchsorted(often_codes, codes), max(len(often_codes) - 1, 0))
+                hit = often_codes[at] == codes if len(often_codes) else np.zeros(len(codes), bool)
+                of, prior = model.of[after], model.within[after]
+                paired = (times[hit] * np.log10(often_counts[at[hit]] + prior[hit])).sum() - (times * np.log10(model.after[before, of] + PRIOR)).sum()
+                counted = (times * model.prior[before, of]).sum() / math.log(10)
                 seldom = [{"pair": c, "k": k} for c, k in zip(codes[~hit].tolist(), times[~hit].tolist(), strict=True)]
-                found = Counter(WORD.findall(lower_ascii(text)))
+                found = Counter(words_of(text))
                 total, have, rare = math.log10(ends + 0.5), int(ends > 0), []
                 for w, k in found.items():
                     if w in known:
-                        total, have = total + k * math.log10(known[w] + 0.5), have + k
+                        total, have = total + k * logs[w], have + k
                     else:
                         rare.append({"word": w, "k": k})
-                out.append((row, None if pd.isna(doc_id) else int(doc_id), held_out, sum(found.values()) + 1, have, total, rare, paired, seldom))
-            frame = pd.DataFrame(out, columns=["_row", "doc_id", "held_out", "n_tokens", "have", "total", "rare", "paired", "seldom"]).astype({"doc_id": "Int64"})
-            frame["score"] = model.scores([np.asarray(x, np.int64) for x in batch["ids"]])
+                out.append((row, None if pd.isna(doc_id) else int(doc_id), held_out, sum(found.values()) + 1, have, total, rare, paired, counted, seldom))
+            names = ["_row", "doc_id", "held_out", "n_tokens", "have", "total", "rare", "paired", "counted", "seldom"]
+            frame = pd.DataFrame(out, columns=names).astype({"doc_id": "Int64"})
+            frame["attended"] = model.scores([np.asarray(x, np.int64) for x in batch["ids"]])
             yield frame
 
-    shape = "_row long, doc_id long, held_out boolean, n_tokens long, have long, total double, rare array<struct<word:string,k:long>>, paired double, seldom array<struct<pair:long,k:long>>, score double"
+    shape = (
+        "_row long, doc_id long, held_out boolean, n_tokens long, have long, total double, rare array<struct<word:binary,k:long>>, "
+        "paired double, counted double, seldom array<struct<pair:long,k:long>>, attended double"
+    )
     part = written(rows.select("_row", "doc_id", "text", "held_out", "ids").mapInPandas(score, shape), "scored")
     rare = part.select("_row", F.explode("rare").alias("r")).select("_row", "r.*").join(counts, "word", "left")
     rare = rare.groupBy("_row").agg(
         F.sum(F.col("k") * F.log10(F.coalesce("n", F.lit(0)) + 0.5)).alias("more"),
         F.sum(F.when(F.col("n").isNotNull(), F.col("k")).otherwise(0)).alias("also"),
     )
-    singles = spark.createDataFrame([(k, float(x)) for k, x in enumerate(single.tolist())], "id long, prior double")
+    priors = spark.createDataFrame([(k, float(x)) for k, x in enumerate(model.within.tolist())], "id long, prior double")
     seldom = part.select("_row", F.explode("seldom").alias("p")).select("_row", "p.*").join(pairs, "pair", "left")
-    seldom = seldom.withColumn("id", F.col("pair") % VOCABULARY).join(F.broadcast(singles), "id")
+    seldom = seldom.withColumn("id", F.col("pair") % VOCABULARY).join(F.broadcast(priors), "id")
     seldom = seldom.groupBy("_row").agg(F.sum(F.col("k") * F.log10(F.coalesce("n", F.lit(0)) + F.col("prior"))).alias("joined"))
     done = part.drop("rare", "seldom").join(rare, "_row", "left").join(seldom, "_row", "left")
-    done = done.withColumn("paired", F.col("paired") + F.coalesce("joined", F.lit(0.0)))
-    high, low = F.greatest("score", "paired"), F.least("score", "paired")
-    done = done.withColumn("score", high + F.log10((1 + F.pow(F.lit(10.0), low - high)) / 2))
     return done.select(
         "doc_id", "held_out", "n_tokens", (F.col("have") + F.coalesce("also", F.lit(0))).alias("n_known"), F.lit(n).cast("long").alias("train_tokens"),
-        (F.col("total") + F.coalesce("more", F.lit(0.0)) - F.col("n_tokens") * rest).alias("base_score"), "score",
+        (F.col("total") + F.coalesce("more", F.lit(0.0)) - F.col("n_tokens") * rest).alias("base_score"),
+        (F.col("attended") + F.col("paired") + F.coalesce("joined", F.lit(0.0))).alias("score"),
+        (F.col("attended") - F.col("counted")).alias("attention_gain"),
     )
 
 
