@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import table
+from millrace.llm.common import kept, table
 from millrace.llm.packing import tokenizer_path, word_ids
 from millrace.session import written
 
@@ -32,6 +32,8 @@ FREQUENT, PAIRS = 50_000, 400_000
 PRIOR = 20.0
 #: Sixteenths of the rows that a round of training ends before, and its rate: partitions meet early and learn most from the mean.
 ROUNDS = ((0, 2, 0.04), (2, 6, 0.03), (6, 16, 0.02))
+#: Rows whose windows and words a task holds at a time.
+ROWS = 1_000
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
 
@@ -88,23 +90,22 @@ class Model:
         self.scale = np.float32(1 / math.sqrt(WIDTH))
 
     def forward(self, ids: np.ndarray) -> tuple:
-        """Unscaled probabilities of the classes at each place, from the ids before it. A padded place follows all real ones.
+        """Unscaled probabilities of the classes, a row for each place of each window, from the ids before it. A padded place follows all real ones.
 
         Entries of ``c`` are kept within 5, so that these lie between e**-70 and e**40 and need no shift.
         """
-        p, n = self.p, ids.shape[1]
-        x = p["ids"][self.own[ids]] + p["places"][:n]
-        q, k, v = x @ p["q"], x @ p["k"], x @ p["v"]
-        a = q @ k.transpose(0, 2, 1)
-        a *= self.scale
+        p, (rows, n) = self.p, ids.shape
+        x = (p["ids"][self.own[ids]] + p["places"][:n]).reshape(-1, WIDTH)
+        q, k, v = ((x @ p[name]).reshape(rows, n, WIDTH) for name in "qkv")
+        a = (q * self.scale) @ k.transpose(0, 2, 1)
         a += self.cause[:n, :n]
         a -= a.max(axis=2, keepdims=True)
         np.exp(a, out=a)
-        a /= a.sum(axis=2, keepdims=True)
-        s = a @ v
+        a /= np.einsum("rij->ri", a)[:, :, None]
+        s = (a @ v).reshape(-1, WIDTH)
         h = np.tanh(x @ p["x"] + s @ p["o"])
         out = h @ p["c"]
-        out += self.prior[ids]
+        out += self.prior[ids.ravel()]
         np.exp(out, out=out)
         return x, q, k, v, a, s, h, out
 
@@ -128,30 +129,26 @@ class Model:
 
     def gradients(self, ids: np.ndarray, nxt: np.ndarray, mask: np.ndarray) -> dict[str, np.ndarray]:
         """Of the mean loss over real places."""
-        p, g = self.p, {}
+        p, g, shape = self.p, {}, (*ids.shape, WIDTH)
         x, q, k, v, a, s, h, d = self.forward(ids)
-
-        def flat(y: np.ndarray) -> np.ndarray:
-            return y.reshape(-1, y.shape[2])
-
-        d /= d.sum(axis=2, keepdims=True)
-        flat(d)[np.arange(nxt.size), self.of[nxt].ravel()] -= 1
-        d *= (mask / np.float32(mask.sum()))[:, :, None]
-        g["c"] = flat(h).T @ flat(d)
+        d *= (mask.ravel() / (mask.sum() * (d @ np.ones(d.shape[1], d.dtype))))[:, None]
+        d[np.arange(nxt.size), self.of[nxt].ravel()] -= mask.ravel() / mask.sum()
+        g["c"] = h.T @ d
         dz = (d @ p["c"].T) * (1 - h * h)
-        g["x"], g["o"] = flat(x).T @ flat(dz), flat(s).T @ flat(dz)
-        ds, dx = dz @ p["o"].T, dz @ p["x"].T
+        g["x"], g["o"] = x.T @ dz, s.T @ dz
+        ds, dx = (dz @ p["o"].T).reshape(shape), dz @ p["x"].T
         da, dv = ds @ v.transpose(0, 2, 1), a.transpose(0, 2, 1) @ ds
-        da -= (da * a).sum(axis=2, keepdims=True)
+        da -= np.einsum("rij,rij->ri", da, a)[:, :, None]
         da *= a
         da *= self.scale
         for name, y in (("q", da @ k), ("k", da.transpose(0, 2, 1) @ q), ("v", dv)):
-            g[name] = flat(x).T @ flat(y)
+            y = y.reshape(-1, WIDTH)
+            g[name] = x.T @ y
             dx += y @ p[name].T
         g["places"] = np.zeros_like(p["places"])
-        g["places"][: ids.shape[1]] = dx.sum(axis=0)
+        g["places"][: ids.shape[1]] = dx.reshape(shape).sum(axis=0)
         rows = self.own[ids].ravel()
-        g["ids"] = np.stack([np.bincount(rows, column, len(p["ids"])) for column in flat(dx).T], axis=1).astype(np.float32)
+        g["ids"] = np.stack([np.bincount(rows, column, len(p["ids"])) for column in dx.T], axis=1).astype(np.float32)
         return g
 
     def scores(self, texts: list[np.ndarray], batch: int = 256) -> np.ndarray:
@@ -163,8 +160,8 @@ class Model:
             some = order[at : at + batch]
             ids, nxt, mask = inputs(flat, of[some], begin[some], length[some])
             out = self.forward(ids)[-1]
-            hit = out.reshape(-1, out.shape[2])[np.arange(nxt.size), self.of[nxt].ravel()].reshape(nxt.shape)
-            got = np.log10(hit / out.sum(axis=2))
+            hit = out[np.arange(nxt.size), self.of[nxt].ravel()] / (out @ np.ones(out.shape[1], out.dtype))
+            got = np.log10(hit).reshape(nxt.shape)
             fresh = mask * (np.arange(ids.shape[1]) >= first[some][:, None])
             total += np.bincount(text[some], (got * fresh).sum(axis=1, dtype=np.float64), len(texts))
         return total
@@ -196,9 +193,11 @@ def trained_on_all(model: Model, training: DataFrame) -> None:
         shared = training.sparkSession.sparkContext.broadcast(model)
 
         def fit(batches: Iterator[pd.DataFrame], shared=shared, rate=rate) -> Iterator[pd.DataFrame]:
+            kept(("scoring", ""), bool)  # the words of the encoder go
             own = copy.copy(shared.value)
             own.p = {k: x.copy() for k, x in own.p.items()}
-            seen = own.train_on(([np.asarray(x, np.int64) for x in b["ids"]] for b in batches), rate)
+            parts = (b["ids"].iloc[at : at + ROWS] for b in batches for at in range(0, len(b), ROWS))
+            seen = own.train_on(([np.asarray(x, np.int64) for x in part] for part in parts), rate)
             if seen:
                 values = np.concatenate([own.p[k].ravel() for k in names]).astype(np.float64)
                 yield pd.DataFrame({"k": np.arange(len(values), dtype=np.int32), "value": values * seen, "seen": seen})
@@ -268,7 +267,7 @@ def scored(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
     words, kinds = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     ends = training.count()
     n, v = words + ends, kinds + (ends > 0)
-    known = {bytes(r["word"]): r["n"] for r in most_frequent(counts, FREQUENT).collect()}
+    known = {bytes(r["word"]): math.log10(r["n"] + 0.5) for r in most_frequent(counts, FREQUENT).collect()}
     rest = math.log10(n + 0.5 * (v + 1))
 
     def count_pairs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -293,8 +292,8 @@ def scored(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         model, known, often_codes, often_counts = shared.value
-        logs = {w: math.log10(c + 0.5) for w, c in known.items()}
-        for batch in batches:
+        kept(("scoring", ""), bool)
+        for batch in (b.iloc[at : at + ROWS] for b in batches for at in range(0, len(b), ROWS)):
             out = []
             for row, doc_id, text, held_out, ids in zip(batch["_row"], batch["doc_id"], batch["text"], batch["held_out"], batch["ids"], strict=True):
                 codes, times = np.unique(pair_codes(ids), return_counts=True)
@@ -304,35 +303,35 @@ def scored(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
                 of, prior = model.of[after], model.within[after]
                 paired = (times[hit] * np.log10(often_counts[at[hit]] + prior[hit])).sum() - (times * np.log10(model.after[before, of] + PRIOR)).sum()
                 counted = (times * model.prior[before, of]).sum() / math.log(10)
-                seldom = [{"pair": c, "k": k} for c, k in zip(codes[~hit].tolist(), times[~hit].tolist(), strict=True)]
                 found = Counter(words_of(text))
-                total, have, rare = math.log10(ends + 0.5), int(ends > 0), []
-                for w, k in found.items():
-                    if w in known:
-                        total, have = total + k * logs[w], have + k
-                    else:
-                        rare.append({"word": w, "k": k})
-                out.append((row, None if pd.isna(doc_id) else int(doc_id), held_out, sum(found.values()) + 1, have, total, rare, paired, counted, seldom))
-            names = ["_row", "doc_id", "held_out", "n_tokens", "have", "total", "rare", "paired", "counted", "seldom"]
+                seldom = [w for w in found if w not in known]
+                have = sum(found.values()) - sum(map(found.__getitem__, seldom)) + (ends > 0)
+                total = math.log10(ends + 0.5) + sum(k * known[w] for w, k in found.items() if w in known)
+                ends_too = sum(found.values()) + 1
+                rare = (seldom, [found[w] for w in seldom], codes[~hit], times[~hit])
+                out.append((row, None if pd.isna(doc_id) else int(doc_id), held_out, ends_too, have, total, paired, counted, *rare))
+            names = ["_row", "doc_id", "held_out", "n_tokens", "have", "total", "paired", "counted", "words", "word_times", "pairs", "pair_times"]
             frame = pd.DataFrame(out, columns=names).astype({"doc_id": "Int64"})
             frame["attended"] = model.scores([np.asarray(x, np.int64) for x in batch["ids"]])
             yield frame
 
     shape = (
-        "_row long, doc_id long, held_out boolean, n_tokens long, have long, total double, rare array<struct<word:binary,k:long>>, "
-        "paired double, counted double, seldom array<struct<pair:long,k:long>>, attended double"
+        "_row long, doc_id long, held_out boolean, n_tokens long, have long, total double, paired double, counted double, "
+        "words array<binary>, word_times array<long>, pairs array<long>, pair_times array<long>, attended double"
     )
     part = written(rows.select("_row", "doc_id", "text", "held_out", "ids").mapInPandas(score, shape), "scored")
-    rare = part.select("_row", F.explode("rare").alias("r")).select("_row", "r.*").join(counts, "word", "left")
+    rare = part.select("_row", F.explode(F.arrays_zip(F.col("words").alias("word"), F.col("word_times").alias("k"))).alias("r"))
+    rare = rare.select("_row", "r.*").toDF("_row", "word", "k").join(counts, "word", "left")
     rare = rare.groupBy("_row").agg(
         F.sum(F.col("k") * F.log10(F.coalesce("n", F.lit(0)) + 0.5)).alias("more"),
         F.sum(F.when(F.col("n").isNotNull(), F.col("k")).otherwise(0)).alias("also"),
     )
     priors = spark.createDataFrame([(k, float(x)) for k, x in enumerate(model.within.tolist())], "id long, prior double")
-    seldom = part.select("_row", F.explode("seldom").alias("p")).select("_row", "p.*").join(pairs, "pair", "left")
+    seldom = part.select("_row", F.explode(F.arrays_zip(F.col("pairs").alias("pair"), F.col("pair_times").alias("k"))).alias("p"))
+    seldom = seldom.select("_row", "p.*").toDF("_row", "pair", "k").join(pairs, "pair", "left")
     seldom = seldom.withColumn("id", F.col("pair") % VOCABULARY).join(F.broadcast(priors), "id")
     seldom = seldom.groupBy("_row").agg(F.sum(F.col("k") * F.log10(F.coalesce("n", F.lit(0)) + F.col("prior"))).alias("joined"))
-    done = part.drop("rare", "seldom").join(rare, "_row", "left").join(seldom, "_row", "left")
+    done = part.drop("words", "word_times", "pairs", "pair_times").join(rare, "_row", "left").join(seldom, "_row", "left")
     return done.select(
         "doc_id", "held_out", "n_tokens", (F.col("have") + F.coalesce("also", F.lit(0))).alias("n_known"), F.lit(n).cast("long").alias("train_tokens"),
         (F.col("total") + F.coalesce("more", F.lit(0.0)) - F.col("n_tokens") * rest).alias("base_score"),
