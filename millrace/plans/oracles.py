@@ -96,6 +96,14 @@ select (select count(*) from landed) as total, (select count(*) from c) as disti
   (select cast(sum(n - 1) as bigint) from c) as duplicates,
   (select count(*) from events e left join c on e.event_id = c.id where c.id is null) as missing,
   (select count(*) from c left join events e on e.event_id = c.id where e.event_id is null) as unexpected""",
+    "stream_audit": """with sent as (select event_type as topic, event_id as id from events where event_id % 101 <> 0),
+landed as (select * from sent union all select * from sent where id % 103 = 0),
+c as (select topic, id, count(*) as n from landed group by topic, id),
+e as (select distinct event_type as topic, event_id as id from events)
+select coalesce(c.topic, e.topic) as topic, cast(sum(coalesce(n, 0)) as bigint) as total, count(c.id) as distinct_ids,
+  cast(sum(coalesce(n - 1, 0)) as bigint) as duplicates, count(*) filter (c.id is null) as missing,
+  count(*) filter (e.id is null) as unexpected
+from e full join c on e.id = c.id and e.topic = c.topic group by 1""",
     "sequence_audit": """with seq as (select unnest(range((select count(*) from events))) as id)
 select count(*) as total, count(distinct event_id) as distinct_ids,
   count(*) - count(distinct event_id) as duplicates,
