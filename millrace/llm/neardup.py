@@ -37,7 +37,11 @@ def fingerprint(text: str | None, width: int = 3) -> int:
     if len(words) <= width:
         return xxhash.xxh64_intdigest(b" ".join(words), seed=42)
     one = xxhash.xxh64_intdigest
-    hashes = np.fromiter((one(b" ".join(x), 42) for x in zip(*(words[k:] for k in range(width)), strict=False)), np.uint64)
+    return majority(np.fromiter((one(b" ".join(x), 42) for x in zip(*(words[k:] for k in range(width)), strict=False)), np.uint64))
+
+
+def majority(hashes: np.ndarray) -> int:
+    """The bits that are set in over half the hashes."""
     ones = np.zeros(64, np.int64)
     for at in range(0, len(hashes), 1 << 16):
         ones += np.unpackbits(hashes[at : at + (1 << 16)].astype(">u8").view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
@@ -175,9 +179,9 @@ def common_least(sizes: int | np.ndarray, least: float) -> int | np.ndarray:
 
 
 def with_prefixes(rows: DataFrame, least: float, width: int = 5) -> DataFrame:
-    """``_row``, ``key`` (equal for equal sets of shingles), ``size``, ``prefix`` and ``spread``.
+    """``_row``, ``key`` (equal for equal sets of shingles), ``fp``, ``size``, ``prefix`` and ``spread``.
 
-    Two sets of similarity ``least`` or more share one shingle of their prefixes at least, whatever the common order.
+    ``fp`` is the fingerprint of the set of shingles (a signed long). Two sets of similarity ``least`` or more share one shingle of their prefixes at least, whatever the common order.
     ``spread`` counts the shingles by some bits of their hashes (null where a count passes 255): two texts have no more in
     common than the smaller counts come to.
     """
@@ -192,10 +196,10 @@ def with_prefixes(rows: DataFrame, least: float, width: int = 5) -> DataFrame:
                 first = h[np.lexsort((h, often[_bucket(h)]))[: len(h) - math.ceil(least * len(h) - 1e-9) + 1]]
                 spread = np.bincount((h & np.uint64((1 << CELLS) - 1)).astype(np.int64), minlength=1 << CELLS)
                 fits = spread.astype(np.uint8).tobytes() if spread.max() < 256 else None
-                out.append((row, xxhash.xxh128_digest(h.tobytes()), len(h), first.view(np.int64), fits))
-            yield pd.DataFrame(out, columns=["_row", "key", "size", "prefix", "spread"])
+                out.append((row, xxhash.xxh128_digest(h.tobytes()), _signed(majority(h)), len(h), first.view(np.int64), fits))
+            yield pd.DataFrame(out, columns=["_row", "key", "fp", "size", "prefix", "spread"])
 
-    return rows.select("_row", "text").mapInPandas(run, "_row long, key binary, size long, prefix array<long>, spread binary")
+    return rows.select("_row", "text").mapInPandas(run, "_row long, key binary, fp long, size long, prefix array<long>, spread binary")
 
 
 def _for_both(pairs: DataFrame, values: DataFrame, *names: str) -> tuple[DataFrame, DataFrame]:
@@ -236,14 +240,36 @@ def similar(pairs: DataFrame, prints: DataFrame, rows: DataFrame, least: float,
     return written(texts.where(close("a_text", "b_text")).select("a", "b"), "links", done=[left, values])
 
 
+def near_pairs(prints: DataFrame) -> DataFrame:
+    """Pairs of rows ``(a, b)`` to compare: those that the grid of :func:`fingerprint_links` joins, and rows of one fingerprint with its smallest."""
+    points = written(prints.groupBy("fp").agg(F.min("_row").alias("head")), "points")
+    same = prints.select("fp", F.col("_row").alias("b")).join(points.withColumnRenamed("head", "a"), "fp").select("a", "b")
+    ends = fingerprint_links(points.select("fp"))
+    for side in ("a", "b"):
+        ends = ends.join(points.toDF(side, f"{side}_row"), side)
+    both = same.unionByName(ends.select(F.least("a_row", "b_row").alias("a"), F.greatest("a_row", "b_row").alias("b")))
+    return written(both.where("a <> b").distinct(), "near", done=[points])
+
+
+def apart(pairs: DataFrame, links: DataFrame) -> DataFrame:
+    """The pairs ``(a, b)`` whose rows the links do not join."""
+    heads = components(links)
+    for side in ("a", "b"):
+        pairs = pairs.join(heads.toDF(side, f"{side}_head"), side, "left")
+    return pairs.where("coalesce(a_head, a) <> coalesce(b_head, b)").select("a", "b")
+
+
 def similar_links(prints: DataFrame, rows: DataFrame, least: float = 0.8, width: int = 5) -> DataFrame:
     """Links ``(a, b)`` whose closure joins exactly the rows of similarity ``least`` or more, from one row of each ``key``.
 
-    Rows with a shingle of their prefixes in common form a cell. First all are compared with the smallest of their
+    First the rows whose fingerprints meet in the grid are compared. Similar texts can lie at any distance there, so what is
+    left follows by shingles: rows with one of their prefixes in common form a cell. All are compared with the smallest of their
     cell, so that a large group of near copies is joined by as many pairs as it has members. Then only rows of a cell
     that are not joined yet are compared with each other. A pair meets in the cell of the first shingle, in the common
     order, that its rows share: where too few shingles follow it in either row, or sizes differ too much, they are not compared there.
     """
+    near = near_pairs(prints)
+    close = similar(near, prints, rows, least, width)
     entries = prints.select(F.col("_row").alias("r"), F.col("size").cast("int").alias("size"), F.posexplode("prefix").alias("at", "cell"))
     leaders = entries.groupBy("cell").agg(F.min(F.struct("r", "size", "at")).alias("leader"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
     leaders = written(leaders, "leaders")
@@ -255,15 +281,16 @@ def similar_links(prints: DataFrame, rows: DataFrame, least: float = 0.8, width:
         return alike & (after >= (F.col(x) + F.col(y)) * (least / (1 + least)) - 1e-9)
 
     stars = cells.where(F.col("r") != F.col("leader.r")).where(may_be("size", "leader.size", "at", "leader.at"))
-    stars = written(stars.select(F.col("leader.r").alias("a"), F.col("r").alias("b")).distinct(), "stars")
-    first = similar(stars, prints, rows, least, width)
+    stars = stars.select(F.col("leader.r").alias("a"), F.col("r").alias("b")).distinct()
+    stars = written(apart(stars.join(near, ["a", "b"], "left_anti"), close), "stars")
+    first = close.unionByName(similar(stars, prints, rows, least, width))
     heads = components(first).withColumnsRenamed({"id": "r"})
     members = written(cells.drop("leader").join(heads, "r", "left").withColumn("head", F.coalesce("component", "r")).drop("component"), "members", done=[cells])
     mixed = members.groupBy("cell").agg(F.min("head").alias("x"), F.max("head").alias("y")).where("x < y").select("cell")
     members = written(members.join(mixed, "cell").select("cell", "r", "size", "at", "head"), "mixed", done=[members])
     left, right = members.toDF("cell", "a", "sa", "pa", "ha"), members.toDF("cell", "b", "sb", "pb", "hb")
     pairs = left.join(right, "cell").where("a < b and ha <> hb").where(may_be("sa", "sb", "pa", "pb")).select("a", "b").distinct()
-    pairs = written(pairs.join(stars, ["a", "b"], "left_anti"), "pairs", done=[members, stars])
+    pairs = written(pairs.join(near.unionByName(stars), ["a", "b"], "left_anti"), "pairs", done=[members, stars, near])
     return first.unionByName(similar(pairs, prints, rows, least, width))
 
 
@@ -271,7 +298,7 @@ def one_of_each(docs: DataFrame, least: float = 0.8, width: int = 5) -> DataFram
     """The rows of which one stays for each group of near duplicates: the smallest doc_id, null first.
 
     Texts are near duplicates if the similarity (Jaccard) of their ``width``-word shingles is ``least`` or more; groups
-    are closed over these links. No link is lost. Rows are numbered as they are written, so that repeated rows and ids
+    are closed over these links. Candidates come from the grid join of fingerprints, then from shingles: no link is lost. Rows are numbered as they are written, so that repeated rows and ids
     stay apart; all columns are kept.
     """
     own = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")
@@ -280,8 +307,10 @@ def one_of_each(docs: DataFrame, least: float = 0.8, width: int = 5) -> DataFram
     first = F.struct(F.col("doc_id"), F.col("_row"))
     ids = rows.select("_row", "row.doc_id").join(prints.select("_row", "key"), "_row").groupBy("key").agg(F.min(first).alias("first"), F.min("_row").alias("rep"))
     ids = written(ids, "firsts")
-    alone = written(prints.drop("key").join(ids.select(F.col("rep").alias("_row")), "_row", "left_semi"), "different", done=[prints])
+    # What goes is joined, not what stays: it is the smaller part, and prefixes and texts are not shuffled while it fits a broadcast.
+    copies = written(prints.select("_row").join(ids.select(F.col("rep").alias("_row")), "_row", "left_anti"), "copies")
+    alone = written(prints.drop("key").join(copies, "_row", "left_anti"), "different", done=[prints, copies])
     heads = components(similar_links(alone, rows, least, width)).withColumnsRenamed({"id": "rep", "component": "head"})
     kept = ids.join(heads, "rep", "left").groupBy(F.coalesce("head", "rep").alias("head")).agg(F.min("first").alias("first"))
-    kept = written(kept.select(F.col("first._row").alias("_row")), "kept", done=[alone, ids])
-    return rows.join(kept, "_row", "left_semi").select("row.*")
+    gone = written(rows.select("_row").join(kept.select(F.col("first._row").alias("_row")), "_row", "left_anti"), "gone", done=[alone, ids])
+    return rows.join(gone, "_row", "left_anti").select("row.*")

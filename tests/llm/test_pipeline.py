@@ -77,6 +77,39 @@ def test_counts_bound_what_two_texts_share(spark, monkeypatch):
         assert {r.doc_id for r in neardup.one_of_each(frame).collect()} == set(groups(texts)) == set(range(6))
 
 
+def test_near_copies_meet_in_the_grid(spark, monkeypatch):
+    """The stage's first candidates come from the grid join of the fingerprints of five-word shingles; it joins all within two bits."""
+    draw = np.random.default_rng(2)
+    words = [f"w{k}" for k in range(400)]
+    texts = [" ".join(draw.choice(words, 400)) for _ in range(8)]
+    texts += [re.sub(r"(?<= )w7 ", "other ", t) for t in texts] + [t + " end" for t in texts] + [None, "a b"]
+    texts = list(dict.fromkeys(texts))
+    prints = [neardup.majority(neardup.Shingles().of(t)) for t in texts]
+    near = {(i, j) for j in range(len(texts)) for i in range(j) if bin(prints[i] ^ prints[j]).count("1") <= 2}
+    assert len(near) >= 6
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    met, meet = [], neardup.near_pairs
+
+    def seen(rows):
+        out = meet(rows)
+        met.extend((r.a, r.b) for r in out.collect())
+        return out
+
+    monkeypatch.setattr(neardup, "near_pairs", seen)
+    got = {r.doc_id for r in corpus_pipeline.drop_near_copies(spark, frame, SF).collect()}
+    assert got == set(groups(texts))
+    assert set(met) <= near and joined(met, len(texts)) == joined(near, len(texts))
+
+
+def joined(pairs, n):
+    """The smallest index that each one is joined with."""
+    label = list(range(n))
+    for i, j in pairs:
+        low, high = sorted((label[i], label[j]))
+        label = [low if x == high else x for x in label]
+    return label
+
+
 ODD = "doc_id long, text string, lang string, row struct<a:int>, _row long, found string, toxicity double, passages int, r long, cell string"
 
 
