@@ -77,6 +77,16 @@ def test_word_ids(text):
     assert np.frombuffer(next(ids.of([text])), "<u4").tolist() == whole
 
 
+def test_word_tables_stay_small():
+    """Beyond its limit a table begins anew and gives the same ids; parts met again come back from the one before."""
+    texts = [" ".join(f"often part{k}x{j}" for j in range(90)) for k in range(40)]
+    small, large = packing.WordIds(packing.tokenizer_path(), most=50), packing.WordIds(packing.tokenizer_path())
+    for text in texts:
+        assert next(small.of([text])) == next(large.of([text]))
+        assert max(map(len, (small, small.before, small.runs, small.runs_before))) <= 50 + 2 * 90 and "often" in small
+    assert large.most <= 200_000
+
+
 def closure(n, links):
     label = list(range(n))
     for _ in range(n):
