@@ -32,8 +32,8 @@ FREQUENT, PAIRS = 50_000, 400_000
 PRIOR = 20.0
 #: Sixteenths of the rows that a round of training ends before, and its rate: partitions meet early and learn most from the mean.
 ROUNDS = ((0, 2, 0.04), (2, 6, 0.03), (6, 16, 0.02))
-#: Rows whose windows and words a task holds at a time.
-ROWS = 1_000
+#: Rows whose texts, windows, words and pairs a task holds at a time, and distinct words that it counts before it hands them on.
+BATCH, ROWS, WORDS = "spark.sql.execution.arrow.maxRecordsPerBatch", 1_000, 100_000
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
 
@@ -240,6 +240,8 @@ def scored(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
     out. Long texts are read whole, window by window. Without training rows all counts are 0; an empty table gives an empty one.
     """
     spark, path = docs.sparkSession, tokenizer or tokenizer_path()
+    if spark.conf.get(BATCH) == "10000":  # as Spark has it by default
+        spark.conf.set(BATCH, ROWS)
 
     @F.pandas_udf("array<int>")
     def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -253,11 +255,12 @@ def scored(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
     training = rows.where("not held_out")
 
     def count_words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        kept(("scoring", ""), bool)  # the words of the encoder go
         total: Counter = Counter()
         for batch in batches:
             for text in batch["text"]:
                 total.update(words_of(text))
-                if len(total) > 500_000:
+                if len(total) > WORDS:
                     yield pd.DataFrame({"word": pd.Series(list(total.keys()), dtype=object), "n": pd.Series(list(total.values()), dtype="int64")})
                     total = Counter()
         yield pd.DataFrame({"word": pd.Series(list(total.keys()), dtype=object), "n": pd.Series(list(total.values()), dtype="int64")})
@@ -271,8 +274,9 @@ def scored(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
     rest = math.log10(n + 0.5 * (v + 1))
 
     def count_pairs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            codes, n = np.unique(np.concatenate([pair_codes(x) for x in batch["ids"]]), return_counts=True)
+        kept(("scoring", ""), bool)
+        for ids in (b["ids"].iloc[at : at + ROWS] for b in batches for at in range(0, len(b), ROWS)):
+            codes, n = np.unique(np.concatenate([pair_codes(x) for x in ids]), return_counts=True)
             yield pd.DataFrame({"pair": codes, "n": n})
 
     pairs = written(training.select("ids").mapInPandas(count_pairs, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")), "pairs")

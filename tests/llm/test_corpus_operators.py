@@ -216,6 +216,18 @@ def test_scoring(docs, empty):
         assert r.base_score == pytest.approx(expected[r.doc_id][2]) and r.score < 0
 
 
+def test_scoring_holds_few_rows_at_a_time(spark):
+    """A task gets a thousand texts at a time, unless the session says otherwise than Spark does by default."""
+    name, before = "spark.sql.execution.arrow.maxRecordsPerBatch", spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    docs = spark.createDataFrame([(k, f"some words {k}") for k in range(30)], "doc_id long, text string")
+    try:
+        for given, held in (("10000", "1000"), ("7", "7")):
+            spark.conf.set(name, given)
+            assert scoring.scored(docs).count() == 30 and spark.conf.get(name) == held
+    finally:
+        spark.conf.set(name, before)
+
+
 def scoring_model(draw, n_texts=300):
     """Texts in two languages that share no id but the end: only ids further back tell which one follows the shared id 5."""
     texts = []
