@@ -22,6 +22,8 @@ WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOW = 0x5555555555555555
 #: Cells with more members are linked through the values one bit away instead of pair by pair; no link is lost.
 FEW = 24
+#: Members of a cell that are compared with all others of it in the first turn; each turn takes eight times as many as all before, about.
+TURN = 2
 #: Bits of a hash by which shingles are counted, for their order only; buckets in one piece of the counts; and pieces
 #: that are added up in one task are first summed in so many.
 BUCKETS, PIECE, SALTS = 22, 1 << 16, 32
@@ -265,7 +267,9 @@ def similar_links(prints: DataFrame, rows: DataFrame, least: float = 0.8, width:
     First the rows whose fingerprints meet in the grid are compared. Similar texts can lie at any distance there, so what is
     left follows by shingles: rows with one of their prefixes in common form a cell. All are compared with the smallest of their
     cell, so that a large group of near copies is joined by as many pairs as it has members. Then only rows of a cell
-    that are not joined yet are compared with each other. A pair meets in the cell of the first shingle, in the common
+    that are not joined yet are compared with each other, in turns: two members of a cell, drawn by hash, with all that come after them,
+    then eight times as many, and so on to the last. What a turn has joined is not compared in the next, so that a group
+    in which many pairs are near, but not all, does not cost the square of its members. A pair meets in the cell of the first shingle, in the common
     order, that its rows share: where too few shingles follow it in either row, or sizes differ too much, they are not compared there.
     """
     near = near_pairs(prints)
@@ -286,12 +290,42 @@ def similar_links(prints: DataFrame, rows: DataFrame, least: float = 0.8, width:
     first = close.unionByName(similar(stars, prints, rows, least, width))
     heads = components(first).withColumnsRenamed({"id": "r"})
     members = written(cells.drop("leader").join(heads, "r", "left").withColumn("head", F.coalesce("component", "r")).drop("component"), "members", done=[cells])
+    sized = members.join(members.groupBy("cell").agg(F.count(F.lit(1)).alias("n")), "cell")
+    # Row numbers drawn as shares of one: times the members of a cell, about the places of its members in a common order.
+    drawn = sized.withColumn("u", F.expr("shiftrightunsigned(xxhash64(r), 11) / 9007199254740992D"))
+    members = written(_mixed(drawn), "mixed", done=[members])
+    compared, begin, end = near.unionByName(stars), 0, TURN
+    while True:
+        largest, mean = members.agg(F.coalesce(F.max("n"), F.lit(-1)), F.coalesce(F.avg("n"), F.lit(0.0))).first()
+        if begin > largest:
+            return first
+        if mean <= FEW:
+            end = largest + 1
+        place = F.col("u") * F.col("n")
+        names = ("r", "size", "at", "head", "u")
+        left = members.where((place >= begin) & (place < end)).select("cell", *names).toDF("cell", "a", "sa", "pa", "ha", "ua")
+        right = members.select("cell", *names).toDF("cell", "b", "sb", "pb", "hb", "ub")
+        pairs = left.join(right, "cell").where("ha <> hb and (ua < ub or ua = ub and a < b)").where(may_be("sa", "sb", "pa", "pb"))
+        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        pairs = written(pairs.join(compared, ["a", "b"], "left_anti"), "pairs")
+        links = similar(pairs, prints, rows, least, width)
+        compared, begin, end = compared.unionByName(pairs), end, end * 8
+        if begin <= largest and not links.isEmpty():
+            first, before = first.unionByName(links), members
+            joined = links
+            for side in ("a", "b"):
+                joined = joined.join(members.select(F.col("r").alias(side), F.col("head").alias(f"h{side}")).distinct(), side)
+            joined = components(joined.select(F.col("ha").alias("a"), F.col("hb").alias("b"))).withColumnsRenamed({"id": "head"})
+            members = members.join(joined, "head", "left").withColumn("head", F.coalesce("component", "head")).drop("component")
+            members = written(_mixed(members), "mixed", done=[before])
+        else:
+            first = first.unionByName(links)
+
+
+def _mixed(members: DataFrame) -> DataFrame:
+    """The members of cells that the links do not join whole yet."""
     mixed = members.groupBy("cell").agg(F.min("head").alias("x"), F.max("head").alias("y")).where("x < y").select("cell")
-    members = written(members.join(mixed, "cell").select("cell", "r", "size", "at", "head"), "mixed", done=[members])
-    left, right = members.toDF("cell", "a", "sa", "pa", "ha"), members.toDF("cell", "b", "sb", "pb", "hb")
-    pairs = left.join(right, "cell").where("a < b and ha <> hb").where(may_be("sa", "sb", "pa", "pb")).select("a", "b").distinct()
-    pairs = written(pairs.join(near.unionByName(stars), ["a", "b"], "left_anti"), "pairs", done=[members, stars, near])
-    return first.unionByName(similar(pairs, prints, rows, least, width))
+    return members.join(mixed, "cell", "left_semi")
 
 
 def one_of_each(docs: DataFrame, least: float = 0.8, width: int = 5) -> DataFrame:

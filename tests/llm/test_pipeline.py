@@ -101,6 +101,27 @@ def test_near_copies_meet_in_the_grid(spark, monkeypatch):
     assert set(met) <= near and joined(met, len(texts)) == joined(near, len(texts))
 
 
+def test_a_large_group_of_near_copies_is_joined_by_few_pairs(spark, monkeypatch):
+    """About half the pairs of a group are links: turns join it long before all its pairs are compared."""
+    draw = np.random.default_rng(8)
+    words = [f"w{k}" for k in range(3000)]
+    base, texts = draw.choice(words, 150), []
+    for k in range(300):
+        w = base.copy()
+        w[draw.permutation(150)[: 1 + k % 4]] = f"new{k}"
+        texts.append(" ".join(w))
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    compared, similar = [], neardup.similar
+
+    def counted(pairs, *rest):
+        compared.append(pairs.count())
+        return similar(pairs, *rest)
+
+    monkeypatch.setattr(neardup, "similar", counted)
+    assert {r.doc_id for r in neardup.one_of_each(frame).collect()} == set(groups(texts))
+    assert sum(compared) < 45 * len(texts)  # 28,361 pairs, if all those of a cell are compared at once
+
+
 def joined(pairs, n):
     """The smallest index that each one is joined with."""
     label = list(range(n))
