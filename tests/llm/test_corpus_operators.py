@@ -87,6 +87,16 @@ def test_word_tables_stay_small():
     assert large.most <= 200_000
 
 
+def test_word_tables_hold_a_word_once():
+    """However a plain word is written and what stands beside it; lines with other characters are split at spaces, the others not."""
+    words = ["tokenwise", "größer", "forêt"]
+    texts = [f"{w}{mark} {w.title()}{mark}\n({w.upper()}{mark})" for w in words for mark in ".,;:!?"] + ["Plain, größer.\nit's <odd> ΑΣ größer.\n\nforêt"]
+    ids = packing.WordIds(packing.tokenizer_path())
+    for text, got in zip(texts, ids.of(texts), strict=True):
+        assert np.frombuffer(got, "<u4").tolist() == ids.tokenizer.encode(text, add_special_tokens=False).ids
+    assert set(words) <= set(ids) and len(ids) < 30 and set(ids.runs) == {"it's", "<odd>", "ΑΣ", "größer."}
+
+
 def closure(n, links):
     label = list(range(n))
     for _ in range(n):
