@@ -34,6 +34,8 @@ PRIOR = 20.0
 ROUNDS = ((0, 2, 0.04), (2, 6, 0.03), (6, 16, 0.02))
 #: Rows whose texts, windows, words and pairs a task holds at a time, and distinct words that it counts before it hands them on.
 BATCH, ROWS, WORDS = "spark.sql.execution.arrow.maxRecordsPerBatch", 1_000, 100_000
+#: Rows that are scored at a time: the words and pairs that are not looked up take much more room than the texts.
+SCORED = 200
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
 
@@ -297,7 +299,7 @@ def scored(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         model, known, often_codes, often_counts = shared.value
         kept(("scoring", ""), bool)
-        for batch in (b.iloc[at : at + ROWS] for b in batches for at in range(0, len(b), ROWS)):
+        for batch in (b.iloc[at : at + SCORED] for b in batches for at in range(0, len(b), SCORED)):
             out = []
             for row, doc_id, text, held_out, ids in zip(batch["_row"], batch["doc_id"], batch["text"], batch["held_out"], batch["ids"], strict=True):
                 codes, times = np.unique(pair_codes(ids), return_counts=True)

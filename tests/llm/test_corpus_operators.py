@@ -238,6 +238,17 @@ def test_scoring_holds_few_rows_at_a_time(spark):
         spark.conf.set(name, before)
 
 
+def test_scoring_holds_few_rows_with_their_words(spark, monkeypatch):
+    """Words and pairs that are not looked up are listed for two hundred texts at a time, in a batch of any size."""
+    docs = spark.createDataFrame([(k, f"some words {k}") for k in range(450)], "doc_id long, text string").coalesce(1)
+    kind, runs = type(docs), []
+    plain = kind.mapInPandas
+    monkeypatch.setattr(kind, "mapInPandas", lambda self, f, *rest: runs.append(f) or plain(self, f, *rest))
+    assert scoring.scored(docs).where("score < 0").count() == 450
+    batch = docs.toPandas().assign(_row=range(450), held_out=False, ids=[np.array([k, 0]) for k in range(450)])
+    assert [len(out) for out in runs[-1](iter([batch]))] == [200, 200, 50]
+
+
 def scoring_model(draw, n_texts=300):
     """Texts in two languages that share no id but the end: only ids further back tell which one follows the shared id 5."""
     texts = []
