@@ -19,7 +19,7 @@ from millrace.session import delete_written, scratch_dir
 
 TOXIC = 0.7
 #: Rows that a task hands to Python at a time: a batch of long texts, its copies and what is made of it fill a worker's memory.
-BATCH, ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", 1_000
+BATCH, ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", 250
 
 
 def stage(work: Callable[[SparkSession, DataFrame, str], DataFrame]) -> Callable[[SparkSession, DataFrame, str], DataFrame]:

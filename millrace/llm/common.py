@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable
 from typing import Any
 
@@ -26,6 +27,15 @@ def kept(key: tuple[str, str], make: Callable[[], Any]) -> Any:
     return _KEPT[key]
 
 
+def give_back() -> None:
+    """What an operator before this one has kept goes, back to the system where the C library can: workers live on from stage to stage."""
+    if _KEPT:
+        _KEPT.clear()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim:
+            trim(0)
+
+
 def lower_ascii(text: str | None) -> str:
     """A-Z in lower case, every other character as it is; null is empty."""
     return (text or "").translate(_LOWER)

@@ -14,7 +14,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import components, lower_ascii, table
+from millrace.llm.common import components, give_back, lower_ascii, table
 from millrace.llm.decontaminate import Hashes, shingles
 from millrace.session import written
 
@@ -152,6 +152,7 @@ def shingle_order(docs: DataFrame, width: int = 5) -> np.ndarray:
     """
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        give_back()
         of, total = Shingles(width).of, np.zeros(1 << BUCKETS, np.uint32)
         for batch in batches:
             for text in batch["text"]:
@@ -190,6 +191,7 @@ def with_prefixes(rows: DataFrame, least: float, width: int = 5) -> DataFrame:
     shared = rows.sparkSession.sparkContext.broadcast(shingle_order(rows, width))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        give_back()
         of, often = Shingles(width).of, shared.value
         for batch in batches:
             out = []

@@ -21,6 +21,8 @@ GRAMS = 4096
 CLEAN, TOXIC = 3, 2
 #: Longer runs of letters are words in pieces of this length, the next beginning ``LAP`` characters before the last ends.
 PIECE, LAP = 40, 10
+#: A worker keeps the inputs of some so many words and scores so many windows at a time: it shares its executor's memory with others.
+KEPT, WINDOWS = 50_000, 512
 
 
 def windows(n: int) -> list[tuple[int, int]]:
@@ -327,7 +329,7 @@ class Shared:
 
 def scorer_of(shared: Shared) -> Scorer:
     """A worker keeps the inputs of its words from task to task, for one net at a time."""
-    return kept(("net", shared.id), lambda: Scorer(shared.value))
+    return kept(("net", shared.id), lambda: Scorer(shared.value, KEPT, WINDOWS))
 
 
 def with_toxicity(docs: DataFrame, net: Net, name: str = "score") -> DataFrame:

@@ -12,7 +12,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from millrace.llm import decontaminate, embeddings, extract, licenses, neardup, packing, pii, scoring, sharding, toxicity
+from millrace.llm import common, decontaminate, embeddings, extract, licenses, neardup, packing, pii, scoring, sharding, toxicity
 from millrace.llm.common import components
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, rank long, score double, fp string, n long"
@@ -351,6 +351,42 @@ def test_toxicity(spark, empty):
     assert toxicity.with_toxicity(empty.drop("score"), net).count() == 0
 
 
+def test_toxicity_tables_share_an_executor():
+    """A worker keeps some 50,000 words, and scores as one that keeps all."""
+    draw = np.random.default_rng(4)
+    words = [f"word{k}" for k in range(150_000)]
+    texts = [" ".join(words[k : k + 500] + ["vile"] * (k % 3000 == 0)) for k in range(0, len(words), 500)]
+    net = toxicity.train([" ".join([*draw.choice(words[:300], 40), *["vile"] * (k % 2)]) for k in range(200)], [k % 2 for k in range(200)], epochs=2)
+    shared = type("Sent", (), {"id": "few words", "value": net})
+    scorer, most = toxicity.scorer_of(shared), 0
+    got = []
+    for at in range(0, len(texts), 20):
+        got.append(scorer.scores(texts[at : at + 20]))
+        most = max(most, len(scorer.table))
+    assert np.allclose(np.concatenate(got), toxicity.Scorer(net).scores(texts), atol=1e-5)
+    assert most <= 65_536 and scorer.batch * toxicity.WINDOW * len(scorer.table[0]) * 4 < 4e6
+
+
+def test_kept_tables_end_with_their_operator(spark):
+    """An operator that keeps nothing gives back what the one before it in the same worker has kept."""
+    docs = spark.createDataFrame([(k, f"some words {k}") for k in range(4)], "doc_id long, text string").coalesce(1)
+
+    def ran(start):
+        names = []
+        plain = type(docs).mapInPandas
+        type(docs).mapInPandas = lambda self, f, *rest: names.append(f) or plain(self, f, *rest)
+        try:
+            start()
+        finally:
+            type(docs).mapInPandas = plain
+        return names[0]
+
+    for run in (ran(lambda: neardup.shingle_order(docs)), ran(lambda: neardup.with_prefixes(docs.withColumnRenamed("doc_id", "_row"), 0.8))):
+        common.kept(("table", "x"), lambda: [0] * 1_000)
+        list(run(iter([docs.toPandas()])))
+        assert not common._KEPT
+
+
 def test_toxicity_reads_all_characters():
     """Trigrams beyond the tenth are learned, and those beyond character 40 are scored, in pieces that leave none out."""
     for n in (1, 40, 41, 70, 71, 500):
