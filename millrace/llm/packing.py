@@ -29,7 +29,7 @@ class WordIds(dict):
     before, from which those met again come back; the one before that goes, so the frequent ones stay.
     """
 
-    def __init__(self, path: str, most: int = 200_000):
+    def __init__(self, path: str, most: int = 50_000):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"

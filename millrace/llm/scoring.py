@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import kept, table
+from millrace.llm.common import give_back, table
 from millrace.llm.packing import tokenizer_path, word_ids
 from millrace.session import written
 
@@ -195,7 +195,7 @@ def trained_on_all(model: Model, training: DataFrame) -> None:
         shared = training.sparkSession.sparkContext.broadcast(model)
 
         def fit(batches: Iterator[pd.DataFrame], shared=shared, rate=rate) -> Iterator[pd.DataFrame]:
-            kept(("scoring", ""), bool)  # the words of the encoder go
+            give_back()
             own = copy.copy(shared.value)
             own.p = {k: x.copy() for k, x in own.p.items()}
             parts = (b["ids"].iloc[at : at + ROWS] for b in batches for at in range(0, len(b), ROWS))
@@ -257,7 +257,7 @@ def scored(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
     training = rows.where("not held_out")
 
     def count_words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        kept(("scoring", ""), bool)  # the words of the encoder go
+        give_back()
         total: Counter = Counter()
         for batch in batches:
             for text in batch["text"]:
@@ -276,7 +276,7 @@ def scored(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
     rest = math.log10(n + 0.5 * (v + 1))
 
     def count_pairs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        kept(("scoring", ""), bool)
+        give_back()
         for ids in (b["ids"].iloc[at : at + ROWS] for b in batches for at in range(0, len(b), ROWS)):
             codes, n = np.unique(np.concatenate([pair_codes(x) for x in ids]), return_counts=True)
             yield pd.DataFrame({"pair": codes, "n": n})
@@ -298,7 +298,7 @@ def scored(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         model, known, often_codes, often_counts = shared.value
-        kept(("scoring", ""), bool)
+        give_back()
         for batch in (b.iloc[at : at + SCORED] for b in batches for at in range(0, len(b), SCORED)):
             out = []
             for row, doc_id, text, held_out, ids in zip(batch["_row"], batch["doc_id"], batch["text"], batch["held_out"], batch["ids"], strict=True):

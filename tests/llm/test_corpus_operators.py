@@ -87,6 +87,14 @@ def test_word_tables_stay_small():
     assert large.most <= 200_000
 
 
+def test_word_tables_share_an_executor():
+    """Two workers' tables fit beside the rest of an executor: 50,000 words each, whatever they met."""
+    ids = packing.WordIds(packing.tokenizer_path())
+    for k in range(0, 130_000, 1_000):
+        list(ids.of([" ".join("".join(chr(97 + (j // 26**i) % 26) for i in range(4)) for j in range(k, k + 1_000))]))
+        assert max(map(len, (ids, ids.before, ids.runs, ids.runs_before))) <= 52_000
+
+
 def test_word_tables_hold_a_word_once():
     """However a plain word is written and what stands beside it; lines with other characters are split at spaces, the others not."""
     words = ["tokenwise", "größer", "forêt"]
