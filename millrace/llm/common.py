@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import ctypes
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from typing import Any
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -22,8 +23,9 @@ _KEPT: dict[tuple[str, str], Any] = {}
 def kept(key: tuple[str, str], make: Callable[[], Any]) -> Any:
     """What a worker process keeps from task to task: one thing at a time, so that an operator's tables end with it."""
     if key not in _KEPT:
-        _KEPT.clear()
+        give_back()
         _KEPT[key] = make()
+        trim()
     return _KEPT[key]
 
 
@@ -31,9 +33,25 @@ def give_back() -> None:
     """What an operator before this one has kept goes, back to the system where the C library can: workers live on from stage to stage."""
     if _KEPT:
         _KEPT.clear()
-        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
-        if trim:
-            trim(0)
+        trim()
+
+
+def trim() -> None:
+    """Room that nothing uses any more, in the C library and in Arrow, goes back to the system."""
+    give = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if give:
+        give(0)
+    pa.default_memory_pool().release_unused()
+
+
+def trimmed(batches: Iterator[Any]) -> Iterator[Any]:
+    """The batches of a task, one held at a time; after the last one its worker, which waits for the next task, is trimmed."""
+    try:
+        for batch in batches:
+            yield batch
+            del batch
+    finally:
+        trim()
 
 
 def lower_ascii(text: str | None) -> str:

@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import give_back, table
+from millrace.llm.common import give_back, table, trimmed
 from millrace.session import written
 
 ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63], np.uint64)
@@ -185,7 +185,7 @@ def _finder(shared, least: float):
     def find(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         give_back()
         hashes, items = Hashes(), shared.value
-        for texts in batches:
+        for texts in trimmed(batches):
             got = [items.found(hashes.of(t), least) for t in texts]
             yield pd.DataFrame({"item_ids": [sorted(g) for g in got], "similarity": [max(g.values(), default=0.0) for g in got]})
 

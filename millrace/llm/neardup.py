@@ -14,7 +14,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import components, give_back, lower_ascii, table
+from millrace.llm.common import components, give_back, lower_ascii, table, trimmed
 from millrace.llm.decontaminate import Hashes, shingles
 from millrace.session import written
 
@@ -154,7 +154,7 @@ def shingle_order(docs: DataFrame, width: int = 5) -> np.ndarray:
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         give_back()
         of, total = Shingles(width).of, np.zeros(1 << BUCKETS, np.uint32)
-        for batch in batches:
+        for batch in trimmed(batches):
             for text in batch["text"]:
                 np.add.at(total, _bucket(of(text)), 1)
         pieces = total.reshape(-1, PIECE)
@@ -193,7 +193,7 @@ def with_prefixes(rows: DataFrame, least: float, width: int = 5) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         give_back()
         of, often = Shingles(width).of, shared.value
-        for batch in batches:
+        for batch in trimmed(batches):
             out = []
             for row, text in zip(batch["_row"], batch["text"], strict=True):
                 h = of(text)
@@ -223,7 +223,7 @@ def similar(pairs: DataFrame, prints: DataFrame, rows: DataFrame, least: float,
 
     @F.pandas_udf("boolean")
     def possible(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-        for a_size, b_size, a, b in batches:
+        for a_size, b_size, a, b in trimmed(batches):
             out = np.ones(len(a), bool)
             known = np.flatnonzero((a.notna() & b.notna()).to_numpy())
             if len(known):
@@ -235,7 +235,7 @@ def similar(pairs: DataFrame, prints: DataFrame, rows: DataFrame, least: float,
     @F.pandas_udf("boolean")
     def close(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
         of = Shingles(width).of
-        for left, right in batches:
+        for left, right in trimmed(batches):
             yield pd.Series([jaccard(of(x), of(y)) >= least for x, y in zip(left, right, strict=True)], dtype=bool)
 
     sized, values = _for_both(pairs, prints, "size", "spread")

@@ -12,7 +12,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import kept, ranked, table
+from millrace.llm.common import kept, ranked, table, trimmed
 from millrace.session import written
 
 #: Text whose splitting needs no Unicode tables; no quote (contractions) and no bracket (special tokens).
@@ -115,7 +115,7 @@ def pieces(docs: DataFrame, capacity: int, tokenizer: str) -> DataFrame:
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         ids = word_ids(tokenizer)
-        for batch in batches:
+        for batch in trimmed(batches):
             out = []
             for doc_id, of_text in zip(batch["doc_id"], ids.of(batch["text"].tolist()), strict=True):
                 whole = of_text + b"\0\0\0\0"

@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import give_back, table
+from millrace.llm.common import give_back, table, trimmed
 from millrace.session import written
 
 # The base patterns, and words that name a secret. An email is found from its at sign, and an address from the
@@ -186,7 +186,7 @@ def with_spans(docs: DataFrame, name: str = "spans") -> DataFrame:
     @F.pandas_udf(f"array<{SPAN}>")
     def find(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         give_back()
-        for texts in batches:
+        for texts in trimmed(batches):
             yield pd.Series([occurrences(t) for t in texts], dtype=object)
 
     own = F.struct(*(F.col(f"`{c}`") for c in docs.columns if c != name)).alias("row")

@@ -12,7 +12,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm.common import kept, table
+from millrace.llm.common import kept, table, trimmed
 
 WORD = re.compile(r"[^\W_]+")
 WINDOW, STEP = 32, 24
@@ -23,6 +23,8 @@ CLEAN, TOXIC = 3, 2
 PIECE, LAP = 40, 10
 #: A worker keeps the inputs of some so many words and scores so many windows at a time: it shares its executor's memory with others.
 KEPT, WINDOWS = 50_000, 512
+#: Words of texts that are held until their windows are scored.
+HELD = 50_000
 
 
 def windows(n: int) -> list[tuple[int, int]]:
@@ -163,8 +165,10 @@ class Scorer:
         for at in range(0, len(words), 20_000):
             some = words[at : at + 20_000]
             x = self.net.vectors(some)
-            while self.used + len(some) > len(self.table):
-                self.table = np.concatenate([self.table, np.zeros_like(self.table)])
+            if self.used + len(some) > len(self.table):
+                larger = np.zeros((max(self.used + len(some), min(2 * len(self.table), self.most)), self.table.shape[1]), np.float32)
+                larger[: self.used] = self.table[: self.used]
+                self.table = larger
             self.table[self.used : self.used + len(some)] = np.concatenate([x @ p["Wf"] + p["cf"], x @ p["Wb"] + p["cb"]], axis=1)
             self.rows.update(zip(some, range(self.used, self.used + len(some)), strict=True))
             self.used += len(some)
@@ -172,9 +176,11 @@ class Scorer:
     def window_logits(self, texts: list[list[str]]) -> list[np.ndarray]:
         """For each text, given as words, the logits of all its windows."""
         spans = [(k, s, e) for k, words in enumerate(texts) for s, e in windows(len(words))]
-        if self.used > self.most:
+        new = {w for words in texts for w in words if w not in self.rows}
+        if self.used > 1 and self.used + len(new) > self.most:
             self._begin()
-        self._learn(list({w for words in texts for w in words if w not in self.rows}))
+            new = {w for words in texts for w in words}
+        self._learn(list(new))
         rows = [np.fromiter(map(self.rows.__getitem__, words), np.int64, len(words)) for words in texts]
         flat, ends = np.zeros(len(spans)), np.zeros(len(texts) + 1, np.int64)
         H3 = 3 * self.net.hidden
@@ -202,7 +208,7 @@ class Scorer:
             for s in range(0, max(1, len(words) - WINDOW + STEP), STEP * 2048):
                 pending.append((k, words[s : s + STEP * 2047 + WINDOW]))
                 held += len(pending[-1][1])
-                if held > 200_000:
+                if held > HELD:
                     self._merge(best, pending)
                     pending, held = [], 0
         self._merge(best, pending)
@@ -343,7 +349,7 @@ def with_toxicity(docs: DataFrame, net: Net, name: str = "score") -> DataFrame:
     @F.pandas_udf("double")
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         scorer = scorer_of(shared)
-        for texts in batches:
+        for texts in trimmed(batches):
             yield pd.Series(scorer.scores(texts.tolist()))
 
     return docs.withColumn(name, score(F.col("text")))

@@ -3,6 +3,7 @@
 import math
 import re
 import time
+import weakref
 import zlib
 from collections import Counter
 
@@ -395,6 +396,42 @@ def test_kept_tables_end_with_their_operator(spark):
         assert not common._KEPT
 
 
+def test_toxicity_holds_few_new_words():
+    """Texts of which no word is known yet add no more words to a worker's table than it keeps, but for those of one batch."""
+    net = toxicity.train([" ".join([f"w{k % 7}", *["vile"] * (k % 2)] * 5) for k in range(60)], [k % 2 for k in range(60)], epochs=2)
+    texts = [" ".join(f"{k}x{q}" for q in range(500)) for k in range(500)]
+    scorer = toxicity.Scorer(net, toxicity.KEPT, toxicity.WINDOWS)
+    got = scorer.scores(texts)
+    assert len(scorer.table) <= toxicity.KEPT + 1_000
+    assert np.allclose(got[:20], toxicity.Scorer(net).scores(texts[:20]), atol=1e-5)
+
+
+def test_workers_are_trimmed(monkeypatch):
+    """A table that is made, and the end of a task, leave nothing in reserve; a batch is let go of before the next is read."""
+    calls, alive = [], []
+    monkeypatch.setattr(common, "trim", lambda: calls.append(1))
+    common.kept(("table", "y"), lambda: [0])
+    common.kept(("table", "y"), lambda: [0])
+    assert len(calls) in (1, 2)
+    common.kept(("table", "z"), lambda: [0])
+    common.give_back()
+    before = len(calls)
+
+    def batches():
+        for _ in range(3):
+            batch = np.zeros(10)
+            alive.append(weakref.ref(batch))
+            yield batch
+            del batch
+            assert alive[-1]() is None
+
+    rows = 0
+    for batch in common.trimmed(batches()):
+        rows += len(batch)
+        del batch
+    assert rows == 30 and before in (4, 5) and len(calls) == before + 1
+
+
 def test_toxicity_reads_all_characters():
     """Trigrams beyond the tenth are learned, and those beyond character 40 are scored, in pieces that leave none out."""
     for n in (1, 40, 41, 70, 71, 500):
