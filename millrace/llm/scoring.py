@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import give_back, table
+from millrace.llm.common import give_back, table, trimmed
 from millrace.llm.packing import tokenizer_path, word_ids
 from millrace.session import written
 
@@ -100,8 +100,11 @@ class Model:
         x = (p["ids"][self.own[ids]] + p["places"][:n]).reshape(-1, WIDTH)
         q, k, v = ((x @ p[name]).reshape(rows, n, WIDTH) for name in "qkv")
         a = (q * self.scale) @ k.transpose(0, 2, 1)
-        a += self.cause[:n, :n]
-        a -= a.max(axis=2, keepdims=True)
+        if a.size and not -60 < a.min() <= a.max() < 60:
+            a += self.cause[:n, :n]
+            a -= a.max(axis=2, keepdims=True)
+        else:  # exponentials of all and their sums fit as they are
+            a += self.cause[:n, :n]
         np.exp(a, out=a)
         a /= np.einsum("rij->ri", a)[:, :, None]
         s = (a @ v).reshape(-1, WIDTH)
@@ -153,7 +156,7 @@ class Model:
         g["ids"] = np.stack([np.bincount(rows, column, len(p["ids"])) for column in dx.T], axis=1).astype(np.float32)
         return g
 
-    def scores(self, texts: list[np.ndarray], batch: int = 256) -> np.ndarray:
+    def scores(self, texts: list[np.ndarray], batch: int = 128) -> np.ndarray:
         """log10 of the probability of each text's classes, by overlapping windows; each place counts once."""
         total = np.zeros(len(texts))
         flat, of, begin, length, first, text = spans_of(texts, [windows(len(t)) if len(t) else [] for t in texts])
@@ -198,8 +201,8 @@ def trained_on_all(model: Model, training: DataFrame) -> None:
             give_back()
             own = copy.copy(shared.value)
             own.p = {k: x.copy() for k, x in own.p.items()}
-            parts = (b["ids"].iloc[at : at + ROWS] for b in batches for at in range(0, len(b), ROWS))
-            seen = own.train_on(([np.asarray(x, np.int64) for x in part] for part in parts), rate)
+            parts = (b["ids"].iloc[at : at + ROWS] for b in trimmed(batches) for at in range(0, len(b), ROWS))
+            seen = own.train_on(([ids_of(x) for x in part] for part in parts), rate)
             if seen:
                 values = np.concatenate([own.p[k].ravel() for k in names]).astype(np.float64)
                 yield pd.DataFrame({"k": np.arange(len(values), dtype=np.int32), "value": values * seen, "seen": seen})
@@ -213,6 +216,11 @@ def trained_on_all(model: Model, training: DataFrame) -> None:
             model.p = {k: v.reshape(model.p[k].shape).astype(np.float32) for k, v in zip(names, np.split(got, ends), strict=True)}
 
 
+def ids_of(held: bytes) -> np.ndarray:
+    """Ids as they are written, two bytes each: ``VOCABULARY`` is below 65,536, and no task reads them one by one."""
+    return np.frombuffer(held, "<u2").astype(np.int64)
+
+
 def pair_codes(ids: np.ndarray) -> np.ndarray:
     """Each id after the one before it, 0 at the start, as one number."""
     ids = np.asarray(ids, np.int64)
@@ -245,11 +253,11 @@ def scored(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
     if spark.conf.get(BATCH) == "10000":  # as Spark has it by default
         spark.conf.set(BATCH, ROWS)
 
-    @F.pandas_udf("array<int>")
+    @F.pandas_udf("binary")
     def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         table = word_ids(path)
-        for texts in batches:
-            yield pd.Series([np.frombuffer(b + b"\0\0\0\0", "<u4").astype(np.int32) for b in table.of(texts.tolist())])
+        for texts in trimmed(batches):
+            yield pd.Series([np.frombuffer(b + b"\0\0\0\0", "<u4").astype("<u2").tobytes() for b in table.of(texts.tolist())])
 
     held = F.expr("coalesce(crc32(cast(cast(doc_id as string) as binary)) % 5 = 1, false)")
     rows = docs.select(F.monotonically_increasing_id().alias("_row"), "doc_id", "text", held.alias("held_out"), encode(F.col("text")).alias("ids"))
@@ -259,7 +267,7 @@ def scored(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
     def count_words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         give_back()
         total: Counter = Counter()
-        for batch in batches:
+        for batch in trimmed(batches):
             for text in batch["text"]:
                 total.update(words_of(text))
                 if len(total) > WORDS:
@@ -277,8 +285,8 @@ def scored(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
 
     def count_pairs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         give_back()
-        for ids in (b["ids"].iloc[at : at + ROWS] for b in batches for at in range(0, len(b), ROWS)):
-            codes, n = np.unique(np.concatenate([pair_codes(x) for x in ids]), return_counts=True)
+        for ids in (b["ids"].iloc[at : at + ROWS] for b in trimmed(batches) for at in range(0, len(b), ROWS)):
+            codes, n = np.unique(np.concatenate([pair_codes(ids_of(x)) for x in ids]), return_counts=True)
             yield pd.DataFrame({"pair": codes, "n": n})
 
     pairs = written(training.select("ids").mapInPandas(count_pairs, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")), "pairs")
@@ -299,9 +307,9 @@ def scored(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         model, known, often_codes, often_counts = shared.value
         give_back()
-        for batch in (b.iloc[at : at + SCORED] for b in batches for at in range(0, len(b), SCORED)):
-            out = []
-            for row, doc_id, text, held_out, ids in zip(batch["_row"], batch["doc_id"], batch["text"], batch["held_out"], batch["ids"], strict=True):
+        for batch in (b.iloc[at : at + SCORED] for b in trimmed(batches) for at in range(0, len(b), SCORED)):
+            out, texts = [], [ids_of(x) for x in batch["ids"]]
+            for row, doc_id, text, held_out, ids in zip(batch["_row"], batch["doc_id"], batch["text"], batch["held_out"], texts, strict=True):
                 codes, times = np.unique(pair_codes(ids), return_counts=True)
                 before, after = np.divmod(codes, VOCABULARY)
                 at = np.minimum(np.searchsorted(often_codes, codes), max(len(often_codes) - 1, 0))
@@ -310,15 +318,17 @@ def scored(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
                 paired = (times[hit] * np.log10(often_counts[at[hit]] + prior[hit])).sum() - (times * np.log10(model.after[before, of] + PRIOR)).sum()
                 counted = (times * model.prior[before, of]).sum() / math.log(10)
                 found = Counter(words_of(text))
-                seldom = [w for w in found if w not in known]
-                have = sum(found.values()) - sum(map(found.__getitem__, seldom)) + (ends > 0)
-                total = math.log10(ends + 0.5) + sum(k * known[w] for w, k in found.items() if w in known)
-                ends_too = sum(found.values()) + 1
-                rare = (seldom, [found[w] for w in seldom], codes[~hit], times[~hit])
+                logs = [known.get(w) for w in found]
+                seldom = [w for w, x in zip(found, logs, strict=True) if x is None]
+                seldom_times = [found[w] for w in seldom]
+                have = found.total() - sum(seldom_times) + (ends > 0)
+                total = math.log10(ends + 0.5) + sum(k * x for k, x in zip(found.values(), logs, strict=True) if x is not None)
+                ends_too = found.total() + 1
+                rare = (seldom, seldom_times, codes[~hit], times[~hit])
                 out.append((row, None if pd.isna(doc_id) else int(doc_id), held_out, ends_too, have, total, paired, counted, *rare))
             names = ["_row", "doc_id", "held_out", "n_tokens", "have", "total", "paired", "counted", "words", "word_times", "pairs", "pair_times"]
             frame = pd.DataFrame(out, columns=names).astype({"doc_id": "Int64"})
-            frame["attended"] = model.scores([np.asarray(x, np.int64) for x in batch["ids"]])
+            frame["attended"] = model.scores(texts)
             yield frame
 
     shape = (

@@ -541,6 +541,37 @@ def test_pii_takes_all_identifiers_with_digits(spark):
     assert [sum(len(got[67 + 20 * k + v]) for v in range(20)) for k in range(7)] == [20] * 7
 
 
+def test_scoring_writes_ids_in_two_bytes(spark, monkeypatch):
+    """Every pass over the ids reads one value of a row, which holds them all."""
+    shapes, plain = {}, scoring.written
+    monkeypatch.setattr(scoring, "written", lambda df, name, *a, **k: shapes.setdefault(name, plain(df, name, *a, **k)))
+    texts = ["some words here", "caf\u00e9 \u4e2d\u6587 x" * 50, "", None]
+    scoring.scored(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(packing.tokenizer_path())
+    assert dict(shapes["encoded"].dtypes)["ids"] == "binary" and t.get_vocab_size() <= scoring.VOCABULARY < 1 << 16
+    got = {r.doc_id: scoring.ids_of(r.ids).tolist() for r in shapes["encoded"].collect()}
+    assert got == {k: [*t.encode(x or "", add_special_tokens=False).ids, 0] for k, x in enumerate(texts)}
+
+
+def test_scoring_holds_for_large_weights():
+    """Attention whose exponentials do not fit a float is shifted first; smaller weights need no shift."""
+    texts, _, _, model = scoring_model(np.random.default_rng(3), 12)
+    ids = np.stack([t[:32] for t in texts]).astype(np.int64)
+    for k in "qk":
+        model.p[k] = model.p[k] * np.float32(0.1)
+    a = model.forward(ids)[4]
+    q, k = ((model.p["ids"][model.own[ids]] + model.p["places"]) @ model.p[name] for name in "qk")
+    exact = (q.astype(float) * model.scale) @ k.astype(float).transpose(0, 2, 1) + model.cause
+    exact = np.exp(exact - exact.max(axis=2, keepdims=True))
+    assert np.allclose(a, exact / exact.sum(axis=2, keepdims=True), atol=1e-6)
+    for k in "qk":
+        model.p[k] = model.p[k] * np.float32(3000)
+    a = model.forward(ids)[4]
+    assert np.allclose(a.sum(axis=2), 1, atol=1e-5) and np.isfinite(model.scores(texts)).all()
+
+
 def test_scoring_counts_pairs_of_all_rows(spark, monkeypatch):
     """Pairs of ids over all training rows, frequent or joined, stand in the score; the layer is fitted to every place."""
     monkeypatch.setattr(scoring, "PAIRS", 30)
